@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from urbanframe.llm.common import documents
 
 #: Words kept per Python worker, and characters or ids handled at a time.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 700_000
 CHUNK = 1_000_000
 NEVER = np.int64(2**40)
 #: Marks a cache key without a space mark; a lone surrogate is in no valid text.
@@ -96,9 +96,7 @@ class PieceModel:
                 if left is not None and right is not None:
                     pairs[left * self.size + right] = (order[proto.pieces[i].score], i)
                 bigrams.add((ord(piece[cut - 1]) << 21) | ord(piece[cut]))
-        self.pair_keys = np.array(sorted(pairs), np.int64)
-        self.pair_rank = np.array([pairs[k][0] for k in self.pair_keys.tolist()], np.int64)
-        self.pair_id = np.array([pairs[k][1] for k in self.pair_keys.tolist()], np.int64)
+        self._fill_pairs(pairs)
         self.bigrams = np.array(sorted(bigrams), np.int64)
         self.char_id = {ord(p): i for p, i in normal.items() if len(p) == 1}
         # A line end that is in no piece always stands alone, so lines can be cut there.
@@ -113,12 +111,42 @@ class PieceModel:
 
     # -- merge rounds ---------------------------------------------------------
 
+    def _fill_pairs(self, pairs: dict[int, tuple[int, int]]) -> None:
+        """A hash table of pair keys with linear probing, in numpy."""
+        bits = max(4, (4 * len(pairs)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        keys = np.array(list(pairs), np.int64)
+        values = np.array(list(pairs.values()), np.int64).reshape(-1, 2)
+        self.slots = np.full(2**bits + 64, -1, np.int64)
+        self.slot_rank, self.slot_id = np.full(len(self.slots), NEVER), np.zeros(len(self.slots), np.int64)
+        at, left, self.probes = self._slot(keys), np.arange(len(keys)), 0
+        while len(left):
+            free = left[self.slots[at[left]] == -1]
+            self.slots[at[free]] = keys[free]  # of several on one slot the last stays
+            settled = self.slots[at[left]] == keys[left]
+            won = left[settled]
+            self.slot_rank[at[won]], self.slot_id[at[won]] = values[won, 0], values[won, 1]
+            left = left[~settled]
+            at[left] += 1
+            self.probes += 1
+        self.slots[self.slots == -1] = -2
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
     def _rank(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank of each pair (NEVER where it is no piece) and the merged id."""
-        key = np.where((left >= 0) & (right >= 0), left * self.size + right, -1)
-        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
-        hit = self.pair_keys[at] == key
-        return np.where(hit, self.pair_rank[at], NEVER), self.pair_id[at]
+        key = left * self.size + right
+        key[(left < 0) | (right < 0)] = -1
+        at = self._slot(key)
+        for _ in range(self.probes - 1):
+            miss = np.flatnonzero((self.slots[at] != key) & (self.slots[at] != -2))
+            if not len(miss):
+                break
+            at[miss] += 1
+        rank = self.slot_rank[at]
+        rank[self.slots[at] != key] = NEVER
+        return rank, self.slot_id[at]
 
     def merge(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of each word (already with its space marks): flat ids and their counts."""
@@ -237,10 +265,10 @@ class PieceModel:
             own = self.words(text)
             counts.append(len(own))
             keys += own
-        new = list({k: None for k in keys if k not in self.known})
+        new = list(set(keys).difference(self.known))
         if new and len(self.known) + len(new) > CACHE_WORDS:
             self.clear()
-            new = list(dict.fromkeys(keys))
+            new = list(set(keys))
         if new:
             ids, lengths = self.merge([self._marked(k, self.cut_lines) for k in new])
             self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
