@@ -65,3 +65,17 @@ def word_count(text: Column) -> Column:
     body = F.regexp_replace(text, f"^[{SPACE}]+", "")
     marks = F.regexp_replace(body, f"[^{SPACE}]+[{SPACE}]*", "w")
     return F.coalesce(F.length(marks), F.lit(0)).cast("bigint")
+
+
+def labelled_sample(labels: DataFrame, label: str, keep: Column | None, rows: int, seed: int = 17) -> DataFrame:
+    """About ``rows`` labelled ids (``doc_id, label``), picked by a hash of the id.
+
+    The sample only fits classifiers; its expected size is bounded by ``rows``
+    whatever the table's size, so it may be broadcast. Rows with a null id or a
+    label other than 0 and 1 are left out; several labels of one id count as 1
+    if any of them is 1.
+    """
+    known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & (F.lit(True) if keep is None else keep)).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
+    total = known.count()
+    share = 2**30 if total <= rows else int(2**30 * rows / total)
+    return known.where(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(2**30)) < share)

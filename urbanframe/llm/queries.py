@@ -6,12 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from urbanframe.llm.language import op3_language
 from urbanframe.llm.mixing import OP1_SQL, op1_mix
+from urbanframe.llm.pieces import op2_pieces
+from urbanframe.llm.quality import op6_quality
 from urbanframe.llm.sharding import op7_shard
+from urbanframe.llm.toxicity import op5_toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_mix": op1_mix, "op7_shard": op7_shard}
+    return {
+        "op1_mix": op1_mix,
+        "op2_pieces": op2_pieces,
+        "op3_language": op3_language,
+        "op5_toxicity": op5_toxicity,
+        "op6_quality": op6_quality,
+        "op7_shard": op7_shard,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
