@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from urbanframe.session import broadcast_if_small, checkpointed, written  # noqa: F401
+
 #: White space that separates words: space and U+0009 to U+000D.
 SPACE = r"\x20\x09-\x0D"
 
@@ -19,26 +19,6 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the cluster's reliable checkpoint folder and cut its lineage.
-
-    The folder is ``spark.checkpoint.dir``; only where that is unset (tests on
-    one machine) a temporary folder is used.
-    """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-"))
-    return df.checkpoint(eager=True)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
-    """Hint a broadcast only when ``df`` (already materialised, narrow rows) has
-    at most ``max_rows`` rows; above that the join shuffles instead."""
-    few = df.limit(max_rows + 1).agg(F.count(F.lit(1))).first()[0] <= max_rows
-    return F.broadcast(df) if few else df
-
-
 def id_text(column: str | Column = "doc_id") -> Column:
     """Decimal text of an id; a null id reads as the empty text."""
     column = F.col(column) if isinstance(column, str) else column

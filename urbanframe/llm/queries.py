@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from urbanframe.llm.jaccard import op4_jaccard
 from urbanframe.llm.language import op3_language
 from urbanframe.llm.mixing import OP1_SQL, op1_mix
 from urbanframe.llm.pieces import op2_pieces
@@ -19,6 +20,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_mix": op1_mix,
         "op2_pieces": op2_pieces,
         "op3_language": op3_language,
+        "op4_jaccard": op4_jaccard,
         "op5_toxicity": op5_toxicity,
         "op6_quality": op6_quality,
         "op7_shard": op7_shard,
