@@ -11,6 +11,7 @@ from urbanframe.llm.language import op3_language
 from urbanframe.llm.mixing import OP1_SQL, op1_mix
 from urbanframe.llm.pieces import op2_pieces
 from urbanframe.llm.quality import op6_quality
+from urbanframe.llm.repeats import op8_repeats
 from urbanframe.llm.sharding import op7_shard
 from urbanframe.llm.toxicity import op5_toxicity
 
@@ -24,6 +25,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_toxicity": op5_toxicity,
         "op6_quality": op6_quality,
         "op7_shard": op7_shard,
+        "op8_repeats": op8_repeats,
     }
 
 
