@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from urbanframe.llm.digest import op9_digest
 from urbanframe.llm.jaccard import op4_jaccard
 from urbanframe.llm.language import op3_language
+from urbanframe.llm.media import op10_media
 from urbanframe.llm.mixing import OP1_SQL, op1_mix
 from urbanframe.llm.pieces import op2_pieces
 from urbanframe.llm.quality import op6_quality
@@ -26,6 +28,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_quality": op6_quality,
         "op7_shard": op7_shard,
         "op8_repeats": op8_repeats,
+        "op9_digest": op9_digest,
+        "op10_media": op10_media,
     }
 
 
