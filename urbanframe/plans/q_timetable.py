@@ -34,7 +34,7 @@ def gtfs_trip_counts(spark, d):
 
 
 def gtfs_usual_week(spark, d):
-    return t.usual_week(t.trip_counts(_dates(spark, d), view(spark, d, "f_trips")), share=0.6).select(F.col("start_date").cast("string"))
+    return t.usual_week(t.trip_counts(_dates(spark, d), view(spark, d, "f_trips")), share=0.45).select(F.col("start_date").cast("string"))
 
 
 def gtfs_calendar_range(spark, d):
@@ -123,7 +123,7 @@ SQL = {
     "gtfs_service_dates": f"WITH {SERVICES} SELECT service_id, CAST(date AS VARCHAR) AS date, weekday FROM services",
     "gtfs_trip_counts": f"WITH {SERVICES}, {DAILY} SELECT CAST(date AS VARCHAR) AS date, trip_counts FROM daily",
     "gtfs_usual_week": f"""WITH {SERVICES}, {DAILY}, k AS (SELECT *, ROW_NUMBER() OVER (ORDER BY date) - 1 AS i, COUNT(*) OVER () AS n,
-        (SELECT 0.6::DOUBLE * QUANTILE_CONT(trip_counts, 0.95) FROM daily) AS thr, (SELECT MIN(date) + CAST(8 - ISODOW(MIN(date)) AS INT) FROM daily) AS mon FROM daily),
+        (SELECT 0.45::DOUBLE * QUANTILE_CONT(trip_counts, 0.95) FROM daily) AS thr, (SELECT MIN(date) + CAST(8 - ISODOW(MIN(date)) AS INT) FROM daily) AS mon FROM daily),
       b AS (SELECT *, MIN(CASE WHEN trip_counts > thr THEN 1 ELSE 0 END) OVER (ORDER BY date ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS busy, (SELECT MAX(i) FROM k WHERE date = mon) AS i0 FROM k),
       h AS (SELECT * FROM b WHERE busy = 1 AND (i - i0 + 700000) % 7 = 0 AND (i < i0 OR n >= i + 7))
       SELECT CAST(start_date AS VARCHAR) AS start_date FROM (SELECT COALESCE(MIN(CASE WHEN i < i0 THEN date END), MAX(CASE WHEN i >= i0 THEN date END)) AS start_date FROM h) WHERE start_date IS NOT NULL""",
