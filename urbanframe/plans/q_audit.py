@@ -127,7 +127,7 @@ def px_uniform_grid(s, d):
 
 
 def px_remap(s, d):
-    return _px(s, d).select("obs_id", px.remap(F.col("qa60").cast("int"), {0: 3, 1024: 1}).alias("rank"), px.invert(F.col("b4"), 10000.0).alias("inverse"), F.round(px.albedo(*[F.col("b8") * k / 10000.0 for k in range(1, 6)]), 4).alias("albedo"))
+    return _px(s, d).select("obs_id", px.remap(F.col("qa60").cast("int"), {0: 3, 1024: 1}).alias("rank"), px.invert(F.col("b4"), 10000.0).alias("inverse"), F.round(px.albedo(*[F.col("b8") * k / 10000.0 for k in range(1, 6)]), 9).alias("albedo"))
 
 
 GIVEN = "({c} IS NOT NULL AND {c} NOT IN ('No', '', 'nan', 'NaN'{more}))"
@@ -175,7 +175,7 @@ SQL = {
     "px_age_ratio": "WITH b AS (SELECT grid_id, " + ", ".join(f"pop_est * {k} % 97 AS a{k}" for k in range(1, 7)) + " FROM f_grid) SELECT grid_id, ROUND(100.0::DOUBLE * (a1 + a2 + a5 + a6) / NULLIF(a1 + a2 + a3 + a4 + a5 + a6, 0), 6) AS vulnerable_pct, ROUND(100.0::DOUBLE * (a1 + a2) / NULLIF(a3 + a4, 0), 6) AS child_dependency FROM b",
     "px_mosaic": "SELECT pixel_id, ARG_MAX(b4, ROW(ts, obs_id)) AS b4 FROM f_pixels WHERE obs_id % 4 > 0 AND b4 IS NOT NULL GROUP BY pixel_id",
     "px_uniform_grid": "WITH e AS (SELECT FLOOR(MIN(x) / 500)::BIGINT AS a, CEIL(MAX(x) / 500)::BIGINT AS b, FLOOR(MIN(y) / 500)::BIGINT AS c, CEIL(MAX(y) / 500)::BIGINT AS d FROM f_nodes), g AS (SELECT UNNEST(RANGE(a, b)) AS gx, c, d FROM e), h AS (SELECT gx, UNNEST(RANGE(c, d)) AS gy FROM g) SELECT gx, gy, gx * 500.0::DOUBLE AS xmin, gy * 500.0::DOUBLE AS ymin, gx * 500.0::DOUBLE + 500 AS xmax, gy * 500.0::DOUBLE + 500 AS ymax FROM h",
-    "px_remap": "SELECT obs_id, CASE qa60 WHEN 0 THEN 3 WHEN 1024 THEN 1 END AS rank, 10000.0::DOUBLE - b4 AS inverse, ROUND((0.356::DOUBLE + 0.130::DOUBLE * 2 + 0.373::DOUBLE * 3 + 0.085::DOUBLE * 4 + 0.072::DOUBLE * 5) * b8 / 10000 - 0.0018::DOUBLE, 4) AS albedo FROM f_pixels",
+    "px_remap": "SELECT obs_id, CASE qa60 WHEN 0 THEN 3 WHEN 1024 THEN 1 END AS rank, 10000.0::DOUBLE - b4 AS inverse, ROUND((0.356::DOUBLE + 0.130::DOUBLE * 2 + 0.373::DOUBLE * 3 + 0.085::DOUBLE * 4 + 0.072::DOUBLE * 5) * b8 / 10000 - 0.0018::DOUBLE, 9) AS albedo FROM f_pixels",
 }
 
 QUERIES = {name: globals()[name] for name in SQL}

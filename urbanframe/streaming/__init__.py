@@ -1,0 +1 @@
+"""No operator of this library is a stream: the indicators are batch results."""
