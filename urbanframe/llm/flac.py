@@ -340,7 +340,7 @@ def _decode_some(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.nd
         rows = np.flatnonzero(order > j)
         out[j, rows] = _signed(bits.take(at, rows, 8), 8)
     weight, shift = np.zeros((most, n), np.int64), np.zeros(n, np.int64)
-    for o in range(1, 5):
+    for o in range(1, min(most, 4) + 1):
         weight[:o, fixed & (order == o)] = np.array(FIXED[o])[:, None]
     rows = np.flatnonzero(linear)
     if len(rows):

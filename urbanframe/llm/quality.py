@@ -140,7 +140,7 @@ def fit(docs: DataFrame, labels: DataFrame, keep: Column | None = None, rows: in
     sample = labelled_sample(labels, "quality", keep, rows)
     found = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "label", statistics_column("text").alias("x")).collect()
     found.sort(key=lambda r: (r.doc_id, r.x))
-    x = np.array([r.x for r in found]).reshape(len(found), -1)
+    x = np.array([r.x for r in found]).reshape(len(found), len(statistics("")))
     return fit_discriminant(x, np.array([r.label for r in found]), shrinkage)
 
 
