@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from urbanframe.plans import q_audit, q_indicators, q_places, q_tables, q_timetable
+from urbanframe.plans import q_audit, q_indicators, q_places, q_reports, q_tables, q_timetable
 
-MODULES = (q_timetable, q_indicators, q_places, q_audit, q_tables)
+MODULES = (q_timetable, q_indicators, q_places, q_audit, q_tables, q_reports)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
