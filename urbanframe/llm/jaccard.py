@@ -8,14 +8,15 @@ filter (sizes of the parts that fixed pivots cut the sets into bound the
 overlap) before their sets are fetched and compared, once per pair.
 
 The result is components of linked documents. No group is expanded into all its
-pairs: equal texts are one class from the start; then, in rounds, the documents
-under a prefix gram are compared with one of them (the hub), links are merged
-into components, and grams whose documents are all in one component are done.
-What is left at the end, documents of different components under a shared
-prefix gram, is compared pair by pair, so no link is missed.
+pairs: equal texts are one class from the start, and of grams with equal lists
+of documents only the first counts. Under a gram of many documents these are
+compared, in rounds, with one of them (the hub); links are merged into
+components, and grams whose documents are all in one component are done. What
+is left at the end, documents of different components under a shared prefix
+gram, is compared pair by pair, so no link is missed.
 
 Frequencies come from all documents: every task counts the grams of blocks of
-about two million; those seen twice in a block are summed over all blocks. The
+about a million; those seen twice in a block are summed over all blocks. The
 most frequent are broadcast (``FREQUENT`` rows at most); the list only fixes the
 order, which may be any for the result to be exact.
 
@@ -42,9 +43,13 @@ from urbanframe.operators.graph import components
 WORDS = 5
 PERCENT = 80
 FREQUENT = 100_000
-BLOCK_GRAMS = 2_000_000
-CACHE_WORDS = 400_000
-PARTS = 64
+BLOCK_GRAMS = 1_000_000
+CACHE_WORDS = 200_000
+PARTS = 128
+#: Documents under a gram, on average over postings, up to which they are compared directly.
+FEW = 64
+#: Documents under a gram from which the suffix filter is part of the join.
+MANY = 16
 
 _STEP = np.random.default_rng(11).integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
 
@@ -85,8 +90,10 @@ def needed(n, percent: int = PERCENT):
     return -(-percent * n // 100)
 
 
-def _part_sizes(grams: np.ndarray) -> np.ndarray:
-    return np.bincount((grams.view(np.uint64) >> np.uint64(58)).astype(np.int64), minlength=PARTS).astype(np.int32)
+def _part_sizes(grams: np.ndarray) -> np.ndarray | None:
+    """Sizes of the parts that fixed pivots cut a set into; None where one passes 16 bits."""
+    sizes = np.bincount((grams.view(np.uint64) >> np.uint64(57)).astype(np.int64), minlength=PARTS)
+    return sizes.astype(np.int16) if sizes.max(initial=0) < 2**15 else None
 
 
 def classes_of_equal_texts(docs: DataFrame) -> DataFrame:
@@ -159,18 +166,24 @@ def _prefixes(texts: DataFrame, frequent, words: int, percent: int) -> DataFrame
     return texts.select("doc_id", "text").where("doc_id IS NOT NULL").mapInPandas(run, "gram long, doc_id long, n int, place int")
 
 
-def _sets(texts: DataFrame, words: int) -> DataFrame:
-    """``doc_id, grams, parts``: whole sets and the sizes of their parts."""
+def _sets(texts: DataFrame, words: int, grams: bool = False, parts: bool = False) -> DataFrame:
+    """``doc_id, n`` and whole sets (``grams``) and the sizes of their parts (``parts``), as asked for."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingle = Shingler(words)
         for frame in frames:
             for start in range(0, len(frame), 500):
                 part = frame.iloc[start : start + 500]
-                grams = [shingle(t) for t in part["text"]]
-                yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "grams": grams, "parts": [_part_sizes(g) for g in grams]})
+                own = [shingle(t) for t in part["text"]]
+                out = pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "n": np.array([len(g) for g in own], np.int32)})
+                if grams:
+                    out["grams"] = own
+                if parts:
+                    out["parts"] = [_part_sizes(g) for g in own]
+                yield out
 
-    return texts.select("doc_id", "text").mapInPandas(run, "doc_id long, grams array<long>, parts array<int>")
+    schema = "doc_id long, n int" + ", grams array<long>" * grams + ", parts array<short>" * parts
+    return texts.select("doc_id", "text").mapInPandas(run, schema)
 
 
 def _could_link(n_a, n_b, place_a, place_b, percent: int):
@@ -180,19 +193,40 @@ def _could_link(n_a, n_b, place_a, place_b, percent: int):
     return (100 * low >= percent * high) & (rest * (100 + percent) >= percent * (n_a + n_b))
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` whose sets reach the threshold."""
+def _first_of_equal_lists(shared: DataFrame) -> DataFrame:
+    """Postings of one gram, the first in the global order, of those with equal lists of documents.
 
-    def joined(left: DataFrame, side: str, column: str) -> DataFrame:
-        right = sets.select(F.col("doc_id").alias(side), F.col(column).alias(f"{column}_{side}"))
-        return left.join(right, side)
+    A passage puts the same documents under each of its grams. The first gram
+    that two documents share is always the first of its equals, so no pair is
+    lost, and its places are those that the positional filter needs.
+    """
+    lists = shared.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("doc_id")).alias("x"), F.sum(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2**31))).alias("y"), F.sum("place").alias("p"))
+    first = lists.groupBy("m", "x", "y").agg(F.min(F.struct("p", "gram")).alias("f")).select("f.gram")
+    return shared.join(first, "gram", "left_semi")
 
-    enough = lambda shared, size_a, size_b: shared * (100 + percent) >= percent * (size_a + size_b)
-    total = lambda c: F.aggregate(c, F.lit(0), lambda s, x: s + x)
-    bound = total(F.zip_with("parts_a", "parts_b", lambda x, y: F.least(x, y)))
-    near = joined(joined(pairs, "b", "parts"), "a", "parts").where(enough(bound, total(F.col("parts_a")), total(F.col("parts_b")))).select("a", "b")
-    both = joined(joined(near, "b", "grams"), "a", "grams")
-    return both.where(enough(F.size(F.array_intersect("grams_a", "grams_b")), F.size("grams_a"), F.size("grams_b"))).select("a", "b")
+
+def _parts_fit(a: str, b: str, n_a, n_b, percent: int):
+    """Suffix filter: the summed smaller sizes of two sets' parts bound their overlap."""
+    bound = F.aggregate(F.zip_with(a, b, lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
+    return F.coalesce(bound * (100 + percent) >= percent * (n_a + n_b), F.lit(True))
+
+
+def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs ``a, b`` whose sets reach the threshold.
+
+    Sets are made only of the texts that stand in a pair. The suffix filter goes
+    first, on the short part sizes, so only likely pairs carry whole sets.
+    """
+    wanted = checkpointed(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct())
+    sets = written(_sets(texts.join(broadcast_if_small(wanted), "doc_id", "left_semi"), words, grams=True, parts=True))
+
+    def joined(left: DataFrame, side: str, *columns: str) -> DataFrame:
+        return left.join(sets.select(F.col("doc_id").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
+
+    near = joined(joined(pairs, "b", "parts", "n"), "a", "parts", "n").where(_parts_fit("parts_a", "parts_b", F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
+    shared = F.size(F.array_intersect("grams_a", "grams_b"))
+    enough = shared * (100 + percent) >= percent * (F.size("grams_a") + F.size("grams_b"))
+    return joined(joined(near, "b", "grams"), "a", "grams").where(enough).select("a", "b").distinct()
 
 
 def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, frequent_rows: int = FREQUENT, hub_rounds: int = 5) -> DataFrame:
@@ -209,45 +243,53 @@ def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
 
     under = W.partitionBy("gram")
     posts = _prefixes(texts, frequent, words, percent)
-    shared = posts.withColumn("_n", F.max("doc_id").over(under) > F.min("doc_id").over(under)).where("_n").drop("_n")
-    shared = written(shared.withColumn("comp", F.col("doc_id")))
-    wanted = checkpointed(shared.select("doc_id").distinct())
-    sets = written(_sets(texts.join(broadcast_if_small(wanted), "doc_id", "left_semi"), words).dropDuplicates(["doc_id"]))
+    shared = written(posts.withColumn("_n", F.max("doc_id").over(under) > F.min("doc_id").over(under)).where("_n").drop("_n"))
+    shared = written(_first_of_equal_lists(shared))
+    many = broadcast_if_small(checkpointed(shared.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > MANY).select("gram")))
 
-    links = tried = None
-    found = None
+    def sides(table: DataFrame, *columns: str) -> tuple[DataFrame, DataFrame]:
+        return tuple(table.select("gram", *[F.col(c).alias(f"{c}_{side}") for c in columns]) for side in "ab")
+
+    fits = _could_link(F.col("n_a"), F.col("n_b"), F.col("place_a"), F.col("place_b"), percent)
+    pair = (F.least("doc_id_a", "doc_id_b").alias("a"), F.greatest("doc_id_a", "doc_id_b").alias("b"))
+
+    # Under a gram of few documents all pairs are candidates.
+    a, b = sides(shared.join(many, "gram", "left_anti"), "doc_id", "n", "place")
+    pairs = checkpointed(a.join(b, "gram").where((F.col("doc_id_a") < F.col("doc_id_b")) & fits).select(*pair).distinct())
+    links = checkpointed(verified(pairs, texts, words, percent))
+    found = checkpointed(components(links))
+
+    # Under one of many documents a hub first, then what is still apart, with the suffix filter in the join.
+    crowd = checkpointed(shared.join(many, "gram", "left_semi"))
+    tried = pairs
     for turn in range(hub_rounds + 1):
-        rows, square = shared.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).agg(F.coalesce(F.sum("m"), F.lit(0)), F.coalesce(F.sum(F.col("m") * F.col("m")), F.lit(0))).first()
+        moved = crowd.join(found.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").withColumn("comp", F.coalesce("component", "doc_id")).drop("component")
+        crowd_now = checkpointed(moved.withColumn("_m", F.max("comp").over(under) > F.min("comp").over(under)).where("_m").drop("_m"))
+        rows, square = crowd_now.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).agg(F.coalesce(F.sum("m"), F.lit(0)), F.coalesce(F.sum(F.col("m") * F.col("m")), F.lit(0))).first()
         if not rows:
             break
-        last = turn == hub_rounds or square <= 4 * rows
-        a, b = (shared.select("gram", *[F.col(c).alias(f"{c}_{side}") for c in ("doc_id", "n", "place", "comp")]) for side in "ab")
-        if not last:
-            lead = F.min(F.struct(F.xxhash64("doc_id", F.lit(turn)).alias("h"), "doc_id", "n", "place", "comp"))
-            a = shared.groupBy("gram").agg(lead.alias("hub")).select("gram", *[F.col(f"hub.{c}").alias(f"{c}_a") for c in ("doc_id", "n", "place", "comp")])
-        candidates = a.join(b, "gram").where((F.col("comp_a") != F.col("comp_b")) & _could_link(F.col("n_a"), F.col("n_b"), F.col("place_a"), F.col("place_b"), percent))
+        last = turn == hub_rounds or square <= FEW * rows
+        apart = F.col("comp_a") != F.col("comp_b")
         if last:
-            candidates = candidates.where("doc_id_a < doc_id_b")
-        pairs = candidates.select(F.least("doc_id_a", "doc_id_b").alias("a"), F.greatest("doc_id_a", "doc_id_b").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = checkpointed(pairs)
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        new = checkpointed(verified(pairs, sets, percent))
-        links = new if links is None else links.unionByName(new)
+            wanted = broadcast_if_small(checkpointed(crowd_now.select("doc_id").distinct()))
+            parts = _sets(texts.join(wanted, "doc_id", "left_semi"), words, parts=True).select("doc_id", "parts").dropDuplicates(["doc_id"])
+            a, b = sides(written(crowd_now.join(parts, "doc_id", "left")), "doc_id", "n", "place", "comp", "parts")
+            apart = apart & (F.col("doc_id_a") < F.col("doc_id_b"))
+            candidates = a.join(b, "gram").where(apart & fits & _parts_fit("parts_a", "parts_b", F.col("n_a"), F.col("n_b"), percent))
+        else:
+            a, b = sides(crowd_now, "doc_id", "n", "place", "comp")
+            lead = F.min(F.struct(F.xxhash64("doc_id", F.lit(turn)).alias("h"), "doc_id", "n", "place", "comp"))
+            a = crowd_now.groupBy("gram").agg(lead.alias("hub")).select("gram", *[F.col(f"hub.{c}").alias(f"{c}_a") for c in ("doc_id", "n", "place", "comp")])
+            candidates = a.join(b, "gram").where(apart & fits)
+        pairs = checkpointed(candidates.select(*pair).distinct().join(tried, ["a", "b"], "left_anti"))
+        tried = tried.unionByName(pairs)
+        new = checkpointed(verified(pairs, texts, words, percent))
+        links = links.unionByName(new)
         found = checkpointed(components(links))
         if last:
             break
-        # Grams whose documents are now in one component are done.
-        moved = shared.drop("comp").join(found.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").withColumn("comp", F.coalesce("component", "doc_id")).drop("component")
-        mixed = moved.withColumn("_m", F.max("comp").over(under) > F.min("comp").over(under)).where("_m").drop("_m")
-        shared = written(mixed.select(*shared.columns))
-
-    out = member.join(sizes, "rep", "left")
-    if found is not None:
-        out = out.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    else:
-        out = out.withColumn("component", F.lit(None).cast("long"))
+
+    out = member.join(sizes, "rep", "left").join(found.select(F.col("node").alias("rep"), "component"), "rep", "left")
     return out.select("doc_id", F.coalesce("n_shingles", F.lit(0)).cast("bigint").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
 
 
