@@ -102,7 +102,7 @@ def compare_regions(s, d):
 
 
 def grid_intersections(s, d):
-    counted = n.count_in_cells(view(s, d, "f_grid"), view(s, d, "f_nodes").where("osmid % 3 = 0"), 1000.0)
+    counted = n.count_in_cells(view(s, d, "f_grid"), view(s, d, "f_nodes"), 1000.0)
     area = (F.col("xmax") - F.col("xmin")) * (F.col("ymax") - F.col("ymin"))
     return _rounded(n.with_density(counted, area), 6)
 
@@ -113,7 +113,7 @@ def grid_pop_density(s, d):
 
 
 def region_totals(s, d):
-    counted = n.count_in_cells(view(s, d, "f_grid"), view(s, d, "f_nodes").where("osmid % 3 = 0"), 1000.0)
+    counted = n.count_in_cells(view(s, d, "f_grid"), view(s, d, "f_nodes"), 1000.0)
     inside = sp.boxes_meeting(counted, _region(s), "grid_id", 1000.0)
     totals = inside.agg(F.sum("pop_est").alias("pop_est"), F.sum("intersection_count").alias("intersection_count"))
     return _rounded(n.with_density(totals, F.lit(3470.0 * 3170.0)), 6)

@@ -76,7 +76,7 @@ def covered_self(s, d):
 
 def polygon_overlap(s, d):
     """General overlap area, on rectangles so that SQL can check it."""
-    a, b = (df.withColumn("shape", g.rectangle(*[F.col(c) for c in sp.BOX])) for df in (_osm(s, d).where("osm_id % 5 = 0"), view(s, d, "f_areas")))
+    a, b = (df.withColumn("shape", g.rectangle(*[F.col(c) for c in sp.BOX])) for df in (_osm(s, d), view(s, d, "f_areas")))
     pairs = sp.box_join(a.select("osm_id", *sp.BOX, "shape"), b.select("area_id", *sp.BOX, "shape"), 400.0)
     shared = pairs.withColumn("shared", g.overlap_area(F.col("a_shape"), F.col("b_shape")))
     return shared.where("shared > 0").select(F.col("a_osm_id").alias("osm_id"), F.col("b_area_id").alias("area_id"), F.round("shared", 4).alias("shared"), F.round(g.area(F.col("a_shape")), 4).alias("own"))
@@ -147,7 +147,7 @@ def net_component(s, d):
 
 def net_neighbourhood(s, d):
     nodes = view(s, d, "f_nodes")
-    reached = net.reach(view(s, d, "f_edges"), nodes.where("osmid % 5 = 0"), 300)
+    reached = net.reach(view(s, d, "f_edges"), nodes, 1000)
     cells = nodes.select(F.col("osmid").alias("node"), sp.cell_id(F.col("x"), F.col("y"), 250.0).alias("grid_id"))
     return net.neighbourhood_mean(reached, cells, view(s, d, "f_grid"), ["pop_est"]).select("src", F.round("pop_est", 6).alias("pop_est"))
 
@@ -177,13 +177,13 @@ def net_nearest_poi(s, d):
 
 def net_point_estimates(s, d):
     nodes = view(s, d, "f_nodes").select(F.col("osmid").alias("node"), (500.0 + F.col("osmid") % 900).alias("density")).where("node % 13 <> 0").join(_nearest(s, d), "node", "full")
-    points = pl.with_ids(pl.sample_along(view(s, d, "f_edges").where("ogc_fid % 3 = 0"), 60), ["edge_ogc_fid", "metres"], "point_id")
+    points = pl.with_ids(pl.sample_along(view(s, d, "f_edges")), ["edge_ogc_fid", "metres"], "point_id")
     found = net.point_estimates(points, nodes, ["food", "convenience"], ["density"])
     return found.select("point_id", "food", "convenience", F.round("density", 6).alias("density"))
 
 
 def net_intersections(s, d):
-    found = net.consolidate_intersections(view(s, d, "f_nodes"), view(s, d, "f_edges").where("ogc_fid % 3 <> 0"), 35.0)
+    found = net.consolidate_intersections(view(s, d, "f_nodes"), view(s, d, "f_edges"), 35.0)
     return found.select("component", "members", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
 
 
@@ -192,7 +192,7 @@ def pos_candidates(s, d):
 
 
 def _spaces(s, d):
-    found = pl.candidates(_osm(s, d)).where("osm_id % 3 <> 1")
+    found = pl.candidates(_osm(s, d))
     w, h = F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin")
     found = found.withColumns({"area_ha": w * h / 10000.0, "diameter": F.sqrt((w * w + h * h).cast("double"))})
     return found.withColumn("roundness", w * h / (F.lit(3.141592653589793) * (w * w + h * h) / 4.0))
