@@ -226,6 +226,16 @@ def test_jaccard_family_near_the_threshold(spark, monkeypatch):
     assert got == brute_components(rows)
 
 
+def test_jaccard_equal_blank_texts_stand_alone(spark):
+    texts = [" ", " ", "\n\n", "\n\n", " \t\x0b\x0c\r", " \t\x0b\x0c\r", "", "", None, None, "\xa0", "\xa0", "a b", "a b"]
+    rows = [(i * 2 + 1, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.link_components(df).collect()}
+    assert got == brute_components(rows)
+    kept = jaccard.stage_jaccard(spark, df, "").collect()
+    assert len(kept) == len(rows) - 2
+
+
 # -- 7 sharding ---------------------------------------------------------------
 
 

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from urbanframe.llm.common import broadcast_if_small, checkpointed, documents, written
+from urbanframe.llm.common import SPACE, broadcast_if_small, checkpointed, documents, written
 from urbanframe.operators.graph import components
 
 WORDS = 5
@@ -97,10 +97,10 @@ def _part_sizes(grams: np.ndarray) -> np.ndarray | None:
 
 
 def classes_of_equal_texts(docs: DataFrame) -> DataFrame:
-    """``doc_id, rep``: the smallest id with the same text; null and empty texts stand alone."""
-    keyed = docs.select("doc_id", F.xxhash64("text").alias("h1"), F.crc32(F.col("text").cast("binary")).alias("h2"), F.length("text").alias("h3"))
+    """``doc_id, rep``: the smallest id with the same text; null, empty and blank texts stand alone."""
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("h1"), F.crc32(F.col("text").cast("binary")).alias("h2"), F.length("text").alias("h3"), F.col("text").rlike(f"[^{SPACE}]").alias("full"))
     keyed = checkpointed(keyed.distinct())
-    full = keyed.where("h3 > 0")
+    full = keyed.where("full")
     rep = full.groupBy("h1", "h2", "h3").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     rep = checkpointed(rep)
     # Only classes of several texts need the join; the hot ones arrive combined.
