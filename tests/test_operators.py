@@ -186,3 +186,23 @@ def test_empty_inputs(spark):
     assert network.reach(spark.createDataFrame([], "u long, v long, length long"), spark.createDataFrame([(1,)], "osmid long"), 10).count() == 1
     assert places.with_ids(points, ["x"], "id").count() == 0
     assert readers.load_covariates(spark.createDataFrame([(1,)], "a int"), ["a", "b"], "a = 2").collect()[0].a is None
+
+
+def union_area(boxes, inside=(0, 0, 10**6, 10**6)):
+    """Unit squares under integer boxes."""
+    return len({(x, y) for a, b, c, d in boxes for x in range(max(a, inside[0]), min(c, inside[2])) for y in range(max(b, inside[1]), min(d, inside[3]))})
+
+
+BOXED = "osm_id long, xmin long, ymin long, xmax long, ymax long"
+
+
+def test_overlapping_exclusions_count_once(spark):
+    rng = random.Random(6)
+    box = lambda far, size: (x := rng.randrange(far), y := rng.randrange(far), x + rng.randrange(1, size), y + rng.randrange(1, size))
+    spaces = {i: box(60, 20) for i in range(60)} | {100: (200, 200, 210, 210), 101: (300, 300, 310, 310), 102: (400, 400, 410, 410)}
+    out = [box(60, 15) for _ in range(60)] + [(200, 200, 205, 210)] * 2 + [(200, 200, 205, 209), (300, 300, 306, 310), (304, 290, 310, 320)]
+    df = spark.createDataFrame([(i, *b) for i, b in spaces.items()], BOXED)
+    ex = spark.createDataFrame([(i, *b) for i, b in enumerate(out)], BOXED)
+    want = {i: (b[2] - b[0]) * (b[3] - b[1]) - union_area(out, b) for i, b in spaces.items()}
+    got = {r.osm_id: round(r.area_ha * 10000) for r in places.cut_exclusions(df, ex, "osm_id", 16.0).collect()}
+    assert got == {i: a for i, a in want.items() if a} and got[100] == 50 and 101 not in got

@@ -149,16 +149,38 @@ def candidates(features: DataFrame) -> DataFrame:
     return features.where(reduce(lambda a, b: a | b, open_keys, F.lit(False)) | _among(features, {"landuse": OPEN_LANDUSE}))
 
 
+def covered_strips(boxes: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, _width, _covered``: the strips between neighbouring x edges of a
+    key's boxes, and the height that the boxes cover in each, counted once."""
+    edges = boxes.select(*keys, F.explode(F.array("xmin", "xmax")).alias("_x")).groupBy(*keys).agg(F.array_sort(F.collect_set("_x")).alias("_xs"))
+    spans = F.filter(F.arrays_zip(F.col("_xs").alias("lo"), F.slice("_xs", 2, F.size("_xs")).alias("hi")), lambda e: (e["lo"] >= F.col("xmin")) & (e["hi"] <= F.col("xmax")))
+    rows = boxes.join(edges, keys).select(*keys, F.explode(spans).alias("_e"), F.struct(F.col("ymin").cast("double").alias("lo"), F.col("ymax").cast("double").alias("hi")).alias("_s"))
+    zero = F.struct(F.lit(0.0).alias("sum"), F.lit(None).cast("double").alias("lo"), F.lit(None).cast("double").alias("hi"))
+
+    def join_up(done: Column, s: Column) -> Column:
+        apart = done["hi"].isNull() | (s["lo"] > done["hi"])
+        closed = done["sum"] + F.coalesce(done["hi"] - done["lo"], F.lit(0.0))
+        return F.struct(F.when(apart, closed).otherwise(done["sum"]).alias("sum"), F.when(apart, s["lo"]).otherwise(done["lo"]).alias("lo"), F.when(apart, s["hi"]).otherwise(F.greatest(done["hi"], s["hi"])).alias("hi"))
+
+    length = F.aggregate(F.array_sort("_all"), zero, join_up, lambda done: done["sum"] + F.coalesce(done["hi"] - done["lo"], F.lit(0.0)))
+    strips = rows.groupBy(*keys, "_e").agg(F.collect_set("_s").alias("_all"))
+    return strips.select(*keys, (F.col("_e.hi") - F.col("_e.lo")).cast("double").alias("_width"), length.alias("_covered"))
+
+
 def cut_exclusions(spaces: DataFrame, excluded: DataFrame, key: str, cell: float) -> DataFrame:
     """Open spaces with ``area_ha`` left after exclusions, none left dropping out.
 
-    Exclusions that overlap each other inside a space count twice, so the area
-    is a lower bound there.
+    Places under several exclusions count once. A space drops out only where
+    the exclusions together cover it wholly.
     """
-    own = (F.col("xmax") - F.col("xmin")) * (F.col("ymax") - F.col("ymin"))
-    a, b = ({c: F.col(f"{s}_{c}") for c in BOX} for s in "ab")
-    lost = box_join(spaces, excluded, cell).groupBy(F.col(f"a_{key}").alias(key)).agg(F.sum(box_overlap_area(a, b)).alias("_lost"))
-    return spaces.join(lost, key, "left").withColumn("area_ha", F.greatest(F.lit(0.0), (own - F.coalesce("_lost", F.lit(0))) / 10000.0)).drop("_lost").where("area_ha > 0")
+    clipped = box_join(spaces, excluded, cell).select(F.col(f"a_{key}").alias(key), *[f(f"a_{c}", f"b_{c}").alias(c) for c, f in zip(BOX, (F.greatest, F.greatest, F.least, F.least))])
+    # A line along its lower side gives each space its own strips, so whole cover leaves exactly 0.
+    touched = spaces.join(clipped.select(key).distinct(), key, "left_semi")
+    strips = covered_strips(clipped.unionByName(touched.select(key, "xmin", "ymin", "xmax", F.col("ymin").alias("ymax"))), [key])
+    tall = touched.select(key, (F.col("ymax") - F.col("ymin")).cast("double").alias("_h"))
+    left = strips.join(tall, key).groupBy(key).agg(F.sum(F.col("_width") * (F.col("_h") - F.col("_covered"))).alias("_left"))
+    own = ((F.col("xmax") - F.col("xmin")) * (F.col("ymax") - F.col("ymin"))).cast("double")
+    return spaces.join(left, key, "left").withColumn("area_ha", F.coalesce("_left", own) / 10000.0).drop("_left").where("area_ha > 0")
 
 
 def water_linear(df: DataFrame) -> DataFrame:
