@@ -206,3 +206,31 @@ def test_overlapping_exclusions_count_once(spark):
     want = {i: (b[2] - b[0]) * (b[3] - b[1]) - union_area(out, b) for i, b in spaces.items()}
     got = {r.osm_id: round(r.area_ha * 10000) for r in places.cut_exclusions(df, ex, "osm_id", 16.0).collect()}
     assert got == {i: a for i, a in want.items() if a} and got[100] == 50 and 101 not in got
+
+
+def test_clusters_have_the_area_of_their_union(spark):
+    rng = random.Random(7)
+    rows = []
+    for i in range(90):
+        x, y = rng.randrange(70), rng.randrange(70)
+        rows.append((i, x, y, x + rng.randrange(1, 15), y + rng.randrange(1, 15), i % 3 != 0, i % 3 == 1, i % 4 == 0))
+    rows += [(200 + i, 300, 300, 310, 310, True, False, i < 2) for i in range(5)]
+    df = spark.createDataFrame(rows, BOXED + ", public_access boolean, within_public boolean, water_feature boolean").withColumns({"linear_feature": F.lit(False), "acceptable_linear_feature": F.lit(None).cast("boolean"), "linear_tag": F.lit(None).cast("boolean")})
+    group = {r[0]: r[0] for r in rows}
+
+    def find(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for a in rows:
+        for b in rows:
+            if a[0] < b[0] and a[5] == b[5] and a[1] <= b[3] and b[1] <= a[3] and a[2] <= b[4] and b[2] <= a[4]:
+                low, high = sorted((find(a[0]), find(b[0])))
+                group[high] = low
+    want = {}
+    for root in set(map(find, group)):
+        own = [r for r in rows if find(r[0]) == root]
+        want[root] = (len(own), union_area([r[1:5] for r in own]), *[union_area([r[1:5] for r in own if r[k]]) for k in (5, 7)])
+    got = {r.aos_id: (r.members, *[round(a * 10000) for a in (r.aos_ha, r.aos_ha_public, r.aos_ha_water)]) for r in places.open_space_clusters(df, "osm_id", 16.0).collect()}
+    assert got == want and got[200] == (5, 100, 100, 100)

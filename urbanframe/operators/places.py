@@ -167,6 +167,19 @@ def covered_strips(boxes: DataFrame, keys: list[str]) -> DataFrame:
     return strips.select(*keys, (F.col("_e.hi") - F.col("_e.lo")).cast("double").alias("_width"), length.alias("_covered"))
 
 
+def union_areas(boxes: DataFrame, keys: list[str], cell: float) -> DataFrame:
+    """``keys, area`` of the union of each key's boxes, from the parts in each tile."""
+    side = F.lit(float(cell))
+    tile = lambda c: F.floor(F.col(c) / side).cast("bigint")
+    dealt = boxes.withColumn("_tx", F.explode(F.sequence(tile("xmin"), tile("xmax")))).withColumn("_ty", F.explode(F.sequence(tile("ymin"), tile("ymax"))))
+    low = {"xmin": F.greatest("xmin", F.col("_tx") * side), "ymin": F.greatest("ymin", F.col("_ty") * side)}
+    high = {"xmax": F.least("xmax", (F.col("_tx") + 1) * side), "ymax": F.least("ymax", (F.col("_ty") + 1) * side)}
+    parts = dealt.withColumns(low | high).select(*keys, "_tx", "_ty", *BOX).distinct()
+    strips = covered_strips(parts.where("xmin < xmax AND ymin < ymax"), [*keys, "_tx", "_ty"])
+    found = strips.groupBy(*keys).agg(F.sum(F.col("_width") * F.col("_covered")).alias("area"))
+    return boxes.select(*keys).distinct().join(found, keys, "left").withColumn("area", F.coalesce("area", F.lit(0.0)))
+
+
 def cut_exclusions(spaces: DataFrame, excluded: DataFrame, key: str, cell: float) -> DataFrame:
     """Open spaces with ``area_ha`` left after exclusions, none left dropping out.
 
@@ -241,8 +254,7 @@ def open_space_clusters(df: DataFrame, key: str, cell: float, gap: float = 0.001
 
     Class 1 (public, or inside public; not linear) and class 2 (not public) are
     clustered; class 3 (public linear) and 4 (waterways) stay single. An area is
-    the sum of its members' less their pairwise overlaps, and never less than
-    its largest member's: exact where no three overlap.
+    that of the union of its members' boxes, summed over tiles.
     """
     linear_ok = ~F.col("linear_feature") | F.coalesce("acceptable_linear_feature", F.lit(False))
     kind = (
@@ -251,19 +263,16 @@ def open_space_clusters(df: DataFrame, key: str, cell: float, gap: float = 0.001
         .when(~F.col("public_access") & ~F.col("within_public"), 2)
         .when(F.col("public_access"), 3)
     )
-    classed = checkpointed(df.withColumn("aos_class", kind).where("aos_class IS NOT NULL").withColumn("ha", (F.col("xmax") - F.col("xmin")) * (F.col("ymax") - F.col("ymin")) / 10000.0))
-    slim = classed.where("aos_class <= 2").select(key, *BOX, "aos_class", "public_access", "water_feature")
+    classed = checkpointed(df.withColumn("aos_class", kind).where("aos_class IS NOT NULL"))
+    slim = classed.where("aos_class <= 2").select(key, *BOX, "aos_class")
     near = within_distance(slim, slim, gap, cell).where((F.col(f"a_{key}") < F.col(f"b_{key}")) & (F.col("a_aos_class") == F.col("b_aos_class")))
-    a, b = ({c: F.col(f"{s}_{c}") for c in BOX} for s in "ab")
-    near = checkpointed(near.select(F.col(f"a_{key}").alias("a"), F.col(f"b_{key}").alias("b"), (box_overlap_area(a, b) / 10000.0).alias("shared"), (F.col("a_public_access") & F.col("b_public_access")).alias("public"), (F.col("a_water_feature") & F.col("b_water_feature")).alias("water")))
-    label = checkpointed(components(near, "a", "b"))
-    member = classed.join(label.select(F.col("node").alias(key), "component"), key, "left").withColumn("aos_id", F.coalesce("component", key)).drop("component")
-    part = lambda flag: F.coalesce(F.sum(F.when(F.col(flag), F.col("ha"))), F.lit(0.0))
-    top = lambda flag: F.coalesce(F.max(F.when(F.col(flag), F.col("ha"))), F.lit(0.0))
-    sums = member.groupBy("aos_id").agg(F.min("aos_class").alias("aos_class"), F.count(F.lit(1)).alias("members"), F.sum("ha").alias("s"), F.max("ha").alias("m"), part("public_access").alias("sp"), top("public_access").alias("mp"), part("water_feature").alias("sw"), top("water_feature").alias("mw"))
-    over = near.join(label.select(F.col("node").alias("a"), F.col("component").alias("aos_id")), "a").groupBy("aos_id").agg(F.sum("shared").alias("o"), F.sum(F.when(F.col("public"), F.col("shared"))).alias("op"), F.sum(F.when(F.col("water"), F.col("shared"))).alias("ow"))
-    less = lambda s, o, m: F.greatest(F.col(m), F.col(s) - F.coalesce(o, F.lit(0.0)))
-    out = sums.join(over, "aos_id", "left").select("aos_id", "aos_class", "members", less("s", "o", "m").alias("aos_ha"), less("sp", "op", "mp").alias("aos_ha_public"), less("sw", "ow", "mw").alias("aos_ha_water"))
+    label = checkpointed(components(near.select(F.col(f"a_{key}").alias("a"), F.col(f"b_{key}").alias("b"))))
+    member = checkpointed(classed.join(label.select(F.col("node").alias(key), "component"), key, "left").withColumn("aos_id", F.coalesce("component", key)).drop("component"))
+    sums = member.groupBy("aos_id").agg(F.min("aos_class").alias("aos_class"), F.count(F.lit(1)).alias("members"))
+    parts = F.array(F.lit("aos_ha"), F.when(F.col("public_access"), "aos_ha_public"), F.when(F.col("water_feature"), "aos_ha_water"))
+    boxes = member.select("aos_id", F.explode(F.filter(parts, lambda p: p.isNotNull())).alias("part"), *BOX)
+    areas = union_areas(boxes, ["aos_id", "part"], cell).groupBy("aos_id").agg(*[F.coalesce(F.sum(F.when(F.col("part") == c, F.col("area") / 10000.0)), F.lit(0.0)).alias(c) for c in ("aos_ha", "aos_ha_public", "aos_ha_water")])
+    out = sums.join(areas, "aos_id").select("aos_id", "aos_class", "members", "aos_ha", "aos_ha_public", "aos_ha_water")
     return out.withColumn("water_percent", F.coalesce(F.try_divide(100 * F.col("aos_ha_water"), F.col("aos_ha")), F.lit(0.0)))
 
 
