@@ -11,6 +11,21 @@ from urbanframe.session import broadcast_if_small, checkpointed, written  # noqa
 SPACE = r"\x20\x09-\x0D"
 
 
+#: Rows and bytes of an Arrow batch that a Python worker gets.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes, so that texts of any length fit a worker.
+
+    Spark's own bound is 10,000 rows of whatever size. A setting that the
+    session already has is kept.
+    """
+    for key, value in BATCH.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -17,8 +17,8 @@ from hashlib import md5
 import numpy as np
 
 FRAME = 1024
-#: Frames coded together.
-FRAMES_AT_ONCE = 2048
+#: Frames coded together: what one pass holds is bounded by it (about 75 MB).
+FRAMES_AT_ONCE = 1024
 RATE = 8000
 LPC_ORDER = 4
 LPC_BITS = 12
@@ -374,7 +374,8 @@ def _decode_some(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.nd
                     k[raw] = bits.take(at, raw, 5)
                 next_part[due] = (t // span[due] + 1) * span[due]
             window = bits.window(at[rows])
-            zeros = 32 - np.frexp((window >> np.uint64(32)).astype(np.float64))[1]
+            # Leading zeros of the first 32 bits, from the exponent of their value.
+            zeros = np.minimum(1054 - ((window >> np.uint64(32)).astype(np.float64).view(np.int64) >> 52), 32)
             own_k = k[rows]
             long = np.flatnonzero((zeros + own_k > 54) | (zeros >= 32))
             used = (zeros + 1).astype(np.uint64)

@@ -5,7 +5,7 @@ bytes to a positive multiple of 64) as an 8-bit FLAC stream. ``decode_media``
 reads stored streams back, verifying frame and stream checksums, into PCM
 blocks with the sample they start at and the place of their frame, so a reader
 can seek. ``block_features`` summarises the PCM. Texts are handled in parts of
-bounded size; the frames of a part are coded together.
+bounded size; the frames of a part are coded together. Null ids are kept as they are.
 
 Defined results: null and empty texts store 64 zero bytes; equal texts give
 equal streams and features; a damaged stream fails the job with its reason; an
@@ -21,15 +21,15 @@ from hashlib import sha256
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from urbanframe.llm import flac
-from urbanframe.llm.common import documents
+from urbanframe.llm.common import documents, small_batches
 
 UNIT = 64
 #: Payload bytes coded together.
-PART_BYTES = 2_000_000
+PART_BYTES = 1_000_000
 
 
 def payload(text: str | None) -> bytes:
@@ -48,32 +48,42 @@ def _parts(sizes: list[int]) -> Iterator[slice]:
         yield slice(start, len(sizes))
 
 
+def encode_column(text: str = "text") -> Column:
+    """The FLAC stream of each text's payload."""
+
+    @F.pandas_udf("binary")
+    def stored(texts: pd.Series) -> pd.Series:
+        out: list[bytes] = []
+        own = texts.tolist()
+        for part in _parts([len(t or "") + UNIT for t in own]):
+            out += flac.encode([payload(t) for t in own[part]])
+        return pd.Series(out, dtype=object)
+
+    return stored(F.col(text))
+
+
 def encode_media(docs: DataFrame, text: str = "text") -> DataFrame:
     """``doc_id, n_bytes, media``: the FLAC stream of each text's payload."""
+    small_batches(docs.sparkSession)
+    return docs.select("doc_id", F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint").alias("n_bytes"), encode_column(text).alias("media"))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            texts = frame["text"].tolist()
-            for part in _parts([len(t or "") + UNIT for t in texts]):
-                data = [payload(t) for t in texts[part]]
-                n = [len((t or "").encode("utf-8", "surrogatepass")) for t in texts[part]]
-                yield pd.DataFrame({"doc_id": frame["doc_id"].iloc[part].to_numpy(), "n_bytes": n, "media": flac.encode(data)}).astype({"doc_id": "Int64"})
 
-    return docs.select("doc_id", F.col(text).alias("text")).mapInPandas(run, "doc_id long, n_bytes long, media binary")
+def _read_back(media: pd.Series) -> Iterator[tuple[bytes, list[tuple[int, int, bytes]]]]:
+    """Every stored stream and its PCM blocks, decoded part by part."""
+    streams = [bytes(m) for m in media]
+    for part in _parts(list(map(len, streams))):
+        yield from zip(streams[part], flac.decode(streams[part]))
 
 
 def decode_media(stored: DataFrame) -> DataFrame:
     """Adds ``blocks``: array of ``sample, place, pcm`` of each stored stream."""
+    small_batches(stored.sparkSession)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            media = [bytes(m) for m in frame["media"]]
-            for part in _parts(list(map(len, media))):
-                blocks = [[{"sample": s, "place": p, "pcm": b} for s, p, b in own] for own in flac.decode(media[part])]
-                yield pd.DataFrame({"doc_id": frame["doc_id"].iloc[part].to_numpy(), "n_bytes": frame["n_bytes"].iloc[part].to_numpy(), "media": media[part], "blocks": blocks}).astype({"doc_id": "Int64"})
+    @F.pandas_udf("array<struct<sample: long, place: long, pcm: binary>>")
+    def blocks(media: pd.Series) -> pd.Series:
+        return pd.Series([[{"sample": s, "place": p, "pcm": b} for s, p, b in own] for _, own in _read_back(media)], dtype=object)
 
-    schema = "doc_id long, n_bytes long, media binary, blocks array<struct<sample: long, place: long, pcm: binary>>"
-    return stored.select("doc_id", "n_bytes", "media").mapInPandas(run, schema)
+    return stored.withColumn("blocks", blocks("media"))
 
 
 def block_features(pcm: bytes) -> str:
@@ -85,24 +95,27 @@ def block_features(pcm: bytes) -> str:
     return f"samples={len(x)};mean={x.sum() / len(x):.6f};rms={math.sqrt(int((x * x).sum()) / len(x)):.6f};crossings={crossings};peak={int(np.abs(x).max())}"
 
 
-def media_digests(decoded: DataFrame) -> DataFrame:
-    """Digests and features of decoded streams."""
+def media_digests(stored: DataFrame) -> DataFrame:
+    """Digests and features of stored streams, from the PCM blocks read back out of them.
+
+    Only the numbers leave the worker: where ``stored`` comes straight from
+    ``encode_media``, both steps run in one Python worker, part by part.
+    """
+    small_batches(stored.sparkSession)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = []
-            for doc, n, media, blocks in zip(frame["doc_id"], frame["n_bytes"], frame["media"], frame["blocks"]):
-                media = bytes(media)
-                data = b"".join(bytes(b["pcm"]) for b in blocks)
-                rows.append((doc, n, len(data), sha256(data).hexdigest(), zlib.crc32(data[-UNIT:]), len(media), sha256(media).hexdigest(), block_features(data)))
-            yield pd.DataFrame(rows, columns=COLUMNS).astype({"doc_id": "Int64"})
+    @F.pandas_udf(DIGEST)
+    def digest(media: pd.Series) -> pd.DataFrame:
+        rows = []
+        for stream, blocks in _read_back(media):
+            data = b"".join(pcm for _, _, pcm in blocks)
+            rows.append((len(data), sha256(data).hexdigest(), zlib.crc32(data[-UNIT:]), len(stream), sha256(stream).hexdigest(), block_features(data)))
+        return pd.DataFrame(rows, columns=[c.split()[0] for c in DIGEST.split(", ")])
 
-    return decoded.mapInPandas(run, SCHEMA)
+    return stored.select("doc_id", "n_bytes", digest("media").alias("_d")).select("doc_id", "n_bytes", "_d.*")
 
 
-SCHEMA = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
-COLUMNS = [c.split()[0] for c in SCHEMA.split(", ")]
+DIGEST = "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
 
 def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media_digests(decode_media(encode_media(documents(spark, sf_dir))))
+    return media_digests(encode_media(documents(spark, sf_dir)))
