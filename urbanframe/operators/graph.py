@@ -2,24 +2,69 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from urbanframe.session import checkpointed
 
+#: Links up to which one task joins them all, as their number is checked.
+ONE_TASK = 200_000
+#: Links that a task joins on its own before the distributed rounds, and links in a written part.
+BLOCK = 200_000
+
+
+def _forests(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Links from every node to the smallest node it reaches within a block of links."""
+    above: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (y := above[x]) != x:
+            above[x] = x = above[y]
+        return x
+
+    def stars() -> pd.DataFrame:
+        out = pd.DataFrame([(x, top(x)) for x in above], columns=["u", "v"])
+        above.clear()
+        return out.astype("int64")
+
+    held = 0
+    for frame in frames:
+        for u, v in zip(frame["u"].tolist(), frame["v"].tolist()):
+            above.setdefault(u, u)
+            above.setdefault(v, v)
+            a, b = top(u), top(v)
+            if a != b:
+                above[max(a, b)] = min(a, b)
+        held += len(frame)
+        if held >= BLOCK:
+            yield stars()
+            held = 0
+    if above:
+        yield stars()
+
 
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """``node, component`` for every node of ``edges``; the component is its smallest node.
+def components(edges: DataFrame, a: str = "a", b: str = "b", one_task: int = ONE_TASK) -> DataFrame:
+    """``node, component`` for every node (long) of ``edges``; the component is its smallest node.
 
-    Alternates two local steps until nothing changes: every node hooks its
-    larger neighbours to the smallest node it knows (large star), then hooks
-    itself and its smaller neighbours to that node (small star). Both are a
-    grouped minimum, which combines before the shuffle, and a join back; the
+    Every task first joins its own links, which leaves a star per group. Where
+    there were no more than ``one_task`` links in all, one task does and that is
+    the result. Else two local steps alternate until nothing changes: every node
+    hooks its larger neighbours to the smallest node it knows (large star), then
+    hooks itself and its smaller neighbours to that node (small star). Both are
+    a grouped minimum, which combines before the shuffle, and a join back; the
     number of rounds grows with the logarithm of the longest path. Null ends
     and loops are dropped; an edge table without rows gives no rows.
     """
-    links = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(f"{a} IS NOT NULL AND {b} IS NOT NULL AND u <> v").distinct()
-    links = checkpointed(links)
+    ends = (F.col(a).cast("bigint"), F.col(b).cast("bigint"))
+    links = checkpointed(edges.select(F.greatest(*ends).alias("u"), F.least(*ends).alias("v")).where(ends[0].isNotNull() & ends[1].isNotNull() & (ends[0] != ends[1])))
+    n = links.count()
+    if n <= one_task:
+        return checkpointed(links.coalesce(1).mapInPandas(_forests, "u long, v long").select(F.col("u").alias("node"), F.col("v").alias("component")))
+    links = checkpointed(links.mapInPandas(_forests, "u long, v long").where("u <> v").distinct())
+    parts = max(1, -(-n // BLOCK))
     before = None
     while True:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -28,7 +73,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         down = large.where("u <> v")
         low = down.groupBy("u").agg(F.min("v").alias("m"))
         small = down.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        links = checkpointed(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
+        links = checkpointed(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct().coalesce(parts))
         # The sum of a hash of all links is the same only when no link changed.
         state = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
@@ -36,5 +81,4 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         before = state
     roots = links.select(F.col("v").alias("node")).distinct()
     found = links.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    found = found.unionByName(roots.join(found, "node", "left_anti").withColumn("component", F.col("node")))
-    return found
+    return found.unionByName(roots.join(found, "node", "left_anti").withColumn("component", F.col("node")))
