@@ -202,17 +202,17 @@ def brute_components(rows):
     return {k: (len(sets[k]), find(k)) for k in sets}
 
 
-@pytest.mark.parametrize("few,many", [(64, 32), (0, 0)])
-def test_jaccard(docs, rows, nothing, monkeypatch, few, many):
-    monkeypatch.setattr(jaccard, "FEW", few)
+@pytest.mark.parametrize("many,hot", [(64, 512), (0, 2)])
+def test_jaccard(docs, rows, nothing, monkeypatch, many, hot):
     monkeypatch.setattr(jaccard, "MANY", many)
+    monkeypatch.setattr(jaccard, "HOT", hot)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.link_components(docs, hub_rounds=2).collect()}
     assert got == brute_components(rows)
     assert jaccard.link_components(nothing).count() == 0
 
 
-def test_jaccard_family_near_the_threshold(spark, monkeypatch):
-    monkeypatch.setattr(jaccard, "FEW", 0)
+@pytest.mark.parametrize("rounds", [0, 1, 3])
+def test_jaccard_family_near_the_threshold(spark, monkeypatch, rounds):
     monkeypatch.setattr(jaccard, "MANY", 3)
     base = [f"w{i}" for i in range(150)]
     rows = []
@@ -222,10 +222,23 @@ def test_jaccard_family_near_the_threshold(spark, monkeypatch):
             words[RNG.randrange(150)] = f"x{RNG.randrange(10**6)}"
         rows.append((i, " ".join(words)))
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.link_components(df, hub_rounds=1).collect()}
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.link_components(df, hub_rounds=rounds).collect()}
     assert got == brute_components(rows)
 
 
+def test_jaccard_repeated_rows_null_ids_and_one_id_with_two_texts(spark):
+    base = [f"w{i}" for i in range(60)]
+    near, far = " ".join([*base[:-1], "other"]), " ".join(f"z{i}" for i in range(30))
+    rows = [(7, " ".join(base)), (7, " ".join(base)), (7, far), (9, near), (None, near), (None, far + " end"), (None, None), (3, far + " more"), (None, "alone here"), (None, "alone here")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.link_components(df).collect()), key=str)
+    want = [(7, 56, 7)] * 2 + [(7, 26, 3), (9, 56, 7), (None, 56, 7), (None, 27, 3), (None, 0, None), (3, 27, 3)] + [(None, 1, None)] * 2
+    assert got == sorted(want, key=str)
+    kept = jaccard.stage_jaccard(spark, df.withColumn("_key", F.lit("mine")), "")
+    assert kept.columns == ["doc_id", "text", "_key"]
+    assert sorted((r.text or "" for r in kept.collect())) == sorted([" ".join(base), far + " more", "", "alone here"])
+
+
 def test_jaccard_equal_blank_texts_stand_alone(spark):
     texts = [" ", " ", "\n\n", "\n\n", " \t\x0b\x0c\r", " \t\x0b\x0c\r", "", "", None, None, "\xa0", "\xa0", "a b", "a b"]
     rows = [(i * 2 + 1, t) for i, t in enumerate(texts)]

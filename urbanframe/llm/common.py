@@ -34,6 +34,35 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def fresh(name: str, *frames: DataFrame) -> str:
+    """``name``, with as many underscores before it as keep it apart from the frames' columns."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def keyed(docs: DataFrame, key: str = "_key") -> tuple[DataFrame, DataFrame | None]:
+    """``docs`` plus a long ``key`` that tells its documents apart, in the order of ``doc_id``.
+
+    Rows with the same id and text share a key; null ids come last. Where ids
+    are unique and not null, the usual case, the key is the id and the second
+    result is None. Else keys are numbers given to the distinct pairs of id and
+    text hash (ordered by id, then hash), and the second result, ``key,
+    doc_id``, leads back.
+    """
+    ids = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR doc_id IS NULL")
+    if not ids.head(1):
+        return docs.withColumn(key, F.col("doc_id").cast("bigint")), None
+    mark, doc, text_hash, number = (fresh(c, docs) for c in ("_mark", "_doc", "_hash", "_number"))
+    marked = docs.withColumn(mark, F.coalesce(F.xxhash64("text"), F.lit(0)))
+    pairs = marked.select(F.col("doc_id").alias(doc), F.col(mark).alias(text_hash)).distinct()
+    names = checkpointed(pairs.orderBy(F.col(doc).asc_nulls_last(), text_hash).withColumn(number, F.monotonically_increasing_id()))
+    same = F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(mark) == F.col(text_hash))
+    found = marked.join(broadcast_if_small(names), same).withColumn(key, F.col(number)).select(*docs.columns, key)
+    return found, names.select(F.col(number).alias(key), F.col(doc).alias("doc_id"))
+
+
 def id_text(column: str | Column = "doc_id") -> Column:
     """Decimal text of an id; a null id reads as the empty text."""
     column = F.col(column) if isinstance(column, str) else column

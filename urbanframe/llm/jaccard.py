@@ -3,86 +3,59 @@
 Texts become sets of hashed word n-grams. Two sets can only reach the threshold
 if they share a gram among the first ``n - ceil(t n) + 1`` of each in one global
 order. The order puts frequent grams last, so shared boilerplate seldom makes
-candidates. Candidates pass a length filter, a positional filter and a suffix
-filter (sizes of the parts that fixed pivots cut the sets into bound the
-overlap) before their sets are fetched and compared, once per pair.
+candidates. Of the first gram that a pair shares, the smaller set must hold it
+among the first ninth (at ``t`` = 0.8) of its own, so a gram that no set has so
+early joins nothing. Candidates pass a length filter, a positional filter and a
+suffix filter (sizes of the parts that fixed pivots cut the sets into bound the
+overlap) before their sets are compared, once per pair.
 
 The result is components of linked documents. No group is expanded into all its
-pairs: equal texts are one class from the start, and of grams with equal lists
-of documents only the first counts. Under a gram of many documents these are
-compared, in rounds, with one of them (the hub); links are merged into
-components, and grams whose documents are all in one component are done. What
-is left at the end, documents of different components under a shared prefix
-gram, is compared pair by pair, so no link is missed.
+pairs: equal texts are one class from the start. Under a gram of many documents
+these are first compared, in ``hub_rounds`` rounds, with one of them (the hub),
+links are merged into components, and grams whose documents are all in one
+component are done. What is then left under a crowded gram, documents of
+different components, is joined by gram and size range, so no link is missed.
+Grams known to be very frequent are dealt out by gram and document; their
+joins' skewed parts are split by AQE.
 
 Frequencies come from all documents: every task counts the grams of blocks of
-about a million; those seen twice in a block are summed over all blocks. The
-most frequent are broadcast (``FREQUENT`` rows at most); the list only fixes the
-order, which may be any for the result to be exact.
+about two million; those seen twice in a block are summed over all blocks. The
+most frequent are broadcast (``FREQUENT`` at most, 12 bytes each); the list only
+fixes the order, which may be any for the result to be exact.
 
 Defined results: null, empty and blank texts have no grams and link with
 nothing; with fewer words than ``n`` the whole sequence is the one gram; equal
-texts always link; an id is taken to name one text (rows that repeat both count
-as one); an empty table gives no rows; other columns are ignored.
+texts always link; every row is returned, repeated rows with equal values; rows
+with one id and different texts are different documents; null ids are ordered
+last, so they name a component only where all its ids are null; an empty table
+gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from urbanframe.llm.common import SPACE, broadcast_if_small, checkpointed, documents, written
+from urbanframe.llm.common import SPACE, broadcast_if_small, checkpointed, documents, fresh, keyed, small_batches, written
+from urbanframe.llm.shingles import gram_sets
 from urbanframe.operators.graph import components
 
 WORDS = 5
 PERCENT = 80
-FREQUENT = 100_000
-BLOCK_GRAMS = 1_000_000
-CACHE_WORDS = 200_000
+FREQUENT = 1_000_000
+BLOCK_GRAMS = 2_000_000
 PARTS = 128
-#: Documents under a gram, on average over postings, up to which they are compared directly.
-FEW = 64
-#: Documents under a gram from which the suffix filter is part of the join.
-MANY = 16
-
-_STEP = np.random.default_rng(11).integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
-
-
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
-
-
-class Shingler:
-    """Sets of hashed word n-grams, with a bounded cache of word hashes."""
-
-    def __init__(self, words: int = WORDS):
-        self.words = words
-        self.known: dict[bytes, int] = {}
-
-    def __call__(self, text: str | None) -> np.ndarray:
-        """Sorted distinct 64-bit gram hashes (int64) of one whole text."""
-        tokens = (text or "").encode("utf-8", "surrogatepass").lower().split()
-        if not tokens:
-            return np.zeros(0, np.int64)
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        known = self.known
-        for w in set(tokens).difference(known):
-            known[w] = int.from_bytes(blake2b(w, digest_size=8).digest(), "little")
-        h = np.fromiter(map(known.__getitem__, tokens), np.uint64, len(tokens))
-        n = min(self.words, len(h))
-        total = np.full(len(h) - n + 1, n, np.uint64)
-        for i in range(n):
-            total += h[i : len(h) - n + 1 + i] * _STEP[i]
-        return np.unique(_mixed(total).view(np.int64))
+#: Documents under a gram beyond which a hub is compared first.
+MANY = 64
+#: Counted documents of a gram from which its postings are dealt out by document as well.
+HOT = 512
+#: Bits of the table that most rare grams are ruled out by.
+SIFT = 22
 
 
 def needed(n, percent: int = PERCENT):
@@ -97,200 +70,252 @@ def _part_sizes(grams: np.ndarray) -> np.ndarray | None:
 
 
 def classes_of_equal_texts(docs: DataFrame) -> DataFrame:
-    """``doc_id, rep``: the smallest id with the same text; null, empty and blank texts stand alone."""
-    keyed = docs.select("doc_id", F.xxhash64("text").alias("h1"), F.crc32(F.col("text").cast("binary")).alias("h2"), F.length("text").alias("h3"), F.col("text").rlike(f"[^{SPACE}]").alias("full"))
-    keyed = checkpointed(keyed.distinct())
-    full = keyed.where("full")
-    rep = full.groupBy("h1", "h2", "h3").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    rep = checkpointed(rep)
+    """``_key, rep``: the smallest key with the same text; null, empty and blank texts are left out."""
+    hashes = (F.xxhash64("text").alias("h1"), F.crc32(F.col("text").cast("binary")).alias("h2"), F.length("text").alias("h3"))
+    full = checkpointed(docs.where(F.col("text").rlike(f"[^{SPACE}]")).select("_key", *hashes).distinct())
+    rep = full.groupBy("h1", "h2", "h3").agg(F.min("_key").alias("rep"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     # Only classes of several texts need the join; the hot ones arrive combined.
-    found = keyed.join(broadcast_if_small(rep), ["h1", "h2", "h3"], "left")
-    return checkpointed(found.select("doc_id", F.coalesce("rep", "doc_id").alias("rep")))
+    found = full.join(broadcast_if_small(checkpointed(rep)), ["h1", "h2", "h3"], "left")
+    return checkpointed(found.select("_key", F.coalesce("rep", "_key").alias("rep")))
 
 
 def _gram_counts(texts: DataFrame, words: int) -> DataFrame:
-    """``doc_id, n`` of every text, and ``gram, n`` of grams that a block of texts repeats."""
+    """``_key, n`` of every text, and ``gram, n`` of grams that a block of texts repeats."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingle = Shingler(words)
         held: list[np.ndarray] = []
         total = 0
 
         def repeated() -> pd.DataFrame:
-            gram, n = np.unique(np.concatenate(held), return_counts=True)
+            grams = np.sort(np.concatenate(held))
             held.clear()
-            return pd.DataFrame({"doc_id": None, "gram": gram[n > 1], "n": n[n > 1]}).astype({"doc_id": "Int64"})
+            first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
+            n = np.diff(np.append(first, len(grams)))
+            return pd.DataFrame({"_key": None, "gram": grams[first][n > 1], "n": n[n > 1]}).astype({"_key": "Int64"})
 
         for frame in frames:
             sizes = []
-            for text in frame["text"]:
-                grams = shingle(text)
+            for grams in gram_sets(frame["text"].tolist(), words):
                 held.append(grams)
                 sizes.append(len(grams))
                 total += len(grams)
                 if total > BLOCK_GRAMS:
                     yield repeated()
                     total = 0
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "gram": None, "n": sizes}).astype({"gram": "Int64"})
-        if held:
+            yield pd.DataFrame({"_key": frame["_key"], "gram": None, "n": sizes}).astype({"gram": "Int64"})
+        if total:
             yield repeated()
 
-    return texts.select("doc_id", "text").mapInPandas(run, "doc_id long, gram long, n long")
+    return texts.select("_key", "text").mapInPandas(run, "_key long, gram long, n long")
+
+
+def _most_frequent(counted: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted grams and their counts: as many of the most frequent as ``most`` allows.
+
+    The least count to keep comes from a histogram of counts, so nothing is sorted.
+    """
+    totals = written(counted.where("gram IS NOT NULL").groupBy("gram").agg(F.least(F.sum("n"), F.lit(2**30)).cast("int").alias("n")))
+    held, least = 0, None
+    for r in totals.groupBy(F.least("n", F.lit(10_000)).alias("n")).count().orderBy(F.desc("n")).collect():
+        held += r["count"]
+        if held > most:
+            break
+        least = r["n"]
+    if least is None:
+        return np.zeros(0, np.int64), np.zeros(0, np.int32)
+    often = totals.where(F.col("n") >= least).toPandas().sort_values("gram")
+    return often["gram"].to_numpy(np.int64), often["n"].to_numpy(np.int32)
+
+
+def _sift(grams: np.ndarray) -> np.ndarray:
+    """Table of the leading bits that any of ``grams`` has."""
+    table = np.zeros(1 << SIFT, bool)
+    table[grams.view(np.uint64) >> np.uint64(64 - SIFT)] = True
+    return table
 
 
 def _prefixes(texts: DataFrame, frequent, words: int, percent: int) -> DataFrame:
-    """``gram, doc_id, n, place``: the rare-first prefix of every text's set."""
+    """``gram, _key, n, place, hot``: the rare-first prefix of every text's set."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingle = Shingler(words)
         known, count = frequent.value
+        sift = _sift(known)
         for frame in frames:
-            for start in range(0, len(frame), 500):
-                part = frame.iloc[start : start + 500]
-                out = []
-                for doc, text in zip(part["doc_id"].tolist(), part["text"]):
-                    grams = shingle(text)
-                    n = len(grams)
-                    if not n:
-                        continue
-                    if len(known):
-                        at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
-                        often = np.where(known[at] == grams, count[at], 0)
-                        grams = grams[np.lexsort((grams, often))]
-                    grams = grams[: n - needed(n, percent) + 1]
-                    out.append((grams, np.full(len(grams), doc), np.full(len(grams), n), np.arange(len(grams))))
-                if out:
-                    gram, doc, n, place = (np.concatenate(x) for x in zip(*out))
-                    yield pd.DataFrame({"gram": gram, "doc_id": doc, "n": n.astype(np.int32), "place": place.astype(np.int32)})
-
-    return texts.select("doc_id", "text").where("doc_id IS NOT NULL").mapInPandas(run, "gram long, doc_id long, n int, place int")
-
-
-def _sets(texts: DataFrame, words: int, grams: bool = False, parts: bool = False) -> DataFrame:
-    """``doc_id, n`` and whole sets (``grams``) and the sizes of their parts (``parts``), as asked for."""
+            out = []
+            for key, grams in zip(frame["_key"].tolist(), gram_sets(frame["text"].tolist(), words)):
+                n = len(grams)
+                if not n:
+                    continue
+                k = n - needed(n, percent) + 1
+                maybe = np.flatnonzero(sift[grams.view(np.uint64) >> np.uint64(64 - SIFT)])
+                hot = np.zeros(k, bool)
+                if len(maybe):
+                    at = np.minimum(np.searchsorted(known, grams[maybe]), len(known) - 1)
+                    found = known[at] == grams[maybe]
+                    maybe, often = maybe[found], count[at[found]]
+                    rare = np.delete(grams, maybe)
+                    if len(rare) < k:
+                        last = np.lexsort((grams[maybe], often))[: k - len(rare)]
+                        hot[len(rare) :] = often[last] >= HOT
+                        rare = np.concatenate([rare, grams[maybe[last]]])
+                    grams = rare
+                out.append((grams[:k], np.full(k, key), np.full(k, n, np.int32), np.arange(k, dtype=np.int32), hot))
+            if out:
+                yield pd.DataFrame(dict(zip(("gram", "_key", "n", "place", "hot"), (np.concatenate(x) for x in zip(*out)))))
+
+    return texts.select("_key", "text").mapInPandas(run, "gram long, _key long, n int, place int, hot boolean")
+
+
+def _sets(texts: DataFrame, words: int) -> DataFrame:
+    """``_key, n, grams, parts``: whole sets and the sizes of their parts."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingle = Shingler(words)
         for frame in frames:
-            for start in range(0, len(frame), 500):
-                part = frame.iloc[start : start + 500]
-                own = [shingle(t) for t in part["text"]]
-                out = pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "n": np.array([len(g) for g in own], np.int32)})
-                if grams:
-                    out["grams"] = own
-                if parts:
-                    out["parts"] = [_part_sizes(g) for g in own]
-                yield out
+            for start in range(0, len(frame), 250):
+                part = frame.iloc[start : start + 250]
+                own = list(gram_sets(part["text"].tolist(), words))
+                yield pd.DataFrame({"_key": part["_key"].to_numpy(), "n": np.array([len(g) for g in own], np.int32), "grams": own, "parts": [_part_sizes(g) for g in own]})
 
-    schema = "doc_id long, n int" + ", grams array<long>" * grams + ", parts array<short>" * parts
-    return texts.select("doc_id", "text").mapInPandas(run, schema)
+    return texts.select("_key", "text").mapInPandas(run, "_key long, n int, grams array<long>, parts array<short>")
 
 
-def _could_link(n_a, n_b, place_a, place_b, percent: int):
-    """Length and positional filter: at most this gram and what stands behind it is shared."""
-    low, high = F.least(n_a, n_b), F.greatest(n_a, n_b)
-    rest = 1 + F.least(n_a - place_a - 1, n_b - place_b - 1)
-    return (100 * low >= percent * high) & (rest * (100 + percent) >= percent * (n_a + n_b))
+def _early(percent: int) -> Column:
+    """Whether a posting stands early enough for its set to be the smaller one of a pair."""
+    return (F.col("n") - F.col("place")) * (100 + percent) >= 2 * percent * F.col("n")
 
 
-def _first_of_equal_lists(shared: DataFrame) -> DataFrame:
-    """Postings of one gram, the first in the global order, of those with equal lists of documents.
+def _shared_postings(posts: DataFrame, percent: int) -> DataFrame:
+    """Postings of grams that several texts hold, one of them early; plus ``m``, the documents under the gram.
 
-    A passage puts the same documents under each of its grams. The first gram
-    that two documents share is always the first of its equals, so no pair is
-    lost, and its places are those that the positional filter needs.
+    A hot gram's postings are dealt out by document too, and always kept.
     """
-    lists = shared.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("doc_id")).alias("x"), F.sum(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2**31))).alias("y"), F.sum("place").alias("p"))
-    first = lists.groupBy("m", "x", "y").agg(F.min(F.struct("p", "gram")).alias("f")).select("f.gram")
-    return shared.join(first, "gram", "left_semi")
+    deal = F.when(F.col("hot"), F.pmod(F.xxhash64("_key"), F.lit(4096))).otherwise(0)
+    under = W.partitionBy("gram", "deal")
+    early = F.max(_early(percent)).over(under)
+    kept = posts.withColumn("deal", deal).withColumns({"m": F.count(F.lit(1)).over(under), "early": early})
+    return kept.where("hot OR (m > 1 AND early)").select("gram", "_key", "n", "place", F.when(F.col("hot"), 2**30).otherwise(F.col("m")).cast("int").alias("m"))
+
 
+def _sides(small: DataFrame, large: DataFrame, by: list[str], percent: int, *more: str) -> DataFrame:
+    """Pairs of postings under a gram that pass the length and the positional filter.
 
-def _parts_fit(a: str, b: str, n_a, n_b, percent: int):
+    Side ``a`` is the smaller set (of equal ones, the one with the smaller key).
+    At most the gram and what stands behind it is shared.
+    """
+    a, b = (df.select(*by, *[F.col(c).alias(f"{c}_{side}") for c in ("_key", "n", "place", *more)]) for df, side in ((small.where(_early(percent)), "a"), (large, "b")))
+    rest = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+    return a.join(b, by).where(
+        ((F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("_key_a") < F.col("_key_b"))))
+        & (100 * F.col("n_a") >= percent * F.col("n_b"))
+        & (rest * (100 + percent) >= percent * (F.col("n_a") + F.col("n_b")))
+    )
+
+
+def _parts_fit(a: str, b: str, n_a, n_b, percent: int) -> Column:
     """Suffix filter: the summed smaller sizes of two sets' parts bound their overlap."""
     bound = F.aggregate(F.zip_with(a, b, lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
     return F.coalesce(bound * (100 + percent) >= percent * (n_a + n_b), F.lit(True))
 
 
-def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` whose sets reach the threshold.
 
-    Sets are made only of the texts that stand in a pair. The suffix filter goes
-    first, on the short part sizes, so only likely pairs carry whole sets.
+    The suffix filter goes first, on the short part sizes, so only likely pairs
+    carry whole sets.
     """
-    wanted = checkpointed(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct())
-    sets = written(_sets(texts.join(broadcast_if_small(wanted), "doc_id", "left_semi"), words, grams=True, parts=True))
 
     def joined(left: DataFrame, side: str, *columns: str) -> DataFrame:
-        return left.join(sets.select(F.col("doc_id").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
+        return left.join(sets.select(F.col("_key").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
 
     near = joined(joined(pairs, "b", "parts", "n"), "a", "parts", "n").where(_parts_fit("parts_a", "parts_b", F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
     shared = F.size(F.array_intersect("grams_a", "grams_b"))
     enough = shared * (100 + percent) >= percent * (F.size("grams_a") + F.size("grams_b"))
-    return joined(joined(near, "b", "grams"), "a", "grams").where(enough).select("a", "b").distinct()
+    return joined(joined(checkpointed(near), "b", "grams"), "a", "grams").where(enough).select("a", "b")
 
 
-def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, frequent_rows: int = FREQUENT, hub_rounds: int = 5) -> DataFrame:
-    """``doc_id, n_shingles, component_id``: the smallest id that links reach from each document."""
+def _crowd(postings: DataFrame, found: DataFrame | None) -> DataFrame:
+    """Postings of crowded grams with their component, of grams with several components."""
+    if found is None:
+        return postings.withColumn("comp", F.col("_key"))
+    named = postings.join(found.select(F.col("node").alias("_key"), "component"), "_key", "left").withColumn("comp", F.coalesce("component", "_key")).drop("component")
+    open_ = named.groupBy("gram").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("gram")
+    return checkpointed(named.join(open_, "gram", "left_semi"))
+
+
+def _hub_pairs(crowd: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Each gram's hub, picked by a hash, with its other documents."""
+    columns = ("_key", "n", "place", "comp")
+    lead = F.min(F.struct(F.xxhash64("_key", F.lit(turn)).alias("h"), *columns)).alias("hub")
+    hubs = broadcast_if_small(checkpointed(crowd.groupBy("gram").agg(lead).select("gram", *[F.col(f"hub.{c}").alias(c) for c in columns])))
+    smaller, larger = _sides(hubs, crowd, ["gram"], percent, "comp"), _sides(crowd, hubs, ["gram"], percent, "comp")
+    return smaller.unionByName(larger).where("comp_a <> comp_b").select(F.col("_key_a").alias("a"), F.col("_key_b").alias("b"))
+
+
+def _crowd_pairs(crowd: DataFrame, percent: int) -> DataFrame:
+    """All candidates of different components under crowded grams, joined by gram and size range."""
+    step = F.floor(F.log("n") / float(np.log(100 / percent)) + 1e-9).cast("int")
+    small = crowd.withColumn("range", step)
+    large = crowd.withColumn("range", F.explode(F.array(step, step - 1)))
+    return _sides(small, large, ["gram", "range"], percent, "comp").where("comp_a <> comp_b").select(F.col("_key_a").alias("a"), F.col("_key_b").alias("b"))
+
+
+def _blank() -> Column:
+    return ~F.coalesce(F.col("text").rlike(f"[^{SPACE}]"), F.lit(False))
+
+
+def key_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, frequent: int = FREQUENT, hub_rounds: int = 2) -> DataFrame:
+    """``_key, n_shingles, component`` of every text of ``_key, text`` that is not blank."""
     spark = docs.sparkSession
+    small_batches(spark)
     member = classes_of_equal_texts(docs)
-    spare = checkpointed(member.where("doc_id <> rep").select("doc_id"))
-    texts = docs.select("doc_id", "text").join(broadcast_if_small(spare), "doc_id", "left_anti")
+    spare = checkpointed(member.where("_key <> rep").select("_key"))
+    texts = docs.where(~_blank()).join(broadcast_if_small(spare, 2_000_000), "_key", "left_anti")
 
     counted = written(_gram_counts(texts, words))
-    sizes = counted.where("gram IS NULL").groupBy(F.col("doc_id").alias("rep")).agg(F.max("n").alias("n_shingles"))
-    often = counted.where("gram IS NOT NULL").groupBy("gram").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "gram").limit(frequent_rows).toPandas().sort_values("gram")
-    frequent = spark.sparkContext.broadcast((often["gram"].to_numpy(np.int64), often["n"].to_numpy(np.int64)))
-
-    under = W.partitionBy("gram")
-    posts = _prefixes(texts, frequent, words, percent)
-    shared = written(posts.withColumn("_n", F.max("doc_id").over(under) > F.min("doc_id").over(under)).where("_n").drop("_n"))
-    shared = written(_first_of_equal_lists(shared))
-    many = broadcast_if_small(checkpointed(shared.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > MANY).select("gram")))
-
-    def sides(table: DataFrame, *columns: str) -> tuple[DataFrame, DataFrame]:
-        return tuple(table.select("gram", *[F.col(c).alias(f"{c}_{side}") for c in columns]) for side in "ab")
-
-    fits = _could_link(F.col("n_a"), F.col("n_b"), F.col("place_a"), F.col("place_b"), percent)
-    pair = (F.least("doc_id_a", "doc_id_b").alias("a"), F.greatest("doc_id_a", "doc_id_b").alias("b"))
-
-    # Under a gram of few documents all pairs are candidates.
-    a, b = sides(shared.join(many, "gram", "left_anti"), "doc_id", "n", "place")
-    pairs = checkpointed(a.join(b, "gram").where((F.col("doc_id_a") < F.col("doc_id_b")) & fits).select(*pair).distinct())
-    links = checkpointed(verified(pairs, texts, words, percent))
-    found = checkpointed(components(links))
-
-    # Under one of many documents a hub first, then what is still apart, with the suffix filter in the join.
-    crowd = checkpointed(shared.join(many, "gram", "left_semi"))
-    tried = pairs
+    sizes = counted.where("gram IS NULL").select(F.col("_key").alias("rep"), F.col("n").alias("n_shingles"))
+    order = spark.sparkContext.broadcast(_most_frequent(counted, frequent))
+    shared = written(_shared_postings(_prefixes(texts, order, words, percent), percent))
+
+    few, many = shared.where(F.col("m") <= MANY), shared.where(F.col("m") > MANY)
+    pairs = checkpointed(_sides(few, few, ["gram"], percent).select(F.col("_key_a").alias("a"), F.col("_key_b").alias("b")).distinct())
+    wanted = pairs.select(F.col("a").alias("_key")).unionByName(pairs.select(F.col("b").alias("_key"))).unionByName(many.select("_key")).distinct()
+    sets = written(_sets(texts.join(broadcast_if_small(checkpointed(wanted), 2_000_000), "_key", "left_semi"), words))
+
+    links, found, tried = None, None, None
     for turn in range(hub_rounds + 1):
-        moved = crowd.join(found.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").withColumn("comp", F.coalesce("component", "doc_id")).drop("component")
-        crowd_now = checkpointed(moved.withColumn("_m", F.max("comp").over(under) > F.min("comp").over(under)).where("_m").drop("_m"))
-        rows, square = crowd_now.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).agg(F.coalesce(F.sum("m"), F.lit(0)), F.coalesce(F.sum(F.col("m") * F.col("m")), F.lit(0))).first()
-        if not rows:
-            break
-        last = turn == hub_rounds or square <= FEW * rows
-        apart = F.col("comp_a") != F.col("comp_b")
-        if last:
-            wanted = broadcast_if_small(checkpointed(crowd_now.select("doc_id").distinct()))
-            parts = _sets(texts.join(wanted, "doc_id", "left_semi"), words, parts=True).select("doc_id", "parts").dropDuplicates(["doc_id"])
-            a, b = sides(written(crowd_now.join(parts, "doc_id", "left")), "doc_id", "n", "place", "comp", "parts")
-            apart = apart & (F.col("doc_id_a") < F.col("doc_id_b"))
-            candidates = a.join(b, "gram").where(apart & fits & _parts_fit("parts_a", "parts_b", F.col("n_a"), F.col("n_b"), percent))
+        crowd = _crowd(many, found)
+        if turn == hub_rounds:
+            pairs = _crowd_pairs(crowd, percent).distinct() if turn else pairs.unionByName(_crowd_pairs(crowd, percent)).distinct()
+        elif turn == 0:
+            pairs = pairs.unionByName(_hub_pairs(crowd, turn, percent)).distinct()
         else:
-            a, b = sides(crowd_now, "doc_id", "n", "place", "comp")
-            lead = F.min(F.struct(F.xxhash64("doc_id", F.lit(turn)).alias("h"), "doc_id", "n", "place", "comp"))
-            a = crowd_now.groupBy("gram").agg(lead.alias("hub")).select("gram", *[F.col(f"hub.{c}").alias(f"{c}_a") for c in ("doc_id", "n", "place", "comp")])
-            candidates = a.join(b, "gram").where(apart & fits)
-        pairs = checkpointed(candidates.select(*pair).distinct().join(tried, ["a", "b"], "left_anti"))
-        tried = tried.unionByName(pairs)
-        new = checkpointed(verified(pairs, texts, words, percent))
-        links = links.unionByName(new)
-        found = checkpointed(components(links))
-        if last:
-            break
+            pairs = _hub_pairs(crowd, turn, percent).distinct()
+        pairs = checkpointed(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        new = checkpointed(verified(pairs, sets, percent))
+        links = new if links is None else links.unionByName(new)
+        found = components(links)
+
+    out = member.join(sizes, "rep").join(found.select(F.col("node").alias("rep"), "component"), "rep", "left")
+    return out.select("_key", "n_shingles", F.coalesce("component", "rep").alias("component"))
 
-    out = member.join(sizes, "rep", "left").join(found.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    return out.select("doc_id", F.coalesce("n_shingles", F.lit(0)).cast("bigint").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
+
+def link_components(docs: DataFrame, **how) -> DataFrame:
+    """``doc_id, n_shingles, component_id``: the smallest id that links reach from each document."""
+    docs, names = keyed(docs.select("doc_id", "text"))
+    found = key_components(_one_of_each(docs.select("_key", "text"), names), **how)
+    out = docs.select("doc_id", "_key").join(found, "_key", "left").withColumn("component", F.coalesce("component", "_key"))
+    if names is None:
+        out = out.withColumn("component_id", F.col("component"))
+    else:
+        names = names.select(F.col("_key").alias("component"), F.col("doc_id").alias("component_id"))
+        out = out.join(broadcast_if_small(names), "component")
+    return out.select("doc_id", F.coalesce("n_shingles", F.lit(0)).cast("bigint").alias("n_shingles"), "component_id")
+
+
+def _one_of_each(docs: DataFrame, names: DataFrame | None) -> DataFrame:
+    """One row of each key, where keys may repeat at all."""
+    return docs if names is None else docs.dropDuplicates(["_key"])
 
 
 def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -298,7 +323,15 @@ def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component, the one with the smallest id."""
-    found = link_components(docs)
-    gone = checkpointed(found.where("doc_id <> component_id").select("doc_id"))
-    return docs.join(broadcast_if_small(gone), "doc_id", "left_anti").select(*docs.columns)
+    """One document of each component, the first by id; of repeated rows one stays.
+
+    Blank texts link with nothing, so all of their rows stay.
+    """
+    key = fresh("_key", docs)
+    own, names = keyed(docs, key)
+    found = key_components(_one_of_each(own.select(F.col(key).alias("_key"), "text"), names))
+    gone = checkpointed(found.where("_key <> component").select(F.col("_key").alias(key)))
+    kept = own.join(broadcast_if_small(gone, 2_000_000), key, "left_anti")
+    if names is not None:
+        kept = kept.where(_blank()).unionByName(kept.where(~_blank()).dropDuplicates([key]))
+    return kept.select(*docs.columns)
