@@ -83,6 +83,28 @@ def test_mixing(docs, rows, nothing):
     assert mixing.mix(nothing).count() == 0
 
 
+def test_mixing_is_unequal_and_allocates_certain_copies(spark):
+    # Half the words are wanted of a source whose texts are short or long: long ones oftener.
+    df = spark.createDataFrame([(i, "w " * (200 if i % 2 else 8), "s") for i in range(3000)], "doc_id long, text string, source string")
+    got = mixing.mix(df, budget_factor=0.5).groupBy((F.col("size") > 100).alias("long")).agg(F.avg("copies").alias("n"), F.sum("taken").alias("taken"), F.first("target").alias("target")).collect()
+    n = {r.long: r.n for r in got}
+    assert 2 * n[False] < n[True] < 1 and abs(sum(r.taken for r in got) - got[0].target) <= 100
+    # Near the cap the long ones are certain copies and the short ones fill the rest.
+    got = mixing.mix(df, budget_factor=1.9).groupBy((F.col("size") > 100).alias("long")).agg(F.min("copies").alias("lo"), F.max("copies").alias("hi"), F.sum("taken").alias("taken")).collect()
+    n = {r.long: (r.lo, r.hi) for r in got}
+    assert n[True][0] >= 1 and n[False] != n[True] and abs(sum(r.taken for r in got) - 1.9 * 1500 * 208) <= 100
+
+
+def test_mixing_repeated_rows_null_ids_and_clashing_names(spark):
+    rows = [(None, f"null id {i} " * 5, "s", i) for i in range(200)] + [(7, "the same row again", "s", 0)] * 30 + [(8, None, None, 1), (8, "x y", None, 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, copies int")
+    got = mixing.mix(df, budget_factor=0.5).collect()
+    assert len(got) == len(rows) and abs(sum(r.taken for r in got if r.source == "s") - got[0].target) <= 10
+    clash = df.withColumn("_id", F.lit("a")).withColumn("_source", F.lit("b")).withColumn("_copy", F.lit("c")).withColumn("size", F.lit("d"))
+    out = mixing.stage_mix(spark, clash, "")
+    assert out.columns == clash.columns and {(r["_id"], r["_source"], r["_copy"], r["size"]) for r in out.collect()} == {("a", "b", "c", "d")}
+
+
 def test_mixing_by_importance(spark):
     df = spark.createDataFrame([(i, "w " * 10, "s", 5.0 if i % 2 else 1.0) for i in range(2000)], "doc_id long, text string, source string, w double")
     got = mixing.mix(df, budget_factor=0.3, importance="w").groupBy((F.col("doc_id") % 2).alias("odd")).agg(F.sum("copies").alias("n")).collect()
@@ -328,9 +350,9 @@ def test_repeats_stage_keeps_columns(spark, docs, rows):
 # -- 9 digest -----------------------------------------------------------------
 
 
-@pytest.mark.parametrize("blocks", [1, 7])
-def test_digest(docs, rows, nothing, blocks):
-    got = {r.doc_id: r for r in digest.neighbours(docs, blocks).collect()}
+@pytest.mark.parametrize("size", [10**9, 20_000])
+def test_digest(docs, rows, nothing, size):
+    got = {r.doc_id: r for r in digest.neighbours(docs, size).collect()}
     order = sorted(((r[0], r[1] or "") for r in rows), reverse=True)
     for i, (key, text) in enumerate(order):
         following = order[(i + 1) % len(order)][1]
@@ -339,7 +361,18 @@ def test_digest(docs, rows, nothing, blocks):
         assert r.n_chars == len(text) and r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
         assert r.fingerprint == digest.fingerprint(text.encode()) and r.edited_fingerprint == digest.fingerprint(edited.encode())
         assert r.near_next == digest.likeness(r.fingerprint, digest.fingerprint(following.encode())) and 0 <= r.near_edited <= 1
-    assert len(got) == len(rows) and digest.neighbours(nothing, 3).count() == 0
+    assert len(got) == len(rows) and digest.neighbours(nothing).count() == 0
+
+
+def test_digest_null_and_repeated_ids(spark):
+    rows = [(5, "five five five"), (5, "five five five"), (None, "nothing known"), (None, None), (2, "two"), (9, "nine nine")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for size in (10**6, 5):
+        got = digest.neighbours(df, size).collect()
+        assert sorted((r.doc_id or -1, r.n_chars) for r in got) == sorted((i or -1, len(t or "")) for i, t in rows)
+        nine = next(r for r in got if r.doc_id == 9)
+        assert nine.edited_sha256 == hashlib.sha256(digest.edited_text("nine nine", "five five five").encode()).hexdigest()
+        assert sorted(r.near_next == 1 for r in got if r.doc_id == 5) == [False, True]
 
 
 def test_likeness_bounds():

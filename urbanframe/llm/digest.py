@@ -12,7 +12,8 @@ of it.
 Defined results: null texts are empty; texts shorter than three bytes have no
 triplets and an all-zero body; equal texts have equal fingerprints; two
 fingerprints of nothing are alike (1); malformed or null fingerprints compare
-to 0; an empty table gives no rows.
+to 0; null ids come last in falling order; rows that share an id follow each
+other by a hash of their text; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -24,13 +25,16 @@ from hashlib import sha256
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from urbanframe.llm.common import documents
+from urbanframe.llm.common import checkpointed, documents, small_batches, written
 
 BUCKETS = 256
 #: Bytes hashed at a time.
 CHUNK = 1 << 20
+#: Bytes of text in a part of neighbouring documents.
+PART_BYTES = 16_000_000
 
 _MIX = np.random.default_rng(3).permutation(256).astype(np.uint8)
 #: Distance of two two-bit codes.
@@ -97,69 +101,70 @@ def fingerprint_column(text: str = "text"):
     return run(F.col(text))
 
 
-def in_blocks_with_next(docs: DataFrame, blocks: int) -> DataFrame:
-    """Rows dealt into blocks of neighbouring ids, each with a copy of the next row.
-
-    Adds ``block`` (rising as ids fall) and ``copied`` (the row only serves as
-    the next one of its block's last row; after the last block comes the first
-    row). Ids are cut at quantiles; only the cuts and each block's first id
-    pass through the driver. Rows with a null id come last.
-    """
-    keyed = docs.select(F.coalesce("doc_id", F.lit(-(2**63))).alias("_key"), "doc_id", "text")
-    shares = [i / blocks for i in range(1, blocks)]
-    cuts = sorted(set(keyed.select(F.percentile_approx("_key", shares, 10_000)).first()[0] or [])) if shares else []
-    cut_array = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<bigint>")
-    placed = keyed.withColumn("block", F.size(F.filter(cut_array, lambda c: c > F.col("_key"))))
-    heads = sorted((r.block, r.head) for r in placed.groupBy("block").agg(F.max("_key").alias("head")).collect())
-    before = {head: heads[i - 1][0] if i else heads[-1][0] for i, (_, head) in enumerate(heads)}
-    lead = F.create_map(*[F.lit(x) for pair in before.items() for x in pair]) if before else F.create_map().cast("map<bigint,int>")
-    spots = F.when(
-        F.array_contains(F.array(*[F.lit(h) for h in before]), F.col("_key")),
-        F.array(F.struct(F.col("block"), F.lit(False).alias("copied")), F.struct(lead[F.col("_key")].alias("block"), F.lit(True).alias("copied"))),
-    ).otherwise(F.array(F.struct(F.col("block"), F.lit(False).alias("copied")))) if before else F.array(F.struct(F.col("block"), F.lit(False).alias("copied")))
-    return placed.withColumn("_spot", F.explode(spots)).select("_key", "doc_id", "text", "_spot.block", "_spot.copied")
-
-
 def edited_text(text: str, following: str) -> str:
     """The last third of the characters replaced by as many first ones of the next text."""
     n = len(text) // 3
     return text[: len(text) - n] + following[:n]
 
 
-def neighbours(docs: DataFrame, blocks: int | None = None) -> DataFrame:
+def neighbours(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     """Fingerprints of every text, its edited text, and their likeness; see the query's contract.
 
-    The next document in falling id order is found block by block: a block
-    holds neighbouring ids and a copy of the row that follows, and is read in
-    order with one row held back.
+    Rows are dealt by range in falling id order to parts of about ``part_bytes``
+    and read in order with one row held back, so a row meets the next one in its
+    part. What a part can't finish, its last row, waits with the part's first
+    row for the second step: the parts' first keys are ranked (one narrow row a
+    part), and each last row is joined to the first row of the following part.
     """
-    blocks = blocks or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = in_blocks_with_next(docs, blocks)
-    ordered = dealt.repartition(blocks, "block").sortWithinPartitions("block", "copied", F.desc("_key"), "text")
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None  # block, id, text, fingerprint
-
-        def row(held, text, digest):
-            _, doc, own, print_ = held
-            edited = edited_text(own, text).encode("utf-8", "surrogatepass")
-            changed = fingerprint(edited)
-            return doc, len(own), sha256(edited).hexdigest(), print_, changed, likeness(print_, changed), likeness(print_, digest)
-
-        for frame in frames:
-            out = []
-            for block, doc, text, copied in zip(frame["block"], frame["doc_id"], frame["text"], frame["copied"]):
-                text = text or ""
-                if held is not None and held[0] == block and held[2] == text:
-                    digest = held[3]
-                else:
-                    digest = fingerprint(text.encode("utf-8", "surrogatepass"))
-                if held is not None and held[0] == block:
-                    out.append(row(held, text, digest))
-                held = None if copied else (block, doc, text, digest)
-            yield pd.DataFrame(out, columns=COLUMNS).astype({"doc_id": "Int64"})
-
-    return ordered.select("block", "doc_id", "text", "copied").mapInPandas(run, SCHEMA)
+    spark = docs.sparkSession
+    small_batches(spark)
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("mark"))
+    total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    order = (F.col("doc_id").desc_nulls_last(), F.col("mark"))
+    ordered = rows.repartitionByRange(max(1, -(-total // part_bytes)), *order).sortWithinPartitions(*order, "text")
+    done = written(ordered.mapInPandas(_run_of_neighbours, f"{SCHEMA}, head_id long, head_mark long, head_text string, head_print string, tail_text string"))
+
+    edges = done.where("head_print IS NOT NULL")
+    ranked = edges.select(F.col("head_id").alias("_id"), F.col("head_mark").alias("_mark")).withColumn("part", F.row_number().over(W.orderBy(F.col("_id").desc_nulls_last(), "_mark")))
+    ranked = checkpointed(ranked)
+    parts = ranked.count()
+    edges = edges.join(ranked, F.col("head_id").eqNullSafe(F.col("_id")) & (F.col("head_mark") == F.col("_mark")))
+    following = edges.select(((F.col("part") + (parts - 2)) % max(parts, 1) + 1).alias("part"), F.col("head_text").alias("next_text"), F.col("head_print").alias("next_print"))
+    tails = edges.select("part", "doc_id", "fingerprint", "tail_text").join(following, "part")
+    return done.where("head_print IS NULL").select(*COLUMNS).unionByName(tails.mapInPandas(_last_of_parts, SCHEMA))
+
+
+def _compared(doc, text: str, digest: str, following: str, next_digest: str) -> tuple:
+    """The result row of a text and the text that follows it."""
+    edited = edited_text(text, following).encode("utf-8", "surrogatepass")
+    changed = fingerprint(edited)
+    return doc, len(text), sha256(edited).hexdigest(), digest, changed, likeness(digest, changed), likeness(digest, next_digest)
+
+
+def _run_of_neighbours(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Finished rows of an ordered part, then its last row with the first row beside it."""
+    head = held = None  # id, mark, text, fingerprint
+    for frame in frames:
+        out = []
+        for doc, mark, text in zip(frame["doc_id"].astype("Int64"), frame["mark"], frame["text"]):
+            text = text or ""
+            digest = held[3] if held is not None and held[2] == text else fingerprint(text.encode("utf-8", "surrogatepass"))
+            if held is None:
+                head = (doc, mark, text, digest)
+            else:
+                out.append(_compared(held[0], held[2], held[3], text, digest))
+            held = (doc, mark, text, digest)
+        done = pd.DataFrame(out, columns=COLUMNS).astype({"doc_id": "Int64"})
+        yield done.assign(head_id=pd.array([None] * len(done), "Int64"), head_mark=pd.array([None] * len(done), "Int64"), head_text=None, head_print=None, tail_text=None)
+    if held is not None:
+        last = (held[0], len(held[2]), None, held[3], None, None, None, *head, held[2])
+        yield pd.DataFrame([last], columns=[*COLUMNS, "head_id", "head_mark", "head_text", "head_print", "tail_text"]).astype({"doc_id": "Int64", "head_id": "Int64"})
+
+
+def _last_of_parts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        columns = (frame["doc_id"].astype("Int64"), *(frame[c] for c in ("tail_text", "fingerprint", "next_text", "next_print")))
+        yield pd.DataFrame([_compared(*row) for row in zip(*columns)], columns=COLUMNS).astype({"doc_id": "Int64"})
 
 
 SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
