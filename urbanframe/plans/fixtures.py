@@ -65,10 +65,10 @@ SELECT CAST(r_regionkey AS BIGINT) AS service_id, CASE WHEN r_regionkey <> 4 THE
  DATE '2024-01-01' AS start_date, CASE WHEN r_regionkey = 2 THEN DATE '2024-01-20' ELSE DATE '2024-02-29' END AS end_date FROM region
 """,
     "f_calendar_dates": r"""
-SELECT DISTINCT user_id % 5 AS service_id, CAST(ts AS DATE) AS date, CASE WHEN user_id % 2 = 0 THEN 1 ELSE 2 END AS exception_type FROM events WHERE event_id % 101 = 0
+SELECT user_id % 5 AS service_id, CAST(ts AS DATE) AS date, CASE WHEN COUNT(*) % 2 = 0 THEN 1 ELSE 2 END AS exception_type FROM events WHERE event_type = 'error' GROUP BY user_id % 5, CAST(ts AS DATE)
 """,
     "f_frequencies": r"""
-SELECT DISTINCT o_orderkey AS trip_id, '06:00:00' AS start_time, CASE o_orderkey % 2 WHEN 0 THEN '09:59:00' ELSE '23:00:00' END AS end_time, 600 + (o_orderkey % 4) * 300 AS headway_secs FROM orders WHERE o_orderkey % 97 = 0
+SELECT DISTINCT o_orderkey AS trip_id, '06:00:00' AS start_time, CASE o_orderkey % 2 WHEN 0 THEN '09:59:00' ELSE '23:00:00' END AS end_time, 600 + (o_orderkey % 4) * 300 AS headway_secs FROM orders WHERE o_orderpriority = '1-URGENT'
 """,
     "f_policy": r"""
 SELECT p_partkey AS row_id, p_type AS indicators, p_brand AS measures, CASE WHEN p_partkey % 3 = 0 THEN p_name WHEN p_partkey % 3 = 1 THEN 'No' END AS policy,
@@ -78,7 +78,8 @@ SELECT p_partkey AS row_id, p_type AS indicators, p_brand AS measures, CASE WHEN
     "f_pixels": r"""
 SELECT event_id AS obs_id, user_id AS pixel_id, ts, CAST(FLOOR(value * 100) AS BIGINT) % 10000 AS b4, CAST(FLOOR(value * 173) AS BIGINT) % 10000 AS b8,
  CAST(FLOOR(value * 97) AS BIGINT) % 10000 AS b11, CASE event_type WHEN 'error' THEN 1024 WHEN 'signup' THEN 2048 ELSE 0 END AS qa60 FROM events
-""",    "f_points": r"""
+""",
+    "f_points": r"""
 SELECT osmid AS point_id, CAST(FLOOR(y / 250) AS BIGINT) * 1000 + CAST(FLOOR(x / 250) AS BIGINT) AS grid_id, x, y,
  CASE WHEN osmid % 7 <> 0 THEN (osmid * 37) % 1000 END AS d_food, CASE WHEN osmid % 5 <> 0 THEN (osmid * 91) % 1200 END AS d_conv,
  (osmid * 53) % 900 AS d_pt_osm, CASE WHEN osmid % 3 <> 0 THEN (osmid * 29) % 1500 END AS d_pt_gtfs, CAST(NULL AS BIGINT) AS d_none,

@@ -164,7 +164,7 @@ CITY = "CAST(SUM(pop_est) AS BIGINT) AS pop_est, CAST(SUM(urban_sample_point_cou
 SHARE = "GREATEST(0.0::DOUBLE, LEAST(1.0::DOUBLE, GREATEST(0, LEAST(a.xmax, b.xmax) - GREATEST(a.xmin, b.xmin)) * GREATEST(0, LEAST(a.ymax, b.ymax) - GREATEST(a.ymin, b.ymin)) / 62500.0::DOUBLE))"
 MEETS = "LEAST(a.xmax, b.xmax) > GREATEST(a.xmin, b.xmin) AND LEAST(a.ymax, b.ymax) > GREATEST(a.ymin, b.ymin)"
 INSIDE = "a.x >= b.xmin AND a.x < b.xmax AND a.y >= b.ymin AND a.y < b.ymax"
-COUNTED = "counted AS (SELECT g.*, (SELECT COUNT(*) FROM f_nodes a WHERE a.osmid % 3 = 0 AND a.x >= g.xmin AND a.x < g.xmax AND a.y >= g.ymin AND a.y < g.ymax) AS intersection_count FROM f_grid g)"
+COUNTED = "counted AS (SELECT g.*, (SELECT COUNT(*) FROM f_nodes a WHERE a.x >= g.xmin AND a.x < g.xmax AND a.y >= g.ymin AND a.y < g.ymax) AS intersection_count FROM f_grid g)"
 
 
 def _z(c: str, source: str) -> str:

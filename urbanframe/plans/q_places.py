@@ -43,12 +43,12 @@ def anti_openspace(s, d):
 
 
 def anti_threshold(s, d):
-    exempt = view(s, d, "f_areas").where("area_id % 2 = 0")
+    exempt = view(s, d, "f_areas").where("dwellings >= 250")
     return sp.anti_below(view(s, d, "f_nodes"), view(s, d, "f_grid"), "osmid", "pop_est", 300, 1000.0, exempt).select("osmid")
 
 
 def semi_any(s, d):
-    covers = [view(s, d, "f_areas").where("area_id % 3 = 0"), view(s, d, "f_grid").where("pop_est < 200")]
+    covers = [view(s, d, "f_areas"), view(s, d, "f_grid").where("pop_est < 200")]
     return sp.semi_any(view(s, d, "f_nodes"), covers, "osmid", 800.0).select("osmid")
 
 
@@ -67,7 +67,7 @@ def within_distance(s, d):
 
 
 def overlap_ratio(s, d):
-    return sp.overlap_filter(view(s, d, "f_grid"), view(s, d, "f_areas").where("area_id % 4 = 1"), "grid_id", 0.3, 800.0).select("grid_id")
+    return sp.overlap_filter(view(s, d, "f_grid"), view(s, d, "f_areas"), "grid_id", 0.3, 800.0).select("grid_id")
 
 
 def covered_self(s, d):
@@ -252,8 +252,8 @@ CLASSES = """classes AS (SELECT *, 'fresh_food_market' AS dest_name FROM f_osm W
 dests AS (SELECT dest_oid AS osm_id, dest_name, x::DOUBLE AS x, y::DOUBLE AS y FROM f_destinations UNION ALL SELECT osm_id, dest_name, (xmin + xmax) / 2::DOUBLE, (ymin + ymax) / 2::DOUBLE FROM classes)"""
 
 
-def _samples(step: int, where: str = "TRUE") -> str:
-    return f"""len AS (SELECT *, SQRT(((ux - vx) * (ux - vx) + (uy - vy) * (uy - vy))::DOUBLE) AS l FROM f_edges WHERE {where}),
+def _samples(step: int) -> str:
+    return f"""len AS (SELECT *, SQRT(((ux - vx) * (ux - vx) + (uy - vy) * (uy - vy))::DOUBLE) AS l FROM f_edges),
 steps AS (SELECT *, UNNEST(GENERATE_SERIES(0, CAST(ROUND_EVEN(l, 0) AS INT), {step})) AS m FROM len),
 parts AS (SELECT *, LEAST(1.0::DOUBLE, COALESCE(m / NULLIF(l, 0), 0)) AS p FROM steps),
 samples AS (SELECT ogc_fid AS edge_ogc_fid, CAST(m AS INT) AS metres, u AS n1, v AS n2, CAST(ROUND_EVEN(p * l, 0) AS INT) AS n1_distance, CAST(ROUND_EVEN(GREATEST(0, (1 - p) * l), 0) AS INT) AS n2_distance, ux + (vx - ux) * p AS x, uy + (vy - uy) * p AS y,
@@ -272,7 +272,16 @@ def _meet(a: str, b: str) -> str:
     return f"{a}.xmin <= {b}.xmax AND {b}.xmin <= {a}.xmax AND {a}.ymin <= {b}.ymax AND {b}.ymin <= {a}.ymax"
 
 
-SPACES = f"""{CANDIDATES}, sized AS (SELECT *, (xmax - xmin) * (ymax - ymin) / 10000.0::DOUBLE AS area_ha, SQRT(((xmax - xmin) * (xmax - xmin) + (ymax - ymin) * (ymax - ymin))::DOUBLE) AS diameter FROM cand WHERE osm_id % 3 <> 1),
+def _union_area(boxes: str, keys: str, where: str) -> str:
+    """``union_area``: area of the union of each key's boxes, strip by strip between neighbouring x edges."""
+    return f"""edges_x AS (SELECT DISTINCT {keys}, UNNEST([xmin, xmax]) AS x FROM {boxes} WHERE {where}),
+strips AS (SELECT *, LEAD(x) OVER (PARTITION BY {keys} ORDER BY x) AS x_next FROM edges_x),
+parts_in AS (SELECT {keys}, x, x_next, ymin, ymax, MAX(ymax) OVER (PARTITION BY {keys}, x ORDER BY ymin, ymax ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach
+  FROM strips JOIN {boxes} USING ({keys}) WHERE xmin <= x AND xmax >= x_next AND xmin < xmax),
+union_area AS (SELECT {keys}, SUM((x_next - x) * GREATEST(0, ymax - GREATEST(ymin, COALESCE(reach, ymin))))::DOUBLE AS area FROM parts_in GROUP BY {keys})"""
+
+
+SPACES = f"""{CANDIDATES}, sized AS (SELECT *, (xmax - xmin) * (ymax - ymin) / 10000.0::DOUBLE AS area_ha, SQRT(((xmax - xmin) * (xmax - xmin) + (ymax - ymin) * (ymax - ymin))::DOUBLE) AS diameter FROM cand),
 spaces AS (SELECT *, COALESCE(natural_tag = 'water', FALSE) AS water_feature, CAST(NULL AS BOOLEAN) AS linear_tag, area_ha > 0.5 AND area_ha * 10000 / (3.141592653589793::DOUBLE * diameter * diameter / 4.0::DOUBLE) < 0.25 AS linear_feature FROM sized)"""
 LINEARS = f"""good AS (SELECT a.osm_id FROM spaces a JOIN spaces b ON a.osm_id <> b.osm_id AND {_meet('a', 'b')} WHERE a.linear_feature AND (
     (NOT b.linear_feature AND (({_covered('a', 'b')}) OR (a.diameter < 800 AND ({_overlap('a', 'b')} / (a.area_ha * 10000) > 0.2
@@ -289,9 +298,11 @@ near AS (SELECT a.osm_id AS a, b.osm_id AS b, {_overlap('a', 'b')} / 10000.0::DO
 links AS (SELECT a, b FROM near UNION ALL SELECT b, a FROM near),
 closure AS (SELECT osm_id AS n, osm_id AS r FROM classed WHERE aos_class IS NOT NULL UNION SELECT c.n, l.b FROM closure c JOIN links l ON l.a = c.r),
 label AS (SELECT n, MIN(r) AS aos_id FROM closure GROUP BY n),
-sums AS (SELECT l.aos_id, MIN(aos_class) AS aos_class, COUNT(*) AS members, SUM(ha) AS s, MAX(ha) AS m, COALESCE(SUM(CASE WHEN public_access THEN ha END), 0) AS sp, COALESCE(MAX(CASE WHEN public_access THEN ha END), 0) AS mp, COALESCE(SUM(CASE WHEN water_feature THEN ha END), 0) AS sw, COALESCE(MAX(CASE WHEN water_feature THEN ha END), 0) AS mw FROM classed c JOIN label l ON l.n = c.osm_id GROUP BY 1),
-over AS (SELECT l.aos_id, SUM(shared) AS o, SUM(CASE WHEN pub THEN shared END) AS op, SUM(CASE WHEN wat THEN shared END) AS ow FROM near JOIN label l ON l.n = near.a GROUP BY 1),
-aos AS (SELECT s.aos_id, CAST(aos_class AS INT) AS aos_class, members, GREATEST(m, s - COALESCE(o, 0)) AS aos_ha, GREATEST(mp, sp - COALESCE(op, 0)) AS aos_ha_public, GREATEST(mw, sw - COALESCE(ow, 0)) AS aos_ha_water FROM sums s LEFT JOIN over USING (aos_id))"""
+sums AS (SELECT l.aos_id, MIN(aos_class) AS aos_class, COUNT(*) AS members FROM classed c JOIN label l ON l.n = c.osm_id GROUP BY 1),
+boxes AS (SELECT l.aos_id, UNNEST(['all', CASE WHEN public_access THEN 'public' END, CASE WHEN water_feature THEN 'water' END]) AS part, xmin, ymin, xmax, ymax FROM classed c JOIN label l ON l.n = c.osm_id),
+{_union_area('boxes', 'aos_id, part', "part IS NOT NULL")},
+aos AS (SELECT s.aos_id, CAST(aos_class AS INT) AS aos_class, members, COALESCE(MAX(CASE WHEN part = 'all' THEN area END), 0) / 10000.0::DOUBLE AS aos_ha, COALESCE(MAX(CASE WHEN part = 'public' THEN area END), 0) / 10000.0::DOUBLE AS aos_ha_public, COALESCE(MAX(CASE WHEN part = 'water' THEN area END), 0) / 10000.0::DOUBLE AS aos_ha_water
+  FROM sums s LEFT JOIN union_area USING (aos_id) GROUP BY ALL)"""
 RING = """ring AS (SELECT *, (xmax - xmin)::DOUBLE AS w, (ymax - ymin)::DOUBLE AS h FROM f_osm WHERE leisure = 'park' {more}),
 stepped AS (SELECT *, UNNEST(GENERATE_SERIES(0, GREATEST(0, CAST(CEIL(2 * (w + h) / 20) AS INT) - 1))) AS i FROM ring),
 nodes20 AS (SELECT osm_id, CAST(i + 1 AS INT) AS node, CASE WHEN i * 20 <= w THEN xmin + i * 20 WHEN i * 20 <= w + h THEN xmax WHEN i * 20 <= 2 * w + h THEN xmax - (i * 20 - w - h) ELSE xmin END::DOUBLE AS x,
@@ -304,12 +315,12 @@ SQL = {
       AND p.x < (a.xmin - a.xmax)::DOUBLE * (p.y - a.ymin) / (a.ymax - a.ymin) + a.xmax GROUP BY p.osmid""",
     "semi_cells": f"SELECT grid_id FROM f_grid a WHERE EXISTS (SELECT 1 FROM f_areas b WHERE {_meet('a', 'b')})",
     "anti_openspace": f"WITH {CANDIDATES} SELECT osmid FROM f_nodes p WHERE NOT EXISTS (SELECT 1 FROM cand b WHERE {_in('p', 'b')})",
-    "anti_threshold": f"SELECT osmid FROM f_nodes p WHERE NOT EXISTS (SELECT 1 FROM f_grid g WHERE g.pop_est < 300 AND {_in('p', 'g')}) OR EXISTS (SELECT 1 FROM f_areas b WHERE b.area_id % 2 = 0 AND {_in('p', 'b')})",
-    "semi_any": f"SELECT osmid FROM f_nodes p WHERE EXISTS (SELECT 1 FROM f_areas b WHERE b.area_id % 3 = 0 AND {_in('p', 'b')}) OR EXISTS (SELECT 1 FROM f_grid g WHERE g.pop_est < 200 AND {_in('p', 'g')})",
+    "anti_threshold": f"SELECT osmid FROM f_nodes p WHERE NOT EXISTS (SELECT 1 FROM f_grid g WHERE g.pop_est < 300 AND {_in('p', 'g')}) OR EXISTS (SELECT 1 FROM f_areas b WHERE b.dwellings >= 250 AND {_in('p', 'b')})",
+    "semi_any": f"SELECT osmid FROM f_nodes p WHERE EXISTS (SELECT 1 FROM f_areas b WHERE {_in('p', 'b')}) OR EXISTS (SELECT 1 FROM f_grid g WHERE g.pop_est < 200 AND {_in('p', 'g')})",
     "knn_edge": f"WITH {KNN} SELECT dest_oid, ogc_fid, ROUND(distance, 6) AS distance, ROUND(before, 6) AS before FROM knn",
     "snap_points": f"WITH {KNN} SELECT dest_oid, ogc_fid FROM knn WHERE distance <= 40",
     "within_distance": """SELECT dest_oid, osm_id, ROUND(distance, 6) AS distance FROM (SELECT p.dest_oid, o.osm_id, SQRT(POWER(GREATEST(0, o.xmin - p.x, p.x - o.xmax)::DOUBLE, 2) + POWER(GREATEST(0, o.ymin - p.y, p.y - o.ymax)::DOUBLE, 2)) AS distance FROM f_destinations p CROSS JOIN f_osm o) WHERE distance <= 60""",
-    "overlap_ratio": f"SELECT a.grid_id FROM f_grid a JOIN f_areas b ON b.area_id % 4 = 1 AND {_meet('a', 'b')} GROUP BY a.grid_id HAVING SUM({_overlap('a', 'b')}) / 62500.0::DOUBLE >= 0.3",
+    "overlap_ratio": f"SELECT a.grid_id FROM f_grid a JOIN f_areas b ON {_meet('a', 'b')} GROUP BY a.grid_id HAVING SUM({_overlap('a', 'b')}) / 62500.0::DOUBLE >= 0.3",
     "covered_self": f"SELECT a.osm_id AS inner, b.osm_id AS outer FROM f_osm a JOIN f_osm b ON a.osm_id <> b.osm_id AND {_covered('a', 'b')}",
     "dest_classify": f"WITH {CLASSES} SELECT osm_id, dest_name FROM classes",
     "dest_by_cell": f"WITH {CLASSES} SELECT g.grid_id, d.dest_name, COUNT(*) AS count FROM dests d JOIN f_grid g ON {_in('d', 'g')} GROUP BY 1, 2",
@@ -323,30 +334,31 @@ SQL = {
     "sample_offsets": f"WITH {_samples(30)} SELECT CAST(FLOOR(y / 250) AS BIGINT) * 1000 + CAST(FLOOR(x / 250) AS BIGINT) AS grid_id, COUNT(*) AS n, CAST(SUM(n1_distance) AS BIGINT) AS n1_distance, CAST(SUM(n2_distance) AS BIGINT) AS n2_distance FROM samples GROUP BY 1",
     "net_component": f"""WITH RECURSIVE {CUT}, links AS (SELECT u AS a, v AS b FROM cut UNION ALL SELECT v, u FROM cut), closure AS (SELECT DISTINCT a AS n, a AS r FROM links UNION SELECT c.n, l.b FROM closure c JOIN links l ON l.a = c.r),
       label AS (SELECT n, MIN(r) AS c FROM closure GROUP BY n), big AS (SELECT c FROM label GROUP BY c HAVING COUNT(*) >= 100) SELECT ogc_fid FROM cut WHERE u IN (SELECT n FROM label JOIN big USING (c))""",
-    "net_neighbourhood": f"""WITH RECURSIVE {ADJ}, seeds AS (SELECT osmid AS node FROM f_nodes WHERE osmid % 5 = 0), {WALK.format(limit=300)}, cells AS (SELECT DISTINCT d.src, CAST(FLOOR(n.y / 250) AS BIGINT) * 1000 + CAST(FLOOR(n.x / 250) AS BIGINT) AS grid_id FROM dists d JOIN f_nodes n ON n.osmid = d.node)
+    "net_neighbourhood": f"""WITH RECURSIVE {ADJ}, seeds AS (SELECT osmid AS node FROM f_nodes), {WALK.format(limit=1000)}, cells AS (SELECT DISTINCT d.src, CAST(FLOOR(n.y / 250) AS BIGINT) * 1000 + CAST(FLOOR(n.x / 250) AS BIGINT) AS grid_id FROM dists d JOIN f_nodes n ON n.osmid = d.node)
       SELECT src, ROUND(AVG(g.pop_est), 6) AS pop_est FROM cells JOIN f_grid g USING (grid_id) GROUP BY src""",
     "net_associate": f"WITH {KNN} SELECT dest_oid, ogc_fid AS edge_ogc_fid, n1, n2, n1_distance, n2_distance, ROUND(distance, 6) AS match_distance FROM pois",
     "net_seed_distance": f"WITH RECURSIVE {KNN}, {ADJ}, {SEEDS}, {WALK.format(limit=500)} SELECT src, node, dist FROM dists",
     "net_nearest_poi": f"WITH RECURSIVE {KNN}, {ADJ}, {SEEDS}, {WALK.format(limit=500)}, {NEAREST} SELECT * FROM nearest",
-    "net_point_estimates": f"""WITH RECURSIVE {KNN}, {ADJ}, {SEEDS}, {WALK.format(limit=500)}, {NEAREST}, {_samples(60, 'ogc_fid % 3 = 0')},
+    "net_point_estimates": f"""WITH RECURSIVE {KNN}, {ADJ}, {SEEDS}, {WALK.format(limit=500)}, {NEAREST}, {_samples(30)},
       metrics AS (SELECT COALESCE(n.osmid, e.node) AS node, 500.0::DOUBLE + n.osmid % 900 AS density, food, convenience FROM (SELECT osmid FROM f_nodes WHERE osmid % 13 <> 0) n FULL JOIN nearest e ON e.node = n.osmid),
       spots AS (SELECT point_id, n1 AS node, 0.0::DOUBLE AS off, 1.0::DOUBLE AS w, TRUE AS whole FROM samples WHERE n1_distance = 0 UNION ALL SELECT point_id, n2, 0, 1, TRUE FROM samples WHERE n1_distance <> 0 AND n2_distance = 0
         UNION ALL SELECT point_id, n1, n1_distance, 1 - n1_distance / (n1_distance + n2_distance)::DOUBLE, FALSE FROM samples WHERE n1_distance <> 0 AND n2_distance <> 0
         UNION ALL SELECT point_id, n2, n2_distance, 1 - n2_distance / (n1_distance + n2_distance)::DOUBLE, FALSE FROM samples WHERE n1_distance <> 0 AND n2_distance <> 0)
       SELECT point_id, MIN(food + off) AS food, MIN(convenience + off) AS convenience, ROUND(CASE WHEN BOOL_OR(whole) THEN SUM(density * w) ELSE COALESCE(SUM(density * w), 0) END, 6) AS density FROM spots LEFT JOIN metrics USING (node) GROUP BY point_id""",
-    "net_intersections": """WITH RECURSIVE e AS (SELECT * FROM f_edges WHERE ogc_fid % 3 <> 0), deg AS (SELECT node FROM (SELECT u AS node FROM e UNION ALL SELECT v FROM e) GROUP BY node HAVING COUNT(*) >= 2),
+    "net_intersections": """WITH RECURSIVE deg AS (SELECT node FROM (SELECT u AS node FROM f_edges UNION ALL SELECT v FROM f_edges) GROUP BY node HAVING COUNT(*) >= 2),
       kept AS (SELECT osmid, x, y FROM f_nodes WHERE osmid IN (SELECT node FROM deg)), links AS (SELECT a.osmid AS a, b.osmid AS b FROM kept a JOIN kept b ON a.osmid <> b.osmid AND SQRT(POWER((a.x - b.x)::DOUBLE, 2) + POWER((a.y - b.y)::DOUBLE, 2)) <= 70),
       closure AS (SELECT osmid AS n, osmid AS r FROM kept UNION SELECT c.n, l.b FROM closure c JOIN links l ON l.a = c.r), label AS (SELECT n, MIN(r) AS component FROM closure GROUP BY n)
       SELECT component, COUNT(*) AS members, ROUND(AVG(x), 6) AS x, ROUND(AVG(y), 6) AS y FROM kept JOIN label ON n = osmid GROUP BY component""",
     "pos_candidates": f"""WITH {CANDIDATES}, ex AS (SELECT * FROM f_osm WHERE access IN ('private', 'no') OR landuse = 'military'),
-      cut AS (SELECT a.osm_id, GREATEST(0, ((a.xmax - a.xmin) * (a.ymax - a.ymin) - COALESCE((SELECT SUM({_overlap('a', 'b')}) FROM ex b WHERE {_meet('a', 'b')}), 0)) / 10000.0::DOUBLE) AS area_ha FROM cand a) SELECT osm_id, ROUND(area_ha, 6) AS area_ha FROM cut WHERE area_ha > 0""",
+      clipped AS (SELECT a.osm_id, GREATEST(a.xmin, b.xmin) AS xmin, GREATEST(a.ymin, b.ymin) AS ymin, LEAST(a.xmax, b.xmax) AS xmax, LEAST(a.ymax, b.ymax) AS ymax FROM cand a JOIN ex b ON {_overlap('a', 'b')} > 0), {_union_area('clipped', 'osm_id', 'TRUE')},
+      cut AS (SELECT osm_id, ((xmax - xmin) * (ymax - ymin) - COALESCE(area, 0)) / 10000.0::DOUBLE AS area_ha FROM cand LEFT JOIN union_area USING (osm_id)) SELECT osm_id, ROUND(area_ha, 6) AS area_ha FROM cut WHERE area_ha > 0""",
     "pos_linear": f"WITH {SPACES}, {LINEARS} SELECT osm_id, water_feature, linear_tag, linear_feature, acceptable_linear_feature FROM linears",
     "pos_public": f"WITH {SPACES}, {LINEARS}, {PUBLIC} SELECT osm_id, public_access, within_public FROM public",
     "pos_clusters": f"WITH RECURSIVE {SPACES}, {LINEARS}, {PUBLIC}, {CLUSTERS} SELECT aos_id, aos_class, members, ROUND(aos_ha, 6) AS aos_ha, ROUND(aos_ha_public, 6) AS aos_ha_public, ROUND(aos_ha_water, 6) AS aos_ha_water, ROUND(COALESCE(100 * aos_ha_water / NULLIF(aos_ha, 0), 0), 6) AS water_percent FROM aos",
     "pos_roundness": "SELECT osm_id, ROUND((xmax - xmin) * (ymax - ymin) / (3.141592653589793::DOUBLE * ((xmax - xmin) * (xmax - xmin) + (ymax - ymin) * (ymax - ymin)) / 4), 6) AS roundness, ROUND(SQRT(((xmax - xmin) * (xmax - xmin) + (ymax - ymin) * (ymax - ymin))::DOUBLE), 6) AS diameter FROM f_osm",
     "pos_perimeter": f"WITH {RING.format(more='')} SELECT * FROM nodes20",
     "pos_access": f"WITH {RING.format(more='AND (xmax - xmin) * (ymax - ymin) > 15000')} SELECT osm_id, node FROM nodes20 p WHERE EXISTS (SELECT 1 FROM f_edges e WHERE SQRT(POWER(GREATEST(0, LEAST(e.ux, e.vx) - p.x, p.x - GREATEST(e.ux, e.vx)), 2) + POWER(GREATEST(0, LEAST(e.uy, e.vy) - p.y, p.y - GREATEST(e.uy, e.vy)), 2)) <= 30)",
-    "polygon_overlap": f"SELECT a.osm_id, b.area_id, CAST({_overlap('a', 'b')} AS DOUBLE) AS shared, CAST((a.xmax - a.xmin) * (a.ymax - a.ymin) AS DOUBLE) AS own FROM f_osm a JOIN f_areas b ON a.osm_id % 5 = 0 AND {_overlap('a', 'b')} > 0",
+    "polygon_overlap": f"SELECT a.osm_id, b.area_id, CAST({_overlap('a', 'b')} AS DOUBLE) AS shared, CAST((a.xmax - a.xmin) * (a.ymax - a.ymin) AS DOUBLE) AS own FROM f_osm a JOIN f_areas b ON {_overlap('a', 'b')} > 0",
 }
 
 QUERIES = {name: globals()[name] for name in SQL}

@@ -36,7 +36,7 @@ def join_endpoints(s, d):
 
 
 def service_area(s, d):
-    inside = net.subgraph(view(s, d, "f_edges"), view(s, d, "f_nodes").where("x BETWEEN 500 AND 1500 AND osmid % 4 <> 0"))
+    inside = net.subgraph(view(s, d, "f_edges"), view(s, d, "f_nodes").where("x BETWEEN 130 AND 3600 AND y BETWEEN 130 AND 3300"))
     boxes = inside.select(F.least("ux", "vx").alias("xmin"), F.least("uy", "vy").alias("ymin"), F.greatest("ux", "vx").alias("xmax"), F.greatest("uy", "vy").alias("ymax"))
     return rp.service_area_cells(view(s, d, "f_grid"), boxes, 250.0).select("grid_id", "pop_est")
 
@@ -55,7 +55,7 @@ SQL = {
       SELECT people, area, (SELECT r_name FROM region WHERE r_regionkey = 1) AS r_name, ROUND(people / area, 6) AS density, (SELECT COUNT(*) FROM m WHERE n) AS presence, (SELECT COUNT(*) FROM m) AS presence_of FROM c""",
     "report_first_known": "SELECT point_id, COALESCE(d_pt_gtfs, d_pt_osm) AS d_pt FROM f_points",
     "join_endpoints": "SELECT p.ogc_fid AS point_id, p.ogc_fid * 2 % 4000 AS edge_ogc_fid, e.u AS n1, e.v AS n2, a.x AS n1_x, a.y AS n1_y, b.x AS n2_x, b.y AS n2_y FROM f_edges p LEFT JOIN f_edges e ON e.ogc_fid = p.ogc_fid * 2 % 4000 LEFT JOIN f_nodes a ON a.osmid = e.u LEFT JOIN f_nodes b ON b.osmid = e.v",
-    "service_area": """WITH n AS (SELECT osmid FROM f_nodes WHERE x BETWEEN 500 AND 1500 AND osmid % 4 <> 0), e AS (SELECT LEAST(ux, vx) AS xmin, LEAST(uy, vy) AS ymin, GREATEST(ux, vx) AS xmax, GREATEST(uy, vy) AS ymax FROM f_edges WHERE u IN (SELECT osmid FROM n) AND v IN (SELECT osmid FROM n))
+    "service_area": """WITH n AS (SELECT osmid FROM f_nodes WHERE x BETWEEN 130 AND 3600 AND y BETWEEN 130 AND 3300), e AS (SELECT LEAST(ux, vx) AS xmin, LEAST(uy, vy) AS ymin, GREATEST(ux, vx) AS xmax, GREATEST(uy, vy) AS ymax FROM f_edges WHERE u IN (SELECT osmid FROM n) AND v IN (SELECT osmid FROM n))
       SELECT grid_id, pop_est FROM f_grid g WHERE pop_est <> 0 AND EXISTS (SELECT 1 FROM e WHERE e.xmin <= g.xmax AND g.xmin <= e.xmax AND e.ymin <= g.ymax AND g.ymin <= e.ymax)""",
 }
 

@@ -102,7 +102,7 @@ SQL = {
     "src_areas": "SELECT ROW_NUMBER() OVER (ORDER BY area_name) AS grid_id, area_name, dwellings AS pop_est FROM f_areas",
     "src_covariates": "SELECT n_name, n_regionkey FROM nation WHERE n_regionkey = 2",
     "src_gtfs": "SELECT CAST(stop_id AS VARCHAR) AS stop_id, COUNT(*) AS n, COUNT(departure_time) AS timed FROM f_stop_times JOIN f_stops USING (stop_id) WHERE stop_lon BETWEEN -15.55 AND -15.25 AND stop_lat BETWEEN 27.95 AND 28.25 GROUP BY 1",
-    "src_policy": "SELECT p_partkey AS row_id, p_name AS indicators, p_name AS threshold_explanation FROM part WHERE p_partkey % 10 = 0",
+    "src_policy": "SELECT p_partkey AS row_id, p_name AS indicators, p_name AS threshold_explanation FROM part",
     "snk_geojson": "SELECT area_id, area_name, 'Polygon' AS shape, CAST(xmax AS DOUBLE) AS xmax, CAST(ymax AS DOUBLE) AS ymax FROM f_areas",
     "prj_tags": """SELECT osm_id, CAST(NULL AS VARCHAR) AS golf, '{' || ARRAY_TO_STRING(LIST_FILTER([CASE WHEN amenity IS NOT NULL THEN '"amenity":"' || amenity || '"' END, CASE WHEN leisure IS NOT NULL THEN '"leisure":"' || leisure || '"' END], LAMBDA x: x IS NOT NULL), ',') || '}' AS tags, CAST(1 AS INT) AS kept FROM f_osm""",
     "win_number_within": "SELECT u, v, CAST(ROW_NUMBER() OVER (PARTITION BY u ORDER BY v) AS INT) AS k, u || ',' || ROW_NUMBER() OVER (PARTITION BY u ORDER BY v) AS u_k FROM f_edges",
