@@ -18,7 +18,7 @@ CHUNK = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 2**64)
-_CODE = np.random.default_rng(7).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_CODES = np.random.default_rng(7).integers(1, 2**63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _POWERS: dict[str, np.ndarray] = {}
 
 
@@ -39,12 +39,15 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 class Hashed:
-    """Hashes of any substring of a byte string, from one running sum."""
+    """Hashes of any substring of a byte string, from one running sum.
 
-    def __init__(self, raw: np.ndarray):
+    ``family`` (0 or 1) picks one of two independent hashes.
+    """
+
+    def __init__(self, raw: np.ndarray, family: int = 0):
         self.up, down = _powers(len(raw) + 1)
         self.sums = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum(_CODE[raw] * down[: len(raw)], out=self.sums[1:])
+        np.cumsum(_CODES[family][raw] * down[: len(raw)], out=self.sums[1:])
 
     def slices(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Mixed 64-bit hashes of the bytes from ``start`` to ``end``."""
