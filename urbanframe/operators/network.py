@@ -50,23 +50,24 @@ def reach(edges: DataFrame, sources: DataFrame, limit: float, source: str = "osm
     """``src, node, dist``: network distances up to ``limit`` from each source, itself at 0.
 
     A frontier grows edge by edge. Only pairs that got nearer go on, distances
-    are combined before each shuffle, each round is written to the shared
-    folder, and the loop ends when nothing improves.
+    are combined before each shuffle, each round's gains alone are written to the
+    shared folder, and the loop ends when nothing improves. The nearest of all
+    gains is the distance.
     """
     ways = checkpointed(adjacency(edges))
-    known = checkpointed(sources.select(F.col(source).alias("src")).distinct().select("src", F.col("src").alias("node"), F.lit(0).cast(ways.schema["length"].dataType).alias("dist")))
-    frontier = known
+    frontier = checkpointed(sources.select(F.col(source).alias("src")).distinct().select("src", F.col("src").alias("node"), F.lit(0).cast(ways.schema["length"].dataType).alias("dist")))
+    known = frontier
     while True:
         step = frontier.join(ways, "node").select("src", F.col("next").alias("node"), (F.col("dist") + F.col("length")).alias("dist")).where(F.col("dist") <= limit)
-        step = step.groupBy("src", "node").agg(F.min("dist").alias("dist"))
-        old = known.select("src", "node", F.col("dist").alias("_old"))
-        frontier = checkpointed(step.join(old, ["src", "node"], "left").where("_old IS NULL OR dist < _old").drop("_old"))
+        step = step.withColumn("new", F.lit(True)).unionByName(known.withColumn("new", F.lit(False)))
+        best = step.groupBy("src", "node").agg(F.min(F.when(F.col("new"), F.col("dist"))).alias("dist"), F.min(F.when(~F.col("new"), F.col("dist"))).alias("_old"))
+        frontier = checkpointed(best.where("dist IS NOT NULL AND (_old IS NULL OR dist < _old)").drop("_old"))
         if not frontier.limit(1).count():
-            return known
-        known = checkpointed(known.join(frontier.select("src", "node"), ["src", "node"], "left_anti").unionByName(frontier))
+            return known.groupBy("src", "node").agg(F.min("dist").alias("dist"))
+        known = known.unionByName(frontier)
 
 
-def associate(points: DataFrame, edges: DataFrame, point_id: str, farthest: float = 10_000.0) -> DataFrame:
+def associate(points: DataFrame, edges: DataFrame, point_id: str, farthest: float | None = None) -> DataFrame:
     """Points with their nearest edge's ends and whole-metre offsets along it:
     ``edge_ogc_fid, n1, n2, n1_distance, n2_distance, match_distance``."""
     found = nearest_edge(points, edges, point_id, farthest=farthest)

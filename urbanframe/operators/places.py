@@ -7,9 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from urbanframe.functions.geometry import box_overlap_area, box_shared_border
+from urbanframe.functions.geometry import box_overlap_area, box_shared_border, centroid, make_point, nearest_on_line
 from urbanframe.operators.graph import components
-from urbanframe.operators.spatial import BOX, box_join, covered_by_other, within_distance
+from urbanframe.operators.spatial import BOX, box_join, covered_by_other, with_line_box, with_point_box, within_distance
 from urbanframe.session import checkpointed
 
 # -- destinations -------------------------------------------------------------
@@ -43,8 +43,9 @@ def classify_tags(features: DataFrame, rules: dict[str, list[dict]]) -> DataFram
 
 
 def destinations(points: DataFrame, areas: DataFrame) -> DataFrame:
-    """Points as they are and areas by the middle of their box: ``osm_id, dest_name, x, y``."""
-    middle = areas.select("osm_id", "dest_name", ((F.col("xmin") + F.col("xmax")) / 2).alias("x"), ((F.col("ymin") + F.col("ymax")) / 2).alias("y"))
+    """Points as they are and areas by their centroid (of ``polygon`` where there is one, else of the box): ``osm_id, dest_name, x, y``."""
+    place = centroid(F.col("polygon")) if "polygon" in areas.columns else make_point((F.col("xmin") + F.col("xmax")) / 2, (F.col("ymin") + F.col("ymax")) / 2)
+    middle = areas.select("osm_id", "dest_name", place.alias("_p")).select("osm_id", "dest_name", F.col("_p.x").alias("x"), F.col("_p.y").alias("y"))
     return points.select("osm_id", "dest_name", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")).unionByName(middle)
 
 
@@ -119,11 +120,20 @@ EXCLUDED_KEYS = ("military", "agricultural", "forestry")
 EXCLUDED_VALUES = {"access": ("employee", "no", "private", "privates", "staff"), "landuse": ("military", "industrial")}
 WATER = ("atoll", "awash_rock", "bay", "coastal", "coastline", "coastline_old", "glacier", "high-water", "hot_spring", "island", "islet", "lake", "marsh", "oasis", "old_coastline_import", "peninsula", "pond", "river", "river_terrace", "riverbank", "riverbed", "shoal", "spring", "strait", "stream", "swamp", "swimming_pool", "underwater_rock", "unprotected_spring", "unprotected_well", "water", "water_park", "waterfall", "waterhole", "waterway", "wetland")
 LINEAR = ("river", "riverbank", "riverbed", "strait", "waterway", "stream", "ditch", "river", "drain", "canal", "rapids", "drystream", "brook", "derelict_canal", "fairway")
+WATER_SPORTS = ("swimming", "surfing", "canoe", "scuba_diving", "rowing", "sailing", "fishing", "water_ski", "water_sports", "diving", "windsurfing", "canoeing", "kayak")
+OPEN_BOUNDARY = ("national_park", "nature_reserve", "forest", "state_forest", "state_park", "regional_park", "park", "county_park")
+OPEN_VALUES = {"place": ("square",), "highway": ("pedestrian",)}
 NOT_PUBLIC = {
-    "amenity": ("aged_care", "allotments", "bank", "bar", "carpark", "childcare", "casino", "church", "club", "college", "fast_food", "grave_yard", "hospital", "gym", "kindergarten", "parking", "prison", "school", "university"),
+    "amenity": ("aged_care", "animal_boarding", "allotments", "bank", "bar", "biergarten", "boatyard", "carpark", "childcare", "casino", "church", "club", "club_house", "college", "conference_centre", "embassy", "fast_food", "garden_centre", "grave_yard", "hospital", "gym", "kindergarten", "monastery", "motel", "nursing_home", "parking", "parking_space", "prison", "retirement", "retirement_home", "retirement_village", "school", "scout_hut", "university"),
     "leisure": ("garden", "golf_course", "horse_riding", "pitch", "racetrack", "summer_camp", "sports_club", "stadium", "sports_centre"),
+    "building": ("yes",),
+    "area": ("school",),
     "natural_tag": ("fell", "bay", "bog", "cliff", "geyser", "reef", "scrub", "sinkhole", "strait", "volcano", "wetland", "wood", "water"),
+    "recreation_ground": ("showground", "school_playing_field", "horse_racing", "show_grounds", "school_playing_fields"),
+    "sport": ("archery", "badminton", "bocce", "boules", "bowls", "croquet", "dog_racing", "equestrian", "futsal", "gokarts", "golf", "greyhound_racing", "horse_racing", "karting", "lacross", "lacrosse", "lawn_bowls", "motocross", "motor", "motorcycle", "polo", "shooting", "snooker", "trugo"),
     "access": ("customers", "private", "no"),
+    "tourism": ("alpine_hut", "apartment", "aquarium", "bed_and_breakfast", "caravan_site", "chalet", "gallery", "guest_house", "hostel", "hotel", "information", "motel", "museum", "theme_park", "zoo"),
+    "garden:type": ("residential", "residental", "private", "commercial", "pub", "school", "roof_garden"),
 }
 
 
@@ -133,7 +143,7 @@ def ensure_columns(df: DataFrame, names: list[str]) -> DataFrame:
 
 
 def _among(df: DataFrame, values: dict[str, tuple[str, ...]]) -> Column:
-    hits = [F.coalesce(F.col(k).isin(*v), F.lit(False)) for k, v in values.items() if k in df.columns]
+    hits = [F.coalesce(F.col(f"`{k}`").isin(*v), F.lit(False)) for k, v in values.items() if k in df.columns]
     return reduce(lambda a, b: a | b, hits, F.lit(False))
 
 
@@ -146,7 +156,7 @@ def exclusions(features: DataFrame) -> DataFrame:
 def candidates(features: DataFrame) -> DataFrame:
     """Features that may be open space."""
     open_keys = [F.col(k).isNotNull() for k in ("leisure", "beach") if k in features.columns]
-    return features.where(reduce(lambda a, b: a | b, open_keys, F.lit(False)) | _among(features, {"landuse": OPEN_LANDUSE}))
+    return features.where(reduce(lambda a, b: a | b, open_keys, F.lit(False)) | _among(features, {"landuse": OPEN_LANDUSE, "boundary": OPEN_BOUNDARY, **OPEN_VALUES}))
 
 
 def covered_strips(boxes: DataFrame, keys: list[str]) -> DataFrame:
@@ -198,7 +208,7 @@ def cut_exclusions(spaces: DataFrame, excluded: DataFrame, key: str, cell: float
 
 def water_linear(df: DataFrame) -> DataFrame:
     """``water_feature`` (true or false), ``linear_tag`` (null unless true) and ``linear_feature``."""
-    water = _among(df, {"natural_tag": WATER, "landuse": WATER, "leisure": WATER})
+    water = _among(df, {"natural_tag": WATER, "landuse": WATER, "leisure": WATER, "sport": WATER_SPORTS})
     keyed = [F.col(k).isNotNull() for k in ("beach", "river", "water", "waterway", "wetland") if k in df.columns]
     tag = _among(df, {"waterway": LINEAR, "natural_tag": LINEAR, "landuse": LINEAR, "leisure": LINEAR})
     flowing = [F.col(k).isNotNull() for k in ("waterway", "river") if k in df.columns]
@@ -286,8 +296,9 @@ def perimeter_nodes(areas: DataFrame, key: str, step: float = 20.0) -> DataFrame
     return rows.select(key, (F.col("pos") + 1).alias("node"), x.cast("double").alias("x"), y.cast("double").alias("y"))
 
 
-def near_network(nodes: DataFrame, edge_boxes: DataFrame, key: str, d: float = 30.0) -> DataFrame:
-    """Access points at most ``d`` from the network (boxes of its edges)."""
-    boxed = nodes.withColumns({"xmin": F.col("x"), "ymin": F.col("y"), "xmax": F.col("x"), "ymax": F.col("y")})
-    hits = within_distance(boxed, edge_boxes, d, 100.0).select(F.col(f"a_{key}").alias(key), F.col("a_node").alias("node"))
+def near_network(nodes: DataFrame, edges: DataFrame, key: str, d: float = 30.0) -> DataFrame:
+    """Access points at most ``d`` from the network (edges with a ``line``)."""
+    pairs = box_join(with_point_box(nodes), with_line_box(edges.select("line")), 100.0, margin=d)
+    near = F.round(nearest_on_line(F.col("b_line"), make_point(F.col("a_x"), F.col("a_y")))["distance"], 9) <= d
+    hits = pairs.where(near).select(F.col(f"a_{key}").alias(key), F.col("a_node").alias("node"))
     return nodes.join(hits, [key, "node"], "left_semi")

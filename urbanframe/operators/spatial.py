@@ -96,11 +96,12 @@ def anti(points: DataFrame, areas: DataFrame, point_id: str, cell: float) -> Dat
 
 
 def semi_any(points: DataFrame, covers: list[DataFrame], point_id: str, cell: float) -> DataFrame:
-    """Points inside any area of any cover."""
-    boxes = covers[0].select(*BOX)
-    for c in covers[1:]:
-        boxes = boxes.unionByName(c.select(*BOX))
-    return semi(points, boxes, point_id, cell)
+    """Points inside any area of any cover, rectangles or polygons."""
+    hits = None
+    for cover in covers:
+        found = points_in_areas(points, cover.select(*BOX, *(c for c in ("polygon",) if c in cover.columns)), cell).select(F.col(f"a_{point_id}").alias(point_id))
+        hits = found if hits is None else hits.unionByName(found)
+    return points.join(hits, point_id, "left_semi")
 
 
 def anti_below(points: DataFrame, cells: DataFrame, point_id: str, measure: str, least: float, cell: float, exempt: DataFrame | None = None) -> DataFrame:
@@ -144,13 +145,13 @@ def covered_by_other(shapes: DataFrame, key: str, cell: float) -> DataFrame:
     return pairs.where(covers).select(F.col(f"a_{key}").alias("inner"), F.col(f"b_{key}").alias("outer"))
 
 
-def nearest_edge(points: DataFrame, edges: DataFrame, point_id: str, edge_id: str = "ogc_fid", radius: float = 150.0, farthest: float = 10_000.0) -> DataFrame:
+def nearest_edge(points: DataFrame, edges: DataFrame, point_id: str, edge_id: str = "ogc_fid", radius: float = 150.0, farthest: float | None = None) -> DataFrame:
     """Each point's nearest edge: ``point_id, edge_id, distance, before, mx, my``.
 
     ``before`` is the length of the edge up to the nearest place ``mx, my``.
     Candidates come from tiles within ``radius``; only points without one are
-    looked for again, four times as far, up to ``farthest``. Equal distances
-    take the lowest edge id.
+    looked for again, four times as far, up to ``farthest`` or, without it, until
+    every point has its edge. Equal distances take the lowest edge id.
     """
     lines = with_line_box(edges.select(edge_id, "line"))
     todo = points.select(point_id, "x", "y")
@@ -164,7 +165,14 @@ def nearest_edge(points: DataFrame, edges: DataFrame, point_id: str, edge_id: st
         out = found if out is None else out.unionByName(found)
         radius *= 4
         todo = checkpointed(todo.join(found, point_id, "left_anti"))
-        if radius > farthest * 4 or not todo.limit(1).count():
+        if not todo.limit(1).count():
+            return out
+        if farthest is None:
+            # Beyond this radius every edge has been looked at.
+            both = with_point_box(todo).select(*BOX).unionByName(lines.select(*BOX))
+            width, height = both.agg(F.max("xmax") - F.min("xmin"), F.max("ymax") - F.min("ymin")).first()
+            farthest = float(width + height) if lines.limit(1).count() else 0.0
+        if radius > farthest * 4:
             return out
 
 

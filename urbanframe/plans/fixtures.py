@@ -1,7 +1,8 @@
 """Derived input views, as plain SQL that Spark and DuckDB read alike.
 
 The library's inputs (network, grid, places, timetable, policy, pixels) are
-derived from the given tables, so every query's work grows with them.
+derived from the given tables, so every query's work grows with them. The plane
+grows with the tables: more places lie farther north, none denser.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ SELECT gy * 1000 + gx AS grid_id, gx * 250 AS xmin, gy * 250 AS ymin, gx * 250 +
 """,
     "f_destinations": r"""
 SELECT s_suppkey AS dest_oid, CASE s_nationkey % 3 WHEN 0 THEN 'fresh_food_market' WHEN 1 THEN 'convenience' ELSE 'pt_any' END AS dest_name,
- (s_suppkey * 7919) % 4000 AS x, (s_suppkey * 10473) % 3700 AS y FROM supplier
+ (s_suppkey * 7919) % 4000 AS x, (s_suppkey * 10473) % 3700 + CAST(FLOOR(s_suppkey / 101) AS BIGINT) * 3750 AS y FROM supplier
 """,
     "f_osm": r"""
 SELECT p_partkey AS osm_id, CASE p_size % 6 WHEN 0 THEN 'supermarket' WHEN 1 THEN 'bakery' WHEN 2 THEN 'convenience' WHEN 3 THEN 'kiosk' END AS shop,
@@ -38,8 +39,8 @@ SELECT p_partkey AS osm_id, CASE p_size % 6 WHEN 0 THEN 'supermarket' WHEN 1 THE
  CASE p_partkey % 9 WHEN 0 THEN 'wood' WHEN 1 THEN 'water' END AS natural_tag,
  CASE p_partkey % 13 WHEN 0 THEN 'private' WHEN 1 THEN 'no' END AS access,
  CASE p_partkey % 31 WHEN 0 THEN 'military' WHEN 1 THEN 'forest' END AS landuse,
- (p_partkey * 6151) % 3900 AS xmin, (p_partkey * 3571) % 3600 AS ymin,
- (p_partkey * 6151) % 3900 + 20 + p_size * 4 AS xmax, (p_partkey * 3571) % 3600 + 20 + (p_partkey % 50) * 4 AS ymax FROM part
+ (p_partkey * 6151) % 3900 AS xmin, (p_partkey * 3571) % 3600 + CAST(FLOOR(p_partkey / 2001) AS BIGINT) * 3750 AS ymin,
+ (p_partkey * 6151) % 3900 + 20 + p_size * 4 AS xmax, (p_partkey * 3571) % 3600 + CAST(FLOOR(p_partkey / 2001) AS BIGINT) * 3750 + 20 + (p_partkey % 50) * 4 AS ymax FROM part
 """,
     "f_areas": r"""
 SELECT n_nationkey AS area_id, n_name AS area_name, (n_nationkey % 5) * 800 + 37 AS xmin, CAST(FLOOR(n_nationkey / 5) AS BIGINT) * 740 + 53 AS ymin,

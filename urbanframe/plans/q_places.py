@@ -226,8 +226,7 @@ def pos_perimeter(s, d):
 
 def pos_access(s, d):
     parks = pl.perimeter_nodes(_osm(s, d).where("leisure = 'park' AND (xmax - xmin) * (ymax - ymin) > 15000"), "osm_id")
-    edges = view(s, d, "f_edges").select("ogc_fid", F.least("ux", "vx").alias("xmin"), F.least("uy", "vy").alias("ymin"), F.greatest("ux", "vx").alias("xmax"), F.greatest("uy", "vy").alias("ymax"))
-    return pl.near_network(parks, edges, "osm_id", 30.0).select("osm_id", "node")
+    return pl.near_network(parks, _lines(s, d), "osm_id", 30.0).select("osm_id", "node")
 
 
 def _in(p: str, b: str) -> str:
@@ -357,7 +356,7 @@ SQL = {
     "pos_clusters": f"WITH RECURSIVE {SPACES}, {LINEARS}, {PUBLIC}, {CLUSTERS} SELECT aos_id, aos_class, members, ROUND(aos_ha, 6) AS aos_ha, ROUND(aos_ha_public, 6) AS aos_ha_public, ROUND(aos_ha_water, 6) AS aos_ha_water, ROUND(COALESCE(100 * aos_ha_water / NULLIF(aos_ha, 0), 0), 6) AS water_percent FROM aos",
     "pos_roundness": "SELECT osm_id, ROUND((xmax - xmin) * (ymax - ymin) / (3.141592653589793::DOUBLE * ((xmax - xmin) * (xmax - xmin) + (ymax - ymin) * (ymax - ymin)) / 4), 6) AS roundness, ROUND(SQRT(((xmax - xmin) * (xmax - xmin) + (ymax - ymin) * (ymax - ymin))::DOUBLE), 6) AS diameter FROM f_osm",
     "pos_perimeter": f"WITH {RING.format(more='')} SELECT * FROM nodes20",
-    "pos_access": f"WITH {RING.format(more='AND (xmax - xmin) * (ymax - ymin) > 15000')} SELECT osm_id, node FROM nodes20 p WHERE EXISTS (SELECT 1 FROM f_edges e WHERE SQRT(POWER(GREATEST(0, LEAST(e.ux, e.vx) - p.x, p.x - GREATEST(e.ux, e.vx)), 2) + POWER(GREATEST(0, LEAST(e.uy, e.vy) - p.y, p.y - GREATEST(e.uy, e.vy)), 2)) <= 30)",
+    "pos_access": f"WITH {RING.format(more='AND (xmax - xmin) * (ymax - ymin) > 15000')} SELECT osm_id, node FROM nodes20 p WHERE EXISTS (SELECT 1 FROM f_edges e WHERE GREATEST(e.ux, e.vx) >= p.x - 30 AND LEAST(e.ux, e.vx) <= p.x + 30 AND GREATEST(e.uy, e.vy) >= p.y - 30 AND LEAST(e.uy, e.vy) <= p.y + 30 AND ROUND(SQRT(POWER(e.ux + (e.vx - e.ux) * {T} - p.x, 2) + POWER(e.uy + (e.vy - e.uy) * {T} - p.y, 2)), 9) <= 30)",
     "polygon_overlap": f"SELECT a.osm_id, b.area_id, CAST({_overlap('a', 'b')} AS DOUBLE) AS shared, CAST((a.xmax - a.xmin) * (a.ymax - a.ymin) AS DOUBLE) AS own FROM f_osm a JOIN f_areas b ON {_overlap('a', 'b')} > 0",
 }
 

@@ -10,11 +10,16 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``; where that is
-    unset (tests on one machine) a temporary folder."""
+    """The folder that all executors share: ``spark.checkpoint.dir``.
+
+    Where that is unset, a temporary folder serves a session on one machine; on
+    a cluster other machines would not see it, so that is an error.
+    """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not (context.master == "local" or context.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-"))
     return context.getCheckpointDir()
 
