@@ -320,6 +320,8 @@ def brute_repeats(rows, length=100):
 @pytest.mark.parametrize("batches", [1, 2, 5])
 def test_repeats(docs, rows, batches, monkeypatch):
     monkeypatch.setattr(repeats, "BLOCK_SUFFIXES", 500)
+    monkeypatch.setattr(repeats, "BLOCK_PIECES", 300)
+    monkeypatch.setattr(repeats, "HOT", 3)
     got = {r.doc_id: (bytes(r.kept), len(r.spans or [])) for r in repeats.without_repeats(docs.select("doc_id", "text"), batches=batches).collect()}
     assert got == brute_repeats([r[:2] for r in rows])
 
@@ -333,10 +335,34 @@ def test_repeats_random_and_empty(spark, nothing):
 
 
 def test_index_levels_merge(spark):
-    family = repeats.IndexFamily()
-    for i in range(5):
-        family.add(spark.createDataFrame([(i, prose(60))], "doc_id long, text string"))
-    assert [n for n, _ in family.levels] == [4, 1]
+    family = repeats.IndexFamily(spark)
+    base = prose(60)
+    rows = [(i, f"{base[: 150 + 40 * i]} and {prose(20)} {base}") for i in range(5)]
+    for row in rows:
+        family.add(spark.createDataFrame([row], "_key long, text string"))
+    assert [n for n, _ in family.levels] == [4, 1] and family.merges == 3
+    spans = {r["_key"]: [tuple(s) for s in r.spans] for r in family.covered(spark.createDataFrame(rows, "_key long, text string")).collect()}
+    family.close()
+    kept = {k: b"".join(raw[a:b] for a, b in zip([0, *(e for _, e in spans.get(k, []))], [*(s for s, _ in spans.get(k, [])), len(raw)])) for k, text in rows for raw in [text.encode()]}
+    assert kept == {k: v[0] for k, v in brute_repeats(rows).items()}
+
+
+def test_the_query_merges_levels(spark, docs, monkeypatch):
+    seen = []
+    close = repeats.IndexFamily.close
+    monkeypatch.setattr(repeats.IndexFamily, "close", lambda self: (seen.append((self.merges, [n for n, _ in self.levels])), close(self))[1])
+    repeats.without_repeats(docs.select("doc_id", "text"))
+    assert seen == [(1, [2, 1])]
+
+
+def test_repeats_null_and_repeated_ids(spark):
+    base, other = prose(40), prose(40)
+    rows = [(4, base + " x"), (4, base + " x"), (4, other), (None, base + other), (None, None), (2, other + " first")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(bytes(r.kept) for r in repeats.without_repeats(df).collect())
+    # 2 comes first, then the two texts of 4 in either order (they share nothing), then the null id.
+    want = {k: v[0] for k, v in brute_repeats([(2, other + " first"), (4.1, base + " x"), (4.2, other), (9, base + other)]).items()}
+    assert got == sorted([want[2], want[4.1], want[4.1], want[4.2], want[9], b""])
 
 
 def test_repeats_stage_keeps_columns(spark, docs, rows):

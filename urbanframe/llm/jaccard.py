@@ -47,11 +47,13 @@ from urbanframe.operators.graph import components
 
 WORDS = 5
 PERCENT = 80
-FREQUENT = 1_000_000
+FREQUENT = 500_000
 BLOCK_GRAMS = 2_000_000
 PARTS = 128
 #: Documents under a gram beyond which a hub is compared first.
 MANY = 64
+#: Rounds of hubs.
+HUB_ROUNDS = 4
 #: Counted documents of a gram from which its postings are dealt out by document as well.
 HOT = 512
 #: Bits of the table that most rare grams are ruled out by.
@@ -123,8 +125,10 @@ def _most_frequent(counted: DataFrame, most: int) -> tuple[np.ndarray, np.ndarra
         least = r["n"]
     if least is None:
         return np.zeros(0, np.int64), np.zeros(0, np.int32)
-    often = totals.where(F.col("n") >= least).toPandas().sort_values("gram")
-    return often["gram"].to_numpy(np.int64), often["n"].to_numpy(np.int32)
+    often = totals.where(F.col("n") >= least).toArrow()
+    grams, counts = (often[c].to_numpy() for c in ("gram", "n"))
+    order = np.argsort(grams)
+    return grams[order], counts[order]
 
 
 def _sift(grams: np.ndarray) -> np.ndarray:
@@ -166,17 +170,14 @@ def _prefixes(texts: DataFrame, frequent, words: int, percent: int) -> DataFrame
     return texts.select("_key", "text").mapInPandas(run, "gram long, _key long, n int, place int, hot boolean")
 
 
-def _sets(texts: DataFrame, words: int) -> DataFrame:
-    """``_key, n, grams, parts``: whole sets and the sizes of their parts."""
+def _parts(texts: DataFrame, words: int) -> DataFrame:
+    """``_key, parts``: the sizes of the parts of each set."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for start in range(0, len(frame), 250):
-                part = frame.iloc[start : start + 250]
-                own = list(gram_sets(part["text"].tolist(), words))
-                yield pd.DataFrame({"_key": part["_key"].to_numpy(), "n": np.array([len(g) for g in own], np.int32), "grams": own, "parts": [_part_sizes(g) for g in own]})
+            yield pd.DataFrame({"_key": frame["_key"], "parts": [_part_sizes(g) for g in gram_sets(frame["text"].tolist(), words)]})
 
-    return texts.select("_key", "text").mapInPandas(run, "_key long, n int, grams array<long>, parts array<short>")
+    return texts.select("_key", "text").mapInPandas(run, "_key long, parts array<short>")
 
 
 def _early(percent: int) -> Column:
@@ -217,20 +218,36 @@ def _parts_fit(a: str, b: str, n_a, n_b, percent: int) -> Column:
     return F.coalesce(bound * (100 + percent) >= percent * (n_a + n_b), F.lit(True))
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _with_parts(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+    """Pairs with ``parts_a, parts_b``."""
+    for side in "ba":
+        pairs = pairs.join(parts.select(F.col("_key").alias(side), F.col("parts").alias(f"parts_{side}")), side)
+    return pairs
+
+
+def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs ``a, b`` whose sets reach the threshold.
 
-    The suffix filter goes first, on the short part sizes, so only likely pairs
-    carry whole sets.
+    Texts travel to the pairs and become sets there: they take less room than
+    sets of hashes.
     """
+    ends = checkpointed(pairs.select(F.col("a").alias("_key")).unionByName(pairs.select(F.col("b").alias("_key"))).distinct())
+    own = texts.select("_key", "text").join(broadcast_if_small(ends, 2_000_000), "_key", "left_semi")
+    for side in "ba":
+        pairs = pairs.join(own.select(F.col("_key").alias(side), F.col("text").alias(f"text_{side}")), side)
 
-    def joined(left: DataFrame, side: str, *columns: str) -> DataFrame:
-        return left.join(sets.select(F.col("_key").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            held = dict(zip(frame["a"].tolist(), frame["text_a"])) | dict(zip(frame["b"].tolist(), frame["text_b"]))
+            sets = dict(zip(held, gram_sets(list(held.values()), words)))
+            linked = []
+            for x, y in zip(frame["a"].tolist(), frame["b"].tolist()):
+                both = np.sort(np.concatenate([sets[x], sets[y]]))
+                shared = int((both[1:] == both[:-1]).sum())
+                linked.append(shared * (100 + percent) >= percent * len(both))
+            yield frame.loc[linked, ["a", "b"]]
 
-    near = joined(joined(pairs, "b", "parts", "n"), "a", "parts", "n").where(_parts_fit("parts_a", "parts_b", F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
-    shared = F.size(F.array_intersect("grams_a", "grams_b"))
-    enough = shared * (100 + percent) >= percent * (F.size("grams_a") + F.size("grams_b"))
-    return joined(joined(checkpointed(near), "b", "grams"), "a", "grams").where(enough).select("a", "b")
+    return pairs.select("a", "b", "text_a", "text_b").mapInPandas(run, "a long, b long")
 
 
 def _crowd(postings: DataFrame, found: DataFrame | None) -> DataFrame:
@@ -251,19 +268,24 @@ def _hub_pairs(crowd: DataFrame, turn: int, percent: int) -> DataFrame:
     return smaller.unionByName(larger).where("comp_a <> comp_b").select(F.col("_key_a").alias("a"), F.col("_key_b").alias("b"))
 
 
-def _crowd_pairs(crowd: DataFrame, percent: int) -> DataFrame:
-    """All candidates of different components under crowded grams, joined by gram and size range."""
+def _crowd_pairs(crowd: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """All candidates of different components under crowded grams, joined by gram and size range.
+
+    The suffix filter is part of the join, so that only likely pairs leave it.
+    """
     step = F.floor(F.log("n") / float(np.log(100 / percent)) + 1e-9).cast("int")
+    crowd = crowd.join(parts, "_key")
     small = crowd.withColumn("range", step)
     large = crowd.withColumn("range", F.explode(F.array(step, step - 1)))
-    return _sides(small, large, ["gram", "range"], percent, "comp").where("comp_a <> comp_b").select(F.col("_key_a").alias("a"), F.col("_key_b").alias("b"))
+    pairs = _sides(small, large, ["gram", "range"], percent, "comp", "parts").where("comp_a <> comp_b")
+    return pairs.where(_parts_fit("parts_a", "parts_b", F.col("n_a"), F.col("n_b"), percent)).select(F.col("_key_a").alias("a"), F.col("_key_b").alias("b"))
 
 
 def _blank() -> Column:
     return ~F.coalesce(F.col("text").rlike(f"[^{SPACE}]"), F.lit(False))
 
 
-def key_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, frequent: int = FREQUENT, hub_rounds: int = 2) -> DataFrame:
+def key_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, frequent: int = FREQUENT, hub_rounds: int = HUB_ROUNDS) -> DataFrame:
     """``_key, n_shingles, component`` of every text of ``_key, text`` that is not blank."""
     spark = docs.sparkSession
     small_batches(spark)
@@ -277,22 +299,27 @@ def key_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     shared = written(_shared_postings(_prefixes(texts, order, words, percent), percent))
 
     few, many = shared.where(F.col("m") <= MANY), shared.where(F.col("m") > MANY)
-    pairs = checkpointed(_sides(few, few, ["gram"], percent).select(F.col("_key_a").alias("a"), F.col("_key_b").alias("b")).distinct())
+    keys = ("_key_a AS a", "_key_b AS b", "n_a", "n_b")
+    pairs = checkpointed(_sides(few, few, ["gram"], percent).selectExpr(*keys).distinct())
     wanted = pairs.select(F.col("a").alias("_key")).unionByName(pairs.select(F.col("b").alias("_key"))).unionByName(many.select("_key")).distinct()
-    sets = written(_sets(texts.join(broadcast_if_small(checkpointed(wanted), 2_000_000), "_key", "left_semi"), words))
+    parts = written(_parts(texts.join(broadcast_if_small(checkpointed(wanted), 2_000_000), "_key", "left_semi"), words))
 
     links, found, tried = None, None, None
     for turn in range(hub_rounds + 1):
         crowd = _crowd(many, found)
+        if turn and not crowd.head(1):
+            break
         if turn == hub_rounds:
-            pairs = _crowd_pairs(crowd, percent).distinct() if turn else pairs.unionByName(_crowd_pairs(crowd, percent)).distinct()
-        elif turn == 0:
-            pairs = pairs.unionByName(_hub_pairs(crowd, turn, percent)).distinct()
+            near = _crowd_pairs(crowd, parts, percent)
         else:
-            pairs = _hub_pairs(crowd, turn, percent).distinct()
-        pairs = checkpointed(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        new = checkpointed(verified(pairs, sets, percent))
+            near = _hub_pairs(crowd, turn, percent)
+        if turn == 0:
+            likely = _parts_fit("parts_a", "parts_b", F.col("n_a"), F.col("n_b"), percent)
+            near = near.unionByName(_with_parts(pairs, parts).where(likely).select("a", "b"))
+        near = near.distinct()
+        near = checkpointed(near if tried is None else near.join(tried, ["a", "b"], "left_anti"))
+        tried = near if tried is None else tried.unionByName(near)
+        new = checkpointed(verified(near, texts, words, percent))
         links = new if links is None else links.unionByName(new)
         found = components(links)
 
