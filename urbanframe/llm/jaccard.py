@@ -362,3 +362,16 @@ def stage_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     if names is not None:
         kept = kept.where(_blank()).unionByName(kept.where(~_blank()).dropDuplicates([key]))
     return kept.select(*docs.columns)
+
+
+OP4_SQL = r"""
+WITH RECURSIVE split AS (SELECT doc_id, REGEXP_EXTRACT_ALL(TRANSLATE(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+grams AS (SELECT DISTINCT doc_id, ARRAY_TO_STRING(w[i:i + 4], ' ') AS g FROM (SELECT doc_id, w, UNNEST(RANGE(1, GREATEST(LEN(w) - 4, 1) + 1)) AS i FROM split WHERE LEN(w) > 0)),
+sizes AS (SELECT doc_id, COUNT(*) AS n FROM grams GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, COUNT(*) AS c FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT x, y FROM pairs JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y WHERE 100 * c >= 80 * (a.n + b.n - c)),
+ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reached AS (SELECT x AS doc_id, x AS other FROM ways UNION SELECT r.doc_id, w.y FROM reached r JOIN ways w ON w.x = r.other),
+roots AS (SELECT doc_id, MIN(other) AS root FROM reached GROUP BY doc_id)
+SELECT doc_id, CAST(COALESCE(n, 0) AS BIGINT) AS n_shingles, COALESCE(root, doc_id) AS component_id FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN roots USING (doc_id)
+"""

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanframe.llm.common import documents, id_fold
+from urbanframe.llm.common import documents, id_fold, small_batches
 
 SAMPLE_ROWS = 3000
 BUCKETS = 4096
@@ -114,6 +114,7 @@ def train(x: np.ndarray, y: np.ndarray, languages: list[str], width: int = 16, e
 
 def fit(docs: DataFrame, keep: Column | None = None, rows: int = SAMPLE_ROWS, seed: int = 23) -> LanguageModel | None:
     """Learn from ``text`` and non-null ``lang`` of rows for which ``keep`` holds, about ``rows`` of them."""
+    small_batches(docs.sparkSession)
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.lit(True) if keep is None else keep)).select("doc_id", "text", "lang")
     total = known.select("doc_id").count()
     share = 2**30 if total <= rows else int(2**30 * rows / total)

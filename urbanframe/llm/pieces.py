@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanframe.llm.common import documents
+from urbanframe.llm.common import documents, small_batches
 
 #: Words kept per Python worker, and characters or ids handled at a time.
 CACHE_WORDS = 700_000
@@ -334,6 +334,7 @@ def _chunks(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
 
 def encode(docs: DataFrame, model_path: str | None = None, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``key, ids``: the ids of each whole text, as the library's ``encode`` gives them."""
+    small_batches(docs.sparkSession)
     data = docs.sparkSession.sparkContext.broadcast(read_model(model_path or default_model()))
     key_type = docs.schema[key].dataType.simpleString()
 
@@ -353,6 +354,7 @@ def encode(docs: DataFrame, model_path: str | None = None, text: str = "text", k
 
 def decode(encoded: DataFrame, model_path: str | None = None, key: str = "doc_id") -> DataFrame:
     """Adds ``text``, the decoded text of ``ids``; null ids decode as the empty text."""
+    small_batches(encoded.sparkSession)
     data = encoded.sparkSession.sparkContext.broadcast(read_model(model_path or default_model()))
     key_type = encoded.schema[key].dataType.simpleString()
 

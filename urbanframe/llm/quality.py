@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanframe.llm.common import documents, id_fold, labelled_sample, labels
+from urbanframe.llm.common import documents, fresh, id_fold, labelled_sample, labels, small_batches
 
 SAMPLE_ROWS = 20_000
 
@@ -137,6 +137,7 @@ def statistics_column(text: str = "text") -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame, keep: Column | None = None, rows: int = SAMPLE_ROWS, shrinkage: float = 0.1) -> Discriminant:
     """Learn from labelled documents for which ``keep`` holds, ``rows`` of them at most (about)."""
+    small_batches(docs.sparkSession)
     sample = labelled_sample(labels, "quality", keep, rows)
     found = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "label", statistics_column("text").alias("x")).collect()
     found.sort(key=lambda r: (r.doc_id, r.x))
@@ -171,4 +172,5 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
     model = fit(docs, labels(spark, sf_dir), learnable())
-    return docs.withColumn("_score", score_column(model)).where("_score >= 0.5").select(*docs.columns)
+    score = fresh("_score", docs)
+    return docs.withColumn(score, score_column(model)).where(F.col(score) >= 0.5).select(*docs.columns)

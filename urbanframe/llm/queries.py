@@ -7,14 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from urbanframe.llm.digest import op9_digest
-from urbanframe.llm.jaccard import op4_jaccard
+from urbanframe.llm.jaccard import OP4_SQL, op4_jaccard
 from urbanframe.llm.language import op3_language
 from urbanframe.llm.media import op10_media
 from urbanframe.llm.mixing import OP1_SQL, op1_mix
 from urbanframe.llm.pieces import op2_pieces
 from urbanframe.llm.quality import op6_quality
-from urbanframe.llm.repeats import op8_repeats
-from urbanframe.llm.sharding import op7_shard
+from urbanframe.llm.repeats import OP8_SQL, op8_repeats
+from urbanframe.llm.sharding import OP7_SQL, op7_shard
 from urbanframe.llm.toxicity import op5_toxicity
 
 
@@ -34,4 +34,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix": OP1_SQL}
+    return {"op1_mix": OP1_SQL, "op4_jaccard": OP4_SQL, "op7_shard": OP7_SQL, "op8_repeats": OP8_SQL}

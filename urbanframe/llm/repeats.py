@@ -398,3 +398,18 @@ def stage_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     if "n_chars" in columns:
         found = found.withColumn("n_chars", F.when(F.col("_cut"), F.length("text").cast("bigint")).otherwise(F.col("n_chars")))
     return found.where(~F.col("_cut") | (F.length("text") > 0)).select(*[F.col(clash.get(c, c)).alias(c) for c in columns])
+
+
+OP8_SQL = """
+WITH docs AS (SELECT doc_id, ENCODE(COALESCE(text, '')) AS h FROM documents),
+places AS (SELECT doc_id, h, UNNEST(RANGE(0, OCTET_LENGTH(h) - 99)) AS p FROM docs WHERE OCTET_LENGTH(h) >= 100),
+windows AS (SELECT doc_id, p, ARRAY_SLICE(h, p + 1, p + 100) AS w FROM places),
+later AS (SELECT doc_id, p FROM windows QUALIFY ROW_NUMBER() OVER (PARTITION BY w ORDER BY doc_id, p) > 1),
+fresh AS (SELECT doc_id, p, CASE WHEN p <= LAG(p) OVER (PARTITION BY doc_id ORDER BY p) + 100 THEN 0 ELSE 1 END AS f FROM later),
+runs AS (SELECT doc_id, p, SUM(f) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM fresh),
+spans AS (SELECT doc_id, run, MIN(p) AS b, MAX(p) + 100 AS e FROM runs GROUP BY 1, 2),
+cuts AS (SELECT doc_id, b, e, LAG(e, 1, 0) OVER (PARTITION BY doc_id ORDER BY b) AS a FROM spans),
+kept AS (SELECT doc_id, COUNT(*) AS n_spans, SUM(e - b) AS n_removed, STRING_AGG(HEX(ARRAY_SLICE(h, a + 1, b)), '' ORDER BY b) || HEX(ARRAY_SLICE(ANY_VALUE(h), MAX(e) + 1, OCTET_LENGTH(ANY_VALUE(h)))) AS k FROM cuts JOIN docs USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(OCTET_LENGTH(h) AS BIGINT) AS n_bytes, CAST(COALESCE(n_removed, 0) AS BIGINT) AS n_removed, CAST(COALESCE(n_spans, 0) AS BIGINT) AS n_spans, SHA256(COALESCE(UNHEX(k), h)) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)
+"""

@@ -72,7 +72,7 @@ def shard_of(key: Column, tree: Topology, seed: str = "shard") -> Column:
 
 def with_slots(rows: DataFrame, group: str, key: Column, order: list[str], slot: str = "slot", buckets: int = SLOT_BUCKETS) -> DataFrame:
     """Number the rows of each ``group`` from 0 without gaps, in hash-bucket order of ``key``."""
-    dealt = rows.withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+    dealt = rows.withColumn("_bucket", (F.conv(F.substring(F.md5(key), 14, 4), 16, 10).cast("int") % buckets))
     counts = dealt.groupBy(group, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     ahead = F.sum("_n").over(W.partitionBy(group).orderBy("_bucket")) - F.col("_n")
     starts = counts.select(group, "_bucket", ahead.alias("_start"))
@@ -92,9 +92,48 @@ def shard(docs: DataFrame, shards: int = 8, seed: str = "shard") -> DataFrame:
         shard_of(id_text(), topology(shards), seed).alias("shard"),
         shard_of(id_text(), topology(shards + 1), seed).alias("grown_shard"),
     )
-    return with_slots(placed, "shard", id_text(), ["doc_id", "text_crc32", "size"])
+    return with_slots(placed, "shard", F.concat_ws(":", id_text(), F.col("text_crc32")), ["doc_id", "text_crc32", "size"])
 
 
 def op7_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard(documents(spark, sf_dir), shards=8)
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+def _crc_table() -> list[int]:
+    table = []
+    for n in range(256):
+        for _ in range(8):
+            n = n >> 1 ^ (0xEDB88320 if n & 1 else 0)
+        table.append(n)
+    return table
+
+
+def _winner_sql(children: dict[str, tuple[float, str]]) -> str:
+    if len(children) == 1:
+        return next(iter(children.values()))[1]
+    draws = [f"-LN((CAST('0x' || SUBSTR(MD5('shard:{name}:' || k), 1, 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496::DOUBLE) / {weight}::DOUBLE" for name, (weight, _) in children.items()]
+    values = ", ".join(value for _, value in children.values())
+    return f"[{values}][LIST_POSITION([{', '.join(draws)}], LIST_MIN([{', '.join(draws)}]))]"
+
+
+def _shard_sql(shards: int) -> str:
+    """The descent of the tree as SQL over a key ``k``."""
+    top = {}
+    tree = topology(shards)
+    for region in dict.fromkeys(leaf[0] for leaf in tree):
+        below = {}
+        for rack in dict.fromkeys(leaf[1] for leaf in tree if leaf[0] == region):
+            leaves = {f"shard{s}": (w, str(s)) for _, r, s, w in tree if r == rack}
+            below[rack] = (sum(w for w, _ in leaves.values()), _winner_sql(leaves))
+        top[region] = (sum(w for w, _ in below.values()), _winner_sql(below))
+    return _winner_sql(top)
+
+
+_CRC_SQL = f"XOR(LIST_REDUCE(LIST_TRANSFORM(REGEXP_EXTRACT_ALL(HEX(ENCODE(COALESCE(text, ''))), '..'), LAMBDA x: CAST('0x' || x AS BIGINT)), LAMBDA c, b: XOR(c >> 8, CAST([{', '.join(map(str, _crc_table()))}][CAST(XOR(c, b) & 255 AS INT) + 1] AS BIGINT)), 4294967295::BIGINT), 4294967295::BIGINT)"
+
+OP7_SQL = f"""
+WITH keyed AS (SELECT doc_id, COALESCE(CAST(doc_id AS VARCHAR), '') AS k, CAST(STRLEN(COALESCE(text, '')) + 1 AS BIGINT) AS size, {_CRC_SQL} AS text_crc32 FROM documents),
+placed AS (SELECT doc_id, size, text_crc32, {_shard_sql(8)} AS shard, {_shard_sql(9)} AS grown_shard, CAST('0x' || SUBSTR(MD5(k || ':' || text_crc32), 14, 4) AS INT) % {SLOT_BUCKETS} AS bucket FROM keyed)
+SELECT doc_id, size, text_crc32, 'key' AS law, CAST(shard AS INT) AS shard, CAST(ROW_NUMBER() OVER (PARTITION BY shard ORDER BY bucket, doc_id, text_crc32, size) - 1 AS BIGINT) AS slot, CAST(grown_shard AS INT) AS grown_shard FROM placed
+"""
