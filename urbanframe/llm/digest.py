@@ -173,3 +173,41 @@ COLUMNS = [c.split()[0] for c in SCHEMA.split(", ")]
 
 def op9_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours(documents(spark, sf_dir))
+
+
+def _triplets_sql() -> str:
+    """The six salted triplets of a window ``x0`` to ``x4`` as a list of buckets."""
+    mix = f"[{', '.join(map(str, _MIX.tolist()))}]"
+    at = lambda x: f"{mix}[{x} + 1]"
+    rows = []
+    for salt, (i, j) in enumerate(((1, 2), (1, 3), (2, 3), (1, 4), (2, 4), (3, 4))):
+        inner = at(f"XOR(x0, {37 * salt})")
+        inner = at(f"XOR({inner}, x{i})")
+        rows.append(f"CASE WHEN x{j} IS NOT NULL THEN {at(f'XOR({inner}, x{j})')} END")
+    return f"[{', '.join(rows)}]"
+
+
+def _likeness_sql(a: str, b: str) -> str:
+    ring = lambda q: f"LEAST(2 * LEAST(ABS({a}.{q} - {b}.{q}), 16 - ABS({a}.{q} - {b}.{q})), {MOST_RATIO})"
+    steps = f"LIST_SUM(LIST_TRANSFORM(LIST_ZIP({a}.codes, {b}.codes), LAMBDA z: CASE ABS(z[1] - z[2]) WHEN 3 THEN 6 ELSE ABS(z[1] - z[2]) END))"
+    return f"CASE WHEN {a}.print = {b}.print THEN 1.0::DOUBLE ELSE 1 - (LEAST({steps}, {6 * BUCKETS // 2}) + LEAST(ABS({a}.step - {b}.step), {MOST_LENGTH}) + {ring('r1')} + {ring('r2')}) / {MOST}::DOUBLE END"
+
+
+OP9_SQL = f"""
+WITH docs AS (SELECT doc_id, COALESCE(text, '') AS t, ROW_NUMBER() OVER (ORDER BY doc_id DESC) AS r, COUNT(*) OVER () AS n FROM documents),
+edited AS (SELECT a.doc_id, b.doc_id AS next_id, a.t, LEFT(a.t, LENGTH(a.t) - LENGTH(a.t) // 3) || LEFT(b.t, LENGTH(a.t) // 3) AS e FROM docs a JOIN docs b ON b.r = a.r % a.n + 1),
+versions AS (SELECT doc_id, 0 AS v, HEX(ENCODE(t)) AS h FROM edited UNION ALL SELECT doc_id, 1, HEX(ENCODE(e)) FROM edited),
+cells AS (SELECT doc_id, v, UNNEST(REGEXP_EXTRACT_ALL(h, '..')) AS x, GENERATE_SUBSCRIPTS(REGEXP_EXTRACT_ALL(h, '..'), 1) AS p FROM versions),
+bytes AS (SELECT doc_id, v, p, CAST('0x' || x AS INT) AS x0 FROM cells),
+spread AS (SELECT doc_id, v, x0, LEAD(x0, 1) OVER o AS x1, LEAD(x0, 2) OVER o AS x2, LEAD(x0, 3) OVER o AS x3, LEAD(x0, 4) OVER o AS x4 FROM bytes WINDOW o AS (PARTITION BY doc_id, v ORDER BY p)),
+hits AS (SELECT doc_id, v, UNNEST({_triplets_sql()}) AS h FROM spread),
+counts AS (SELECT doc_id, v, h, COUNT(*) AS c FROM hits WHERE h IS NOT NULL GROUP BY ALL),
+grid AS (SELECT doc_id, v, LENGTH(h) // 2 AS size, UNNEST(RANGE({BUCKETS})) AS h FROM versions),
+lists AS (SELECT doc_id, v, ANY_VALUE(size) AS size, LIST(COALESCE(c, 0) ORDER BY h) AS cs FROM grid LEFT JOIN counts USING (doc_id, v, h) GROUP BY doc_id, v),
+quarters AS (SELECT *, LIST_SORT(cs)[{BUCKETS // 4}] AS q1, LIST_SORT(cs)[{BUCKETS // 2}] AS q2, LIST_SORT(cs)[{3 * BUCKETS // 4}] AS q3 FROM lists),
+coded AS (SELECT doc_id, v, LIST_TRANSFORM(cs, LAMBDA c: CAST(c > q1 AS INT) + CAST(c > q2 AS INT) + CAST(c > q3 AS INT)) AS codes, LEAST(255, CAST(ROUND_EVEN(12 * LOG2(1 + size), 0) AS INT)) AS step,
+  CAST(LEAST(15, 16 * q1 // (q3 + 1)) AS INT) AS r1, CAST(LEAST(15, 16 * q2 // (q3 + 1)) AS INT) AS r2 FROM quarters),
+prints AS (SELECT *, PRINTF('%02x%x%x', step, r1, r2) || ARRAY_TO_STRING(LIST_TRANSFORM(RANGE({BUCKETS // 4}), LAMBDA k: PRINTF('%02x', 64 * codes[4 * k + 1] + 16 * codes[4 * k + 2] + 4 * codes[4 * k + 3] + codes[4 * k + 4])), '') AS print FROM coded)
+SELECT d.doc_id, CAST(LENGTH(d.t) AS BIGINT) AS n_chars, SHA256(d.e) AS edited_sha256, a.print AS fingerprint, b.print AS edited_fingerprint, {_likeness_sql('a', 'b')} AS near_edited, {_likeness_sql('a', 'c')} AS near_next
+FROM edited d JOIN prints a ON a.doc_id = d.doc_id AND a.v = 0 JOIN prints b ON b.doc_id = d.doc_id AND b.v = 1 JOIN prints c ON c.doc_id = d.next_id AND c.v = 0
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from urbanframe.llm.digest import op9_digest
+from urbanframe.llm.digest import OP9_SQL, op9_digest
 from urbanframe.llm.jaccard import OP4_SQL, op4_jaccard
 from urbanframe.llm.language import op3_language
 from urbanframe.llm.media import op10_media
@@ -34,4 +34,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix": OP1_SQL, "op4_jaccard": OP4_SQL, "op7_shard": OP7_SQL, "op8_repeats": OP8_SQL}
+    return {"op1_mix": OP1_SQL, "op4_jaccard": OP4_SQL, "op7_shard": OP7_SQL, "op8_repeats": OP8_SQL, "op9_digest": OP9_SQL}
