@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from urbanframe.functions.geometry import box_overlap_area
 from urbanframe.functions.scalars import half_even, row_sum
-from urbanframe.operators.spatial import BOX, box_join, overlap_filter, points_in_areas, with_point_box, within_distance
+from urbanframe.operators.spatial import BOX, attach_area, box_join, overlap_filter, points_in_areas, with_point_box, within_distance
 
 # -- access scores ------------------------------------------------------------
 
@@ -60,8 +60,13 @@ def gte_flag(x: Column, threshold: float) -> Column:
     return F.coalesce(x >= threshold, F.lit(False)).cast("int")
 
 
-def apply_formulas(df: DataFrame, formulas: list[dict]) -> DataFrame:
-    """Named formulas in order: ``sum, max, sum_of_z_scores, greater_than_or_equal_to``."""
+def apply_formulas(df: DataFrame, formulas: list[dict], layers: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Named formulas in order: ``sum, max, sum_of_z_scores, greater_than_or_equal_to`` and ``intersection``.
+
+    An intersection takes ``field`` of the area of ``layer`` (one of ``layers``,
+    with ``area_id``) that holds each point (``point_id, x, y``); outside all
+    areas it is null.
+    """
     for f in formulas:
         kind, columns, out = f["formula"], f["columns"], f["name"]
         if kind == "sum":
@@ -72,6 +77,9 @@ def apply_formulas(df: DataFrame, formulas: list[dict]) -> DataFrame:
             df = sum_of_z(df, columns, out)
         elif kind == "greater_than_or_equal_to":
             df = df.withColumn(out, gte_flag(F.col(columns[0]), f["threshold"]))
+        elif kind == "intersection":
+            areas = layers[f["layer"]].withColumn(out, F.col(f["field"]))
+            df = attach_area(df, areas, f.get("point_id", "point_id"), f["area_id"], f.get("tile", 1000.0), field=out)
         else:
             raise ValueError(f"unknown formula {kind}")
     return df

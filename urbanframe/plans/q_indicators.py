@@ -21,6 +21,11 @@ def _rounded(df, places=9, skip=()):
     return df.select(*[F.round(c, places).alias(c) if t == "double" and c not in skip else F.col(c) for c, t in df.dtypes])
 
 
+def formula_intersection(s, d):
+    formulas = [{"name": "district", "formula": "intersection", "layer": "areas", "field": "area_name", "area_id": "area_id"}]
+    return n.apply_formulas(_points(s, d), formulas, {"areas": view(s, d, "f_areas")}).select("point_id", "district")
+
+
 def score_binary(s, d):
     return n.binary_access(_points(s, d), DISTANCES | {"d_none": "a_none"}).select("point_id", *DISTANCES.values(), "a_none")
 
@@ -197,6 +202,7 @@ SQL = {
     "walkability": f"WITH {LIVING} SELECT point_id, ROUND({' + '.join(f'COALESCE({_z(c, NAME)}, 0)' for c in REFERENCE)}, 6) AS walkability FROM living",
     "relative_walkability": f"WITH {LIVING} SELECT point_id, ROUND({_REL}, 9) AS relative FROM living",
     "pooled_walkability": f"WITH {LIVING} SELECT point_id, ROUND({' + '.join(_z(c, 'living') for c in REFERENCE)}, 6) AS relative FROM living WHERE x < 2000",
+    "formula_intersection": "SELECT p.point_id, ARG_MIN(a.area_name, a.area_id) AS district FROM f_points p LEFT JOIN f_areas a ON p.x >= a.xmin AND p.x < a.xmax AND p.y >= a.ymin AND p.y < a.ymax GROUP BY p.point_id",
     "gte_flag": "SELECT point_id, CAST(COALESCE(pop_density >= 5700, FALSE) AS INT) AS dense, CAST(COALESCE(int_density >= 100, FALSE) AS INT) AS connected FROM f_points",
     "grid_indicators": f"WITH {GRID} SELECT * REPLACE (ROUND(pct_food, 6) AS pct_food, ROUND(pct_conv, 6) AS pct_conv, ROUND(local_living, 6) AS local_living, ROUND(local_density, 6) AS local_density) FROM grid",
     "city_indicators": f"WITH {GRID} SELECT {CITY}, ROUND({_wmean('pct_food')}, 6) AS pop_pct_food, ROUND({_wmean('pct_conv')}, 6) AS pop_pct_conv, ROUND({_wmean('local_living')}, 6) AS pop_living, ROUND(AVG(local_density), 6) AS local_density FROM grid",
