@@ -68,7 +68,7 @@ def apply_formulas(df: DataFrame, formulas: list[dict], layers: dict[str, DataFr
     areas it is null.
     """
     for f in formulas:
-        kind, columns, out = f["formula"], f["columns"], f["name"]
+        kind, columns, out = f["formula"], f.get("columns", []), f["name"]
         if kind == "sum":
             df = df.withColumn(out, row_sum(*map(F.col, columns)))
         elif kind == "max":
