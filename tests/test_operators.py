@@ -234,3 +234,42 @@ def test_clusters_have_the_area_of_their_union(spark):
         want[root] = (len(own), union_area([r[1:5] for r in own]), *[union_area([r[1:5] for r in own if r[k]]) for k in (5, 7)])
     got = {r.aos_id: (r.members, *[round(a * 10000) for a in (r.aos_ha, r.aos_ha_public, r.aos_ha_water)]) for r in places.open_space_clusters(df, "osm_id", 16.0).collect()}
     assert got == want and got[200] == (5, 100, 100, 100)
+
+
+def test_exact_quantiles(spark):
+    import numpy as np
+
+    from urbanframe.operators.quantiles import quantiles
+
+    draw = np.random.default_rng(4)
+    values = [*draw.normal(0, 1, 800).tolist(), *[2.5] * 700, 1e9, -1e9]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)] * 5, "v double")
+    shares = [0.0, 0.2, 0.5, 0.61, 0.8, 1.0]
+    for few in (10, 10**6):
+        assert np.allclose(quantiles(df, "v", shares, few), np.quantile(values, shares))
+    assert quantiles(df.where("v > 1e12"), "v", shares) == [None] * 6
+
+
+def test_components_in_rounds(spark):
+    from urbanframe.operators import graph
+
+    chain = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7)]
+    df = spark.createDataFrame(chain, "a long, b long")
+    for one_task in (0, 10**6):
+        got = {r.node: r.component for r in graph.components(df, one_task=one_task).collect()}
+        assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
+
+
+def test_polygon_covers_and_far_edges(spark):
+    from pyspark.sql import functions as F
+
+    from urbanframe.functions import geometry as g
+    from urbanframe.operators import spatial as sp
+
+    points = spark.createDataFrame([(1, 1.0, 1.0), (2, 9.0, 9.0), (3, 60_000.0, 0.0)], "id int, x double, y double")
+    corner = [g.make_point(F.lit(x), F.lit(y)) for x, y in ((0.0, 0.0), (10.0, 0.0), (0.0, 10.0))]
+    triangle = spark.range(1).select(F.lit(0.0).alias("xmin"), F.lit(0.0).alias("ymin"), F.lit(10.0).alias("xmax"), F.lit(10.0).alias("ymax"), F.array(F.array(*corner)).alias("polygon"))
+    assert [r.id for r in sp.semi_any(points, [triangle], "id", 20.0).collect()] == [1]
+    line = spark.range(1).select(F.lit(5).alias("ogc_fid"), F.array(*corner[:2]).alias("line"))
+    found = {r.id: (r.ogc_fid, r.distance) for r in sp.nearest_edge(points, line, "id").collect()}
+    assert found == {1: (5, 1.0), 2: (5, 9.0), 3: (5, 59_990.0)}

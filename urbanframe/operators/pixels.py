@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from urbanframe.functions.geometry import box_overlap_area
 from urbanframe.functions.scalars import bits_clear, clamp, row_mean
 from urbanframe.operators.indicators import with_stats
+from urbanframe.operators.quantiles import quantiles
 from urbanframe.operators.spatial import BOX, box_join, points_in_areas, semi
 
 # Cloud and cirrus bits, and the five low bits, of quality bands.
@@ -96,9 +97,9 @@ def equal_weight(px: DataFrame, columns: list[str], out: str) -> DataFrame:
 
 def quintile_class(px: DataFrame, column: str, out: str) -> DataFrame:
     """Classes 1 to 5: one more for each quintile limit that a value passes; null stays null."""
-    limits = with_stats(px, {"_q": F.percentile(column, F.array(*map(F.lit, (0.2, 0.4, 0.6, 0.8))))})
-    passed = sum((F.when(F.col(column) > F.col("_q")[i], 1).otherwise(0) for i in range(4)), F.lit(1))
-    return limits.withColumn(out, F.when(F.col(column).isNotNull(), passed)).drop("_q")
+    limits = quantiles(px, column, [0.2, 0.4, 0.6, 0.8])
+    passed = sum((F.when(F.col(column) > F.lit(q), 1).otherwise(0) for q in limits), F.lit(1))
+    return px.withColumn(out, F.when(F.col(column).isNotNull(), passed))
 
 
 def zonal_mean(px: DataFrame, zones: DataFrame, key: str, bands: list[str], cell: float, least: tuple[str, float] | None = None) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from urbanframe.operators.quantiles import quantiles
 from urbanframe.operators.spatial import BOX, box_join
 
 
@@ -19,15 +20,23 @@ def describe_grid(grid: DataFrame, columns: list[str], population: str = "pop_es
     if not (grid.agg(F.sum(population)).first()[0] or 0) > 0:
         raise ValueError("the grid holds no people")
     long = grid.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "column", "value")
-    quartiles = F.percentile("value", F.array(*map(F.lit, (0.25, 0.5, 0.75))))
-    stats = long.groupBy("column").agg(F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.min("value").alias("min"), quartiles.alias("q"), F.max("value").alias("max"))
+    found = {c: quantiles(grid, c, [0.25, 0.5, 0.75]) for c in columns}
+    quartiles = F.create_map(*[x for c, q in found.items() for x in (F.lit(c), F.array(*[F.lit(v).cast("double") for v in q]))])
+    stats = long.groupBy("column").agg(F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max")).withColumn("q", quartiles[F.col("column")])
     return stats.select("column", "count", "mean", "std", "min", F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"), "max")
 
 
 def urban_covariates(region: DataFrame, covariates: DataFrame | None, names: dict[str, str]) -> DataFrame:
     """Region totals under report names beside the one row of covariates."""
     totals = region.select(*[F.col(c).alias(n) for c, n in names.items()])
-    return totals.crossJoin(F.broadcast(covariates.limit(1))) if covariates is not None else totals
+    return totals.crossJoin(F.broadcast(_single(covariates))) if covariates is not None else totals
+
+
+def _single(df: DataFrame) -> DataFrame:
+    """A table of one row as it is; more rows are refused."""
+    if df.limit(2).count() > 1:
+        raise ValueError("one row is asked for")
+    return df
 
 
 def first_known(*columns: str) -> Column:
@@ -37,7 +46,7 @@ def first_known(*columns: str) -> Column:
 
 def scorecard(city: DataFrame, policy: DataFrame, people: str, area_sqkm: str) -> DataFrame:
     """One row of city metrics, density and policy scores."""
-    return city.withColumn("density", F.try_divide(F.col(people).cast("double"), F.col(area_sqkm).cast("double"))).crossJoin(F.broadcast(policy.limit(1)))
+    return city.withColumn("density", F.try_divide(F.col(people).cast("double"), F.col(area_sqkm).cast("double"))).crossJoin(F.broadcast(_single(policy)))
 
 
 def attach_endpoints(points: DataFrame, edges: DataFrame, nodes: DataFrame) -> DataFrame:

@@ -107,6 +107,21 @@ def mode_trips(trips: DataFrame, routes: DataFrame, route_types: list[int] | Non
     return trips.join(wanted.select("route_id"), "route_id", "left_semi")
 
 
+def trip_modes(trips: DataFrame, routes: DataFrame, modes: dict[str, dict]) -> DataFrame:
+    """Trips with each ``mode`` whose route types and agencies they meet, from one table of routes."""
+
+    def meets(config: dict) -> Column:
+        hit = F.lit(True)
+        for column, key in (("route_type", "route_types"), ("agency_id", "agency_ids")):
+            if config.get(key) is not None:
+                hit = hit & F.coalesce(F.col(column).isin(config[key]), F.lit(False))
+        return hit
+
+    named = F.filter(F.array(*[F.when(meets(c), F.lit(m)) for m, c in modes.items()]), lambda m: m.isNotNull())
+    known = routes.select("route_id", F.explode(named).alias("mode")).distinct()
+    return trips.join(known, "route_id")
+
+
 def mode_stops(stop_times: DataFrame, trips: DataFrame, routes: DataFrame, route_types: list[int] | None = None, agency_ids: list[int] | None = None) -> DataFrame:
     """Distinct stops that a mode serves."""
     chosen = mode_trips(trips, routes, route_types, agency_ids).select("trip_id").distinct()
@@ -127,8 +142,10 @@ def stop_headway(
     start_date: str,
     end_date: str,
     days: tuple[str, ...] = WORKDAYS,
+    by: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``stop_id, headway``: minutes between departures in a clock window.
+    """``stop_id, headway``: minutes between departures in a clock window, for each
+    value of the trips' columns ``by``.
 
     Departures are counted by direction, stop and date; the window's minutes
     over that count, rounded half to even, are averaged over dates, and the
@@ -139,10 +156,10 @@ def stop_headway(
     chosen = dates.where(F.col("weekday").isin(list(days)) & (F.col("date") >= F.to_date(F.lit(start_date))) & (F.col("date") < F.to_date(F.lit(end_date))))
     chosen = chosen.select("service_id", "date").distinct()
     in_window = stop_times.where((F.col("departure_time") >= start_hour) & (F.col("departure_time") < end_hour)).select("trip_id", "stop_id")
-    per_service = in_window.join(_with_direction(trips).select("trip_id", "service_id", "direction_id"), "trip_id").groupBy("service_id", "direction_id", "stop_id").agg(F.count(F.lit(1)).alias("n"))
-    per_date = per_service.join(chosen, "service_id").groupBy("direction_id", "stop_id", "date").agg(F.sum("n").alias("n"))
+    per_service = in_window.join(_with_direction(trips).select("trip_id", "service_id", "direction_id", *by), "trip_id").groupBy("service_id", "direction_id", "stop_id", *by).agg(F.count(F.lit(1)).alias("n"))
+    per_date = per_service.join(chosen, "service_id").groupBy("direction_id", "stop_id", "date", *by).agg(F.sum("n").alias("n"))
     headway = half_even(F.lit(minutes_between(start_hour, end_hour)) / F.col("n"))
-    return per_date.groupBy("stop_id", "direction_id").agg(F.avg(headway).alias("headway")).groupBy("stop_id").agg(F.min("headway").alias("headway"))
+    return per_date.groupBy("stop_id", "direction_id", *by).agg(F.avg(headway).alias("headway")).groupBy("stop_id", *by).agg(F.min("headway").alias("headway"))
 
 
 def frequency_headway(
@@ -155,8 +172,9 @@ def frequency_headway(
     start_date: str,
     end_date: str,
     days: tuple[str, ...] = WORKDAYS,
+    by: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``stop_id, headway`` from stated frequencies.
+    """``stop_id, headway`` from stated frequencies, for each value of the trips' columns ``by``.
 
     Headways are weighted by the hours that a frequency overlaps the window and
     by the dates its trip runs; per stop the best direction stands.
@@ -164,16 +182,16 @@ def frequency_headway(
     chosen = dates.where(F.col("weekday").isin(list(days)) & (F.col("date") >= F.to_date(F.lit(start_date))) & (F.col("date") < F.to_date(F.lit(end_date))))
     n_dates = chosen.select("service_id", "date").distinct().groupBy("service_id").agg(F.count(F.lit(1)).alias("n_dates"))
     weighted = frequencies.withColumn("weight", overlap_hours(F.col("start_time"), F.col("end_time"), start_hour, end_hour)).where("weight > 0")
-    by_trip = weighted.join(_with_direction(trips).select("trip_id", "service_id", "direction_id"), "trip_id").join(n_dates, "service_id")
+    by_trip = weighted.join(_with_direction(trips).select("trip_id", "service_id", "direction_id", *by), "trip_id").join(n_dates, "service_id")
     at_stops = by_trip.join(stop_times.select("trip_id", "stop_id"), "trip_id")
     w = F.col("weight") * F.col("n_dates")
-    per_direction = at_stops.groupBy("stop_id", "direction_id").agg((F.sum(F.col("headway_secs") * w) / F.sum(w)).alias("h"))
-    return per_direction.groupBy("stop_id").agg((F.min("h") / 60).alias("headway"))
+    per_direction = at_stops.groupBy("stop_id", "direction_id", *by).agg((F.sum(F.col("headway_secs") * w) / F.sum(w)).alias("h"))
+    return per_direction.groupBy("stop_id", *by).agg((F.min("h") / 60).alias("headway"))
 
 
-def prefer(first: DataFrame, second: DataFrame, key: str = "stop_id") -> DataFrame:
+def prefer(first: DataFrame, second: DataFrame, *key: str) -> DataFrame:
     """Rows of ``first``, and those of ``second`` whose key it lacks."""
-    return first.unionByName(second.join(first.select(key), key, "left_anti"))
+    return first.unionByName(second.join(first.select(*key), list(key), "left_anti"))
 
 
 def headway_summary(stops: DataFrame, by: str) -> DataFrame:
@@ -191,17 +209,13 @@ def average_headway(stops: DataFrame) -> DataFrame:
 
 
 def analyse_feed(feed: dict[str, DataFrame], modes: dict[str, dict], name: str, authority: str, start_hour: str, end_hour: str, start_date: str, end_date: str, interpolate: bool = False) -> DataFrame:
-    """Stop headways of every configured mode of one feed, tagged and unioned."""
+    """Stop headways of every configured mode of one feed; the timetable is read and added up once for all modes."""
     stops = check_stop_ids(feed["stops"])
     times = prepare_stop_times(feed["stop_times"], stops, interpolate)
     dates = service_dates(feed["calendar"], feed["calendar_dates"])
     window = (start_hour, end_hour, start_date, end_date)
-    out = None
-    for mode, config in modes.items():
-        trips = mode_trips(feed["trips"], feed["routes"], config.get("route_types"), config.get("agency_ids"))
-        found = stop_headway(times, trips, dates, *window)
-        if feed.get("frequencies") is not None:
-            found = prefer(frequency_headway(feed["frequencies"], times, trips, dates, *window), found)
-        found = found.withColumn("mode", F.lit(mode))
-        out = found if out is None else out.unionByName(found)
-    return stops.join(out, "stop_id", "left").withColumn("authority", F.lit(authority)).withColumn("feed", F.lit(name))
+    trips = trip_modes(feed["trips"], feed["routes"], modes)
+    found = stop_headway(times, trips, dates, *window, by=("mode",))
+    if feed.get("frequencies") is not None:
+        found = prefer(frequency_headway(feed["frequencies"], times, trips, dates, *window, by=("mode",)), found, "stop_id", "mode")
+    return stops.join(found, "stop_id", "left").withColumn("authority", F.lit(authority)).withColumn("feed", F.lit(name))

@@ -52,7 +52,7 @@ def gtfs_stop_headway(spark, d):
 
 def gtfs_frequency_headway(spark, d):
     args = (view(spark, d, "f_stop_times"), _trips(spark, d, [3]), _dates(spark, d), *WINDOW)
-    found = t.prefer(t.frequency_headway(view(spark, d, "f_frequencies"), *args), t.stop_headway(*args))
+    found = t.prefer(t.frequency_headway(view(spark, d, "f_frequencies"), *args), t.stop_headway(*args), "stop_id")
     return found.select("stop_id", F.round("headway", 6).alias("headway"))
 
 
@@ -61,11 +61,9 @@ def gtfs_mode_stops(spark, d):
 
 
 def _modes(spark, d):
-    out = None
-    for mode, kinds in (("Tram", [0]), ("Metro", [1]), ("Bus", [3])):
-        found = t.stop_headway(view(spark, d, "f_stop_times"), _trips(spark, d, kinds), _dates(spark, d), *WINDOW).withColumn("mode", F.lit(mode))
-        out = found if out is None else out.unionByName(found)
-    return out
+    modes = {"Tram": {"route_types": [0]}, "Metro": {"route_types": [1]}, "Bus": {"route_types": [3]}}
+    trips = t.trip_modes(view(spark, d, "f_trips"), view(spark, d, "f_routes"), modes)
+    return t.stop_headway(view(spark, d, "f_stop_times"), trips, _dates(spark, d), *WINDOW, by=("mode",))
 
 
 def gtfs_headway_summary(spark, d):
