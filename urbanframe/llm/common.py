@@ -13,14 +13,18 @@ SPACE = r"\x20\x09-\x0D"
 
 #: Rows and bytes of an Arrow batch that a Python worker gets.
 BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+#: Environment of Python workers: they live on between tasks, so freed memory goes back to the system.
+WORKER = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "1", "MALLOC_MMAP_THRESHOLD_": str(4 << 20), "MALLOC_TRIM_THRESHOLD_": str(8 << 20)}
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound Arrow batches by bytes, so that texts of any length fit a worker.
+    """Bound Arrow batches by bytes, so that texts of any length fit a worker, and what workers hold between tasks.
 
     Spark's own bound is 10,000 rows of whatever size. A setting that the
     session already has is kept.
     """
+    for key, value in WORKER.items():
+        spark.sparkContext.environment.setdefault(key, value)
     for key, value in BATCH.items():
         if spark.conf.get(key, None) is None:
             spark.conf.set(key, value)

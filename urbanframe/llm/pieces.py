@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +32,8 @@ from pyspark.sql import functions as F
 from urbanframe.llm.common import documents, small_batches
 
 #: Words kept per Python worker, and characters or ids handled at a time.
-CACHE_WORDS = 700_000
-CHUNK = 1_000_000
+CACHE_WORDS = 300_000
+CHUNK = 400_000
 NEVER = np.int64(2**40)
 #: Marks a cache key without a space mark; a lone surrogate is in no valid text.
 RAW = "\ud800"
@@ -374,14 +375,37 @@ def decode(encoded: DataFrame, model_path: str | None = None, key: str = "doc_id
 
 
 def digests(docs: DataFrame, model_path: str | None = None) -> DataFrame:
-    """Encode, decode and reduce both to digests: ``doc_id, n_tokens, ids_sha256, decoded_sha256``."""
-    back = decode(encode(docs, model_path), model_path)
-    return back.select(
-        "doc_id",
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
-    )
+    """Encode, decode and reduce both to digests: ``doc_id, n_tokens, ids_sha256, decoded_sha256``.
+
+    One worker does all three for a part of the texts, so ids and decoded texts
+    do not leave it.
+    """
+    small_batches(docs.sparkSession)
+    data = docs.sparkSession.sparkContext.broadcast(read_model(model_path or default_model()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = _model(data.value)
+        decimal = [b"%d" % i for i in range(model.size)]
+        try:
+            for batch in batches:
+                texts = [t or "" for t in batch.column(1).to_pylist()]
+                ids_hash: list[str] = []
+                text_hash: list[str] = []
+                tokens: list[int] = []
+                for a, b in _chunks([len(t) for t in texts], CHUNK):
+                    flat, counts = model.encode(texts[a:b])
+                    text_hash += [sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in model.decode(flat, counts)]
+                    written = list(map(decimal.__getitem__, flat.tolist()))
+                    at = np.concatenate([[0], np.cumsum(counts)]).tolist()
+                    ids_hash += [sha256(b",".join(written[x:y])).hexdigest() for x, y in zip(at, at[1:])]
+                    tokens += counts.tolist()
+                columns = [batch.column(0), pa.array(tokens, pa.int64()), pa.array(ids_hash, pa.string()), pa.array(text_hash, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        finally:
+            model.clear()
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
