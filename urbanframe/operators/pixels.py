@@ -13,6 +13,7 @@ from urbanframe.functions.scalars import bits_clear, clamp, row_mean
 from urbanframe.operators.indicators import with_stats
 from urbanframe.operators.quantiles import quantiles
 from urbanframe.operators.spatial import BOX, box_join, points_in_areas, semi
+from urbanframe.operators.unions import clipped_boxes, union_areas
 
 # Cloud and cirrus bits, and the five low bits, of quality bands.
 CLOUD_BITS = 1 << 10 | 1 << 11
@@ -76,11 +77,10 @@ def normalise(px: DataFrame, column: str, out: str, land: Column | None = None,
 
 
 def land_share(cells: DataFrame, water: DataFrame, key: str, cell: float) -> DataFrame:
-    """Percentage of each cell that is not water (overlapping waters count twice, floor 0)."""
-    a, b = ({c: F.col(f"{s}_{c}") for c in BOX} for s in "ab")
+    """Percentage of each cell that is not water; overlapping waters count once."""
     own = (F.col("xmax") - F.col("xmin")) * (F.col("ymax") - F.col("ymin"))
-    wet = box_join(cells, water, cell).groupBy(F.col(f"a_{key}").alias(key)).agg(F.sum(box_overlap_area(a, b)).alias("_wet"))
-    return cells.join(wet, key, "left").withColumn("land_pct", F.greatest(F.lit(0.0), 100 - 100.0 * F.coalesce("_wet", F.lit(0)) / own)).drop("_wet")
+    wet = union_areas(clipped_boxes(cells, water, key, cell), [key], cell).withColumnRenamed("area", "_wet")
+    return cells.join(wet, key, "left").withColumn("land_pct", F.greatest(F.lit(0.0), 100 - 100.0 * F.coalesce("_wet", F.lit(0.0)) / own)).drop("_wet")
 
 
 def age_ratios(px: DataFrame, young: list[str], working: list[str], old: list[str]) -> DataFrame:

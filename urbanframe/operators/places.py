@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from urbanframe.functions.geometry import box_overlap_area, box_shared_border, centroid, make_point, nearest_on_line
 from urbanframe.operators.graph import components
 from urbanframe.operators.spatial import BOX, box_join, covered_by_other, with_line_box, with_point_box, within_distance
+from urbanframe.operators.unions import clipped_boxes, covered_strips, union_areas
 from urbanframe.session import checkpointed
 
 # -- destinations -------------------------------------------------------------
@@ -159,44 +160,13 @@ def candidates(features: DataFrame) -> DataFrame:
     return features.where(reduce(lambda a, b: a | b, open_keys, F.lit(False)) | _among(features, {"landuse": OPEN_LANDUSE, "boundary": OPEN_BOUNDARY, **OPEN_VALUES}))
 
 
-def covered_strips(boxes: DataFrame, keys: list[str]) -> DataFrame:
-    """``keys, _width, _covered``: the strips between neighbouring x edges of a
-    key's boxes, and the height that the boxes cover in each, counted once."""
-    edges = boxes.select(*keys, F.explode(F.array("xmin", "xmax")).alias("_x")).groupBy(*keys).agg(F.array_sort(F.collect_set("_x")).alias("_xs"))
-    spans = F.filter(F.arrays_zip(F.col("_xs").alias("lo"), F.slice("_xs", 2, F.size("_xs")).alias("hi")), lambda e: (e["lo"] >= F.col("xmin")) & (e["hi"] <= F.col("xmax")))
-    rows = boxes.join(edges, keys).select(*keys, F.explode(spans).alias("_e"), F.struct(F.col("ymin").cast("double").alias("lo"), F.col("ymax").cast("double").alias("hi")).alias("_s"))
-    zero = F.struct(F.lit(0.0).alias("sum"), F.lit(None).cast("double").alias("lo"), F.lit(None).cast("double").alias("hi"))
-
-    def join_up(done: Column, s: Column) -> Column:
-        apart = done["hi"].isNull() | (s["lo"] > done["hi"])
-        closed = done["sum"] + F.coalesce(done["hi"] - done["lo"], F.lit(0.0))
-        return F.struct(F.when(apart, closed).otherwise(done["sum"]).alias("sum"), F.when(apart, s["lo"]).otherwise(done["lo"]).alias("lo"), F.when(apart, s["hi"]).otherwise(F.greatest(done["hi"], s["hi"])).alias("hi"))
-
-    length = F.aggregate(F.array_sort("_all"), zero, join_up, lambda done: done["sum"] + F.coalesce(done["hi"] - done["lo"], F.lit(0.0)))
-    strips = rows.groupBy(*keys, "_e").agg(F.collect_set("_s").alias("_all"))
-    return strips.select(*keys, (F.col("_e.hi") - F.col("_e.lo")).cast("double").alias("_width"), length.alias("_covered"))
-
-
-def union_areas(boxes: DataFrame, keys: list[str], cell: float) -> DataFrame:
-    """``keys, area`` of the union of each key's boxes, from the parts in each tile."""
-    side = F.lit(float(cell))
-    tile = lambda c: F.floor(F.col(c) / side).cast("bigint")
-    dealt = boxes.withColumn("_tx", F.explode(F.sequence(tile("xmin"), tile("xmax")))).withColumn("_ty", F.explode(F.sequence(tile("ymin"), tile("ymax"))))
-    low = {"xmin": F.greatest("xmin", F.col("_tx") * side), "ymin": F.greatest("ymin", F.col("_ty") * side)}
-    high = {"xmax": F.least("xmax", (F.col("_tx") + 1) * side), "ymax": F.least("ymax", (F.col("_ty") + 1) * side)}
-    parts = dealt.withColumns(low | high).select(*keys, "_tx", "_ty", *BOX).distinct()
-    strips = covered_strips(parts.where("xmin < xmax AND ymin < ymax"), [*keys, "_tx", "_ty"])
-    found = strips.groupBy(*keys).agg(F.sum(F.col("_width") * F.col("_covered")).alias("area"))
-    return boxes.select(*keys).distinct().join(found, keys, "left").withColumn("area", F.coalesce("area", F.lit(0.0)))
-
-
 def cut_exclusions(spaces: DataFrame, excluded: DataFrame, key: str, cell: float) -> DataFrame:
     """Open spaces with ``area_ha`` left after exclusions, none left dropping out.
 
     Places under several exclusions count once. A space drops out only where
     the exclusions together cover it wholly.
     """
-    clipped = box_join(spaces, excluded, cell).select(F.col(f"a_{key}").alias(key), *[f(f"a_{c}", f"b_{c}").alias(c) for c, f in zip(BOX, (F.greatest, F.greatest, F.least, F.least))])
+    clipped = clipped_boxes(spaces, excluded, key, cell)
     # A line along its lower side gives each space its own strips, so whole cover leaves exactly 0.
     touched = spaces.join(clipped.select(key).distinct(), key, "left_semi")
     strips = covered_strips(clipped.unionByName(touched.select(key, "xmin", "ymin", "xmax", F.col("ymin").alias("ymax"))), [key])

@@ -129,13 +129,12 @@ def within_distance(a: DataFrame, b: DataFrame, d: float, cell: float | None = N
 
 
 def overlap_filter(cells: DataFrame, regions: DataFrame, cell_key: str, least: float, cell: float) -> DataFrame:
-    """Cells of which at least the share ``least`` of their area lies in the regions."""
-    from urbanframe.functions.geometry import box_overlap_area
+    """Cells of which at least the share ``least`` of their area lies in the regions, each place counted once."""
+    from urbanframe.operators.unions import clipped_boxes, union_areas
 
-    shared = box_overlap_area({c: F.col(f"a_{c}") for c in BOX}, {c: F.col(f"b_{c}") for c in BOX})
-    own = (F.col("a_xmax") - F.col("a_xmin")) * (F.col("a_ymax") - F.col("a_ymin"))
-    kept = box_join(cells, regions, cell).groupBy(F.col(f"a_{cell_key}").alias(cell_key)).agg((F.sum(shared) / F.first(own)).alias("_share")).where(F.col("_share") >= least)
-    return cells.join(kept, cell_key, "left_semi")
+    inside = union_areas(clipped_boxes(cells, regions, cell_key, cell), [cell_key], cell).withColumnRenamed("area", "_inside")
+    own = (F.col("xmax") - F.col("xmin")) * (F.col("ymax") - F.col("ymin"))
+    return cells.join(inside, cell_key).where(F.col("_inside") / own >= least).drop("_inside")
 
 
 def covered_by_other(shapes: DataFrame, key: str, cell: float) -> DataFrame:

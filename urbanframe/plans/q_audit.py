@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from urbanframe.operators import pixels as px
 from urbanframe.operators import policy as po
 from urbanframe.operators.indicators import ffill
-from urbanframe.plans.fixtures import view, with_views
+from urbanframe.plans.fixtures import union_area_sql, view, with_views
 
 
 def _policy(s, d):
@@ -170,7 +170,7 @@ SQL = {
     "px_quintile": f"WITH {MEANS}, q AS (SELECT QUANTILE_CONT(b11, [0.2, 0.4, 0.6, 0.8]) AS q FROM means) SELECT pixel_id, CASE WHEN b11 IS NOT NULL THEN 1 + (b11 > q[1])::INT + (b11 > q[2])::INT + (b11 > q[3])::INT + (b11 > q[4])::INT END AS class FROM means, q",
     "px_zonal": f"WITH {MEANS} SELECT a.area_id, ROUND(AVG(ndvi), 6) AS ndvi, ROUND(AVG(b11), 6) AS b11 FROM means p JOIN f_areas a ON p.x >= a.xmin AND p.x < a.xmax AND p.y >= a.ymin AND p.y < a.ymax GROUP BY 1 HAVING COUNT(ndvi) > 0 AND COUNT(b11) > 0",
     "px_greenery": f"WITH {MEANS}, i AS (SELECT * FROM means p WHERE EXISTS (SELECT 1 FROM f_areas a WHERE p.x >= a.xmin AND p.x < a.xmax AND p.y >= a.ymin AND p.y < a.ymax)) SELECT ROUND(100.0::DOUBLE * COUNT(CASE WHEN ndvi >= 0.05 THEN 1 END) / NULLIF(COUNT(ndvi), 0), 6) AS greenery_pct, COALESCE(BOOL_OR(ndvi BETWEEN -1 AND 1), FALSE) AS valid FROM i",
-    "px_land_share": "SELECT a.grid_id, ROUND(GREATEST(0, 100 - 100.0::DOUBLE * COALESCE(SUM(GREATEST(0, LEAST(a.xmax, b.xmax) - GREATEST(a.xmin, b.xmin)) * GREATEST(0, LEAST(a.ymax, b.ymax) - GREATEST(a.ymin, b.ymin))), 0) / 62500), 6) AS land_pct FROM f_grid a LEFT JOIN f_osm b ON b.natural_tag = 'water' GROUP BY 1",
+    "px_land_share": f"WITH clipped AS (SELECT a.grid_id, GREATEST(a.xmin, b.xmin) AS xmin, GREATEST(a.ymin, b.ymin) AS ymin, LEAST(a.xmax, b.xmax) AS xmax, LEAST(a.ymax, b.ymax) AS ymax FROM f_grid a JOIN f_osm b ON b.natural_tag = 'water' AND a.xmin <= b.xmax AND b.xmin <= a.xmax AND a.ymin <= b.ymax AND b.ymin <= a.ymax), {union_area_sql('clipped', 'grid_id', 'TRUE')} SELECT grid_id, ROUND(100 - 100.0::DOUBLE * COALESCE(area, 0) / 62500, 6) AS land_pct FROM f_grid LEFT JOIN union_area USING (grid_id)",
     "px_regrid": "WITH t AS (SELECT i AS gx, j AS gy FROM RANGE(0, 400) a(i), RANGE(0, 400) b(j)) SELECT CAST(gx AS BIGINT) AS gx, CAST(gy AS BIGINT) AS gy, ROUND(SUM(pop_est * ((LEAST(g.xmax, gx * 400 + 400) - GREATEST(g.xmin, gx * 400)) * (LEAST(g.ymax, gy * 400 + 400) - GREATEST(g.ymin, gy * 400))) / 62500.0::DOUBLE), 6) AS pop_est FROM f_grid g JOIN t ON g.xmin < gx * 400 + 400 AND g.xmax > gx * 400 AND g.ymin < gy * 400 + 400 AND g.ymax > gy * 400 GROUP BY 1, 2",
     "px_age_ratio": "WITH b AS (SELECT grid_id, " + ", ".join(f"pop_est * {k} % 97 AS a{k}" for k in range(1, 7)) + " FROM f_grid) SELECT grid_id, ROUND(100.0::DOUBLE * (a1 + a2 + a5 + a6) / NULLIF(a1 + a2 + a3 + a4 + a5 + a6, 0), 6) AS vulnerable_pct, ROUND(100.0::DOUBLE * (a1 + a2) / NULLIF(a3 + a4, 0), 6) AS child_dependency FROM b",
     "px_mosaic": "SELECT pixel_id, ARG_MAX(b4, ROW(ts, obs_id)) AS b4 FROM f_pixels WHERE obs_id % 4 > 0 AND b4 IS NOT NULL GROUP BY pixel_id",

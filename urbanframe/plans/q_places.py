@@ -8,7 +8,7 @@ from urbanframe.functions import geometry as g
 from urbanframe.operators import network as net
 from urbanframe.operators import places as pl
 from urbanframe.operators import spatial as sp
-from urbanframe.plans.fixtures import view, with_views
+from urbanframe.plans.fixtures import union_area_sql, view, with_views
 
 RULES = {
     "fresh_food_market": [{"key": "shop", "value": "supermarket", "condition": "OR"}, {"key": "amenity", "value": "marketplace", "condition": "OR"}, {"key": "access", "value": "private", "condition": "NOT"}],
@@ -271,15 +271,6 @@ def _meet(a: str, b: str) -> str:
     return f"{a}.xmin <= {b}.xmax AND {b}.xmin <= {a}.xmax AND {a}.ymin <= {b}.ymax AND {b}.ymin <= {a}.ymax"
 
 
-def _union_area(boxes: str, keys: str, where: str) -> str:
-    """``union_area``: area of the union of each key's boxes, strip by strip between neighbouring x edges."""
-    return f"""edges_x AS (SELECT DISTINCT {keys}, UNNEST([xmin, xmax]) AS x FROM {boxes} WHERE {where}),
-strips AS (SELECT *, LEAD(x) OVER (PARTITION BY {keys} ORDER BY x) AS x_next FROM edges_x),
-parts_in AS (SELECT {keys}, x, x_next, ymin, ymax, MAX(ymax) OVER (PARTITION BY {keys}, x ORDER BY ymin, ymax ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach
-  FROM strips JOIN {boxes} USING ({keys}) WHERE xmin <= x AND xmax >= x_next AND xmin < xmax),
-union_area AS (SELECT {keys}, SUM((x_next - x) * GREATEST(0, ymax - GREATEST(ymin, COALESCE(reach, ymin))))::DOUBLE AS area FROM parts_in GROUP BY {keys})"""
-
-
 SPACES = f"""{CANDIDATES}, sized AS (SELECT *, (xmax - xmin) * (ymax - ymin) / 10000.0::DOUBLE AS area_ha, SQRT(((xmax - xmin) * (xmax - xmin) + (ymax - ymin) * (ymax - ymin))::DOUBLE) AS diameter FROM cand),
 spaces AS (SELECT *, COALESCE(natural_tag = 'water', FALSE) AS water_feature, CAST(NULL AS BOOLEAN) AS linear_tag, area_ha > 0.5 AND area_ha * 10000 / (3.141592653589793::DOUBLE * diameter * diameter / 4.0::DOUBLE) < 0.25 AS linear_feature FROM sized)"""
 LINEARS = f"""good AS (SELECT a.osm_id FROM spaces a JOIN spaces b ON a.osm_id <> b.osm_id AND {_meet('a', 'b')} WHERE a.linear_feature AND (
@@ -299,7 +290,7 @@ closure AS (SELECT osm_id AS n, osm_id AS r FROM classed WHERE aos_class IS NOT
 label AS (SELECT n, MIN(r) AS aos_id FROM closure GROUP BY n),
 sums AS (SELECT l.aos_id, MIN(aos_class) AS aos_class, COUNT(*) AS members FROM classed c JOIN label l ON l.n = c.osm_id GROUP BY 1),
 boxes AS (SELECT l.aos_id, UNNEST(['all', CASE WHEN public_access THEN 'public' END, CASE WHEN water_feature THEN 'water' END]) AS part, xmin, ymin, xmax, ymax FROM classed c JOIN label l ON l.n = c.osm_id),
-{_union_area('boxes', 'aos_id, part', "part IS NOT NULL")},
+{union_area_sql('boxes', 'aos_id, part', "part IS NOT NULL")},
 aos AS (SELECT s.aos_id, CAST(aos_class AS INT) AS aos_class, members, COALESCE(MAX(CASE WHEN part = 'all' THEN area END), 0) / 10000.0::DOUBLE AS aos_ha, COALESCE(MAX(CASE WHEN part = 'public' THEN area END), 0) / 10000.0::DOUBLE AS aos_ha_public, COALESCE(MAX(CASE WHEN part = 'water' THEN area END), 0) / 10000.0::DOUBLE AS aos_ha_water
   FROM sums s LEFT JOIN union_area USING (aos_id) GROUP BY ALL)"""
 RING = """ring AS (SELECT *, (xmax - xmin)::DOUBLE AS w, (ymax - ymin)::DOUBLE AS h FROM f_osm WHERE leisure = 'park' {more}),
@@ -319,7 +310,7 @@ SQL = {
     "knn_edge": f"WITH {KNN} SELECT dest_oid, ogc_fid, ROUND(distance, 6) AS distance, ROUND(before, 6) AS before FROM knn",
     "snap_points": f"WITH {KNN} SELECT dest_oid, ogc_fid FROM knn WHERE distance <= 40",
     "within_distance": """SELECT dest_oid, osm_id, ROUND(distance, 6) AS distance FROM (SELECT p.dest_oid, o.osm_id, SQRT(POWER(GREATEST(0, o.xmin - p.x, p.x - o.xmax)::DOUBLE, 2) + POWER(GREATEST(0, o.ymin - p.y, p.y - o.ymax)::DOUBLE, 2)) AS distance FROM f_destinations p CROSS JOIN f_osm o) WHERE distance <= 60""",
-    "overlap_ratio": f"SELECT a.grid_id FROM f_grid a JOIN f_areas b ON {_meet('a', 'b')} GROUP BY a.grid_id HAVING SUM({_overlap('a', 'b')}) / 62500.0::DOUBLE >= 0.3",
+    "overlap_ratio": f"WITH clipped AS (SELECT a.grid_id, GREATEST(a.xmin, b.xmin) AS xmin, GREATEST(a.ymin, b.ymin) AS ymin, LEAST(a.xmax, b.xmax) AS xmax, LEAST(a.ymax, b.ymax) AS ymax FROM f_grid a JOIN f_areas b ON {_meet('a', 'b')}), {union_area_sql('clipped', 'grid_id', 'TRUE')} SELECT grid_id FROM union_area WHERE area / 62500.0::DOUBLE >= 0.3",
     "covered_self": f"SELECT a.osm_id AS inner, b.osm_id AS outer FROM f_osm a JOIN f_osm b ON a.osm_id <> b.osm_id AND {_covered('a', 'b')}",
     "dest_classify": f"WITH {CLASSES} SELECT osm_id, dest_name FROM classes",
     "dest_by_cell": f"WITH {CLASSES} SELECT g.grid_id, d.dest_name, COUNT(*) AS count FROM dests d JOIN f_grid g ON {_in('d', 'g')} GROUP BY 1, 2",
@@ -349,7 +340,7 @@ SQL = {
       closure AS (SELECT osmid AS n, osmid AS r FROM kept UNION SELECT c.n, l.b FROM closure c JOIN links l ON l.a = c.r), label AS (SELECT n, MIN(r) AS component FROM closure GROUP BY n)
       SELECT component, COUNT(*) AS members, ROUND(AVG(x), 6) AS x, ROUND(AVG(y), 6) AS y FROM kept JOIN label ON n = osmid GROUP BY component""",
     "pos_candidates": f"""WITH {CANDIDATES}, ex AS (SELECT * FROM f_osm WHERE access IN ('private', 'no') OR landuse = 'military'),
-      clipped AS (SELECT a.osm_id, GREATEST(a.xmin, b.xmin) AS xmin, GREATEST(a.ymin, b.ymin) AS ymin, LEAST(a.xmax, b.xmax) AS xmax, LEAST(a.ymax, b.ymax) AS ymax FROM cand a JOIN ex b ON {_overlap('a', 'b')} > 0), {_union_area('clipped', 'osm_id', 'TRUE')},
+      clipped AS (SELECT a.osm_id, GREATEST(a.xmin, b.xmin) AS xmin, GREATEST(a.ymin, b.ymin) AS ymin, LEAST(a.xmax, b.xmax) AS xmax, LEAST(a.ymax, b.ymax) AS ymax FROM cand a JOIN ex b ON {_overlap('a', 'b')} > 0), {union_area_sql('clipped', 'osm_id', 'TRUE')},
       cut AS (SELECT osm_id, ((xmax - xmin) * (ymax - ymin) - COALESCE(area, 0)) / 10000.0::DOUBLE AS area_ha FROM cand LEFT JOIN union_area USING (osm_id)) SELECT osm_id, ROUND(area_ha, 6) AS area_ha FROM cut WHERE area_ha > 0""",
     "pos_linear": f"WITH {SPACES}, {LINEARS} SELECT osm_id, water_feature, linear_tag, linear_feature, acceptable_linear_feature FROM linears",
     "pos_public": f"WITH {SPACES}, {LINEARS}, {PUBLIC} SELECT osm_id, public_access, within_public FROM public",
