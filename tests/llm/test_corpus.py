@@ -457,3 +457,27 @@ def test_pipeline(spark, data):
     last = corpus_pipeline.STAGES[-1][1](spark, before, data)
     assert sorted(r.doc_id for r in last.collect()) == sorted(r.doc_id for r in before.collect())
     assert corpus_pipeline.run(spark, data).count() == before.count()
+
+
+def test_stages_keep_clashing_columns_null_ids_and_repeated_rows(spark, data):
+    import corpus_pipeline
+
+    own = spark.read.parquet(f"{data}/documents.parquet").limit(40).collect()
+    rows = [tuple(r) for r in own]
+    some = next(r for r in own if r.text and len(r.text) > 400)
+    rows += [tuple(some)] * 3 + [(None, some.text, None, None, some.n_chars), (None, None, None, None, None), (own[0].doc_id, "one id, another text " * 9, "en", "src1", 189)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    df = spark.createDataFrame(rows, schema)
+    clash = ("_key", "_score", "_id", "_source", "_mark", "copies", "_copies", "_copy", "spans", "kept", "n_bytes", "size", "mark", "gram", "rep", "component", "_doc", "_hash", "_number")
+    for c in clash:
+        df = df.withColumn(c, F.lit(f"own {c}"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, df, data)
+        assert out.columns == df.columns, name
+        found = out.select(*clash).distinct().collect()
+        assert [tuple(r) for r in found] == [tuple(f"own {c}" for c in clash)], name
+    last = corpus_pipeline.STAGES[-1][1](spark, df, data)
+    assert last.count() == len(rows)
+    none = df.where("doc_id < -5")
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, none, data).count() == 0, name

@@ -332,16 +332,17 @@ def covered(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batches: in
     family = IndexFamily(docs.sparkSession, length, gram)
     cuts = docs.select(F.percentile_approx("_key", [i / batches for i in range(1, batches)], 10_000)).first()[0] if batches > 1 else []
     cuts = sorted(set(cuts or []))
-    for i in range(len(cuts) + 1):
-        part = docs
-        if i:
-            part = part.where(F.col("_key") > cuts[i - 1])
-        if i < len(cuts):
-            part = part.where(F.col("_key") <= cuts[i])
-        family.add(part, last=i == len(cuts))
-    spans = family.covered(docs)
-    family.close()
-    return spans
+    try:
+        for i in range(len(cuts) + 1):
+            part = docs
+            if i:
+                part = part.where(F.col("_key") > cuts[i - 1])
+            if i < len(cuts):
+                part = part.where(F.col("_key") <= cuts[i])
+            family.add(part, last=i == len(cuts))
+        return family.covered(docs)
+    finally:
+        family.close()
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batches: int = BATCHES) -> DataFrame:
