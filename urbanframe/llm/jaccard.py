@@ -255,6 +255,7 @@ def _crowd(postings: DataFrame, found: DataFrame | None) -> DataFrame:
     if found is None:
         return postings.withColumn("comp", F.col("_key"))
     named = postings.join(found.select(F.col("node").alias("_key"), "component"), "_key", "left").withColumn("comp", F.coalesce("component", "_key")).drop("component")
+    named = checkpointed(named)
     open_ = named.groupBy("gram").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("gram")
     return checkpointed(named.join(open_, "gram", "left_semi"))
 

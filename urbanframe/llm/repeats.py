@@ -345,6 +345,16 @@ def covered(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batches: in
         family.close()
 
 
+def _without(text: str | None, begin, end) -> bytes:
+    """A text's bytes outside its spans."""
+    raw = (text or "").encode("utf-8", "surrogatepass")
+    at, kept = 0, []
+    for a, b in zip(begin, end) if begin is not None else ():
+        kept.append(raw[at:a])
+        at = b
+    return b"".join([*kept, raw[at:]])
+
+
 def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batches: int = BATCHES) -> DataFrame:
     """``docs`` plus ``spans`` (covered bytes), ``kept`` (the other bytes) and ``n_bytes``."""
     small_batches(docs.sparkSession)
@@ -358,15 +368,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bat
 
     @F.pandas_udf("binary")
     def cut(texts: pd.Series, begins: pd.Series, ends: pd.Series) -> pd.Series:
-        out = []
-        for text, begin, end in zip(texts, begins, ends):
-            raw = (text or "").encode("utf-8", "surrogatepass")
-            at, kept = 0, []
-            for a, b in zip(begin, end) if begin is not None else ():
-                kept.append(raw[at:a])
-                at = b
-            out.append(b"".join([*kept, raw[at:]]))
-        return pd.Series(out, dtype=object)
+        return pd.Series([_without(*row) for row in zip(texts, begins, ends)], dtype=object)
 
     return joined.withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint")).withColumn("kept", cut("text", "spans.begin", "spans.end"))
 
@@ -392,10 +394,11 @@ def stage_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     found = without_repeats(docs.withColumnsRenamed(clash))
 
     @F.pandas_udf("string")
-    def decoded(kept: pd.Series) -> pd.Series:
-        return pd.Series([bytes(k).decode("utf-8", "ignore") for k in kept], dtype=object)
+    def decoded(texts: pd.Series, begins: pd.Series, ends: pd.Series) -> pd.Series:
+        return pd.Series([_without(*row).decode("utf-8", "ignore") for row in zip(texts, begins, ends)], dtype=object)
 
-    found = found.withColumn("_cut", F.col("spans").isNotNull()).withColumn("text", F.when(F.col("_cut"), decoded("kept")).otherwise(F.col("text")))
+    # The bytes in ``kept`` are not asked for here, so only one Python worker serves a task.
+    found = found.withColumn("_cut", F.col("spans").isNotNull()).withColumn("text", F.when(F.col("_cut"), decoded("text", "spans.begin", "spans.end")).otherwise(F.col("text")))
     if "n_chars" in columns:
         found = found.withColumn("n_chars", F.when(F.col("_cut"), F.length("text").cast("bigint")).otherwise(F.col("n_chars")))
     return found.where(~F.col("_cut") | (F.length("text") > 0)).select(*[F.col(clash.get(c, c)).alias(c) for c in columns])
