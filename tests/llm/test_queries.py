@@ -23,6 +23,8 @@ COLUMNS = {
     "op8_repeats": {"n_bytes": "bigint", "n_removed": "bigint", "n_spans": "bigint", "kept_sha256": "string"},
     "op9_digest": {"n_chars": "bigint", "edited_sha256": "string", "fingerprint": "string", "edited_fingerprint": "string", "near_edited": "double", "near_next": "double"},
     "op10_media": {"n_bytes": "bigint", "payload_bytes": "bigint", "payload_sha256": "string", "tail_crc32": "bigint", "media_bytes": "bigint", "media_sha256": "string", "feature": "string"},
+    "op12_leaks": {"n_words": "bigint", "n_hit": "bigint", "n_items": "bigint", "items_sha256": "string", "contaminated": "boolean"},
+    "op13_manifest": {"leaf": "string", "subroot": "string", "root": "string", "proof_sha256": "string", "folded_root": "string", "verified": "boolean"},
 }
 FOLDS = {"op3_language": (4, 2), "op5_toxicity": (5, 0), "op6_quality": (3, 1)}
 
@@ -30,7 +32,8 @@ FOLDS = {"op3_language": (4, 2), "op5_toxicity": (5, 0), "op6_quality": (3, 1)}
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_sql(spark, data, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{data}/documents.parquet'")
+    for table in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{data}/{table}.parquet'")
     want = con.execute(oracle_sql()[name])
     columns = [c[0] for c in want.description]
     got = queries()[name](spark, data)

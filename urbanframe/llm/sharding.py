@@ -130,10 +130,15 @@ def _shard_sql(shards: int) -> str:
     return _winner_sql(top)
 
 
-_CRC_SQL = f"XOR(LIST_REDUCE(LIST_TRANSFORM(REGEXP_EXTRACT_ALL(HEX(ENCODE(COALESCE(text, ''))), '..'), LAMBDA x: CAST('0x' || x AS BIGINT)), LAMBDA c, b: XOR(c >> 8, CAST([{', '.join(map(str, _crc_table()))}][CAST(XOR(c, b) & 255 AS INT) + 1] AS BIGINT)), 4294967295::BIGINT), 4294967295::BIGINT)"
+def crc_sql(text: str) -> str:
+    """SQL of the unsigned crc32 of a text expression's UTF-8 bytes."""
+    codes = f"LIST_TRANSFORM(REGEXP_EXTRACT_ALL(HEX(ENCODE({text})), '..'), LAMBDA x: CAST('0x' || x AS BIGINT))"
+    step = f"XOR(c >> 8, CAST([{', '.join(map(str, _crc_table()))}][CAST(XOR(c, b) & 255 AS INT) + 1] AS BIGINT))"
+    return f"COALESCE(XOR(LIST_REDUCE({codes}, LAMBDA c, b: {step}, 4294967295::BIGINT), 4294967295::BIGINT), 0)"
+
 
 OP7_SQL = f"""
-WITH keyed AS (SELECT doc_id, COALESCE(CAST(doc_id AS VARCHAR), '') AS k, CAST(STRLEN(COALESCE(text, '')) + 1 AS BIGINT) AS size, {_CRC_SQL} AS text_crc32 FROM documents),
+WITH keyed AS (SELECT doc_id, COALESCE(CAST(doc_id AS VARCHAR), '') AS k, CAST(STRLEN(COALESCE(text, '')) + 1 AS BIGINT) AS size, {crc_sql("COALESCE(text, '')")} AS text_crc32 FROM documents),
 placed AS (SELECT doc_id, size, text_crc32, {_shard_sql(8)} AS shard, {_shard_sql(9)} AS grown_shard, CAST('0x' || SUBSTR(MD5(k || ':' || text_crc32), 14, 4) AS INT) % {SLOT_BUCKETS} AS bucket FROM keyed)
 SELECT doc_id, size, text_crc32, 'key' AS law, CAST(shard AS INT) AS shard, CAST(ROW_NUMBER() OVER (PARTITION BY shard ORDER BY bucket, doc_id, text_crc32, size) - 1 AS BIGINT) AS slot, CAST(grown_shard AS INT) AS grown_shard FROM placed
 """
