@@ -206,16 +206,18 @@ def acceptable_linear(df: DataFrame, key: str, cell: float) -> DataFrame:
     return df.join(good, key, "left").withColumn("acceptable_linear_feature", F.when(F.col("linear_feature"), F.coalesce("_good", F.lit(False)))).drop("_good")
 
 
-def public_access(df: DataFrame, key: str, cell: float) -> DataFrame:
+def public_access(df: DataFrame, key: str, cell: float, cover: DataFrame | None = None) -> DataFrame:
     """``public_access`` and ``within_public`` of open spaces with ``water_feature``.
 
+    ``cover`` has the pairs ``inner, outer`` of covered spaces; without it boxes tell.
+
     Tags decide first. A space covered by a public one is within public. Public
     spaces covered by a non-public one lose access; so do those covered by, or
     the same as, one that is itself neither public nor within public.
     """
     golf = F.col("golf").isNull() if "golf" in df.columns else F.lit(True)
     tagged = checkpointed(df.withColumn("public_access", ~_among(df, NOT_PUBLIC) & golf & ~F.col("water_feature")))
-    cover = checkpointed(covered_by_other(tagged.select(key, *BOX), key, cell))
+    cover = checkpointed(covered_by_other(tagged.select(key, *BOX), key, cell) if cover is None else cover)
     state = tagged.select(key, "public_access")
     outer = lambda table, *flags: table.select(F.col(key).alias("outer"), *[F.col(f).alias(f"_{f}") for f in flags])
     inside = cover.join(outer(state.where("public_access"), "public_access"), "outer").select(F.col("inner").alias(key)).distinct().withColumn("within_public", F.lit(True))

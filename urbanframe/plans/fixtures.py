@@ -41,6 +41,21 @@ SELECT p_partkey AS osm_id, CASE p_size % 6 WHEN 0 THEN 'supermarket' WHEN 1 THE
  CASE p_partkey % 31 WHEN 0 THEN 'military' WHEN 1 THEN 'forest' END AS landuse,
  (p_partkey * 6151) % 3900 AS xmin, (p_partkey * 3571) % 3600 + CAST(FLOOR(p_partkey / 2001) AS BIGINT) * 3750 AS ymin,
  (p_partkey * 6151) % 3900 + 20 + p_size * 4 AS xmax, (p_partkey * 3571) % 3600 + CAST(FLOOR(p_partkey / 2001) AS BIGINT) * 3750 + 20 + (p_partkey % 50) * 4 AS ymax FROM part
+""",
+    "f_parks": r"""
+SELECT osm_id, amenity, leisure, natural_tag, access, landuse, CASE WHEN osm_id % 37 = 0 THEN 'square' END AS place, CASE WHEN osm_id % 41 = 0 THEN 'pedestrian' END AS highway,
+ CASE WHEN osm_id % 43 = 0 THEN 'national_park' END AS boundary, CASE osm_id % 23 WHEN 0 THEN 'canal' WHEN 1 THEN 'drain' WHEN 2 THEN 'dock' END AS waterway,
+ CASE WHEN osm_id % 29 = 0 THEN 'hole' END AS golf, CASE osm_id % 19 WHEN 0 THEN 'canoe' WHEN 1 THEN 'archery' END AS sport,
+ xmin AS x1, ymin AS y1, xmax AS x2, ymin + CAST(FLOOR((ymax - ymin) * 2 / 3) AS BIGINT) AS y2, xmin AS x3, ymax AS y3,
+ xmin + CAST(FLOOR((xmax - xmin) / 3) AS BIGINT) AS x4, ymin + CAST(FLOOR((ymax - ymin) / 2) AS BIGINT) AS y4 FROM f_osm
+""",
+    "f_ways": r"""
+SELECT osmid AS way_id, CASE osmid % 4 WHEN 0 THEN 'park' WHEN 1 THEN 'track' END AS leisure, CASE WHEN osmid % 5 = 0 THEN 'bench' END AS amenity, CASE WHEN osmid % 7 = 0 THEN 'tree_row' END AS natural_tag,
+ CASE WHEN osmid % 11 = 0 THEN 'viewpoint' END AS tourism, CASE WHEN osmid % 6 = 0 THEN 'stream' END AS waterway, CASE WHEN osmid % 13 = 0 THEN 'ruins' END AS historic,
+ x AS x1, y AS y1, x + 60 + osmid % 17 AS x2, y + 25 + osmid % 30 AS y2, x + 90 + osmid % 50 AS x3, y - 20 AS y3 FROM f_nodes
+""",
+    "f_bends": r"""
+SELECT ogc_fid, u, v, ux AS x1, uy AS y1, (ux + vx) / 2 + (ogc_fid % 7) * 3 AS x2, (uy + vy) / 2 - (ogc_fid % 5) * 4 AS y2, vx AS x3, vy AS y3 FROM f_edges
 """,
     "f_areas": r"""
 SELECT n_nationkey AS area_id, n_name AS area_name, (n_nationkey % 5) * 800 + 37 AS xmin, CAST(FLOOR(n_nationkey / 5) AS BIGINT) * 740 + 53 AS ymin,
@@ -147,3 +162,22 @@ strips AS (SELECT *, LEAD(x) OVER (PARTITION BY {keys} ORDER BY x) AS x_next FRO
 parts_in AS (SELECT {keys}, x, x_next, ymin, ymax, MAX(ymax) OVER (PARTITION BY {keys}, x ORDER BY ymin, ymax ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach
   FROM strips JOIN {boxes} USING ({keys}) WHERE xmin <= x AND xmax >= x_next AND xmin < xmax),
 union_area AS (SELECT {keys}, SUM((x_next - x) * GREATEST(0, ymax - GREATEST(ymin, COALESCE(reach, ymin))))::DOUBLE AS area FROM parts_in GROUP BY {keys})"""
+
+
+def shape_union_sql(edges: str, out: str) -> str:
+    """``out``: area of the union of each ``k``'s shapes ``id``, given by their ``edges`` (``ax, ay, bx, by_``).
+
+    Between neighbouring heights of corners and crossings the edges don't cross, so the
+    width at mid height, each place counted once, times the height is exact.
+    """
+    cross = "(a.bx - a.ax) * (b.by_ - b.ay) - (a.by_ - a.ay) * (b.bx - b.ax)"
+    along = "((b.ax - a.ax) * (b.by_ - b.ay) - (b.ay - a.ay) * (b.bx - b.ax))"
+    over = "((b.ax - a.ax) * (a.by_ - a.ay) - (b.ay - a.ay) * (a.bx - a.ax))"
+    return f"""{out}_ys AS (SELECT DISTINCT k, y FROM (SELECT k, ay::DOUBLE AS y FROM {edges} UNION ALL
+  SELECT a.k, a.ay + (a.by_ - a.ay) * {along}::DOUBLE / ({cross}) FROM {edges} a JOIN {edges} b ON a.k = b.k AND a.id < b.id AND GREATEST(a.ay, a.by_) > LEAST(b.ay, b.by_) AND GREATEST(b.ay, b.by_) > LEAST(a.ay, a.by_)
+    AND GREATEST(a.ax, a.bx) > LEAST(b.ax, b.bx) AND GREATEST(b.ax, b.bx) > LEAST(a.ax, a.bx) WHERE {cross} <> 0 AND {along}::DOUBLE / NULLIF({cross}, 0) BETWEEN 0 AND 1 AND {over}::DOUBLE / NULLIF({cross}, 0) BETWEEN 0 AND 1)),
+{out}_strips AS (SELECT k, y, LEAD(y) OVER (PARTITION BY k ORDER BY y) AS y_next FROM {out}_ys),
+{out}_xs AS (SELECT e.k, s.y, s.y_next - s.y AS h, e.id, e.ax + (e.bx - e.ax) * ((s.y + s.y_next) / 2 - e.ay)::DOUBLE / (e.by_ - e.ay) AS x FROM {edges} e JOIN {out}_strips s ON s.k = e.k AND LEAST(e.ay, e.by_) <= s.y AND GREATEST(e.ay, e.by_) >= s.y_next AND s.y_next > s.y WHERE e.ay <> e.by_),
+{out}_ends AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY k, y, id ORDER BY x) AS n, LEAD(x) OVER (PARTITION BY k, y, id ORDER BY x) AS x_next FROM {out}_xs),
+{out}_spans AS (SELECT k, y, h, x, x_next, MAX(x_next) OVER (PARTITION BY k, y ORDER BY x, x_next ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM {out}_ends WHERE n % 2 = 1),
+{out} AS (SELECT k, SUM(h * GREATEST(0, x_next - GREATEST(x, COALESCE(reach, x)))) AS area FROM {out}_spans GROUP BY k)"""
