@@ -16,20 +16,21 @@ GRAM = 32
 #: Window starts handled at a time.
 CHUNK = 1 << 20
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 2**64)
+#: Odd bases of the two families of hashes, so that neither tells of the other.
+_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+_INVERSES = tuple(pow(base, -1, 2**64) for base in _BASES)
 _CODES = np.random.default_rng(7).integers(1, 2**63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_POWERS: dict[str, np.ndarray] = {}
+_POWERS: dict[tuple[int, str], np.ndarray] = {}
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS.get("up", ())) < n:
+def _powers(n: int, family: int) -> tuple[np.ndarray, np.ndarray]:
+    if len(_POWERS.get((family, "up"), ())) < n:
         size = 1 << max(12, (n - 1).bit_length())
-        for name, base in (("up", _BASE), ("down", _INVERSE)):
+        for name, base in (("up", _BASES[family]), ("down", _INVERSES[family])):
             row = np.full(size, base, np.uint64)
             row[0] = 1
-            _POWERS[name] = np.multiply.accumulate(row)
-    return _POWERS["up"], _POWERS["down"]
+            _POWERS[family, name] = np.multiply.accumulate(row)
+    return _POWERS[family, "up"], _POWERS[family, "down"]
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -45,7 +46,7 @@ class Hashed:
     """
 
     def __init__(self, raw: np.ndarray, family: int = 0):
-        self.up, down = _powers(len(raw) + 1)
+        self.up, down = _powers(len(raw) + 1, family)
         self.sums = np.zeros(len(raw) + 1, np.uint64)
         np.cumsum(_CODES[family][raw] * down[: len(raw)], out=self.sums[1:])
 

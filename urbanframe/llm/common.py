@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +34,20 @@ def small_batches(spark: SparkSession) -> None:
             spark.conf.set(key, value)
 
 
+def trimmed(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A batch function after whose end the worker, which lives on, gives its freed memory back to the system."""
+
+    @functools.wraps(run)
+    def go(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            if (trim := getattr(ctypes.CDLL(None), "malloc_trim", None)) is not None:
+                trim(0)
+
+    return go
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

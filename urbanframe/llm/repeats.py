@@ -47,7 +47,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from urbanframe.llm.anchors import GRAM, LENGTH, Hashed, mixed, segments
-from urbanframe.llm.common import broadcast_if_small, checkpointed, documents, fresh, keyed, small_batches, written
+from urbanframe.llm.common import broadcast_if_small, checkpointed, documents, fresh, keyed, small_batches, trimmed, written
+from urbanframe.session import shared_folder
 
 BLOCK_SUFFIXES = 1_000_000
 BLOCK_PIECES = 300_000
@@ -121,7 +122,7 @@ def suffix_arrays(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
         if held:
             yield sorted_block()
 
-    return texts.select("_key", "text").mapInPandas(run, ARRAY)
+    return texts.select("_key", "text").mapInPandas(trimmed(run), ARRAY)
 
 
 def _cut_in_pieces(raw: np.ndarray, first: np.ndarray, shape: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
@@ -210,18 +211,21 @@ def _pieces(texts: DataFrame, length: int) -> DataFrame:
         if held:
             yield block(held)
 
-    return texts.select("_key", "text", "firsts", "shapes").mapInPandas(run, PIECE)
+    return texts.select("_key", "text", "firsts", "shapes").mapInPandas(trimmed(run), PIECE)
 
 
 class IndexFamily:
     """Levels of suffix tables over the batches added so far.
 
-    Tables are made in the session's current database; ``close`` drops them.
+    Tables are made in a database of their own in the shared folder; ``close`` drops it with all of them.
     """
 
     def __init__(self, spark: SparkSession, length: int = LENGTH, gram: int = GRAM):
         self.spark, self.length, self.gram = spark, length, gram
         self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.base = f"suffixes_{uuid.uuid4().hex}"
+        spark.sql(f"CREATE DATABASE {self.base} LOCATION '{shared_folder(spark)}/{self.base}'")
+        self.tables = 0
         self.levels: list[tuple[int, str]] = []  # batches held, table
         self.merges = 0
         self.spots: list[DataFrame] = []
@@ -229,7 +233,8 @@ class IndexFamily:
 
     def _saved(self, rows: DataFrame) -> str:
         """A new table of ``rows``, bucketed by suffix hash."""
-        name = f"suffixes_{uuid.uuid4().hex}"
+        self.tables += 1
+        name = f"{self.base}.part{self.tables}"
         rows.write.bucketBy(self.buckets, "gram").saveAsTable(name)
         return name
 
@@ -237,8 +242,7 @@ class IndexFamily:
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
     def close(self) -> None:
-        for _, name in self.levels:
-            self._drop(name)
+        self.spark.sql(f"DROP DATABASE IF EXISTS {self.base} CASCADE")
         self.levels = []
 
     def _merge(self) -> None:
@@ -390,7 +394,8 @@ def stage_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     A cut inside a character drops what is left of that character.
     """
     columns = docs.columns
-    clash = {c: f"_own_{c}" for c in ("spans", "kept", "n_bytes") if c in columns}
+    clash = {c: fresh(f"_own_{c}", docs) for c in columns if c.lower() in ("spans", "kept", "n_bytes")}
+    cut = fresh("_cut", docs)
     found = without_repeats(docs.withColumnsRenamed(clash))
 
     @F.pandas_udf("string")
@@ -398,10 +403,10 @@ def stage_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
         return pd.Series([_without(*row).decode("utf-8", "ignore") for row in zip(texts, begins, ends)], dtype=object)
 
     # The bytes in ``kept`` are not asked for here, so only one Python worker serves a task.
-    found = found.withColumn("_cut", F.col("spans").isNotNull()).withColumn("text", F.when(F.col("_cut"), decoded("text", "spans.begin", "spans.end")).otherwise(F.col("text")))
+    found = found.withColumn(cut, F.col("spans").isNotNull()).withColumn("text", F.when(F.col(cut), decoded("text", "spans.begin", "spans.end")).otherwise(F.col("text")))
     if "n_chars" in columns:
-        found = found.withColumn("n_chars", F.when(F.col("_cut"), F.length("text").cast("bigint")).otherwise(F.col("n_chars")))
-    return found.where(~F.col("_cut") | (F.length("text") > 0)).select(*[F.col(clash.get(c, c)).alias(c) for c in columns])
+        found = found.withColumn("n_chars", F.when(F.col(cut), F.length("text").cast("bigint")).otherwise(F.col("n_chars")))
+    return found.where(~F.col(cut) | (F.length("text") > 0)).select(*[F.col(clash.get(c, c)).alias(c) for c in columns])
 
 
 OP8_SQL = """
