@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from urbanframe.llm.common import SPACE, broadcast_if_small, checkpointed, documents, fresh, keyed, small_batches, written
+from urbanframe.llm.common import SPACE, broadcast_if_small, checkpointed, documents, fresh, keyed, small_batches, trimmed, written
 from urbanframe.llm.shingles import gram_sets
 from urbanframe.operators.graph import components
 
@@ -108,7 +108,7 @@ def _gram_counts(texts: DataFrame, words: int) -> DataFrame:
         if total:
             yield repeated()
 
-    return texts.select("_key", "text").mapInPandas(run, "_key long, gram long, n long")
+    return texts.select("_key", "text").mapInPandas(trimmed(run), "_key long, gram long, n long")
 
 
 def _most_frequent(counted: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -167,7 +167,7 @@ def _prefixes(texts: DataFrame, frequent, words: int, percent: int) -> DataFrame
             if out:
                 yield pd.DataFrame(dict(zip(("gram", "_key", "n", "place", "hot"), (np.concatenate(x) for x in zip(*out)))))
 
-    return texts.select("_key", "text").mapInPandas(run, "gram long, _key long, n int, place int, hot boolean")
+    return texts.select("_key", "text").mapInPandas(trimmed(run), "gram long, _key long, n int, place int, hot boolean")
 
 
 def _parts(texts: DataFrame, words: int) -> DataFrame:
@@ -177,7 +177,7 @@ def _parts(texts: DataFrame, words: int) -> DataFrame:
         for frame in frames:
             yield pd.DataFrame({"_key": frame["_key"], "parts": [_part_sizes(g) for g in gram_sets(frame["text"].tolist(), words)]})
 
-    return texts.select("_key", "text").mapInPandas(run, "_key long, parts array<short>")
+    return texts.select("_key", "text").mapInPandas(trimmed(run), "_key long, parts array<short>")
 
 
 def _early(percent: int) -> Column:
@@ -247,7 +247,7 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
                 linked.append(shared * (100 + percent) >= percent * len(both))
             yield frame.loc[linked, ["a", "b"]]
 
-    return pairs.select("a", "b", "text_a", "text_b").mapInPandas(run, "a long, b long")
+    return pairs.select("a", "b", "text_a", "text_b").mapInPandas(trimmed(run), "a long, b long")
 
 
 def _crowd(postings: DataFrame, found: DataFrame | None) -> DataFrame:

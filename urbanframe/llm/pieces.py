@@ -29,11 +29,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanframe.llm.common import documents, small_batches
+from urbanframe.llm.common import documents, small_batches, trimmed
 
 #: Words kept per Python worker, and characters or ids handled at a time.
-CACHE_WORDS = 300_000
-CHUNK = 400_000
+CACHE_WORDS = 100_000
+CHUNK = 200_000
 NEVER = np.int64(2**40)
 #: Marks a cache key without a space mark; a lone surrogate is in no valid text.
 RAW = "\ud800"
@@ -349,7 +349,7 @@ def encode(docs: DataFrame, model_path: str | None = None, text: str = "text", k
                 ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), ids], names=["key", "ids"])
 
-    out = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {key_type}, ids array<int>")
+    out = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(trimmed(run), f"key {key_type}, ids array<int>")
     return out.withColumnRenamed("key", key)
 
 
@@ -370,7 +370,7 @@ def decode(encoded: DataFrame, model_path: str | None = None, key: str = "doc_id
                 texts = model.decode(flat[at[a] : at[b]], counts[a:b])
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), ids.slice(a, b - a), pa.array(texts, pa.string())], names=["key", "ids", "text"])
 
-    out = encoded.select(F.col(key).alias("key"), F.col("ids")).mapInArrow(run, f"key {key_type}, ids array<int>, text string")
+    out = encoded.select(F.col(key).alias("key"), F.col("ids")).mapInArrow(trimmed(run), f"key {key_type}, ids array<int>, text string")
     return out.withColumnRenamed("key", key)
 
 
@@ -405,7 +405,7 @@ def digests(docs: DataFrame, model_path: str | None = None) -> DataFrame:
             model.clear()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.select("doc_id", "text").mapInArrow(trimmed(run), f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
