@@ -113,9 +113,12 @@ def train(x: np.ndarray, y: np.ndarray, languages: list[str], width: int = 16, e
 
 
 def fit(docs: DataFrame, keep: Column | None = None, rows: int = SAMPLE_ROWS, seed: int = 23) -> LanguageModel | None:
-    """Learn from ``text`` and non-null ``lang`` of rows for which ``keep`` holds, about ``rows`` of them."""
+    """Learn from ``text`` and non-null ``lang`` of rows for which ``keep`` holds, about ``rows`` of them.
+
+    Rows are drawn by their id, so those without one are left out: they would all share a draw.
+    """
     small_batches(docs.sparkSession)
-    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.lit(True) if keep is None else keep)).select("doc_id", "text", "lang")
+    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & (F.lit(True) if keep is None else keep)).select("doc_id", "text", "lang")
     total = known.select("doc_id").count()
     share = 2**30 if total <= rows else int(2**30 * rows / total)
 
