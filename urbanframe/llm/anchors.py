@@ -14,7 +14,7 @@ import numpy as np
 LENGTH = 100
 GRAM = 32
 #: Window starts handled at a time.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 
 #: Odd bases of the two families of hashes, so that neither tells of the other.
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -25,7 +25,7 @@ _POWERS: dict[tuple[int, str], np.ndarray] = {}
 
 def _powers(n: int, family: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_POWERS.get((family, "up"), ())) < n:
-        size = 1 << max(12, (n - 1).bit_length())
+        size = -(-n // 65536) * 65536
         for name, base in (("up", _BASES[family]), ("down", _INVERSES[family])):
             row = np.full(size, base, np.uint64)
             row[0] = 1

@@ -144,7 +144,7 @@ def _cut_in_pieces(raw: np.ndarray, first: np.ndarray, shape: np.ndarray, length
     return _slices(raw, start, core, 0), (_slices(raw, start, core, 1) >> 32).astype(np.int32), start, t_low, t_high, left, right
 
 
-def _slices(raw: np.ndarray, start: np.ndarray, size: int, family: int, chunk: int = 1 << 20) -> np.ndarray:
+def _slices(raw: np.ndarray, start: np.ndarray, size: int, family: int, chunk: int = 1 << 18) -> np.ndarray:
     """Hashes of ``size`` bytes from each start; a long text is hashed in chunks."""
     if len(raw) <= 2 * chunk:
         return Hashed(raw, family).slices(start, start + size).view(np.int64)
