@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -67,6 +71,64 @@ def reach(edges: DataFrame, sources: DataFrame, limit: float, source: str = "osm
         known = known.unionByName(frontier)
 
 
+#: Sources handled at a time in a task.
+SOURCES = 128
+
+
+def reach_by_tile(edges: DataFrame, sources: DataFrame, limit: float, source: str = "osmid", cell: float | None = None) -> DataFrame:
+    """As ``reach``, from edges with their ends' places (``ux, uy, vx, vy``), in one shuffle.
+
+    A way of at most ``limit`` stays within ``limit`` of its source as the crow
+    flies (less, where an edge is shorter than the straight line between its
+    ends; the smallest such ratio is measured). So sources are dealt to tiles,
+    every edge to the tiles that it may serve, and each task has all it needs:
+    it relaxes all edges for many sources at once until nothing improves.
+    """
+    cell = float(cell or limit)
+    kind = edges.schema["length"].dataType
+    span = F.sqrt((F.col("ux") - F.col("vx")) ** 2 + (F.col("uy") - F.col("vy")) ** 2)
+    ratio = edges.agg(F.min(F.when(span > 0, F.col("length") / span))).first()[0]
+    wide = float(limit) / min(1.0, ratio) if ratio else float(limit)
+    tile = lambda c, m: F.floor((c + m) / F.lit(cell)).cast("bigint")
+    ends_of = F.explode(F.array(*[F.struct(F.col(n).alias("node"), F.col(f"{n}x").cast("double").alias("x"), F.col(f"{n}y").cast("double").alias("y")) for n in "uv"]))
+    places = edges.select(ends_of.alias("e")).groupBy("e.node").agg(F.min("e.x").alias("x"), F.min("e.y").alias("y"))
+    ids = checkpointed(sources.select(F.col(source).alias("node")).distinct().join(places, "node", "left"))
+    own = ids.where("x IS NOT NULL").select(F.col("node").alias("src"), tile(F.col("x"), 0.0).alias("_tx"), tile(F.col("y"), 0.0).alias("_ty"))
+    low, high = {c: F.least(f"u{c}", f"v{c}") for c in "xy"}, {c: F.greatest(f"u{c}", f"v{c}") for c in "xy"}
+    served = edges.select("u", "v", F.col("length").cast("double").alias("length"), *[F.sequence(tile(low[c], -wide), tile(high[c], wide)).alias(f"_{c}s") for c in "xy"])
+    served = served.select("u", "v", "length", F.explode("_xs").alias("_tx"), "_ys").select("u", "v", "length", "_tx", F.explode("_ys").alias("_ty"))
+
+    def relax(starts: pd.DataFrame, ways: pd.DataFrame) -> pd.DataFrame:
+        out = [np.zeros((0, 3))] if len(ways) else [np.stack([starts["src"], starts["src"], np.zeros(len(starts))], 1)]
+        if len(starts) and len(ways):
+            node, ends = np.unique(ways[["u", "v"]].to_numpy(), return_inverse=True)
+            ends = ends.reshape(-1, 2)
+            a, b = np.concatenate([ends[:, 0], ends[:, 1]]), np.concatenate([ends[:, 1], ends[:, 0]])
+            order = np.argsort(b, kind="stable")
+            a, b, weight = a[order], b[order], np.tile(ways["length"].to_numpy(), 2)[order]
+            first = np.flatnonzero(np.concatenate([[True], b[1:] != b[:-1]]))
+            for i in range(0, len(starts), SOURCES):
+                src = starts["src"].to_numpy()[i : i + SOURCES]
+                far = np.full((len(src), len(node)), np.inf)
+                far[np.arange(len(src)), np.searchsorted(node, src)] = 0
+                while True:
+                    best = np.minimum.reduceat(far[:, a] + weight, first, 1)
+                    best[best > limit] = np.inf
+                    nearer = np.minimum(far[:, b[first]], best)
+                    if (nearer == far[:, b[first]]).all():
+                        break
+                    far[:, b[first]] = nearer
+                row, column = np.nonzero(np.isfinite(far))
+                out.append(np.stack([src[row], node[column], far[row, column]], 1))
+        rows = np.concatenate(out)
+        return pd.DataFrame({"src": rows[:, 0].astype(np.int64), "node": rows[:, 1].astype(np.int64), "dist": rows[:, 2]})
+
+    keys = ["_tx", "_ty"]
+    found = own.groupBy(*keys).cogroup(served.join(own.select(*keys).distinct(), keys, "left_semi").groupBy(*keys)).applyInPandas(relax, "src long, node long, dist double")
+    alone = ids.where("x IS NULL").select(F.col("node").alias("src"), "node", F.lit(0.0).alias("dist"))
+    return found.unionByName(alone).withColumn("dist", F.col("dist").cast(kind))
+
+
 def associate(points: DataFrame, edges: DataFrame, point_id: str, farthest: float | None = None) -> DataFrame:
     """Points with their nearest edge's ends and whole-metre offsets along it:
     ``edge_ogc_fid, n1, n2, n1_distance, n2_distance, match_distance``."""
@@ -149,20 +211,69 @@ def require_both_nodes(points: DataFrame, nodes: DataFrame, key: str = "osmid")
     return points.join(ids.withColumnRenamed(key, "n1"), "n1", "left_semi").join(ids.withColumnRenamed(key, "n2"), "n2", "left_semi")
 
 
-def consolidate_intersections(nodes: DataFrame, edges: DataFrame, tolerance: float = 12.0) -> DataFrame:
-    """Intersections within reach of each other's tolerance as one: ``component, x, y, members``.
-
-    Dead ends are left out. The place is the mean of the merged nodes.
-    """
+def _labelled(nodes: DataFrame, edges: DataFrame, tolerance: float) -> DataFrame:
+    """Nodes of two edges or more with the ``component`` of those within twice the tolerance of each other."""
     degree = ends(edges.select(F.col("u").alias("n1"), F.lit(0).alias("n1_distance"), F.col("v").alias("n2"), F.lit(0).alias("n2_distance"))).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
     kept = checkpointed(nodes.join(degree.where("degree >= 2").select(F.col("node").alias("osmid")), "osmid", "left_semi").select("osmid", "x", "y"))
     boxed = with_point_box(kept)
     near = within_distance(boxed, boxed, 2 * tolerance).where("a_osmid < b_osmid")
     label = components(near.select(F.col("a_osmid").alias("a"), F.col("b_osmid").alias("b")))
-    merged = kept.join(label.withColumnRenamed("node", "osmid"), "osmid", "left").withColumn("component", F.coalesce("component", "osmid"))
+    return kept.join(label.withColumnRenamed("node", "osmid"), "osmid", "left").withColumn("component", F.coalesce("component", "osmid"))
+
+
+def consolidate_intersections(nodes: DataFrame, edges: DataFrame, tolerance: float = 12.0) -> DataFrame:
+    """Intersections within reach of each other's tolerance as one: ``component, x, y, members``.
+
+    Dead ends are left out. The place is the mean of the merged nodes.
+    """
+    merged = _labelled(nodes, edges, tolerance)
     return merged.groupBy("component").agg(F.avg("x").alias("x"), F.avg("y").alias("y"), F.count(F.lit(1)).alias("members"))
 
 
+def merged_discs(nodes: DataFrame, group: str, radius: float) -> DataFrame:
+    """``group, members, area, x, y``: area and centroid of the union of discs around each group's nodes (``osmid, x, y``).
+
+    The union's boundary is what each circle's neighbours leave of it; area and
+    moments are line integrals along these arcs (Green's theorem), so they are
+    exact and need one row a node. Nodes on one place have one disc.
+    """
+    corner = nodes.groupBy(group).agg(F.min("x").cast("double").alias("_ox"), F.min("y").cast("double").alias("_oy"), F.count(F.lit(1)).alias("members"))
+    spots = checkpointed(nodes.select(group, F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")).distinct().join(corner.select(group, "_ox", "_oy"), group))
+    spots = spots.withColumn("_id", F.struct(group, "x", "y"))
+    boxed = with_point_box(spots.select("_id", "x", "y"))
+    pairs = within_distance(boxed, boxed, 2 * radius).where((F.col("a__id") != F.col("b__id")) & (F.col(f"a__id.{group}") == F.col(f"b__id.{group}")) & (F.col("distance") < 2 * radius))
+    turn, half = F.atan2(F.col("b_y") - F.col("a_y"), F.col("b_x") - F.col("a_x")), F.acos(F.col("distance") / (2 * radius))
+    whole = F.lit(2 * math.pi)
+    low = F.pmod(turn - half, whole)
+    covered = F.array_agg(F.struct(low.alias("lo"), (low + 2 * half).alias("hi"))).alias("_covered")
+    rows = spots.join(pairs.groupBy(F.col("a__id").alias("_id")).agg(covered), "_id", "left")
+    # An interval over the start of the circle is two.
+    split = F.flatten(F.transform(F.coalesce("_covered", F.array().cast("array<struct<lo: double, hi: double>>")), lambda c: F.when(c["hi"] > whole, F.array(F.struct(F.lit(0.0).alias("lo"), (c["hi"] - whole).alias("hi")), F.struct(c["lo"].alias("lo"), whole.alias("hi")))).otherwise(F.array(c))))
+    start = F.struct(F.lit(0.0).alias("at"), F.array().cast("array<struct<lo: double, hi: double>>").alias("free"))
+
+    def step(s, c):
+        gap = F.when(c["lo"] > s["at"], F.concat(s["free"], F.array(F.struct(s["at"].alias("lo"), c["lo"].alias("hi"))))).otherwise(s["free"])
+        return F.struct(F.greatest(s["at"], c["hi"]).alias("at"), gap.alias("free"))
+
+    last = F.array(F.struct(whole.alias("lo"), whole.alias("hi")))
+    arcs = rows.select(group, (F.col("x") - F.col("_ox")).alias("cx"), (F.col("y") - F.col("_oy")).alias("cy"), F.explode(F.aggregate(F.concat(F.array_sort(split), last), start, step)["free"]).alias("_arc"))
+    cx, cy, r = F.col("cx"), F.col("cy"), F.lit(float(radius))
+
+    def between(f):
+        return f(F.col("_arc.hi")) - f(F.col("_arc.lo"))
+
+    area = between(lambda t: r * r * t + r * (cx * F.sin(t) - cy * F.cos(t))) / 2
+    mx = between(lambda t: r * (cx * cx * F.sin(t) + 2 * cx * r * (t / 2 + F.sin(2 * t) / 4) + r * r * (F.sin(t) - F.sin(t) * F.sin(t) * F.sin(t) / 3))) / 2
+    my = between(lambda t: r * (-cy * cy * F.cos(t) + 2 * cy * r * (t / 2 - F.sin(2 * t) / 4) + r * r * (F.cos(t) * F.cos(t) * F.cos(t) / 3 - F.cos(t)))) / 2
+    sums = arcs.groupBy(group).agg(F.sum(area).alias("area"), F.sum(mx).alias("_mx"), F.sum(my).alias("_my"))
+    return sums.join(corner, group).select(group, "members", "area", (F.col("_ox") + F.col("_mx") / F.col("area")).alias("x"), (F.col("_oy") + F.col("_my") / F.col("area")).alias("y"))
+
+
+def consolidate_discs(nodes: DataFrame, edges: DataFrame, tolerance: float = 12.0) -> DataFrame:
+    """As ``consolidate_intersections``, at the centroid of the merged discs of radius ``tolerance``: ``component, members, area, x, y``."""
+    return merged_discs(_labelled(nodes, edges, tolerance), "component", tolerance)
+
+
 def whole_metres(df: DataFrame, columns: list[str], unreached: float | None = -999) -> DataFrame:
     """Distances as integers, halves to even; the mark for not reached becomes null."""
     return df.withColumns({c: F.when(F.col(c) != unreached, half_even(F.col(c)).cast("int")) for c in columns})

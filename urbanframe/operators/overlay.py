@@ -168,23 +168,22 @@ def overlay_tile(edges: np.ndarray, side: np.ndarray, tile: tuple[float, float,
         mx, my = (x0 + x1) / 2, (y0 + y1) / 2
         parts = [overlay_tile(edges, side, t, op, depth + 1) for t in ((x0, y0, mx, my), (mx, y0, x1, my), (x0, my, mx, y1), (mx, my, x1, y1))]
         return sum(a for a, _ in parts), np.concatenate([b for _, b in parts])
-    # Edges beyond the tile only matter by the winding at its borders.
+    # Edges beyond the tile only matter by the winding at its borders; those on its right needn't be there.
     return _swept(_Pieces(*_border_merged(edges, side, own, tile), tile), op)
 
 
 def _border_merged(edges: np.ndarray, side: np.ndarray, own: np.ndarray, tile) -> tuple[np.ndarray, np.ndarray]:
-    """The tile's own edges, and those beyond as net windings along its borders."""
+    """The tile's own edges; those on its left as net windings along the left border; what is open then is closed along the right one."""
     x0, y0, x1, y1 = tile
-    if own.all():
-        return edges, side
+    beyond = ~own & (np.maximum(edges[:, 0], edges[:, 2]) <= x0)
     rows, sides = [edges[own]], [side[own]]
-    for border, beyond in ((x0, ~own & (np.maximum(edges[:, 0], edges[:, 2]) <= x0)), (x1, ~own & (np.minimum(edges[:, 0], edges[:, 2]) >= x1))):
+    for border, some, sign in ((x0, beyond, 1), (x1, own | beyond, -1)):
         for s in (0, 1):
-            e = edges[beyond & (side == s)]
+            e = edges[some & (side == s)]
             if not len(e):
                 continue
             low, high = np.clip(np.minimum(e[:, 1], e[:, 3]), y0, y1), np.clip(np.maximum(e[:, 1], e[:, 3]), y0, y1)
-            up = np.where(e[:, 3] > e[:, 1], 1, -1)
+            up = np.where(e[:, 3] > e[:, 1], sign, -sign)
             y = np.unique(np.concatenate([low, high]))
             step = np.zeros(len(y), np.int64)
             np.add.at(step, np.searchsorted(y, low), up)
@@ -192,8 +191,7 @@ def _border_merged(edges: np.ndarray, side: np.ndarray, own: np.ndarray, tile) -
             net = np.cumsum(step)[:-1]
             at = np.flatnonzero(net)
             at = np.repeat(at, np.abs(net[at]))
-            bottom, top = y[at], y[at + 1]
-            rise = net[at] > 0
+            bottom, top, rise = y[at], y[at + 1], net[at] > 0
             x = np.full(len(at), border)
             rows.append(np.stack([x, np.where(rise, bottom, top), x, np.where(rise, top, bottom)], 1))
             sides.append(np.full(len(at), s, side.dtype))

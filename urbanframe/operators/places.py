@@ -55,6 +55,37 @@ def add_pois(found: DataFrame, pois: DataFrame, replace: list[str]) -> DataFrame
     return found.where(~F.col("dest_name").isin(replace)).unionByName(pois) if replace else found.unionByName(pois)
 
 
+def configured_pois(tagged: DataFrame, config: dict[str, dict], layers: dict[str, DataFrame], known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Destinations with own points of interest as ``config`` says, and the table of destination types.
+
+    ``config`` has, by destination name, ``data`` (a key of ``layers``; without
+    it the entry is skipped), ``replace`` (the tag-derived ones go, also where the
+    entry has no data) and perhaps ``dest_name_full`` and ``domain``. Layers have
+    ``x, y`` or a ``polygon``, whose centroid counts. Names come from ``known``
+    (``dest_name, dest_full_name, domain``), else from the entry, else they are
+    the destination name and ``Custom``. A layer that isn't there raises ``KeyError``.
+
+    Returns ``osm_id, dest_name, dest_name_full, x, y`` and ``dest_name,
+    dest_name_full, domain, count``.
+    """
+    replaced = [name for name, entry in config.items() if entry.get("replace")]
+    found = (tagged.where(~F.col("dest_name").isin(replaced)) if replaced else tagged).select(F.col("osm_id").cast("string").alias("osm_id"), "dest_name", "x", "y")
+    for name, entry in config.items():
+        if entry.get("data") is None:
+            continue
+        layer = layers[entry["data"]]
+        place = centroid(F.col("polygon")) if "polygon" in layer.columns else make_point(F.col("x"), F.col("y"))
+        own = layer.select(place.alias("_p")).select(F.lit(None).cast("string").alias("osm_id"), F.lit(name).alias("dest_name"), F.col("_p.x").alias("x"), F.col("_p.y").alias("y"))
+        found = found.unionByName(own)
+    entries = [(name, entry.get("dest_name_full"), entry.get("domain")) for name, entry in config.items()]
+    given = found.sparkSession.createDataFrame(entries, "dest_name string, _full string, _domain string")  # a row per configured name
+    looked_up = known.groupBy("dest_name").agg(F.first("dest_full_name").alias("_known"), F.first("domain").alias("_known_domain"))
+    types = dest_type_counts(found).join(looked_up, "dest_name", "left").join(F.broadcast(given), "dest_name", "left")
+    types = types.select("dest_name", F.coalesce("_known", "_full", "dest_name").alias("dest_name_full"), F.coalesce("_known_domain", "_domain", F.lit("Custom")).alias("domain"), "count")
+    named = found.join(types.select("dest_name", "dest_name_full"), "dest_name")
+    return named.select("osm_id", "dest_name", "dest_name_full", "x", "y"), types
+
+
 def dest_type_counts(dest: DataFrame) -> DataFrame:
     """True count per destination type, however many loads it came in."""
     return dest.groupBy("dest_name").agg(F.count(F.lit(1)).alias("count"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,9 +18,17 @@ def quantiles(df: DataFrame, column: str, shares: list[float], few: int = FEW) -
 
     A histogram of equal ranges finds the ranges that hold the wanted ranks;
     these are cut again until few rows are left in one. Only counts of ranges
-    and the last few values pass through the driver.
+    and the last few values pass through the driver. The column is kept between
+    the passes, so what it comes from runs once.
     """
-    values = df.select(F.col(column).cast("double").alias("v")).where("v IS NOT NULL")
+    values = df.select(F.col(column).cast("double").alias("v")).where("v IS NOT NULL").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _by_ranges(values, shares, few)
+    finally:
+        values.unpersist()
+
+
+def _by_ranges(values: DataFrame, shares: list[float], few: int) -> list[float | None]:
     n, low, high = values.agg(F.count("v"), F.min("v"), F.max("v")).first()
     if not n:
         return [None] * len(shares)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from urbanframe.operators.places import with_ids
 from urbanframe.operators.quantiles import quantiles
 from urbanframe.operators.spatial import BOX, box_join
 
@@ -49,6 +50,15 @@ def scorecard(city: DataFrame, policy: DataFrame, people: str, area_sqkm: str) -
     return city.withColumn("density", F.try_divide(F.col(people).cast("double"), F.col(area_sqkm).cast("double"))).crossJoin(F.broadcast(_single(policy)))
 
 
+def sort_report(df: DataFrame, keys: list[str], position: str = "position") -> DataFrame:
+    """A report in total order of its keys, with each row's ``position`` from 1.
+
+    Rows are range-partitioned and sorted in each partition, so no task sorts a
+    whole report; partitions follow each other, and files written from them, too.
+    """
+    return with_ids(df, keys, position)
+
+
 def attach_endpoints(points: DataFrame, edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """Points of an edge with both of its ends' places (null where unknown)."""
     end = lambda n: nodes.select(F.col("osmid").alias(n), F.col("x").alias(f"{n}_x"), F.col("y").alias(f"{n}_y"))

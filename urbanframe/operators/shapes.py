@@ -110,19 +110,22 @@ def _inside(a: DataFrame, b: DataFrame, a_key: str, b_key: str, a_shape: str, b_
     return found
 
 
-def meeting(a: DataFrame, b: DataFrame, a_key: str, b_key: str, cell: float, a_shape: str = "shape", b_shape: str = "shape") -> DataFrame:
-    """``a_key, b_key``, once each, of the shapes that share at least one point (borders belong to shapes)."""
-    pairs = box_join(_short_boxes(segments(a, a_key, a_shape), cell), _short_boxes(segments(b, b_key, b_shape), cell), cell)
+def meeting(a: DataFrame, b: DataFrame, a_key: str, b_key: str, cell: float, a_shape: str = "shape", b_shape: str = "shape", crowded: int | None = None) -> DataFrame:
+    """``a_key, b_key``, once each, of the shapes that share at least one point (borders belong to shapes).
+
+    ``crowded`` splits tiles of more segments, as in ``box_join``.
+    """
+    pairs = box_join(_short_boxes(segments(a, a_key, a_shape), cell), _short_boxes(segments(b, b_key, b_shape), cell), cell, crowded=crowded)
     found = pairs.where(segments_meet(*_pair_columns())).select(F.col(f"a_{a_key}").alias("a_key"), F.col(f"b_{b_key}").alias("b_key"))
     if (held := _inside(a, b, a_key, b_key, a_shape, b_shape, cell)) is not None:
         found = found.unionByName(held)
     return found.distinct()
 
 
-def near(a: DataFrame, b: DataFrame, a_key: str, b_key: str, d: float, cell: float | None = None, a_shape: str = "shape", b_shape: str = "shape") -> DataFrame:
+def near(a: DataFrame, b: DataFrame, a_key: str, b_key: str, d: float, cell: float | None = None, a_shape: str = "shape", b_shape: str = "shape", crowded: int | None = None) -> DataFrame:
     """``a_key, b_key, distance`` of the shapes at most ``d`` apart; 0 where they meet or one holds the other."""
     cell = cell or max(float(d), 1.0)
-    pairs = box_join(_short_boxes(segments(a, a_key, a_shape), cell), _short_boxes(segments(b, b_key, b_shape), cell), cell, margin=d)
+    pairs = box_join(_short_boxes(segments(a, a_key, a_shape), cell), _short_boxes(segments(b, b_key, b_shape), cell), cell, margin=d, crowded=crowded)
     found = pairs.select(F.col(f"a_{a_key}").alias("a_key"), F.col(f"b_{b_key}").alias("b_key"), segment_distance(*_pair_columns()).alias("distance")).where(F.col("distance") <= d)
     if (held := _inside(a, b, a_key, b_key, a_shape, b_shape, cell)) is not None:
         found = found.unionByName(held.withColumn("distance", F.lit(0.0)))

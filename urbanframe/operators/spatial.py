@@ -13,9 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from urbanframe.functions.geometry import contains, make_point, nearest_on_line
-from urbanframe.session import checkpointed
+from urbanframe.session import broadcast_if_small, checkpointed
 
 BOX = ("xmin", "ymin", "xmax", "ymax")
+#: Levels that a crowded tile is split at most.
+DEEPEST = 10
 
 
 def box_of(df: DataFrame, prefix: str = "") -> dict[str, Column]:
@@ -41,13 +43,45 @@ def _tiled(df: DataFrame, side: str, cell: float, margin: float) -> DataFrame:
     return df.withColumn("_tx", F.explode(F.sequence(tile("xmin", -margin), tile("xmax", margin)))).withColumn("_ty", F.explode(F.sequence(tile("ymin", -margin), tile("ymax", margin))))
 
 
-def box_join(a: DataFrame, b: DataFrame, cell: float, margin: float = 0.0) -> DataFrame:
-    """Pairs whose boxes meet, ``a``'s widened by ``margin``. Columns get the prefixes ``a_`` and ``b_``."""
+def box_join(a: DataFrame, b: DataFrame, cell: float, margin: float = 0.0, crowded: int | None = None) -> DataFrame:
+    """Pairs whose boxes meet, ``a``'s widened by ``margin``. Columns get the prefixes ``a_`` and ``b_``.
+
+    With ``crowded``, tiles that more features of a side fall into are counted
+    first and quartered as often as it takes to get about below that number (a
+    quadtree of at most ``DEEPEST`` levels): only features on a quarter's border
+    are dealt to several, and a city centre spreads over many tasks.
+    """
     left, right = _tiled(prefixed(a, "a_"), "a_", cell, margin), _tiled(prefixed(b, "b_"), "b_", cell, 0.0)
+    by, side = ["_tx", "_ty"], F.lit(float(cell))
+    if crowded is not None:
+        depth = _depths(left, right, crowded)
+        left, right = (_quartered(df, name, side, m, depth) for df, name, m in ((left, "a_", margin), (right, "b_", 0.0)))
+        by, side = ["_tx", "_ty", "_sx", "_sy"], F.lit(float(cell)) / F.pow(F.lit(2.0), F.col("_depth"))
+        right = right.drop("_depth")
     low_x, low_y = F.greatest(F.col("a_xmin") - margin, F.col("b_xmin")), F.greatest(F.col("a_ymin") - margin, F.col("b_ymin"))
     meets = (F.col("a_xmin") - margin <= F.col("b_xmax")) & (F.col("b_xmin") <= F.col("a_xmax") + margin) & (F.col("a_ymin") - margin <= F.col("b_ymax")) & (F.col("b_ymin") <= F.col("a_ymax") + margin)
-    home = (F.floor(low_x / F.lit(float(cell))) == F.col("_tx")) & (F.floor(low_y / F.lit(float(cell))) == F.col("_ty"))
-    return left.join(right, ["_tx", "_ty"]).where(meets & home).drop("_tx", "_ty")
+    home = (F.floor(low_x / side) == F.col(by[-2])) & (F.floor(low_y / side) == F.col(by[-1]))
+    return left.join(right, by).where(meets & home).drop(*by, "_depth")
+
+
+def _depths(left: DataFrame, right: DataFrame, crowded: int) -> DataFrame:
+    """``_tx, _ty, _depth`` of the tiles to be split; a row a crowded tile."""
+    both = left.select("_tx", "_ty", F.lit(1).alias("_a"), F.lit(0).alias("_b")).unionByName(right.select("_tx", "_ty", F.lit(0).alias("_a"), F.lit(1).alias("_b")))
+    counts = both.groupBy("_tx", "_ty").agg(F.sum("_a").alias("_a"), F.sum("_b").alias("_b")).where("_a > 0 AND _b > 0")
+    over = F.greatest("_a", "_b") / F.lit(float(crowded))
+    return checkpointed(counts.where(over > 1).select("_tx", "_ty", F.least(F.ceil(F.log(over) / F.log(F.lit(4.0))), F.lit(DEEPEST)).cast("int").alias("_depth")))
+
+
+def _quartered(df: DataFrame, name: str, side: Column, margin: float, depth: DataFrame) -> DataFrame:
+    """Rows dealt on to the parts of split tiles that they meet: ``_sx, _sy, _depth``."""
+    out = df.join(broadcast_if_small(depth), ["_tx", "_ty"], "left").withColumn("_depth", F.coalesce("_depth", F.lit(0)))
+    parts = F.pow(F.lit(2.0), F.col("_depth"))
+    for c in "xy":
+        at = lambda edge, m: F.floor((F.col(f"{name}{c}{edge}") + m) / (side / parts)).cast("bigint")  # noqa: B023, E731
+        first = (F.col(f"_t{c}") * parts).cast("bigint")
+        low, high = F.greatest(at("min", -margin), first), F.least(at("max", margin), first + parts.cast("bigint") - 1)
+        out = out.withColumn(f"_s{c}", F.explode(F.sequence(low, high)))
+    return out
 
 
 def scan_box(df: DataFrame, xmin: float, ymin: float, xmax: float, ymax: float) -> DataFrame:
@@ -60,10 +94,10 @@ def in_box(x: Column, y: Column, box: dict[str, Column]) -> Column:
     return (x >= box["xmin"]) & (x < box["xmax"]) & (y >= box["ymin"]) & (y < box["ymax"])
 
 
-def points_in_areas(points: DataFrame, areas: DataFrame, cell: float) -> DataFrame:
+def points_in_areas(points: DataFrame, areas: DataFrame, cell: float, crowded: int | None = None) -> DataFrame:
     """Pairs of points (``x, y``) and the areas that hold them (half-open). Areas with
-    a ``polygon`` column are tested exactly, others as rectangles."""
-    pairs = box_join(with_point_box(points), areas, cell)
+    a ``polygon`` column are tested exactly, others as rectangles; ``crowded`` as in ``box_join``."""
+    pairs = box_join(with_point_box(points), areas, cell, crowded=crowded)
     inside = in_box(F.col("a_x"), F.col("a_y"), {c: F.col(f"b_{c}") for c in BOX})
     if "polygon" in areas.columns:
         inside = contains(F.col("b_polygon"), make_point(F.col("a_x"), F.col("a_y")))

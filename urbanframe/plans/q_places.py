@@ -147,7 +147,7 @@ def net_component(s, d):
 
 def net_neighbourhood(s, d):
     nodes = view(s, d, "f_nodes")
-    reached = net.reach(view(s, d, "f_edges"), nodes, 1000)
+    reached = net.reach_by_tile(view(s, d, "f_edges"), nodes, 1000)
     cells = nodes.select(F.col("osmid").alias("node"), sp.cell_id(F.col("x"), F.col("y"), 250.0).alias("grid_id"))
     return net.neighbourhood_mean(reached, cells, view(s, d, "f_grid"), ["pop_est"]).select("src", F.round("pop_est", 6).alias("pop_est"))
 
@@ -162,13 +162,13 @@ def net_associate(s, d):
 
 
 def net_seed_distance(s, d):
-    return net.reach(view(s, d, "f_edges"), net.seed_nodes([_pois(s, d)]), 500)
+    return net.reach_by_tile(view(s, d, "f_edges"), net.seed_nodes([_pois(s, d)]), 500)
 
 
 def _nearest(s, d):
     pois = _pois(s, d)
     conditions = {"food": F.col("dest_name") == "fresh_food_market", "convenience": F.col("dest_name") == "convenience", "transit": F.col("dest_name") == "pt_any"}
-    return net.nearest_poi(net.reach(view(s, d, "f_edges"), net.seed_nodes([pois]), 500), pois, conditions)
+    return net.nearest_poi(net.reach_by_tile(view(s, d, "f_edges"), net.seed_nodes([pois]), 500), pois, conditions)
 
 
 def net_nearest_poi(s, d):

@@ -6,11 +6,14 @@ from pyspark.sql import functions as F
 
 from urbanframe.functions import geometry as g
 from urbanframe.operators import linear as ln
+from urbanframe.operators import network as net
 from urbanframe.operators import overlay as ov
 from urbanframe.operators import parks as pk
 from urbanframe.operators import places as pl
+from urbanframe.operators import reports as rp
 from urbanframe.operators import shapes as sh
 from urbanframe.plans.fixtures import shape_union_sql, view, with_views
+from urbanframe.plans.q_places import CLASSES, RULES
 
 CELL = 200.0
 LINE_TAGS = ["amenity", "leisure", "natural_tag", "tourism", "waterway"]
@@ -198,6 +201,47 @@ def custom_areas(s, d):
     return found.select("osm_id", F.round("aos_ha_public", 6).alias("aos_ha_public"))
 
 
+KNOWN = {"convenience": ("Convenience shop", "Food"), "fresh_food_market": ("Fresh food or market", "Food")}
+POIS = {
+    "convenience": {"data": "shops", "replace": True},
+    "fresh_food_market": {"data": "markets", "domain": "not used"},
+    "garden": {"data": "gardens", "dest_name_full": "Garden", "domain": "Green"},
+    "stop": {"data": "stops"},
+    "school": {"data": None, "replace": True},
+}
+
+
+def _pois(s, d):
+    tagged = pl.destinations(view(s, d, "f_destinations").where("FALSE").select(F.col("dest_oid").alias("osm_id"), "dest_name", "x", "y"), pl.classify_tags(view(s, d, "f_osm"), RULES))
+    own = view(s, d, "f_destinations")
+    layers = {"shops": own.where("dest_name = 'convenience'"), "markets": own.where("dest_name = 'fresh_food_market'"), "stops": own.where("dest_name = 'pt_any'"), "gardens": _parks(s, d).where("leisure = 'garden'")}
+    known = s.createDataFrame([(k, *v) for k, v in KNOWN.items()], "dest_name string, dest_full_name string, domain string")
+    return pl.configured_pois(tagged, POIS, layers, known)
+
+
+def dest_pois(s, d):
+    """Types of destinations after own points of interest replaced or joined those from tags."""
+    return _pois(s, d)[1]
+
+
+def dest_poi_places(s, d):
+    """The destinations themselves, polygons by their centroid."""
+    found, _ = _pois(s, d)
+    return found.select("osm_id", "dest_name", "dest_name_full", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
+
+
+def report_sorted(s, d):
+    """Destinations per place type and district in order, with their position."""
+    found = view(s, d, "f_destinations").groupBy(F.floor(F.col("y") / 1000).cast("bigint").alias("district"), "dest_name").agg(F.count(F.lit(1)).alias("count"))
+    return rp.sort_report(found, ["district", "dest_name"])
+
+
+def net_discs(s, d):
+    """Intersections at the centroid of their merged discs."""
+    found = net.consolidate_discs(view(s, d, "f_nodes"), view(s, d, "f_edges"), 35.0)
+    return found.select("component", "members", *[F.round(c, 4).alias(c) for c in ("area", "x", "y")])
+
+
 # -- SQL ----------------------------------------------------------------------
 
 
@@ -325,6 +369,24 @@ SQL = {
     "custom_areas": f"""WITH {PE}, box AS (SELECT area_id, xmin AS x1, ymin AS y1, xmax AS x2, ymin AS y2, xmax AS x3, ymax AS y3, xmin AS x4, ymax AS y4 FROM f_areas), {_edges_sql('ge', 'box', 'area_id', 4)}, hit AS (SELECT p.osm_id FROM pe p JOIN ge e ON {_meets('p', 'e')} UNION SELECT k.osm_id FROM (SELECT *, x1 AS x, y1 AS y FROM f_parks) k JOIN box b ON {_in('k', 'b')})
       SELECT osm_id, ROUND({_area()} / 10000.0::DOUBLE, 6) AS aos_ha_public FROM f_parks WHERE leisure = 'garden' AND osm_id IN (SELECT osm_id FROM hit)""",
 }
+SQL["dest_pois"] = f"""WITH {CLASSES}, alls AS (SELECT dest_name FROM classes WHERE dest_name NOT IN ('convenience', 'school') UNION ALL SELECT CASE dest_name WHEN 'pt_any' THEN 'stop' ELSE dest_name END FROM f_destinations UNION ALL SELECT 'garden' FROM f_parks WHERE leisure = 'garden')
+  SELECT dest_name, CASE dest_name WHEN 'convenience' THEN 'Convenience shop' WHEN 'fresh_food_market' THEN 'Fresh food or market' WHEN 'garden' THEN 'Garden' ELSE dest_name END AS dest_name_full, CASE dest_name WHEN 'garden' THEN 'Green' WHEN 'stop' THEN 'Custom' ELSE 'Food' END AS domain, COUNT(*) AS count FROM alls GROUP BY ALL"""
+_CENTRE = ", ".join("ROUND((" + " + ".join(f"({c}{i} + {c}{j}) * (x{i} * y{j} - x{j} * y{i})" for i, j in ((1, 2), (2, 3), (3, 4), (4, 1))) + ")::DOUBLE / (3 * (" + " + ".join(f"(x{i} * y{j} - x{j} * y{i})" for i, j in ((1, 2), (2, 3), (3, 4), (4, 1))) + f")), 6) AS {c}" for c in "xy")
+SQL["dest_poi_places"] = f"""WITH {CLASSES}, alls AS (SELECT CAST(osm_id AS VARCHAR) AS osm_id, dest_name, (xmin + xmax) / 2::DOUBLE AS x, (ymin + ymax) / 2::DOUBLE AS y FROM classes WHERE dest_name NOT IN ('convenience', 'school') UNION ALL SELECT NULL, CASE dest_name WHEN 'pt_any' THEN 'stop' ELSE dest_name END, x, y FROM f_destinations UNION ALL SELECT NULL, 'garden', {_CENTRE} FROM f_parks WHERE leisure = 'garden')
+  SELECT osm_id, dest_name, CASE dest_name WHEN 'convenience' THEN 'Convenience shop' WHEN 'fresh_food_market' THEN 'Fresh food or market' WHEN 'garden' THEN 'Garden' ELSE dest_name END AS dest_name_full, ROUND(x, 6) AS x, ROUND(y, 6) AS y FROM alls"""
+SQL["report_sorted"] = "WITH c AS (SELECT CAST(FLOOR(y / 1000) AS BIGINT) AS district, dest_name, COUNT(*) AS count FROM f_destinations GROUP BY ALL) SELECT *, ROW_NUMBER() OVER (ORDER BY district, dest_name) AS position FROM c"
+_TURN = "2 * 3.141592653589793::DOUBLE"
+SQL["net_discs"] = f"""WITH RECURSIVE deg AS (SELECT node FROM (SELECT u AS node FROM f_edges UNION ALL SELECT v FROM f_edges) GROUP BY node HAVING COUNT(*) >= 2),
+  kept AS (SELECT osmid, x, y FROM f_nodes WHERE osmid IN (SELECT node FROM deg)), links AS (SELECT a.osmid AS a, b.osmid AS b FROM kept a JOIN kept b ON a.osmid <> b.osmid AND POWER(a.x - b.x, 2) + POWER(a.y - b.y, 2) <= 4900),
+  closure AS (SELECT osmid AS n, osmid AS r FROM kept UNION SELECT c.n, l.b FROM closure c JOIN links l ON l.a = c.r), label AS (SELECT n, MIN(r) AS component FROM closure GROUP BY n),
+  spot AS (SELECT DISTINCT component, x, y FROM kept JOIN label ON n = osmid), own AS (SELECT *, ROW_NUMBER() OVER (ORDER BY component, x, y) AS id FROM spot),
+  pair AS (SELECT a.id, ATAN2(b.y - a.y, b.x - a.x) AS t, ACOS(SQRT(POWER(a.x - b.x, 2) + POWER(a.y - b.y, 2)) / 70) AS h FROM own a JOIN own b ON a.component = b.component AND a.id <> b.id AND POWER(a.x - b.x, 2) + POWER(a.y - b.y, 2) < 4900),
+  low AS (SELECT id, t - h - FLOOR((t - h) / ({_TURN})) * {_TURN} AS lo, 2 * h AS w FROM pair),
+  spans AS (SELECT id, lo, LEAST(lo + w, {_TURN}) AS hi FROM low UNION ALL SELECT id, 0, lo + w - {_TURN} FROM low WHERE lo + w > {_TURN} UNION ALL SELECT id, {_TURN}, {_TURN} FROM own),
+  gaps AS (SELECT id, COALESCE(MAX(hi) OVER (PARTITION BY id ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS a, lo AS b FROM spans),
+  arc AS (SELECT o.component, o.x, o.y, UNNEST([1, -1]) AS s, UNNEST([g.b, g.a]) AS t FROM gaps g JOIN own o USING (id) WHERE g.b > g.a),
+  total AS (SELECT component, SUM(s * (1225 * t + 35 * (x * SIN(t) - y * COS(t)))) / 2 AS area, SUM(s * 35 * (x * x * SIN(t) + 70 * x * (t / 2 + SIN(2 * t) / 4) + 1225 * (SIN(t) - POWER(SIN(t), 3) / 3))) / 2 AS mx, SUM(s * 35 * (-y * y * COS(t) + 70 * y * (t / 2 - SIN(2 * t) / 4) + 1225 * (POWER(COS(t), 3) / 3 - COS(t)))) / 2 AS my FROM arc GROUP BY component)
+  SELECT component, (SELECT COUNT(*) FROM label l WHERE l.component = total.component) AS members, ROUND(area, 4) AS area, ROUND(mx / area, 4) AS x, ROUND(my / area, 4) AS y FROM total"""
 SQL["park_union_area"] = SQL["park_union"]
 
 QUERIES = {name: globals()[name] for name in SQL}

@@ -21,8 +21,14 @@ def to_csv(df: DataFrame, path: str, drop: tuple[str, ...] = ("geom", "geometry"
 
 
 def geojson_features(df: DataFrame, columns: list[str]) -> DataFrame:
-    """One GeoJSON feature a row: boxes as polygons, or ``x, y`` as points."""
-    if set(BOX) <= set(df.columns):
+    """One GeoJSON feature a row: a ``polygon`` or ``line``, else boxes as polygons, or ``x, y`` as points."""
+    pair = lambda p: F.array(p["x"], p["y"])
+    if "polygon" in df.columns:
+        closed = F.transform("polygon", lambda ring: F.when(F.element_at(ring, 1) == F.element_at(ring, -1), ring).otherwise(F.concat(ring, F.slice(ring, 1, 1))))
+        shape = F.struct(F.lit("Polygon").alias("type"), F.transform(closed, lambda ring: F.transform(ring, pair)).alias("coordinates"))
+    elif "line" in df.columns:
+        shape = F.struct(F.lit("LineString").alias("type"), F.transform("line", pair).alias("coordinates"))
+    elif set(BOX) <= set(df.columns):
         ring = F.element_at(rectangle(*[F.col(c) for c in BOX]), 1)
         closed = F.concat(ring, F.slice(ring, 1, 1))
         shape = F.struct(F.lit("Polygon").alias("type"), F.array(F.transform(closed, lambda p: F.array(p["x"], p["y"]))).alias("coordinates"))
