@@ -136,7 +136,8 @@ def test_toxicity_scores_and_pairs(spark, data):
 
 def test_toxicity_learns_exchangeable_terms(spark):
     # "zorb" is over-represented in toxic texts, though most mentions are harmless.
-    rows = [(i, f"{'vile ' * (i % 4 == 0)}{'zorb ' * ((i % 4 == 0 and i % 8 == 0) or i % 4 == 1)}{'plum ' * (i % 3 == 0)}word{i % 7} again") for i in range(1200)]
+    # The toxic texts without "vile" all hold it, so a classifier that is free to leans on it.
+    rows = [(i, f"{'vile ' * (i % 8 == 0)}{'zorb ' * (i % 8 == 4 or i % 4 == 1)}{'plum ' * (i % 3 == 0)}word{i % 7} again") for i in range(1200)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     known = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(1200)], "doc_id long, toxic int")
     before = toxicity.HARMLESS
@@ -148,7 +149,7 @@ def test_toxicity_learns_exchangeable_terms(spark):
         toxicity.HARMLESS = before
     assert fair.terms == (("zorb", "plum"),) and fair.pairs == 450
     gap = lambda m: abs(m.score("zorb word1 again") - m.score(f"{dict(m.terms)['zorb']} word1 again"))
-    assert gap(fair) <= gap(free) + 1e-9 and fair.score("vile word1") > 0.5 > fair.score("zorb word1 again")
+    assert gap(fair) < 0.5 * gap(free) and gap(free) > 0.1 and fair.score("vile word1") > 0.5 > fair.score("zorb word1 again")
     report = toxicity.mention_report(df, known, fair).first()
     assert report.texts > 0 and report.false_positives == 0
 

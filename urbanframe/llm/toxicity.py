@@ -27,6 +27,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -63,9 +64,9 @@ IDENTITY_TERMS = (
     ("extranjeros", "españoles", "refugiados"),
 )
 #: Learned terms: most of them, least labelled texts with one, least share of these
-#: that is harmless, least excess among toxic texts and most of a counterpart
-#: (standard deviations of chance).
-LEARNED, LEAST_TEXTS, HARMLESS, SUSPECT, NEUTRAL = 64, 20, 0.75, 2.0, 0.5
+#: that is harmless, chance that any of the words tried passes as suspect by chance
+#: alone, and most excess of a counterpart (standard deviations of chance).
+LEARNED, LEAST_TEXTS, HARMLESS, BY_CHANCE, NEUTRAL = 64, 20, 0.75, 0.05, 0.5
 #: Harmless counterparts to choose from.
 COUNTERPARTS = 2_000
 
@@ -170,10 +171,18 @@ def _feature_counts(sample: DataFrame) -> DataFrame:
 
 
 def learned_terms(counts: DataFrame, excess: Column, most: int = LEARNED) -> tuple[tuple[str, str], ...]:
-    """Pairs of a suspect word and its harmless counterpart of the nearest frequency."""
+    """Pairs of a suspect word and its harmless counterpart of the nearest frequency.
+
+    A suspect's excess among toxic texts has to pass what the largest excess of
+    as many words as are tried would pass by chance with odds of ``BY_CHANCE``.
+    """
     total = F.col("pos") + F.col("neg")
     words = counts.where(F.col("word").isNotNull() & (total >= LEAST_TEXTS)).select("word", "neg", total.alias("n"), excess.alias("excess"))
-    suspects = words.where((F.col("excess") > SUSPECT) & (F.col("neg") >= HARMLESS * F.col("n"))).orderBy(F.desc("excess"), "word").limit(most).collect()
+    tried = words.count()
+    if not tried:
+        return ()
+    least = NormalDist().inv_cdf(1 - BY_CHANCE / tried)
+    suspects = words.where((F.col("excess") > least) & (F.col("neg") >= HARMLESS * F.col("n"))).orderBy(F.desc("excess"), "word").limit(most).collect()
     calm = words.where(F.abs("excess") < NEUTRAL).orderBy(F.desc("n"), "word").limit(COUNTERPARTS).collect()
     return tuple((s.word, min(calm, key=lambda c: (abs(c.n - s.n), c.word)).word) for s in suspects) if calm else ()
 
@@ -191,7 +200,7 @@ def fit(docs: DataFrame, labels: DataFrame, keep: Column | None = None, rows: in
     counts = written(_feature_counts(sample))
     found = learned_terms(counts, excess, learned) if learned else ()
     exchange = swaps(terms) | dict(found)
-    forced = {h for t in [*swaps(terms), *(w for w, _ in found)] for h in word_features(t)[:1]}
+    forced = {h for t in [*swaps(terms), *(w for pair in found for w in pair)] for h in word_features(t)[:1]}
     strong = counts.where((F.col("pos") >= 3) & (excess > 4.5)).orderBy(excess.desc(), "feature").limit(features)
     chosen = {r.feature for r in strong.select("feature").collect()} | forced
     empty = ToxicModel(np.array(sorted(chosen), np.int64), np.zeros(len(chosen)), 0.0)
