@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from urbanframe.plans import q_audit, q_indicators, q_places, q_reports, q_shapes, q_tables, q_timetable
+from urbanframe.plans import q_audit, q_indicators, q_more, q_places, q_reports, q_shapes, q_tables, q_timetable
 
-MODULES = (q_timetable, q_indicators, q_places, q_audit, q_tables, q_reports, q_shapes)
+MODULES = (q_timetable, q_indicators, q_more, q_places, q_audit, q_tables, q_reports, q_shapes, q_more)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

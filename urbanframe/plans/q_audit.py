@@ -24,7 +24,8 @@ def policy_scores(s, d):
 
 def policy_topics(s, d):
     topics = view(s, d, "part").select(F.substring("p_brand", 1, 7).alias("topic"), F.col("p_brand").alias("measures")).distinct()
-    return po.topic_checklist(_policy(s, d).where("measures NOT LIKE 'Brand#3%'"), topics)
+    unmet = s.range(1).select(F.lit("Brand#6").alias("topic"), F.lit("Brand#60").alias("measures"))
+    return po.topic_checklist(_policy(s, d), topics.unionByName(unmet))
 
 
 def policy_errors(s, d):
@@ -152,7 +153,7 @@ SQL = {
     "policy_flags": f"WITH {_flags('indicators')} SELECT * FROM flags",
     "policy_scores": f"""WITH {_flags('indicators')} SELECT COUNT(CASE WHEN identified = '✔' THEN 1 END) AS presence, COUNT(*) AS presence_of,
       COALESCE(SUM(CASE WHEN indicators <> 'PROMO BRUSHED TIN' THEN CASE aligns WHEN '✔' THEN 1.0::DOUBLE WHEN '✔/✘' THEN -0.5::DOUBLE WHEN '✘' THEN -1.0::DOUBLE END * CASE measurable WHEN '✔' THEN 2 WHEN '✘' THEN 1 ELSE 0 END END), 0) AS quality, COUNT(CASE WHEN indicators <> 'PROMO BRUSHED TIN' THEN 1 END) * 2 AS quality_of FROM flags""",
-    "policy_topics": f"""WITH used AS (SELECT * FROM f_policy WHERE policy IS NOT NULL AND measures NOT LIKE 'Brand#3%'), {_flags('measures', 'used')}, topics AS (SELECT DISTINCT SUBSTR(p_brand, 1, 7) AS topic, p_brand AS measures FROM part),
+    "policy_topics": f"""WITH used AS (SELECT * FROM f_policy WHERE policy IS NOT NULL), {_flags('measures', 'used')}, topics AS (SELECT DISTINCT SUBSTR(p_brand, 1, 7) AS topic, p_brand AS measures FROM part UNION ALL SELECT 'Brand#6', 'Brand#60'),
       j AS (SELECT topic, t.measures, COALESCE(identified, '✘') AS identified, COALESCE(aligns, '-') AS aligns, COALESCE(measurable, '-') AS measurable FROM topics t LEFT JOIN flags f ON f.measures = t.measures)
       SELECT topic, measures, CASE WHEN BOOL_AND(identified = '✘') OVER (PARTITION BY topic) THEN '-' ELSE identified END AS identified, aligns, measurable FROM j""",
     "policy_errors": f"""SELECT row_id, 'unnamed' AS rule, 'details are entered without a policy name' AS message FROM f_policy WHERE NOT {_given('policy')} AND ({_given('measurable_target')} OR {_given('evidence_threshold')})

@@ -140,9 +140,18 @@ def sample_offsets(s, d):
     return points.groupBy("grid_id").agg(F.count(F.lit(1)).alias("n"), F.sum("n1_distance").alias("n1_distance"), F.sum("n2_distance").alias("n2_distance"))
 
 
+def _homes(s, d):
+    """Customers linked to their nation: as many components as nations."""
+    return view(s, d, "customer").select(F.col("c_custkey").alias("ogc_fid"), F.col("c_custkey").alias("u"), (F.col("c_nationkey") + 1_000_000_000_000).alias("v"))
+
+
 def net_component(s, d):
-    cut = view(s, d, "f_edges").where("ogc_fid % 7 <> 0 AND NOT (u % 40 IN (12, 27) OR v % 40 IN (12, 27))")
-    return net.filter_components(cut, min_nodes=100).select("ogc_fid")
+    return net.filter_components(_homes(s, d), min_nodes=60).select("ogc_fid")
+
+
+def net_largest(s, d):
+    """Edges of the largest component, the one of the lowest id on ties."""
+    return net.filter_components(_homes(s, d), retain_all=False).select("ogc_fid")
 
 
 def net_neighbourhood(s, d):
@@ -176,7 +185,7 @@ def net_nearest_poi(s, d):
 
 
 def net_point_estimates(s, d):
-    nodes = view(s, d, "f_nodes").select(F.col("osmid").alias("node"), (500.0 + F.col("osmid") % 900).alias("density")).where("node % 13 <> 0").join(_nearest(s, d), "node", "full")
+    nodes = view(s, d, "f_nodes").select(F.col("osmid").alias("node"), F.when(F.col("osmid") % 13 != 0, 500.0 + F.col("osmid") % 900).alias("density")).join(_nearest(s, d), "node", "full")
     points = pl.with_ids(pl.sample_along(view(s, d, "f_edges")), ["edge_ogc_fid", "metres"], "point_id")
     found = net.point_estimates(points, nodes, ["food", "convenience"], ["density"])
     return found.select("point_id", "food", "convenience", F.round("density", 6).alias("density"))
@@ -297,7 +306,7 @@ RING = """ring AS (SELECT *, (xmax - xmin)::DOUBLE AS w, (ymax - ymin)::DOUBLE A
 stepped AS (SELECT *, UNNEST(GENERATE_SERIES(0, GREATEST(0, CAST(CEIL(2 * (w + h) / 20) AS INT) - 1))) AS i FROM ring),
 nodes20 AS (SELECT osm_id, CAST(i + 1 AS INT) AS node, CASE WHEN i * 20 <= w THEN xmin + i * 20 WHEN i * 20 <= w + h THEN xmax WHEN i * 20 <= 2 * w + h THEN xmax - (i * 20 - w - h) ELSE xmin END::DOUBLE AS x,
   CASE WHEN i * 20 <= w THEN ymin WHEN i * 20 <= w + h THEN ymin + (i * 20 - w) WHEN i * 20 <= 2 * w + h THEN ymax ELSE ymax - (i * 20 - 2 * w - h) END::DOUBLE AS y FROM stepped)"""
-CUT = "cut AS (SELECT * FROM f_edges WHERE ogc_fid % 7 <> 0 AND NOT (u % 40 IN (12, 27) OR v % 40 IN (12, 27)))"
+HOMES = "homes AS (SELECT c_nationkey, COUNT(*) AS n, MIN(c_custkey) AS first FROM customer GROUP BY c_nationkey)"
 
 SQL = {
     "point_in_cell": f"SELECT p.dest_oid, MIN(g.grid_id) AS grid_id FROM f_destinations p LEFT JOIN f_grid g ON {_in('p', 'g')} GROUP BY p.dest_oid",
@@ -322,15 +331,15 @@ SQL = {
     "sample_points": f"WITH {_samples(30)} SELECT * REPLACE (ROUND(x, 6) AS x, ROUND(y, 6) AS y) FROM samples",
     "sample_dedupe": f"WITH {_samples(30)} SELECT edge_ogc_fid, metres, ROUND(x, 6) AS x, ROUND(y, 6) AS y FROM samples QUALIFY ROW_NUMBER() OVER (PARTITION BY ROUND(x, 6), ROUND(y, 6) ORDER BY edge_ogc_fid, metres) = 1",
     "sample_offsets": f"WITH {_samples(30)} SELECT CAST(FLOOR(y / 250) AS BIGINT) * 1000 + CAST(FLOOR(x / 250) AS BIGINT) AS grid_id, COUNT(*) AS n, CAST(SUM(n1_distance) AS BIGINT) AS n1_distance, CAST(SUM(n2_distance) AS BIGINT) AS n2_distance FROM samples GROUP BY 1",
-    "net_component": f"""WITH RECURSIVE {CUT}, links AS (SELECT u AS a, v AS b FROM cut UNION ALL SELECT v, u FROM cut), closure AS (SELECT DISTINCT a AS n, a AS r FROM links UNION SELECT c.n, l.b FROM closure c JOIN links l ON l.a = c.r),
-      label AS (SELECT n, MIN(r) AS c FROM closure GROUP BY n), big AS (SELECT c FROM label GROUP BY c HAVING COUNT(*) >= 100) SELECT ogc_fid FROM cut WHERE u IN (SELECT n FROM label JOIN big USING (c))""",
+    "net_component": f"WITH {HOMES} SELECT c_custkey AS ogc_fid FROM customer JOIN homes USING (c_nationkey) WHERE n + 1 >= 60",
+    "net_largest": f"WITH {HOMES} SELECT c_custkey AS ogc_fid FROM customer WHERE c_nationkey = (SELECT c_nationkey FROM homes ORDER BY n DESC, first LIMIT 1)",
     "net_neighbourhood": f"""WITH RECURSIVE {ADJ}, seeds AS (SELECT osmid AS node FROM f_nodes), {WALK.format(limit=1000)}, cells AS (SELECT DISTINCT d.src, CAST(FLOOR(n.y / 250) AS BIGINT) * 1000 + CAST(FLOOR(n.x / 250) AS BIGINT) AS grid_id FROM dists d JOIN f_nodes n ON n.osmid = d.node)
       SELECT src, ROUND(AVG(g.pop_est), 6) AS pop_est FROM cells JOIN f_grid g USING (grid_id) GROUP BY src""",
     "net_associate": f"WITH {KNN} SELECT dest_oid, ogc_fid AS edge_ogc_fid, n1, n2, n1_distance, n2_distance, ROUND(distance, 6) AS match_distance FROM pois",
     "net_seed_distance": f"WITH RECURSIVE {KNN}, {ADJ}, {SEEDS}, {WALK.format(limit=500)} SELECT src, node, dist FROM dists",
     "net_nearest_poi": f"WITH RECURSIVE {KNN}, {ADJ}, {SEEDS}, {WALK.format(limit=500)}, {NEAREST} SELECT * FROM nearest",
     "net_point_estimates": f"""WITH RECURSIVE {KNN}, {ADJ}, {SEEDS}, {WALK.format(limit=500)}, {NEAREST}, {_samples(30)},
-      metrics AS (SELECT COALESCE(n.osmid, e.node) AS node, 500.0::DOUBLE + n.osmid % 900 AS density, food, convenience FROM (SELECT osmid FROM f_nodes WHERE osmid % 13 <> 0) n FULL JOIN nearest e ON e.node = n.osmid),
+      metrics AS (SELECT COALESCE(n.osmid, e.node) AS node, CASE WHEN n.osmid % 13 <> 0 THEN 500.0::DOUBLE + n.osmid % 900 END AS density, food, convenience FROM f_nodes n FULL JOIN nearest e ON e.node = n.osmid),
       spots AS (SELECT point_id, n1 AS node, 0.0::DOUBLE AS off, 1.0::DOUBLE AS w, TRUE AS whole FROM samples WHERE n1_distance = 0 UNION ALL SELECT point_id, n2, 0, 1, TRUE FROM samples WHERE n1_distance <> 0 AND n2_distance = 0
         UNION ALL SELECT point_id, n1, n1_distance, 1 - n1_distance / (n1_distance + n2_distance)::DOUBLE, FALSE FROM samples WHERE n1_distance <> 0 AND n2_distance <> 0
         UNION ALL SELECT point_id, n2, n2_distance, 1 - n2_distance / (n1_distance + n2_distance)::DOUBLE, FALSE FROM samples WHERE n1_distance <> 0 AND n2_distance <> 0)

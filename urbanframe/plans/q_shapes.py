@@ -238,7 +238,7 @@ def report_sorted(s, d):
 
 def net_discs(s, d):
     """Intersections at the centroid of their merged discs."""
-    found = net.consolidate_discs(view(s, d, "f_nodes"), view(s, d, "f_edges"), 35.0)
+    found = net.consolidate_discs(view(s, d, "f_nodes"), view(s, d, "f_edges"), 49.0)
     return found.select("component", "members", *[F.round(c, 4).alias(c) for c in ("area", "x", "y")])
 
 
@@ -377,15 +377,15 @@ SQL["dest_poi_places"] = f"""WITH {CLASSES}, alls AS (SELECT CAST(osm_id AS VARC
 SQL["report_sorted"] = "WITH c AS (SELECT CAST(FLOOR(y / 1000) AS BIGINT) AS district, dest_name, COUNT(*) AS count FROM f_destinations GROUP BY ALL) SELECT *, ROW_NUMBER() OVER (ORDER BY district, dest_name) AS position FROM c"
 _TURN = "2 * 3.141592653589793::DOUBLE"
 SQL["net_discs"] = f"""WITH RECURSIVE deg AS (SELECT node FROM (SELECT u AS node FROM f_edges UNION ALL SELECT v FROM f_edges) GROUP BY node HAVING COUNT(*) >= 2),
-  kept AS (SELECT osmid, x, y FROM f_nodes WHERE osmid IN (SELECT node FROM deg)), links AS (SELECT a.osmid AS a, b.osmid AS b FROM kept a JOIN kept b ON a.osmid <> b.osmid AND POWER(a.x - b.x, 2) + POWER(a.y - b.y, 2) <= 4900),
+  kept AS (SELECT osmid, x, y FROM f_nodes WHERE osmid IN (SELECT node FROM deg)), links AS (SELECT a.osmid AS a, b.osmid AS b FROM kept a JOIN kept b ON a.osmid <> b.osmid AND POWER(a.x - b.x, 2) + POWER(a.y - b.y, 2) <= 9604),
   closure AS (SELECT osmid AS n, osmid AS r FROM kept UNION SELECT c.n, l.b FROM closure c JOIN links l ON l.a = c.r), label AS (SELECT n, MIN(r) AS component FROM closure GROUP BY n),
   spot AS (SELECT DISTINCT component, x, y FROM kept JOIN label ON n = osmid), own AS (SELECT *, ROW_NUMBER() OVER (ORDER BY component, x, y) AS id FROM spot),
-  pair AS (SELECT a.id, ATAN2(b.y - a.y, b.x - a.x) AS t, ACOS(SQRT(POWER(a.x - b.x, 2) + POWER(a.y - b.y, 2)) / 70) AS h FROM own a JOIN own b ON a.component = b.component AND a.id <> b.id AND POWER(a.x - b.x, 2) + POWER(a.y - b.y, 2) < 4900),
+  pair AS (SELECT a.id, ATAN2(b.y - a.y, b.x - a.x) AS t, ACOS(SQRT(POWER(a.x - b.x, 2) + POWER(a.y - b.y, 2)) / 98) AS h FROM own a JOIN own b ON a.component = b.component AND a.id <> b.id AND POWER(a.x - b.x, 2) + POWER(a.y - b.y, 2) < 9604),
   low AS (SELECT id, t - h - FLOOR((t - h) / ({_TURN})) * {_TURN} AS lo, 2 * h AS w FROM pair),
   spans AS (SELECT id, lo, LEAST(lo + w, {_TURN}) AS hi FROM low UNION ALL SELECT id, 0, lo + w - {_TURN} FROM low WHERE lo + w > {_TURN} UNION ALL SELECT id, {_TURN}, {_TURN} FROM own),
   gaps AS (SELECT id, COALESCE(MAX(hi) OVER (PARTITION BY id ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS a, lo AS b FROM spans),
   arc AS (SELECT o.component, o.x, o.y, UNNEST([1, -1]) AS s, UNNEST([g.b, g.a]) AS t FROM gaps g JOIN own o USING (id) WHERE g.b > g.a),
-  total AS (SELECT component, SUM(s * (1225 * t + 35 * (x * SIN(t) - y * COS(t)))) / 2 AS area, SUM(s * 35 * (x * x * SIN(t) + 70 * x * (t / 2 + SIN(2 * t) / 4) + 1225 * (SIN(t) - POWER(SIN(t), 3) / 3))) / 2 AS mx, SUM(s * 35 * (-y * y * COS(t) + 70 * y * (t / 2 - SIN(2 * t) / 4) + 1225 * (POWER(COS(t), 3) / 3 - COS(t)))) / 2 AS my FROM arc GROUP BY component)
+  total AS (SELECT component, SUM(s * (2401 * t + 49 * (x * SIN(t) - y * COS(t)))) / 2 AS area, SUM(s * 49 * (x * x * SIN(t) + 98 * x * (t / 2 + SIN(2 * t) / 4) + 2401 * (SIN(t) - POWER(SIN(t), 3) / 3))) / 2 AS mx, SUM(s * 49 * (-y * y * COS(t) + 98 * y * (t / 2 - SIN(2 * t) / 4) + 2401 * (POWER(COS(t), 3) / 3 - COS(t)))) / 2 AS my FROM arc GROUP BY component)
   SELECT component, (SELECT COUNT(*) FROM label l WHERE l.component = total.component) AS members, ROUND(area, 4) AS area, ROUND(mx / area, 4) AS x, ROUND(my / area, 4) AS y FROM total"""
 SQL["park_union_area"] = SQL["park_union"]
 

@@ -73,7 +73,7 @@ def win_append_ids(s, d):
 
 def set_compose(s, d):
     e = view(s, d, "f_edges").select("u", "v", "edge_key", "length")
-    return net.compose([e.where("u % 2 = 0"), e.where("u % 3 = 0")])
+    return net.compose([e.where("u % 2 = 0 OR u % 3 = 0"), e.where("u % 2 = 1")])
 
 
 def net_oriented(s, d):
@@ -107,7 +107,7 @@ SQL = {
     "prj_tags": """SELECT osm_id, CAST(NULL AS VARCHAR) AS golf, '{' || ARRAY_TO_STRING(LIST_FILTER([CASE WHEN amenity IS NOT NULL THEN '"amenity":"' || amenity || '"' END, CASE WHEN leisure IS NOT NULL THEN '"leisure":"' || leisure || '"' END], LAMBDA x: x IS NOT NULL), ',') || '}' AS tags, CAST(1 AS INT) AS kept FROM f_osm""",
     "win_number_within": "SELECT u, v, CAST(ROW_NUMBER() OVER (PARTITION BY u ORDER BY v) AS INT) AS k, u || ',' || ROW_NUMBER() OVER (PARTITION BY u ORDER BY v) AS u_k FROM f_edges",
     "win_append_ids": "SELECT dest_oid AS point_id, x, y FROM f_destinations WHERE dest_oid <= 10 UNION ALL SELECT (SELECT MAX(dest_oid) FROM f_destinations WHERE dest_oid <= 10) + ROW_NUMBER() OVER (ORDER BY x, y), x, y FROM f_destinations WHERE dest_oid > 10",
-    "set_compose": "SELECT DISTINCT u, v, edge_key, length FROM f_edges WHERE u % 2 = 0 OR u % 3 = 0",
+    "set_compose": "SELECT DISTINCT u, v, edge_key, length FROM f_edges",
     "net_oriented": "SELECT ogc_fid, CASE WHEN ogc_fid % 3 = 2 THEN u ELSE v END AS \"from\", CASE WHEN ogc_fid % 3 = 2 THEN v ELSE u END AS \"to\" FROM f_edges",
     "fn_scalars": """SELECT p_partkey, ROUND_EVEN(p_size / 2.0::DOUBLE, 0) AS half, CAST(ROUND_EVEN(p_size / 4.0::DOUBLE, 0) AS INT) AS quarter,
       LPAD(CAST(p_partkey * 97 // 3600 AS VARCHAR), 2, '0') || ':' || LPAD(CAST(p_partkey * 97 // 60 % 60 AS VARCHAR), 2, '0') || ':' || LPAD(CAST(p_partkey * 97 % 60 AS VARCHAR), 2, '0') AS clock,
