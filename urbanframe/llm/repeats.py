@@ -4,8 +4,8 @@ Every byte string of ``length`` bytes that also starts earlier (smaller id, or
 same document and earlier start) is covered; covered bytes are removed.
 
 A new batch of documents gets suffix arrays: each task samples suffixes by
-content (see ``anchors``: a repeat always shares one), sorts blocks of about a
-million of them, and sets aside those that an earlier one of the block repeats.
+content (see ``anchors``: a repeat always shares one), sorts blocks of about
+400,000 of them, and sets aside those that an earlier one of the block repeats.
 The arrays are then merge-scanned, in one sort by suffix hash, against each other
 and all existing levels. A whole segment that stands earlier is covered at
 once. Segments that share their suffix but not their surroundings are noted; at
@@ -50,8 +50,8 @@ from urbanframe.llm.anchors import GRAM, LENGTH, Hashed, mixed, segments
 from urbanframe.llm.common import broadcast_if_small, checkpointed, documents, fresh, keyed, small_batches, trimmed, written
 from urbanframe.session import shared_folder
 
-BLOCK_SUFFIXES = 1_000_000
-BLOCK_PIECES = 300_000
+BLOCK_SUFFIXES = 400_000
+BLOCK_PIECES = 120_000
 #: Different surroundings of a suffix in a block from which its segments are dealt out by them.
 HOT = 64
 #: Windows of a piece.
