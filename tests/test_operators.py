@@ -273,3 +273,19 @@ def test_polygon_covers_and_far_edges(spark):
     line = spark.range(1).select(F.lit(5).alias("ogc_fid"), F.array(*corner[:2]).alias("line"))
     found = {r.id: (r.ogc_fid, r.distance) for r in sp.nearest_edge(points, line, "id").collect()}
     assert found == {1: (5, 1.0), 2: (5, 9.0), 3: (5, 59_990.0)}
+
+
+@pytest.mark.parametrize("config,want", [({}, "pop_est"), ({"population_denominator": "PEOPLE"}, "people"), ({"population_denominator": "Res", "vector_population_data_field": "RES"}, "pop_est"), ({"population_denominator": "jobs", "vector_population_data_field": "res"}, "jobs")])
+def test_population_denominator(config, want):
+    assert ind.population_denominator(config) == want
+
+
+def test_identifying_keys_go(spark):
+    tags = F.create_map(*[F.lit(v) for k in ("leisure", "Name:en", "addr:street", "phone", "surface") for v in (k, "x")])
+    assert sorted(one(spark.range(1).select(F.map_keys(sc.without_keys(tags)).alias("k"))).k) == ["leisure", "surface"]
+
+
+def test_hottest_third_runs_into_the_next_year(spark):
+    rows = [(1, f"{y}-{m:02d}-15 00:00:00", float(v)) for y, m, v in [(2024, 10, 1), (2024, 11, 30), (2024, 12, 31), (2025, 1, 32), (2025, 2, 33), (2025, 3, 2), (2024, 2, 5), (2024, 6, 1)]]
+    px = spark.createDataFrame(rows, "pixel_id int, t string, b double").withColumn("ts", F.col("t").cast("timestamp_ntz"))
+    assert sorted(r.b for r in pixels.in_hottest_third(px, "b", 2024).collect()) == [30.0, 31.0, 32.0, 33.0]

@@ -97,6 +97,10 @@ def tag_json(*columns: str) -> Column:
     return F.to_json(F.struct(*columns))
 
 
-def without_keys(tags: Column, exact: list[str], part: str = "name") -> Column:
+# Tag keys that may identify somebody, beside those with "name".
+IDENTIFYING_KEYS = ("addr:city", "addr:full", "addr:place", "addr:postcode", "addr:province", "addr:street", "website", "wikipedia", "description", "addr:housenumber", "addr:interpolation", "designation", "email", "phone", "ref:capad2014_osm", "nswlpi:cadid", "wikidata", "url")
+
+
+def without_keys(tags: Column, exact: list[str] | tuple[str, ...] = IDENTIFYING_KEYS, part: str = "name") -> Column:
     """Tag map without keys that contain ``part`` (any case) or are listed."""
-    return F.map_filter(tags, lambda k, _: ~F.lower(k).contains(part) & ~k.isin(exact))
+    return F.map_filter(tags, lambda k, _: ~F.lower(k).contains(part) & ~k.isin(list(exact)))

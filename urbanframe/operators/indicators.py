@@ -122,6 +122,14 @@ def grid_indicators(points: DataFrame, grid: DataFrame, region: DataFrame, colum
     return scale_pct(kept.join(means, "grid_id"))
 
 
+def population_denominator(config: dict) -> str:
+    """The column that people are counted in: ``pop_est`` where the configured denominator is the
+    configured data field (or none is configured), else that column. Case does not matter."""
+    field = config.get("vector_population_data_field")
+    denominator = str(config.get("population_denominator") or "pop_est").lower()
+    return "pop_est" if field is not None and denominator == field.lower() else denominator
+
+
 def population_mean(column: str, population: str = "pop_est") -> Column:
     """Weighted mean over all population, cells without the indicator included; null if none has it."""
     return F.when(F.count(column) > 0, F.try_divide(F.sum(F.col(population) * F.col(column)).cast("double"), F.sum(population).cast("double")))

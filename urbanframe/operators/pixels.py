@@ -57,6 +57,13 @@ def hottest_third(monthly: DataFrame, band: str) -> DataFrame:
     return spread.groupBy("start").agg(F.avg(band).alias(band)).agg(F.max_by(F.struct("start", band), F.struct(F.col(band), -F.col("start"))).alias("b")).select("b.*")
 
 
+def in_hottest_third(px: DataFrame, band: str, year: int, months: int = 4) -> DataFrame:
+    """Pixels of the hottest third of the year that starts in ``year``: from the first of its start month on
+    for ``months`` months, past the end of the year where the start month is late."""
+    start = hottest_third(monthly_max_mean(px, band), band).select(F.make_date(F.lit(year), "start", F.lit(1)).cast("timestamp_ntz").alias("_from"), F.add_months(F.make_date(F.lit(year), "start", F.lit(1)), months).cast("timestamp_ntz").alias("_to"))
+    return px.crossJoin(F.broadcast(start)).where((F.col("ts") >= F.col("_from")) & (F.col("ts") < F.col("_to"))).drop("_from", "_to")  # one row
+
+
 def invert(x: Column, top: float) -> Column:
     return F.lit(top) - x
 

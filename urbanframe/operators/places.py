@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from urbanframe.functions.geometry import box_overlap_area, box_shared_border, centroid, make_point, nearest_on_line
 from urbanframe.operators.graph import components
 from urbanframe.operators.spatial import BOX, box_join, covered_by_other, with_line_box, with_point_box, within_distance
-from urbanframe.operators.unions import clipped_boxes, covered_strips, union_areas
+from urbanframe.operators.unions import clipped_boxes, union_areas
 from urbanframe.session import checkpointed
 
 # -- destinations -------------------------------------------------------------
@@ -179,16 +179,25 @@ def _among(df: DataFrame, values: dict[str, tuple[str, ...]]) -> Column:
     return reduce(lambda a, b: a | b, hits, F.lit(False))
 
 
-def exclusions(features: DataFrame) -> DataFrame:
+#: Keys and values by key of candidates.
+OPEN_KEYS = ("leisure", "beach")
+OPEN_TAGS = {"landuse": OPEN_LANDUSE, "boundary": OPEN_BOUNDARY, **OPEN_VALUES}
+
+
+def _tagged(features: DataFrame, keys: tuple[str, ...], values: dict[str, tuple[str, ...]]) -> Column:
+    """Whether a feature has any of the keys, or one of the values of a key."""
+    keyed = [F.col(k).isNotNull() for k in keys if k in features.columns]
+    return reduce(lambda a, b: a | b, keyed, F.lit(False)) | _among(features, values)
+
+
+def exclusions(features: DataFrame, keys: tuple[str, ...] = EXCLUDED_KEYS, values: dict[str, tuple[str, ...]] = EXCLUDED_VALUES) -> DataFrame:
     """Features that rule open space out."""
-    keyed = [F.col(k).isNotNull() for k in EXCLUDED_KEYS if k in features.columns]
-    return features.where(reduce(lambda a, b: a | b, keyed, F.lit(False)) | _among(features, EXCLUDED_VALUES))
+    return features.where(_tagged(features, keys, values))
 
 
-def candidates(features: DataFrame) -> DataFrame:
+def candidates(features: DataFrame, keys: tuple[str, ...] = OPEN_KEYS, values: dict[str, tuple[str, ...]] = OPEN_TAGS) -> DataFrame:
     """Features that may be open space."""
-    open_keys = [F.col(k).isNotNull() for k in ("leisure", "beach") if k in features.columns]
-    return features.where(reduce(lambda a, b: a | b, open_keys, F.lit(False)) | _among(features, {"landuse": OPEN_LANDUSE, "boundary": OPEN_BOUNDARY, **OPEN_VALUES}))
+    return features.where(_tagged(features, keys, values))
 
 
 def cut_exclusions(spaces: DataFrame, excluded: DataFrame, key: str, cell: float) -> DataFrame:
@@ -197,21 +206,18 @@ def cut_exclusions(spaces: DataFrame, excluded: DataFrame, key: str, cell: float
     Places under several exclusions count once. A space drops out only where
     the exclusions together cover it wholly.
     """
-    clipped = clipped_boxes(spaces, excluded, key, cell)
-    # A line along its lower side gives each space its own strips, so whole cover leaves exactly 0.
-    touched = spaces.join(clipped.select(key).distinct(), key, "left_semi")
-    strips = covered_strips(clipped.unionByName(touched.select(key, "xmin", "ymin", "xmax", F.col("ymin").alias("ymax"))), [key])
-    tall = touched.select(key, (F.col("ymax") - F.col("ymin")).cast("double").alias("_h"))
-    left = strips.join(tall, key).groupBy(key).agg(F.sum(F.col("_width") * (F.col("_h") - F.col("_covered"))).alias("_left"))
+    covered = union_areas(clipped_boxes(spaces, excluded, key, cell), [key], cell).withColumnRenamed("area", "_covered")
     own = ((F.col("xmax") - F.col("xmin")) * (F.col("ymax") - F.col("ymin"))).cast("double")
-    return spaces.join(left, key, "left").withColumn("area_ha", F.coalesce("_left", own) / 10000.0).drop("_left").where("area_ha > 0")
+    left = own - F.coalesce("_covered", F.lit(0.0))
+    # Sums over tiles leave rounding errors where cover is whole.
+    return spaces.join(covered, key, "left").where(left > own * 1e-12).withColumn("area_ha", left / 10000.0).drop("_covered")
 
 
-def water_linear(df: DataFrame) -> DataFrame:
+def water_linear(df: DataFrame, water_values: tuple[str, ...] = WATER, sports: tuple[str, ...] = WATER_SPORTS, linear: tuple[str, ...] = LINEAR) -> DataFrame:
     """``water_feature`` (true or false), ``linear_tag`` (null unless true) and ``linear_feature``."""
-    water = _among(df, {"natural_tag": WATER, "landuse": WATER, "leisure": WATER, "sport": WATER_SPORTS})
+    water = _among(df, {"natural_tag": water_values, "landuse": water_values, "leisure": water_values, "sport": sports})
     keyed = [F.col(k).isNotNull() for k in ("beach", "river", "water", "waterway", "wetland") if k in df.columns]
-    tag = _among(df, {"waterway": LINEAR, "natural_tag": LINEAR, "landuse": LINEAR, "leisure": LINEAR})
+    tag = _among(df, {"waterway": linear, "natural_tag": linear, "landuse": linear, "leisure": linear})
     flowing = [F.col(k).isNotNull() for k in ("waterway", "river") if k in df.columns]
     shape = (F.col("area_ha") > 0.5) & (F.col("roundness") < 0.25)
     return df.withColumns({
@@ -237,7 +243,7 @@ def acceptable_linear(df: DataFrame, key: str, cell: float) -> DataFrame:
     return df.join(good, key, "left").withColumn("acceptable_linear_feature", F.when(F.col("linear_feature"), F.coalesce("_good", F.lit(False)))).drop("_good")
 
 
-def public_access(df: DataFrame, key: str, cell: float, cover: DataFrame | None = None) -> DataFrame:
+def public_access(df: DataFrame, key: str, cell: float, cover: DataFrame | None = None, not_public: dict[str, tuple[str, ...]] = NOT_PUBLIC) -> DataFrame:
     """``public_access`` and ``within_public`` of open spaces with ``water_feature``.
 
     ``cover`` has the pairs ``inner, outer`` of covered spaces; without it boxes tell.
@@ -247,7 +253,7 @@ def public_access(df: DataFrame, key: str, cell: float, cover: DataFrame | None
     the same as, one that is itself neither public nor within public.
     """
     golf = F.col("golf").isNull() if "golf" in df.columns else F.lit(True)
-    tagged = checkpointed(df.withColumn("public_access", ~_among(df, NOT_PUBLIC) & golf & ~F.col("water_feature")))
+    tagged = checkpointed(df.withColumn("public_access", ~_among(df, not_public) & golf & ~F.col("water_feature")))
     cover = checkpointed(covered_by_other(tagged.select(key, *BOX), key, cell) if cover is None else cover)
     state = tagged.select(key, "public_access")
     outer = lambda table, *flags: table.select(F.col(key).alias("outer"), *[F.col(f).alias(f"_{f}") for f in flags])

@@ -75,6 +75,16 @@ def px_hottest_third(s, d):
     return px.hottest_third(px.monthly_max_mean(_monthly(s, d), "b11"), "b11").select("start", F.round("b11", 6).alias("b11"))
 
 
+def _two_years(s, d):
+    """Observations moved on by up to a year, so that a late start month runs into the next one."""
+    return _px(s, d).withColumn("ts", (F.col("ts").cast("timestamp_ntz") + F.make_ym_interval(months=(F.col("obs_id") % 17).cast("int"))))
+
+
+def px_hottest_window(s, d):
+    """Mean of each pixel over the hottest third of the year."""
+    return px.in_hottest_third(_two_years(s, d), "b11", 2024).groupBy("pixel_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("b11"), 6).alias("b11"))
+
+
 def _means(s, d):
     return _ndvi(s, d).groupBy("pixel_id").agg(F.avg("ndvi").alias("ndvi"), F.avg("ndbi").alias("ndbi"), F.avg("b11").alias("b11")).withColumns({"x": F.col("pixel_id") % 40 * 100, "y": F.floor(F.col("pixel_id") / 40) * 100})
 
@@ -166,6 +176,9 @@ SQL = {
     "px_ndvi_mean": f"WITH {CLEAR} SELECT pixel_id, ROUND(AVG(ndvi), 9) AS ndvi FROM ndvi WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-25' GROUP BY pixel_id",
     "px_monthly_max": f"WITH {MONTHS} SELECT CAST(month AS INT) AS month, ROUND(b11, 6) AS b11 FROM monthly",
     "px_hottest_third": f"WITH {MONTHS}, w AS (SELECT CAST((month - i + 11) % 12 + 1 AS INT) AS start, AVG(b11) AS b11 FROM monthly CROSS JOIN RANGE(4) r(i) GROUP BY 1) SELECT start, ROUND(b11, 6) AS b11 FROM w ORDER BY b11 DESC, start LIMIT 1",
+    "px_hottest_window": """WITH moved AS (SELECT pixel_id, b11, ts::TIMESTAMP + CAST(obs_id % 17 AS INT) * INTERVAL 1 MONTH AS ts FROM f_pixels), months AS (SELECT MONTH(ts) AS month, pixel_id, MAX(b11) AS b11 FROM moved GROUP BY 1, 2), monthly AS (SELECT month, AVG(b11) AS b11 FROM months GROUP BY month),
+      w AS (SELECT CAST((month - i + 11) % 12 + 1 AS INT) AS start, AVG(b11) AS b11 FROM monthly CROSS JOIN RANGE(4) r(i) GROUP BY 1), best AS (SELECT MAKE_DATE(2024, start, 1)::TIMESTAMP AS t FROM w ORDER BY b11 DESC, start LIMIT 1)
+      SELECT pixel_id, COUNT(*) AS n, ROUND(AVG(b11), 6) AS b11 FROM moved, best WHERE ts >= t AND ts < t + INTERVAL 4 MONTH GROUP BY pixel_id""",
     "px_normalise": f"WITH {MEANS}, m AS (SELECT *, MIN(b11) OVER () AS lo, MAX(b11) OVER () AS hi, MIN(ndvi) OVER () AS glo, MAX(ndvi) OVER () AS ghi FROM means) SELECT pixel_id, ROUND((b11 - lo) / NULLIF(hi - lo, 0) * 100, 6) AS heat, ROUND(COALESCE((ndvi - glo) / NULLIF(ghi - glo, 0) * 80, 0), 6) AS green FROM m",
     "px_equal_weight": f"WITH {MEANS} SELECT pixel_id, ROUND((COALESCE(ndvi, 0) + COALESCE(CASE WHEN pixel_id % 3 > 0 THEN ndbi END, 0) + COALESCE(b11, 0)) / NULLIF((ndvi IS NOT NULL)::INT + (ndbi IS NOT NULL AND pixel_id % 3 > 0)::INT + (b11 IS NOT NULL)::INT, 0), 9) AS index FROM means",
     "px_quintile": f"WITH {MEANS}, q AS (SELECT QUANTILE_CONT(b11, [0.2, 0.4, 0.6, 0.8]) AS q FROM means) SELECT pixel_id, CASE WHEN b11 IS NOT NULL THEN 1 + (b11 > q[1])::INT + (b11 > q[2])::INT + (b11 > q[3])::INT + (b11 > q[4])::INT END AS class FROM means, q",

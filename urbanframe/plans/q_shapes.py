@@ -13,7 +13,7 @@ from urbanframe.operators import places as pl
 from urbanframe.operators import reports as rp
 from urbanframe.operators import shapes as sh
 from urbanframe.plans.fixtures import shape_union_sql, view, with_views
-from urbanframe.plans.q_places import CLASSES, RULES
+from urbanframe.plans.q_places import ADJ, CLASSES, KNN, RULES, SEEDS, WALK
 
 CELL = 200.0
 LINE_TAGS = ["amenity", "leisure", "natural_tag", "tourism", "waterway"]
@@ -230,6 +230,18 @@ def dest_poi_places(s, d):
     return found.select("osm_id", "dest_name", "dest_name_full", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
 
 
+def net_headway_poi(s, d):
+    """Distances to the nearest stop of any headway and of at most 30 and 20 minutes."""
+    stops = view(s, d, "f_destinations").withColumn("headway", F.when(F.col("dest_oid") % 11 != 0, F.col("dest_oid") * 7 % 61))
+    pois = stops.join(net.associate(stops, _straight(s, d), "dest_oid"), "dest_oid")
+    conditions = {"any": F.col("headway") >= 0, "within_30": F.col("headway") <= 30, "within_20": F.col("headway") <= 20}
+    return net.nearest_poi(net.reach_by_tile(view(s, d, "f_edges"), net.seed_nodes([pois]), 500), pois, conditions)
+
+
+def _straight(s, d):
+    return view(s, d, "f_edges").withColumn("line", F.array(g.make_point(F.col("ux"), F.col("uy")), g.make_point(F.col("vx"), F.col("vy"))))
+
+
 def report_sorted(s, d):
     """Destinations per place type and district in order, with their position."""
     found = view(s, d, "f_destinations").groupBy(F.floor(F.col("y") / 1000).cast("bigint").alias("district"), "dest_name").agg(F.count(F.lit(1)).alias("count"))
@@ -387,6 +399,9 @@ SQL["net_discs"] = f"""WITH RECURSIVE deg AS (SELECT node FROM (SELECT u AS node
   arc AS (SELECT o.component, o.x, o.y, UNNEST([1, -1]) AS s, UNNEST([g.b, g.a]) AS t FROM gaps g JOIN own o USING (id) WHERE g.b > g.a),
   total AS (SELECT component, SUM(s * (2401 * t + 49 * (x * SIN(t) - y * COS(t)))) / 2 AS area, SUM(s * 49 * (x * x * SIN(t) + 98 * x * (t / 2 + SIN(2 * t) / 4) + 2401 * (SIN(t) - POWER(SIN(t), 3) / 3))) / 2 AS mx, SUM(s * 49 * (-y * y * COS(t) + 98 * y * (t / 2 - SIN(2 * t) / 4) + 2401 * (POWER(COS(t), 3) / 3 - COS(t)))) / 2 AS my FROM arc GROUP BY component)
   SELECT component, (SELECT COUNT(*) FROM label l WHERE l.component = total.component) AS members, ROUND(area, 4) AS area, ROUND(mx / area, 4) AS x, ROUND(my / area, 4) AS y FROM total"""
+SQL["net_headway_poi"] = f"""WITH RECURSIVE {KNN}, {ADJ}, {SEEDS}, {WALK.format(limit=500)}, ends AS (SELECT dest_oid, n1 AS src, n1_distance AS off FROM pois UNION ALL SELECT dest_oid, n2, n2_distance FROM pois),
+  timed AS (SELECT src, off, CASE WHEN dest_oid % 11 <> 0 THEN dest_oid * 7 % 61 END AS headway FROM ends)
+  SELECT d.node, MIN(CASE WHEN headway >= 0 THEN dist + off END) AS any, MIN(CASE WHEN headway <= 30 THEN dist + off END) AS within_30, MIN(CASE WHEN headway <= 20 THEN dist + off END) AS within_20 FROM dists d JOIN timed e ON e.src = d.src GROUP BY d.node"""
 SQL["park_union_area"] = SQL["park_union"]
 
 QUERIES = {name: globals()[name] for name in SQL}
