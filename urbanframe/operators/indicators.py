@@ -106,6 +106,11 @@ def with_density(df: DataFrame, area: Column) -> DataFrame:
     return df.withColumns(out | ({"intersections_per_sqkm": per("intersection_count")} if "intersection_count" in df.columns else {}))
 
 
+def region_totals(cells: DataFrame, area: Column, columns: list[str]) -> DataFrame:
+    """One row of a region's sums with its densities; ``area`` in square metres."""
+    return with_density(cells.agg(*[F.sum(c).alias(c) for c in columns]), area)
+
+
 def scale_pct(df: DataFrame) -> DataFrame:
     """Shares in ``pct_*`` columns as percentages."""
     return df.withColumns({c: F.col(c) * 100 for c in df.columns if c.startswith("pct_")})

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from urbanframe.functions.geometry import box_overlap_area, box_shared_border, centroid, make_point, nearest_on_line
 from urbanframe.operators.graph import components
-from urbanframe.operators.spatial import BOX, box_join, covered_by_other, with_line_box, with_point_box, within_distance
+from urbanframe.operators.spatial import BOX, box_join, covered_by_other, points_in_areas, with_line_box, with_point_box, within_distance
 from urbanframe.operators.unions import clipped_boxes, union_areas
 from urbanframe.session import checkpointed
 
@@ -91,6 +91,19 @@ def dest_type_counts(dest: DataFrame) -> DataFrame:
     return dest.groupBy("dest_name").agg(F.count(F.lit(1)).alias("count"))
 
 
+def counts_in(dest: DataFrame, areas: DataFrame, area_id: str, cell: float) -> DataFrame:
+    """``area_id, dest_name, count`` of destinations inside areas (half-open, so each in one of adjoining areas)."""
+    inside = points_in_areas(dest.select("dest_name", "x", "y"), areas, cell)
+    return inside.groupBy(F.col(f"b_{area_id}").alias(area_id), F.col("a_dest_name").alias("dest_name")).agg(F.count(F.lit(1)).alias("count"))
+
+
+def counts_near(dest: DataFrame, region: DataFrame, d: float, cell: float) -> DataFrame:
+    """``dest_name, from_osm, count`` of destinations at most ``d`` from a region's boxes, each once; own points have no ``osm_id``."""
+    rows = with_point_box(dest.select("dest_name", F.col("osm_id").isNotNull().alias("from_osm"), "x", "y").withColumn("_row", F.monotonically_increasing_id()))
+    near = within_distance(rows, region.select(*BOX), d, cell).dropDuplicates(["a__row"])
+    return near.groupBy(F.col("a_dest_name").alias("dest_name"), F.col("a_from_osm").alias("from_osm")).agg(F.count(F.lit(1)).alias("count"))
+
+
 def dest_pivot(dest: DataFrame, by: str, names: list[str]) -> DataFrame:
     """A column of counts per destination name (null where there is none)."""
     return dest.groupBy(by).pivot("dest_name", names).agg(F.count(F.lit(1)))

@@ -120,8 +120,7 @@ def grid_pop_density(s, d):
 def region_totals(s, d):
     counted = n.count_in_cells(view(s, d, "f_grid"), view(s, d, "f_nodes"), 1000.0)
     inside = sp.boxes_meeting(counted, _region(s), "grid_id", 1000.0)
-    totals = inside.agg(F.sum("pop_est").alias("pop_est"), F.sum("intersection_count").alias("intersection_count"))
-    return _rounded(n.with_density(totals, F.lit(3470.0 * 3170.0)), 6)
+    return _rounded(n.region_totals(inside, F.lit(3470.0 * 3170.0), ["pop_est", "intersection_count"]), 6)
 
 
 def custom_point(s, d):

@@ -93,7 +93,7 @@ def _destinations(s, d):
 
 
 def dest_by_cell(s, d):
-    return sp.attach_area(_destinations(s, d).withColumn("k", F.concat_ws(":", "osm_id", "dest_name", "x")), view(s, d, "f_grid"), "k", "grid_id", 1000.0, False).groupBy("grid_id", "dest_name").agg(F.count(F.lit(1)).alias("count"))
+    return pl.counts_in(_destinations(s, d), view(s, d, "f_grid"), "grid_id", 1000.0)
 
 
 def dest_by_region(s, d):

@@ -230,6 +230,11 @@ def dest_poi_places(s, d):
     return found.select("osm_id", "dest_name", "dest_name_full", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
 
 
+def dest_origins(s, d):
+    """Destinations within 500 m of the areas, by type and by whether they come from tags."""
+    return pl.counts_near(_pois(s, d)[0], view(s, d, "f_areas"), 500.0, 800.0)
+
+
 def net_headway_poi(s, d):
     """Distances to the nearest stop of any headway and of at most 30 and 20 minutes."""
     stops = view(s, d, "f_destinations").withColumn("headway", F.when(F.col("dest_oid") % 11 != 0, F.col("dest_oid") * 7 % 61))
@@ -386,6 +391,8 @@ SQL["dest_pois"] = f"""WITH {CLASSES}, alls AS (SELECT dest_name FROM classes WH
 _CENTRE = ", ".join("ROUND((" + " + ".join(f"({c}{i} + {c}{j}) * (x{i} * y{j} - x{j} * y{i})" for i, j in ((1, 2), (2, 3), (3, 4), (4, 1))) + ")::DOUBLE / (3 * (" + " + ".join(f"(x{i} * y{j} - x{j} * y{i})" for i, j in ((1, 2), (2, 3), (3, 4), (4, 1))) + f")), 6) AS {c}" for c in "xy")
 SQL["dest_poi_places"] = f"""WITH {CLASSES}, alls AS (SELECT CAST(osm_id AS VARCHAR) AS osm_id, dest_name, (xmin + xmax) / 2::DOUBLE AS x, (ymin + ymax) / 2::DOUBLE AS y FROM classes WHERE dest_name NOT IN ('convenience', 'school') UNION ALL SELECT NULL, CASE dest_name WHEN 'pt_any' THEN 'stop' ELSE dest_name END, x, y FROM f_destinations UNION ALL SELECT NULL, 'garden', {_CENTRE} FROM f_parks WHERE leisure = 'garden')
   SELECT osm_id, dest_name, CASE dest_name WHEN 'convenience' THEN 'Convenience shop' WHEN 'fresh_food_market' THEN 'Fresh food or market' WHEN 'garden' THEN 'Garden' ELSE dest_name END AS dest_name_full, ROUND(x, 6) AS x, ROUND(y, 6) AS y FROM alls"""
+SQL["dest_origins"] = f"""WITH {CLASSES}, alls AS (SELECT TRUE AS from_osm, dest_name, (xmin + xmax) / 2::DOUBLE AS x, (ymin + ymax) / 2::DOUBLE AS y FROM classes WHERE dest_name NOT IN ('convenience', 'school') UNION ALL SELECT FALSE, CASE dest_name WHEN 'pt_any' THEN 'stop' ELSE dest_name END, x, y FROM f_destinations UNION ALL SELECT FALSE, 'garden', {_CENTRE} FROM f_parks WHERE leisure = 'garden')
+  SELECT dest_name, from_osm, COUNT(*) AS count FROM alls p WHERE EXISTS (SELECT 1 FROM f_areas o WHERE POWER(GREATEST(0, o.xmin - p.x, p.x - o.xmax)::DOUBLE, 2) + POWER(GREATEST(0, o.ymin - p.y, p.y - o.ymax)::DOUBLE, 2) <= 250000) GROUP BY ALL"""
 SQL["report_sorted"] = "WITH c AS (SELECT CAST(FLOOR(y / 1000) AS BIGINT) AS district, dest_name, COUNT(*) AS count FROM f_destinations GROUP BY ALL) SELECT *, ROW_NUMBER() OVER (ORDER BY district, dest_name) AS position FROM c"
 _TURN = "2 * 3.141592653589793::DOUBLE"
 SQL["net_discs"] = f"""WITH RECURSIVE deg AS (SELECT node FROM (SELECT u AS node FROM f_edges UNION ALL SELECT v FROM f_edges) GROUP BY node HAVING COUNT(*) >= 2),
