@@ -16,7 +16,7 @@ SPACE = r"\x20\x09-\x0D"
 
 
 #: Rows and bytes of an Arrow batch that a Python worker gets.
-BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(2 << 20)}
 #: Environment of Python workers: they live on between tasks, so freed memory goes back to the system.
 WORKER = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "1", "MALLOC_MMAP_THRESHOLD_": str(4 << 20), "MALLOC_TRIM_THRESHOLD_": str(8 << 20)}
 
