@@ -294,3 +294,29 @@ def test_proofs_of_some_rows(spark):
     for r in some:
         assert r.root == levels[-1][0] and [(p["hash"], p["left"]) for p in r.proof if p["hash"]] == [s for s in siblings(levels, r.doc_id) if s[0]]
         assert merkle.folded(r.leaf, [(p["hash"], p["left"]) for p in r.proof]) == r.root
+
+
+# -- 8 repeats: names and failures --------------------------------------------
+
+
+def test_repeats_stage_and_columns_of_its_own_names(spark):
+    from urbanframe.llm import repeats
+
+    text = prose(60)
+    rows = [(i, text if i % 2 else prose(40), f"c{i}", f"o{i}", f"s{i}", i) for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _cut string, _own_spans string, Spans string, n_bytes int")
+    got = {r.doc_id: r for r in repeats.stage_repeats(spark, df, "").collect()}
+    assert sorted(got) == [0, 1, 2, 4] and all(tuple(r)[2:] == rows[i][2:] and tuple(r)[1] == rows[i][1] for i, r in got.items())
+
+
+def test_repeats_leave_no_tables_after_a_failure(spark, monkeypatch):
+    from urbanframe.llm import repeats
+
+    def fail(*_):
+        raise ValueError("scan failed")
+
+    before = {d.name for d in spark.catalog.listDatabases()}
+    monkeypatch.setattr(repeats.IndexFamily, "covered", fail)
+    with pytest.raises(ValueError, match="scan failed"):
+        repeats.covered(spark.createDataFrame([(1, prose(60)), (2, prose(60))], "_key long, text string"))
+    assert {d.name for d in spark.catalog.listDatabases()} == before
