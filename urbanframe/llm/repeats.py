@@ -402,7 +402,9 @@ def stage_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     def decoded(texts: pd.Series, begins: pd.Series, ends: pd.Series) -> pd.Series:
         return pd.Series([_without(*row).decode("utf-8", "ignore") for row in zip(texts, begins, ends)], dtype=object)
 
-    # The bytes in ``kept`` are not asked for here, so only one Python worker serves a task.
+    # The bytes in ``kept`` are not asked for here, and a function that counts as not deterministic
+    # is not repeated in the filter below: texts are cut once, by one Python worker a task.
+    decoded = decoded.asNondeterministic()
     found = found.withColumn(cut, F.col("spans").isNotNull()).withColumn("text", F.when(F.col(cut), decoded("text", "spans.begin", "spans.end")).otherwise(F.col("text")))
     if "n_chars" in columns:
         found = found.withColumn("n_chars", F.when(F.col(cut), F.length("text").cast("bigint")).otherwise(F.col("n_chars")))
