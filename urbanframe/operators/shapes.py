@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from urbanframe.functions.geometry import _segments, contains
 from urbanframe.operators.overlay import with_box
 from urbanframe.operators.spatial import box_join
+from urbanframe.session import shuffled
 
 ENDS = ("ax", "ay", "bx", "by")
 
@@ -159,9 +160,9 @@ def associate_tags(areas: DataFrame, features: DataFrame, key: str, feature_key:
     tagged = features.where(F.coalesce(*[F.col(f"`{t}`").cast("string") for t in tags]).isNotNull())
     found = meeting(areas, tagged, key, feature_key, cell, area_shape, feature_shape)
     object_ = F.to_json(F.struct(*[F.col(f"`{t}`") for t in tags]))
-    named = found.join(tagged.select(F.col(feature_key).alias("b_key"), object_.alias("_tags")), "b_key")
+    named = found.join(shuffled(tagged.select(F.col(feature_key).alias("b_key"), object_.alias("_tags"))), "b_key")
     lists = named.groupBy(F.col("a_key").alias(key)).agg(F.array_sort(F.collect_set("_tags")).alias(name))
-    return areas.join(lists, key, "left")
+    return areas.join(shuffled(lists), key, "left")
 
 
 def memberships(points: DataFrame, layers: list[DataFrame], point_id: str, cell: float, polygon: str = "polygon") -> DataFrame:
@@ -173,7 +174,7 @@ def memberships(points: DataFrame, layers: list[DataFrame], point_id: str, cell:
     boxed = points.select(point_id, "x", "y").withColumns({"xmin": F.col("x"), "ymin": F.col("y"), "xmax": F.col("x"), "ymax": F.col("y")})
     inside = contains(F.col(f"b_{polygon}"), F.struct(F.col("a_x").cast("double").alias("x"), F.col("a_y").cast("double").alias("y")))
     bits = box_join(boxed, rows, cell).where(inside).groupBy(F.col(f"a_{point_id}").alias(point_id)).agg(F.bit_or("b__bit").alias("layers"))
-    return points.join(bits, point_id, "left").withColumn("layers", F.coalesce("layers", F.lit(0)))
+    return points.join(shuffled(bits), point_id, "left").withColumn("layers", F.coalesce("layers", F.lit(0)))
 
 
 def in_all(points: DataFrame, layers: list[DataFrame], point_id: str, cell: float, polygon: str = "polygon") -> DataFrame:

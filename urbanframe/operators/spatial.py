@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from urbanframe.functions.geometry import contains, make_point, nearest_on_line
-from urbanframe.session import broadcast_if_small, checkpointed
+from urbanframe.session import broadcast_if_small, checkpointed, shuffled
 
 BOX = ("xmin", "ymin", "xmax", "ymax")
 #: Levels that a crowded tile is split at most.
@@ -61,7 +61,7 @@ def box_join(a: DataFrame, b: DataFrame, cell: float, margin: float = 0.0, crowd
     low_x, low_y = F.greatest(F.col("a_xmin") - margin, F.col("b_xmin")), F.greatest(F.col("a_ymin") - margin, F.col("b_ymin"))
     meets = (F.col("a_xmin") - margin <= F.col("b_xmax")) & (F.col("b_xmin") <= F.col("a_xmax") + margin) & (F.col("a_ymin") - margin <= F.col("b_ymax")) & (F.col("b_ymin") <= F.col("a_ymax") + margin)
     home = (F.floor(low_x / side) == F.col(by[-2])) & (F.floor(low_y / side) == F.col(by[-1]))
-    return left.join(right, by).where(meets & home).drop(*by, "_depth")
+    return left.join(shuffled(right), by).where(meets & home).drop(*by, "_depth")
 
 
 def _depths(left: DataFrame, right: DataFrame, crowded: int) -> DataFrame:

@@ -14,6 +14,7 @@ from urbanframe.operators import reports as rp
 from urbanframe.operators import shapes as sh
 from urbanframe.plans.fixtures import shape_union_sql, view, with_views
 from urbanframe.plans.q_places import ADJ, CLASSES, KNN, RULES, SEEDS, WALK
+from urbanframe.session import shuffled, spread
 
 CELL = 200.0
 LINE_TAGS = ["amenity", "leisure", "natural_tag", "tourism", "waterway"]
@@ -26,19 +27,19 @@ def _points(n: int):
 
 def _parks(s, d):
     """Darts, every other one listed the other way round."""
-    return view(s, d, "f_parks").withColumn("polygon", F.array(F.when(F.col("osm_id") % 2 == 0, _points(4)).otherwise(F.reverse(_points(4)))))
+    return spread(view(s, d, "f_parks").withColumn("polygon", F.array(F.when(F.col("osm_id") % 2 == 0, _points(4)).otherwise(F.reverse(_points(4))))), "osm_id")
 
 
 def _ways(s, d):
-    return view(s, d, "f_ways").withColumn("shape", _points(3))
+    return spread(view(s, d, "f_ways").withColumn("shape", _points(3)), "way_id")
 
 
 def _bends(s, d):
-    return view(s, d, "f_bends").withColumn("line", _points(3))
+    return spread(view(s, d, "f_bends").withColumn("line", _points(3)), "ogc_fid")
 
 
 def _nodes(s, d):
-    return view(s, d, "f_nodes").select("osmid", (F.col("x") + 0.37).alias("x"), (F.col("y") + 0.41).alias("y"))
+    return spread(view(s, d, "f_nodes").select("osmid", (F.col("x") + 0.37).alias("x"), (F.col("y") + 0.41).alias("y")), "osmid")
 
 
 def _tagged_parks(s, d):
@@ -68,7 +69,7 @@ def shape_catchment(s, d):
     """People within 150 m of each park, places as areas that may overlap."""
     cells = view(s, d, "f_grid").select("grid_id", "pop_est", g.rectangle(*[F.col(c) for c in ("xmin", "ymin", "xmax", "ymax")]).alias("polygon"))
     found = sh.near(_parks(s, d), cells, "osm_id", "grid_id", 150.0, 250.0, "polygon", "polygon").toDF("osm_id", "grid_id", "distance")
-    return found.join(cells.select("grid_id", "pop_est"), "grid_id").groupBy("osm_id").agg(F.sum("pop_est").alias("people"), F.count(F.lit(1)).alias("cells"))
+    return found.join(shuffled(cells.select("grid_id", "pop_est")), "grid_id").groupBy("osm_id").agg(F.sum("pop_est").alias("people"), F.count(F.lit(1)).alias("cells"))
 
 
 def park_union(s, d):

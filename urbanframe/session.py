@@ -42,3 +42,22 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
     most ``max_rows`` rows; above that the join shuffles instead."""
     few = df.limit(max_rows + 1).agg(F.count(F.lit(1))).first()[0] <= max_rows
     return F.broadcast(df) if few else df
+
+
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` for a join that shall shuffle both sides, whatever size the planner guesses.
+
+    Its guess comes from file sizes and misses what exploding adds to rows (tiles,
+    segments, texts), so that a side of hundreds of MB would pass through the driver
+    and the other side be joined by as few tasks as it has files.
+    """
+    return df.hint("merge")
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` over as many tasks as shuffles have, its columns computed once.
+
+    Few files make few tasks, and a column of nested expressions would be computed
+    anew wherever a step names it.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
