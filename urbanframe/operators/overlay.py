@@ -26,12 +26,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from urbanframe.functions.geometry import _segments, bbox, ring_signed_area
+from urbanframe.operators.graph import components
 from urbanframe.operators.spatial import BOX, box_join
-from urbanframe.session import written
+from urbanframe.session import shuffled, written
 
 #: Edges of a tile above which it is quartered before its sweep.
 LIMIT = 256
 DEEPEST = 16
+#: Squares of edge counts of the tiles that share a sweep.
+WORK = 200_000
 EPS = 1e-7
 
 KEPT = {
@@ -47,22 +50,26 @@ def with_box(df: DataFrame, polygon: str = "polygon") -> DataFrame:
     return df.withColumns({c: box[c] for c in BOX})
 
 
-def directed_edges(df: DataFrame, keys: list[str], polygon: str = "polygon") -> DataFrame:
-    """``keys, ax, ay, bx, by, right``: edges that are not level, interior on the left; ``right`` is the polygon's xmax."""
+def _turned(polygon: Column) -> Column:
+    """Segments of all rings, the interior on their left."""
     def turned(ring: Column, i: Column) -> Column:
         ahead = (ring_signed_area(ring) >= 0) == (i == 0)
         return F.transform(_segments(ring, True), lambda s: F.when(ahead, s).otherwise(F.struct(s["b"].alias("a"), s["a"].alias("b"))))
 
-    edges = F.explode(F.flatten(F.transform(F.col(polygon), turned)))
-    rows = df.select(*keys, bbox(F.col(polygon))["xmax"].cast("double").alias("right"), edges.alias("_e"))
+    return F.flatten(F.transform(polygon, turned))
+
+
+def directed_edges(df: DataFrame, keys: list[str], polygon: str = "polygon") -> DataFrame:
+    """``keys, ax, ay, bx, by, right``: edges that are not level, interior on the left; ``right`` is the polygon's xmax."""
+    rows = df.select(*keys, bbox(F.col(polygon))["xmax"].cast("double").alias("right"), F.explode(_turned(F.col(polygon))).alias("_e"))
     return rows.select(*keys, *[F.col(f"_e.{p}.{c}").cast("double").alias(f"{p}{c}") for p in "ab" for c in "xy"], "right").where("ay <> by")
 
 
 class _Pieces:
-    """Parts of edges inside a tile: heights ``lo`` to ``hi``, and ``x`` as a function of the height."""
+    """Parts of edges inside their tiles: heights ``lo`` to ``hi``, and ``x`` as a function of the height; in order of ``group``, the tile's number."""
 
-    def __init__(self, edges: np.ndarray, side: np.ndarray, tile: tuple[float, float, float, float]):
-        x0, y0, x1, y1 = tile
+    def __init__(self, edges: np.ndarray, side: np.ndarray, group: np.ndarray, tiles: np.ndarray):
+        x0, y0, x1, y1 = tiles[group].T
         ax, ay, bx, by = edges.T
         up = by > ay
         lx, ly, hx, hy = np.where(up, ax, bx), np.where(up, ay, by), np.where(up, bx, ax), np.where(up, by, ay)
@@ -77,76 +84,99 @@ class _Pieces:
             low, high = cuts[k], cuts[k + 1]
             i = np.flatnonzero(high > low)
             middle = lx[i] + ((low[i] + high[i]) / 2 - ly[i]) * slope[i]
-            left, right = middle < x0, middle > x1
+            left, right = middle < x0[i], middle > x1[i]
             out = left | right
-            parts.append((i, low[i], high[i], np.where(left, x0, np.where(right, x1, lx[i])), np.where(out, 0, ly[i]), np.where(out, 0, slope[i]), np.where(left, x0, np.where(right, x1, hx[i]))))
-        i, self.lo, self.hi, self.x, self.y, self.slope, self.top_x = (np.concatenate(p) for p in zip(*parts))
+            parts.append((i, low[i], high[i], np.where(left, x0[i], np.where(right, x1[i], lx[i])), np.where(out, 0, ly[i]), np.where(out, 0, slope[i]), np.where(left, x0[i], np.where(right, x1[i], hx[i]))))
+        i, *columns = (np.concatenate(c) for c in zip(*parts))
+        order = np.argsort(group[i], kind="stable")
+        i = i[order]
+        self.lo, self.hi, self.x, self.y, self.slope, self.top_x = (c[order] for c in columns)
         self.top = hy[i]
         self.delta = np.where(up, -1, 1)[i]
         self.second = side[i].astype(bool)
-        self.tile = tile
+        self.group = group[i]
+        self.tiles = tiles
 
     def __len__(self) -> int:
         return len(self.lo)
 
     def at(self, i: np.ndarray, y: np.ndarray) -> np.ndarray:
         x = np.where(y == self.top[i], self.top_x[i], self.x[i] + (y - self.y[i]) * self.slope[i])
-        return np.clip(x, self.tile[0], self.tile[2])
+        return np.clip(x, self.tiles[self.group[i], 0], self.tiles[self.group[i], 2])
 
-    def crossings(self) -> np.ndarray:
-        """Heights at which two parts cross."""
-        i, j = np.triu_indices(len(self), 1)
+    def crossings(self) -> tuple[np.ndarray, np.ndarray]:
+        """Tiles and heights at which two parts cross."""
+        i, j = _ranges(np.arange(len(self)) + 1, np.searchsorted(self.group, self.group, "right"))
         low, high = np.maximum(self.lo[i], self.lo[j]), np.minimum(self.hi[i], self.hi[j])
         both = (high > low) & (self.slope[i] != self.slope[j])
         i, j, low, high = i[both], j[both], low[both], high[both]
         first, last = self.at(i, low) - self.at(j, low), self.at(i, high) - self.at(j, high)
         cross = (first * last < 0) & (np.abs(first) > EPS) & (np.abs(last) > EPS)
         first, last, low, high = first[cross], last[cross], low[cross], high[cross]
-        return low + (high - low) * first / (first - last)
-
-
-def _swept(p: _Pieces, op: str) -> tuple[float, np.ndarray]:
-    """Area kept in the tile and its directed boundary (rows ``x, y, x, y``, interior on the left)."""
-    none = 0.0, np.zeros((0, 4))
-    if not len(p):
+        return self.group[i[cross]], low + (high - low) * first / (first - last)
+
+
+def _ranges(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a row's number and each number from its ``start`` up to before its ``stop``."""
+    n = stop - start
+    row = np.repeat(np.arange(len(n)), n)
+    return row, np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + start[row]
+
+
+def _swept(p: _Pieces, op: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Area kept in each tile, and the directed boundaries (rows ``x, y, x, y``, interior on the left) with their tiles, in order."""
+    n = len(p.tiles)
+    none = np.zeros(n), np.zeros((0, 4)), np.zeros(0, np.int64)
+    crossed, heights = p.crossings()
+    tile, ys = np.concatenate([p.group, p.group, crossed]), np.concatenate([p.lo, p.hi, heights])
+    by = np.lexsort((ys, tile))
+    tile, ys = tile[by], ys[by]
+    own = np.concatenate([[True], (tile[1:] != tile[:-1]) | (np.diff(ys) > EPS / 100)])[: len(ys)]
+    tile, ys = tile[own], ys[own]
+    low = np.flatnonzero(tile[1:] == tile[:-1])
+    if not len(low):
         return none
-    x0, _, x1, _ = p.tile
-    ys = np.unique(np.concatenate([p.lo, p.hi, p.crossings()]))
-    ys = ys[np.concatenate([[True], np.diff(ys) > EPS / 100])]
-    if len(ys) < 2:
+    middle = (ys[low + 1] + ys[low]) / 2
+    strip, piece = _ranges(np.searchsorted(p.group, tile[low]), np.searchsorted(p.group, tile[low], "right"))
+    active = (p.lo[piece] <= middle[strip]) & (p.hi[piece] >= middle[strip])
+    strip, piece = strip[active], piece[active]
+    x = p.x[piece] + (middle[strip] - p.y[piece]) * p.slope[piece]
+    by = np.lexsort((x, strip))
+    strip, piece, x = strip[by], piece[by], x[by]
+    if not len(x):
         return none
-    middle = (ys[1:] + ys[:-1]) / 2
-    active = (p.lo <= middle[:, None]) & (p.hi >= middle[:, None])
-    x = np.where(active, p.x + (middle[:, None] - p.y) * p.slope, np.inf)
-    order = np.argsort(x, 1, kind="stable")
-    x = np.take_along_axis(x, order, 1)
-    delta = np.where(np.isfinite(x), p.delta[order], 0)
-    second = p.second[order]
-    covered = KEPT[op](np.cumsum(np.where(second, 0, delta), 1), np.cumsum(np.where(second, delta, 0), 1))
-    with np.errstate(invalid="ignore"):
-        last = np.isfinite(x) & np.concatenate([(x[:, 1:] - x[:, :-1] > EPS) | ~np.isfinite(x[:, 1:]), np.ones((len(x), 1), bool)], 1)
-    row, column = np.nonzero(last)
-    state = covered[row, column]
+    new = np.concatenate([[True], strip[1:] != strip[:-1]])
+    begin = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+    delta, second = p.delta[piece], p.second[piece]
+
+    def winding(d: np.ndarray) -> np.ndarray:
+        total = np.cumsum(d)
+        return total - (total - d)[begin]
+
+    covered = KEPT[op](winding(np.where(second, 0, delta)), winding(np.where(second, delta, 0)))
+    last = np.flatnonzero(np.concatenate([new[1:] | (x[1:] - x[:-1] > EPS), [True]]))
+    row, state = low[strip[last]], covered[last]
     before = np.concatenate([[False], state[:-1]]) & np.concatenate([[False], row[1:] == row[:-1]])
     turn = np.flatnonzero(state != before)
-    row, start, edge, x = row[turn], state[turn], order[row[turn], column[turn]], x[row[turn], column[turn]]
+    row, start, edge, x = row[turn], state[turn], piece[last[turn]], x[last[turn]]
     if not len(row):
         return none
-    area = float((np.where(start, -x, x) * (ys[row + 1] - ys[row])).sum())
+    area = np.bincount(tile[row], np.where(start, -x, x) * (ys[row + 1] - ys[row]), n)
     # Ends at each height, those closer than EPS made one.
     level = np.concatenate([row, row + 1])
     end_x = np.concatenate([p.at(edge, ys[row]), p.at(edge, ys[row + 1])])
-    for border in (x0, x1):
-        end_x[np.abs(end_x - border) < EPS] = border
+    for side in (0, 2):
+        border = p.tiles[tile[level], side]
+        end_x = np.where(np.abs(end_x - border) < EPS, border, end_x)
     by = np.lexsort((end_x, level))
     sorted_level, sorted_x = level[by], end_x[by]
     new = np.concatenate([[True], (sorted_level[1:] != sorted_level[:-1]) | (np.diff(sorted_x) > EPS)])
     sorted_x = sorted_x[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
     end_x[by] = sorted_x
     bottom, top = end_x[: len(row)], end_x[len(row) :]
-    low = np.stack([bottom, ys[row]], 1)
-    high = np.stack([top, ys[row + 1]], 1)
-    sides = np.where(start[:, None], np.concatenate([high, low], 1), np.concatenate([low, high], 1))
+    lower = np.stack([bottom, ys[row]], 1)
+    upper_end = np.stack([top, ys[row + 1]], 1)
+    sides = np.where(start[:, None], np.concatenate([upper_end, lower], 1), np.concatenate([lower, upper_end], 1))
     # Level parts: where only the strip above or only the strip below is covered.
     above = np.concatenate([np.ones(len(row), bool), np.zeros(len(row), bool)])[by]
     upper = np.cumsum(above)
@@ -155,47 +185,85 @@ def _swept(p: _Pieces, op: str) -> tuple[float, np.ndarray]:
     inside = (upper[first] - np.where(base > 0, upper[base - 1], 0)) % 2 == 1
     a, b, y = sorted_x[first], sorted_x[first + 1], ys[sorted_level[first]]
     level_parts = np.stack([np.where(inside, a, b), y, np.where(inside, b, a), y], 1)[b > a]
-    return area, np.concatenate([sides, level_parts])
+    of = np.concatenate([tile[row], tile[sorted_level[first]][b > a]])
+    by = np.argsort(of, kind="stable")
+    return area, np.concatenate([sides, level_parts])[by], of[by]
 
 
-def overlay_tile(edges: np.ndarray, side: np.ndarray, tile: tuple[float, float, float, float], op: str, depth: int = 0) -> tuple[float, np.ndarray]:
-    """Area and boundary of ``op`` of two sides' polygons in a tile."""
-    x0, y0, x1, y1 = tile
+def _near(edges: np.ndarray, side: np.ndarray, group: np.ndarray, tiles: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Edges at their tile's heights, and which of them are its own, not beyond its left or right border."""
+    x0, y0, x1, y1 = tiles[group].T
     near = (np.minimum(edges[:, 1], edges[:, 3]) < y1) & (np.maximum(edges[:, 1], edges[:, 3]) > y0)
-    edges, side = edges[near], side[near]
     own = (np.maximum(edges[:, 0], edges[:, 2]) > x0) & (np.minimum(edges[:, 0], edges[:, 2]) < x1)
+    return edges[near], side[near], group[near], own[near]
+
+
+def overlay_tile(edges: np.ndarray, side: np.ndarray, tile: tuple[float, float, float, float], op: str, depth: int = 0) -> tuple[float, np.ndarray]:
+    """Area and boundary of ``op`` of two sides' polygons in a tile."""
+    tiles = np.array([tile], float)
+    edges, side, group, own = _near(edges, side, np.zeros(len(edges), np.int64), tiles)
     if own.sum() > LIMIT and depth < DEEPEST:
+        x0, y0, x1, y1 = tile
         mx, my = (x0 + x1) / 2, (y0 + y1) / 2
         parts = [overlay_tile(edges, side, t, op, depth + 1) for t in ((x0, y0, mx, my), (mx, y0, x1, my), (x0, my, mx, y1), (mx, my, x1, y1))]
         return sum(a for a, _ in parts), np.concatenate([b for _, b in parts])
     # Edges beyond the tile only matter by the winding at its borders; those on its right needn't be there.
-    return _swept(_Pieces(*_border_merged(edges, side, own, tile), tile), op)
-
-
-def _border_merged(edges: np.ndarray, side: np.ndarray, own: np.ndarray, tile) -> tuple[np.ndarray, np.ndarray]:
-    """The tile's own edges; those on its left as net windings along the left border; what is open then is closed along the right one."""
-    x0, y0, x1, y1 = tile
-    beyond = ~own & (np.maximum(edges[:, 0], edges[:, 2]) <= x0)
-    rows, sides = [edges[own]], [side[own]]
-    for border, some, sign in ((x0, beyond, 1), (x1, own | beyond, -1)):
-        for s in (0, 1):
-            e = edges[some & (side == s)]
-            if not len(e):
-                continue
-            low, high = np.clip(np.minimum(e[:, 1], e[:, 3]), y0, y1), np.clip(np.maximum(e[:, 1], e[:, 3]), y0, y1)
-            up = np.where(e[:, 3] > e[:, 1], sign, -sign)
-            y = np.unique(np.concatenate([low, high]))
-            step = np.zeros(len(y), np.int64)
-            np.add.at(step, np.searchsorted(y, low), up)
-            np.add.at(step, np.searchsorted(y, high), -up)
-            net = np.cumsum(step)[:-1]
-            at = np.flatnonzero(net)
-            at = np.repeat(at, np.abs(net[at]))
-            bottom, top, rise = y[at], y[at + 1], net[at] > 0
-            x = np.full(len(at), border)
-            rows.append(np.stack([x, np.where(rise, bottom, top), x, np.where(rise, top, bottom)], 1))
-            sides.append(np.full(len(at), s, side.dtype))
-    return np.concatenate(rows), np.concatenate(sides)
+    area, parts, _ = _swept(_Pieces(*_border_merged(edges, side, group, own, tiles), tiles), op)
+    return float(area[0]), parts
+
+
+def overlay_tiles(edges: np.ndarray, side: np.ndarray, group: np.ndarray, tiles: np.ndarray, op: str) -> tuple[np.ndarray, list[np.ndarray]]:
+    """``overlay_tile`` of many tiles at once, the edges in order of ``group``, the tile's number: areas, and a boundary for each tile.
+
+    Most tiles have a few edges, so a sweep of its own for each would be mostly
+    calls. Tiles share sweeps of about ``WORK`` pairs of edges; crowded ones go alone.
+    """
+    n = len(tiles)
+    edges, side, group, own = _near(edges, side, group, tiles)
+    areas, parts = np.zeros(n), [np.zeros((0, 4))] * n
+    if not len(edges):
+        return areas, parts
+    size = np.bincount(group, minlength=n)
+    crowded = np.bincount(group[own], minlength=n) > LIMIT
+    stop = np.cumsum(size)
+    for g in np.flatnonzero(crowded):
+        rows = slice(stop[g] - size[g], stop[g])
+        areas[g], parts[g] = overlay_tile(edges[rows], side[rows], tuple(tiles[g]), op)
+    share = np.cumsum(np.where(crowded, 0, size * size)) // WORK
+    cuts = np.concatenate([[0], np.flatnonzero(np.diff(share)) + 1, [n]])
+    for low, high in zip(cuts[:-1], cuts[1:]):
+        rows = slice(stop[low] - size[low] if low < n else 0, stop[high - 1])
+        few = ~crowded[group[rows]]
+        if not few.any():
+            continue
+        some = tiles[low:high]
+        area, lines, of = _swept(_Pieces(*_border_merged(edges[rows][few], side[rows][few], group[rows][few] - low, own[rows][few], some), some), op)
+        own_parts = np.split(lines, np.searchsorted(of, np.arange(1, high - low)))
+        for g in np.flatnonzero(~crowded[low:high]):
+            areas[low + g], parts[low + g] = area[g], own_parts[g]
+    return areas, parts
+
+
+def _border_merged(edges: np.ndarray, side: np.ndarray, group: np.ndarray, own: np.ndarray, tiles: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The tiles' own edges; those on their left as net windings along the left border; what is open then is closed along the right one."""
+    beyond = ~own & (np.maximum(edges[:, 0], edges[:, 2]) <= tiles[group, 0])
+    rows, sides, groups = [edges[own]], [side[own]], [group[own]]
+    for column, some, sign in ((0, beyond, 1), (2, own | beyond, -1)):
+        e, g, s = edges[some], group[some], side[some]
+        y0, y1 = tiles[g, 1], tiles[g, 3]
+        y = np.concatenate([np.clip(np.minimum(e[:, 1], e[:, 3]), y0, y1), np.clip(np.maximum(e[:, 1], e[:, 3]), y0, y1)])
+        up = np.where(e[:, 3] > e[:, 1], sign, -sign)
+        step, g, s = np.concatenate([up, -up]), np.concatenate([g, g]), np.concatenate([s, s])
+        order = np.lexsort((y, s, g))
+        y, g, s, net = y[order], g[order], s[order], np.cumsum(step[order])
+        at = np.flatnonzero((g[1:] == g[:-1]) & (s[1:] == s[:-1]) & (y[1:] > y[:-1]) & (net[:-1] != 0))
+        at = np.repeat(at, np.abs(net[at]))
+        bottom, top, rise = y[at], y[at + 1], net[at] > 0
+        x = tiles[g[at], column]
+        rows.append(np.stack([x, np.where(rise, bottom, top), x, np.where(rise, top, bottom)], 1))
+        sides.append(s[at])
+        groups.append(g[at])
+    return np.concatenate(rows), np.concatenate(sides), np.concatenate(groups)
 
 
 def _net(lines: np.ndarray) -> np.ndarray:
@@ -299,8 +367,8 @@ def as_polygons(rings: list[list[tuple[float, float]]]) -> list[list[list[tuple[
     return [out[id(s)] for s in shells]
 
 
-def by_group(df: DataFrame, keys: list[str], of: Callable[[pd.DataFrame], list[tuple]], schema: str, columns: list[str]) -> DataFrame:
-    """Rows that ``of`` makes of each group of ``keys``.
+def by_group(df: DataFrame, keys: list[str], of: Callable[[pd.DataFrame, np.ndarray], list[tuple]], schema: str, columns: list[str]) -> DataFrame:
+    """Rows that ``of`` makes of groups of ``keys``: it gets whole groups, one after the other, and the rows at which they begin.
 
     Many small groups share a batch, where ``groupBy.applyInPandas`` would send
     each on its own; a group that ends in another batch is carried over.
@@ -313,13 +381,13 @@ def by_group(df: DataFrame, keys: list[str], of: Callable[[pd.DataFrame], list[t
             change = np.zeros(len(frame), bool)
             for key in keys:
                 change[1:] |= frame[key].to_numpy()[1:] != frame[key].to_numpy()[:-1]
-            cuts = [0, *np.flatnonzero(change).tolist()]
-            rows = [row for i, j in zip(cuts, cuts[1:]) for row in of(frame.iloc[i:j])]
-            rest = frame.iloc[cuts[-1] :]
+            begin = np.concatenate([[0], np.flatnonzero(change)])
+            rows = of(frame.iloc[: begin[-1]], begin[:-1]) if len(begin) > 1 else None
+            rest = frame.iloc[begin[-1] :]
             if rows:
                 yield pd.DataFrame(rows, columns=columns)
         if rest is not None and len(rest):
-            yield pd.DataFrame(of(rest), columns=columns)
+            yield pd.DataFrame(of(rest, np.zeros(1, np.int64)), columns=columns)
 
     # A number of parts is given, as few bytes may be much work: they shall not be merged by their size.
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -340,11 +408,11 @@ class Overlay:
         dealt = edges.withColumn("_tx", F.explode(F.sequence(tile(F.least("ax", "bx")), tile(F.greatest(F.col("right"), F.least("ax", "bx"))))))
         dealt = dealt.withColumn("_ty", F.explode(F.sequence(tile(low), tile(high))))
 
-        def sweep(frame: pd.DataFrame) -> list[tuple]:
-            name, x, y = (frame[c].iloc[0] for c in (key, "_tx", "_ty"))
-            x, y = x * size, y * size
-            area, parts = overlay_tile(frame[["ax", "ay", "bx", "by"]].to_numpy(), frame["_side"].to_numpy(), (x, y, x + size, y + size), op)
-            return [(name, area, parts.reshape(-1))] if len(parts) else []
+        def sweep(frame: pd.DataFrame, begin: np.ndarray) -> list[tuple]:
+            corner = frame[["_tx", "_ty"]].to_numpy()[begin] * size
+            group = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(frame))))
+            areas, parts = overlay_tiles(frame[["ax", "ay", "bx", "by"]].to_numpy(), frame["_side"].to_numpy(), group, np.concatenate([corner, corner + size], 1), op)
+            return [(name, area, p.reshape(-1)) for name, area, p in zip(frame[key].to_numpy()[begin].tolist(), areas.tolist(), parts) if len(p)]
 
         schema = f"`{key}` {kind}, area double, parts array<double>"
         self.tiles = written(by_group(dealt.drop("right"), [key, "_tx", "_ty"], sweep, schema, [key, "area", "parts"]))
@@ -357,10 +425,12 @@ class Overlay:
         """``key, part, polygon``: the disjoint polygons of each key, holes included, numbered from 1."""
         key, kind = self.key, dict(self.tiles.dtypes)[self.key]
 
-        def stitch(frame: pd.DataFrame) -> list[tuple]:
-            rings = stitched(np.concatenate([np.asarray(p, float) for p in frame["parts"]]).reshape(-1, 4))
-            name = frame[key].iloc[0]
-            return [(name, i, [[{"x": x, "y": y} for x, y in ring] for ring in polygon]) for i, polygon in enumerate(as_polygons(rings), 1)]
+        def stitch(frame: pd.DataFrame, begin: np.ndarray) -> list[tuple]:
+            names, parts, out = frame[key].to_numpy().tolist(), frame["parts"].tolist(), []
+            for low, high in zip(begin, [*begin[1:], len(parts)]):
+                rings = stitched(np.concatenate(parts[low:high]).reshape(-1, 4))
+                out += [(names[low], i, [[{"x": x, "y": y} for x, y in ring] for ring in polygon]) for i, polygon in enumerate(as_polygons(rings), 1)]
+            return out
 
         schema = f"`{key}` {kind}, part int, polygon array<array<struct<x: double, y: double>>>"
         return by_group(self.tiles.select(key, "parts"), [key], stitch, schema, [key, "part", "polygon"])
@@ -371,9 +441,24 @@ def dissolve(df: DataFrame, key: str, cell: float, polygon: str = "polygon") ->
     return Overlay(directed_edges(df, [key], polygon).withColumn("_side", F.lit(0).cast("byte")), key, cell, "union")
 
 
+def dissolve_clusters(df: DataFrame, key: str, cell: float, polygon: str = "polygon") -> tuple[Overlay, DataFrame]:
+    """The union of each key's polygons by ``cluster``, those whose boxes meet one another, and each cluster's ``key``.
+
+    No ring of a union and none of its holes reaches beyond a cluster, so they are
+    stitched by cluster, and a key of any number of polygons is spread over many tasks.
+    """
+    rows = written(df.where(F.col(polygon).isNotNull()).select(key, polygon).withColumn("_id", F.monotonically_increasing_id()))
+    slim = with_box(rows, polygon).select("_id", key, *BOX)
+    links = box_join(slim, slim, cell).where(F.col("a__id") < F.col("b__id")).where(F.col(f"a_{key}").eqNullSafe(F.col(f"b_{key}")))
+    label = components(links.select(F.col("a__id").alias("a"), F.col("b__id").alias("b"))).select(F.col("node").alias("_id"), "component")
+    named = written(rows.join(shuffled(label), "_id", "left").select(F.coalesce("component", "_id").alias("cluster"), "_id", key, polygon))
+    return dissolve(named, "cluster", cell, polygon), named.where("cluster = _id").select("cluster", key)
+
+
 def against(a: DataFrame, b: DataFrame, key: str, cell: float, op: str, polygon: str = "polygon") -> Overlay:
     """Each polygon of ``a`` (one per ``key``) less, or within, the union of ``b``'s polygons that meet its box."""
-    own, other = with_box(a.select(key, polygon), polygon), with_box(b.select(polygon), polygon)
+    # Written, as the nested expressions of boxes cost the planner minutes where steps repeat them.
+    own, other = written(with_box(a.select(key, polygon), polygon)), written(with_box(b.select(polygon), polygon))
     met = box_join(own.select(key, *BOX), other, cell).select(F.col(f"a_{key}").alias(key), F.col(f"b_{polygon}").alias(polygon))
     first = directed_edges(own, [key], polygon).withColumn("_side", F.lit(0).cast("byte"))
     second = directed_edges(met, [key], polygon).withColumn("_side", F.lit(1).cast("byte"))
@@ -389,33 +474,42 @@ def clip(a: DataFrame, b: DataFrame, key: str, cell: float, polygon: str = "poly
 
 
 def shared_area(a: Column, b: Column) -> Column:
-    """Area that two polygons share, holes included: one sweep a pair."""
+    """Area that two polygons share, holes included: pairs share sweeps."""
 
-    def edges(rings) -> np.ndarray:
+    def edges_of(rings) -> np.ndarray:
         rows = []
         for i, ring in enumerate(rings):
             p = np.array([(q["x"], q["y"]) for q in ring], float)
             if len(p) > 2:
                 p = p if (ring_area(p) >= 0) == (i == 0) else p[::-1]
                 rows.append(np.concatenate([p, np.roll(p, -1, 0)], 1))
-        e = np.concatenate(rows) if rows else np.zeros((0, 4))
-        return e[e[:, 1] != e[:, 3]]
+        return np.concatenate(rows) if rows else np.zeros((0, 4))
+
+    def stacked(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        return np.concatenate([np.zeros((0, 4)), *rows]), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
 
     def run(p: pd.Series, q: pd.Series) -> pd.Series:
-        out = []
-        for one, two in zip(p, q):
-            if one is None or two is None:
-                out.append(None)
-                continue
-            e, f = edges(one), edges(two)
-            if not len(e) or not len(f):
-                out.append(0.0)
-                continue
-            x, y = ([np.concatenate([g[:, c], g[:, c + 2]]) for g in (e, f)] for c in (0, 1))
-            tile = (max(map(np.min, x)), max(map(np.min, y)), min(map(np.max, x)), min(map(np.max, y)))
-            both = tile[0] < tile[2] and tile[1] < tile[3]
-            side = np.repeat(np.array([0, 1], np.int8), [len(e), len(f)])
-            out.append(overlay_tile(np.concatenate([e, f]), side, tile, "intersection")[0] if both else 0.0)
-        return pd.Series(out, dtype="float64")
+        known = (p.notna() & q.notna()).to_numpy()
+        sides = [stacked([edges_of(rings) for rings in s[known]]) for s in (p, q)]
+        n = int(known.sum())
+        box = np.full((2, 4, n), np.inf)
+        for (e, g), (x0, y0, x1, y1) in zip(sides, box):
+            for low, high, c in ((x0, x1, 0), (y0, y1, 1)):
+                np.minimum.at(low, np.tile(g, 2), np.concatenate([e[:, c], e[:, c + 2]]))
+                np.minimum.at(high, np.tile(g, 2), -np.concatenate([e[:, c], e[:, c + 2]]))
+        # A side without edges has a box that begins at infinity, so none is shared.
+        tiles = np.concatenate([box[:, :2].max(0), -box[:, 2:].max(0)]).T
+        both = (tiles[:, 0] < tiles[:, 2]) & (tiles[:, 1] < tiles[:, 3])
+        number = np.cumsum(both) - 1
+        edges, group = (np.concatenate([s[i] for s in sides]) for i in (0, 1))
+        side = np.repeat(np.array([0, 1], np.int8), [len(e) for e, _ in sides])
+        kept = both[group] & (edges[:, 1] != edges[:, 3])
+        edges, side, group = edges[kept], side[kept], number[group[kept]]
+        order = np.argsort(group, kind="stable")
+        area = np.zeros(n)
+        area[both] = overlay_tiles(edges[order], side[order], group[order], tiles[both], "intersection")[0]
+        out = np.full(len(p), None, object)
+        out[known] = area
+        return pd.Series(out)
 
     return F.pandas_udf(run, "double")(a, b)

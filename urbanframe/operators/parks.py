@@ -17,7 +17,7 @@ from urbanframe.operators.linear import points_along
 from urbanframe.operators.overlay import difference, dissolve, shared_area, with_box
 from urbanframe.operators.shapes import meeting, near, shared_border
 from urbanframe.operators.spatial import BOX, box_join, with_point_box
-from urbanframe.session import written
+from urbanframe.session import shuffled, written
 
 #: Share of an area from which it counts as covered.
 WHOLE = 1 - 1e-9
@@ -25,11 +25,11 @@ WHOLE = 1 - 1e-9
 
 def cut_out(spaces: DataFrame, excluded: DataFrame, key: str, cell: float) -> DataFrame:
     """``key, part, polygon``: what exclusions leave of each space; one that is wholly covered drops out."""
-    own, other = with_box(spaces.select(key, "polygon")), with_box(excluded.select("polygon"))
+    own, other = written(with_box(spaces.select(key, "polygon"))), written(with_box(excluded.select("polygon")))
     touched = written(box_join(own.select(key, *BOX), other.select(*BOX), cell).select(F.col(f"a_{key}").alias(key)).distinct())
-    cut = difference(spaces.join(touched, key, "left_semi"), excluded, key, cell).shapes()
-    rest = spaces.join(touched, key, "left_anti").select(key, F.lit(1).alias("part"), "polygon")
-    return rest.unionByName(cut)
+    cut = difference(own.join(shuffled(touched), key, "left_semi"), other, key, cell).shapes()
+    rest = own.join(shuffled(touched), key, "left_anti").select(key, F.lit(1).alias("part"), "polygon")
+    return written(rest.unionByName(cut))
 
 
 def measured(parts: DataFrame, key: str) -> DataFrame:
@@ -44,9 +44,14 @@ def overlaps(parts: DataFrame, key: str, cell: float, first: DataFrame | None =
     """``a, b, shared``: area that different spaces share, both ways; ``first`` narrows side ``a``."""
     slim = with_box(parts.select(key, "polygon"))
     one = slim if first is None else slim.join(first.select(key), key, "left_semi")
-    pairs = box_join(one, slim, cell).where(F.col(f"a_{key}") != F.col(f"b_{key}"))
+    # Without ``first`` a pair is swept once and told both ways.
+    pairs = box_join(one, slim, cell).where(F.col(f"a_{key}") < F.col(f"b_{key}") if first is None else F.col(f"a_{key}") != F.col(f"b_{key}"))
     shared = pairs.select(F.col(f"a_{key}").alias("a"), F.col(f"b_{key}").alias("b"), shared_area(F.col("a_polygon"), F.col("b_polygon")).alias("shared"))
-    return shared.groupBy("a", "b").agg(F.sum("shared").alias("shared")).where("shared > 1e-6")
+    found = shared.groupBy("a", "b").agg(F.sum("shared").alias("shared")).where("shared > 1e-6")
+    if first is not None:
+        return found
+    ways = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
+    return found.select(ways.alias("_w"), "shared").select("_w.a", "_w.b", "shared")
 
 
 def covering(found: DataFrame, spaces: DataFrame, key: str) -> DataFrame:
