@@ -75,8 +75,9 @@ def shape_catchment(s, d):
 def park_union(s, d):
     """Area of the union of each kind's parks, from the dissolved shapes."""
     kinds = _parks(s, d).select(F.coalesce("leisure", F.lit("none")).alias("kind"), "polygon")
-    shapes = ov.dissolve(kinds, "kind", CELL).shapes()
-    return shapes.groupBy("kind").agg(F.round(F.sum(g.area(F.col("polygon"))), 4).alias("area"))
+    union, kind_of = ov.dissolve_clusters(kinds, "kind", CELL)
+    sizes = union.shapes().groupBy("cluster").agg(F.sum(g.area(F.col("polygon"))).alias("area"))
+    return sizes.join(kind_of, "cluster").groupBy("kind").agg(F.round(F.sum("area"), 4).alias("area"))
 
 
 def park_union_area(s, d):
