@@ -146,7 +146,8 @@ def _homes(s, d):
 
 
 def net_component(s, d):
-    return net.filter_components(_homes(s, d), min_nodes=60).select("ogc_fid")
+    """Edges of the street network's components of at least 100 nodes; all edges are read."""
+    return net.filter_components(view(s, d, "f_edges"), min_nodes=100).select("ogc_fid")
 
 
 def net_largest(s, d):
@@ -331,7 +332,8 @@ SQL = {
     "sample_points": f"WITH {_samples(30)} SELECT * REPLACE (ROUND(x, 6) AS x, ROUND(y, 6) AS y) FROM samples",
     "sample_dedupe": f"WITH {_samples(30)} SELECT edge_ogc_fid, metres, ROUND(x, 6) AS x, ROUND(y, 6) AS y FROM samples QUALIFY ROW_NUMBER() OVER (PARTITION BY ROUND(x, 6), ROUND(y, 6) ORDER BY edge_ogc_fid, metres) = 1",
     "sample_offsets": f"WITH {_samples(30)} SELECT CAST(FLOOR(y / 250) AS BIGINT) * 1000 + CAST(FLOOR(x / 250) AS BIGINT) AS grid_id, COUNT(*) AS n, CAST(SUM(n1_distance) AS BIGINT) AS n1_distance, CAST(SUM(n2_distance) AS BIGINT) AS n2_distance FROM samples GROUP BY 1",
-    "net_component": f"WITH {HOMES} SELECT c_custkey AS ogc_fid FROM customer JOIN homes USING (c_nationkey) WHERE n + 1 >= 60",
+    "net_component": """WITH RECURSIVE links AS (SELECT u AS a, v AS b FROM f_edges UNION ALL SELECT v, u FROM f_edges), closure AS (SELECT DISTINCT a AS n, a AS r FROM links UNION SELECT c.n, l.b FROM closure c JOIN links l ON l.a = c.r),
+      label AS (SELECT n, MIN(r) AS c FROM closure GROUP BY n), big AS (SELECT c FROM label GROUP BY c HAVING COUNT(*) >= 100) SELECT ogc_fid FROM f_edges WHERE u IN (SELECT n FROM label JOIN big USING (c))""",
     "net_largest": f"WITH {HOMES} SELECT c_custkey AS ogc_fid FROM customer WHERE c_nationkey = (SELECT c_nationkey FROM homes ORDER BY n DESC, first LIMIT 1)",
     "net_neighbourhood": f"""WITH RECURSIVE {ADJ}, seeds AS (SELECT osmid AS node FROM f_nodes), {WALK.format(limit=1000)}, cells AS (SELECT DISTINCT d.src, CAST(FLOOR(n.y / 250) AS BIGINT) * 1000 + CAST(FLOOR(n.x / 250) AS BIGINT) AS grid_id FROM dists d JOIN f_nodes n ON n.osmid = d.node)
       SELECT src, ROUND(AVG(g.pop_est), 6) AS pop_est FROM cells JOIN f_grid g USING (grid_id) GROUP BY src""",
