@@ -8,7 +8,10 @@ in the plan.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -69,6 +72,42 @@ def contains(polygon: Column, point: Column) -> Column:
     return _total(F.transform(polygon, crossings)) % 2 == 1
 
 
+def _sizes(lists: pa.Array) -> np.ndarray:
+    return pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _numbers(values: pa.Array) -> np.ndarray:
+    return values.to_numpy(zero_copy_only=False).astype(np.float64)
+
+
+def _xy(points: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    x, y = points.flatten()[:2]
+    return _numbers(x), _numbers(y)
+
+
+def _held(polygon: pa.Array, x: pa.Array, y: pa.Array) -> pa.Array:
+    rings = polygon.flatten()
+    size = _sizes(rings)
+    ax, ay = _xy(rings.flatten())
+    row = np.repeat(np.repeat(np.arange(len(polygon)), _sizes(polygon)), size)
+    after, stop = np.arange(len(row)) + 1, np.cumsum(size)
+    after[stop[size > 0] - 1] = (stop - size)[size > 0]
+    bx, by, px, py = ax[after], ay[after], _numbers(x)[row], _numbers(y)[row]
+    straddles = (ay > py) != (by > py)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        crosses = straddles & (px < (bx - ax) * (py - ay) / (by - ay) + ax)
+    return pa.array(np.bincount(row[crosses], minlength=len(polygon)) % 2 == 1)
+
+
+def holds(polygon: Column, x: Column, y: Column) -> Column:
+    """As ``contains``, by batches: for the many pairs of a join.
+
+    Marked as nondeterministic so that the planner neither moves it into the join's
+    condition nor repeats it.
+    """
+    return F.arrow_udf(_held, "boolean").asNondeterministic()(polygon, x, y)
+
+
 def segment_position(a: Column, b: Column, p: Column) -> Column:
     """Fraction of the way from ``a`` to ``b`` that is nearest to ``p``."""
     dx, dy = b["x"] - a["x"], b["y"] - a["y"]
@@ -104,6 +143,37 @@ def nearest_on_line(line: Column, p: Column) -> Column:
     return F.aggregate(places, start, step)
 
 
+def _nearest(line: pa.Array, x: pa.Array, y: pa.Array) -> pa.Array:
+    size, (lx, ly) = _sizes(line), _xy(line.flatten())
+    first, px, py = np.cumsum(size) - size, _numbers(x), _numbers(y)
+    best, before, mx, my = (np.full(len(line), np.nan) for _ in range(4))
+    run, known = np.zeros(len(line)), np.zeros(len(line), bool)
+    # Segment by segment, so that lengths add up in the order of the line.
+    for k in range(1, int(size.max(initial=0))):
+        i = np.flatnonzero(size > k)
+        a = first[i] + k - 1
+        ax, ay, bx, by = lx[a], ly[a], lx[a + 1], ly[a + 1]
+        dx, dy = bx - ax, by - ay
+        square = dx * dx + dy * dy
+        with np.errstate(divide="ignore", invalid="ignore"):
+            t = np.where(square == 0, 0.0, ((px[i] - ax) * dx + (py[i] - ay) * dy) / square)
+        t = np.maximum(0.0, np.minimum(1.0, t))
+        sx, sy = ax + dx * t, ay + dy * t
+        far = np.sqrt((sx - px[i]) * (sx - px[i]) + (sy - py[i]) * (sy - py[i]))
+        long = np.sqrt((ax - bx) * (ax - bx) + (ay - by) * (ay - by))
+        better = ~known[i] | (far < best[i])
+        j = i[better]
+        best[j], before[j], mx[j], my[j] = far[better], run[j] + (long * t)[better], sx[better], sy[better]
+        known[i] = True
+        run[i] += long
+    return pa.StructArray.from_arrays([pa.array(c, mask=~known) for c in (best, before, mx, my)], names=["distance", "before", "x", "y"])
+
+
+def nearest_place(line: Column, x: Column, y: Column) -> Column:
+    """As ``nearest_on_line``, by batches, with the place as ``x, y``: for the many pairs of a join (see ``holds``)."""
+    return F.arrow_udf(_nearest, "struct<distance: double, before: double, x: double, y: double>").asNondeterministic()(line, x, y)
+
+
 def locate(line: Column, p: Column) -> Column:
     """Fraction of a line's length at its place nearest to ``p``."""
     return F.coalesce(F.try_divide(nearest_on_line(line, p)["before"], length(line)), F.lit(0.0))

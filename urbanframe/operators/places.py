@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from urbanframe.functions.geometry import box_overlap_area, box_shared_border, centroid, make_point, nearest_on_line
+from urbanframe.functions.geometry import box_overlap_area, box_shared_border, centroid, make_point, nearest_place
 from urbanframe.operators.graph import components
 from urbanframe.operators.spatial import BOX, box_join, covered_by_other, points_in_areas, with_line_box, with_point_box, within_distance
 from urbanframe.operators.unions import clipped_boxes, union_areas
@@ -321,6 +321,6 @@ def perimeter_nodes(areas: DataFrame, key: str, step: float = 20.0) -> DataFrame
 def near_network(nodes: DataFrame, edges: DataFrame, key: str, d: float = 30.0) -> DataFrame:
     """Access points at most ``d`` from the network (edges with a ``line``)."""
     pairs = box_join(with_point_box(nodes), with_line_box(edges.select("line")), 100.0, margin=d)
-    near = F.round(nearest_on_line(F.col("b_line"), make_point(F.col("a_x"), F.col("a_y")))["distance"], 9) <= d
+    near = F.round(nearest_place(F.col("b_line"), F.col("a_x"), F.col("a_y"))["distance"], 9) <= d
     hits = pairs.where(near).select(F.col(f"a_{key}").alias(key), F.col("a_node").alias("node"))
     return nodes.join(hits, [key, "node"], "left_semi")

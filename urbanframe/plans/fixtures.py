@@ -12,6 +12,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from urbanframe.session import shuffled
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 VIEWS = {
@@ -133,9 +135,10 @@ def _edges(nodes: DataFrame) -> DataFrame:
     """``f_edges`` as two equi joins instead of one join on alternatives."""
     far = nodes.select(F.col("osmid").alias("v"), F.col("x").alias("vx"), F.col("y").alias("vy"))
     near = nodes.select(F.col("osmid").alias("u"), F.col("x").alias("ux"), F.col("y").alias("uy"))
+    # Both sides are shuffled: file sizes tell little of them, and nodes grow with the tables.
     parts = [
-        near.where("u % 40 < 39").withColumn("v", F.col("u") + 1).join(far, "v").withColumn("ogc_fid", F.col("u") * 2),
-        near.withColumn("v", F.col("u") + 40).join(far, "v").withColumn("ogc_fid", F.col("u") * 2 + 1),
+        near.where("u % 40 < 39").withColumn("v", F.col("u") + 1).join(shuffled(far), "v").withColumn("ogc_fid", F.col("u") * 2),
+        near.withColumn("v", F.col("u") + 40).join(shuffled(far), "v").withColumn("ogc_fid", F.col("u") * 2 + 1),
     ]
     both = parts[0].unionByName(parts[1])
     length = F.abs(F.col("ux") - F.col("vx")) + F.abs(F.col("uy") - F.col("vy"))
