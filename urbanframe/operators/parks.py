@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from urbanframe.functions.geometry import area, contains, exterior, make_point, min_circle
+from urbanframe.functions.geometry import area, exterior, holds, make_point, min_circle
 from urbanframe.operators.graph import components
 from urbanframe.operators.linear import points_along
 from urbanframe.operators.overlay import difference, dissolve, shared_area, with_box
@@ -168,7 +168,7 @@ def green_areas(areas: DataFrame, shapes: DataFrame, pixels: DataFrame, key: str
     large = areas.where(F.col("aos_ha_public") >= least_ha).select(key, "aos_ha_public")
     good = pixels.where(F.col("value").between(*valid))
     pairs = box_join(with_point_box(good.select("x", "y", "value")), with_box(shapes.join(large, key, "left_semi").select(key, "polygon")), cell)
-    inside = pairs.where(contains(F.col("b_polygon"), make_point(F.col("a_x"), F.col("a_y"))))
+    inside = pairs.where(holds(F.col("b_polygon"), F.col("a_x"), F.col("a_y")))
     means = inside.groupBy(F.col(f"b_{key}").alias(key)).agg(F.avg("a_value").alias("ndvi_mean")).where(F.col("ndvi_mean") >= least_mean)
     return large.join(means, key)
 

@@ -10,10 +10,12 @@ that hold others without crossing them are found by one point of each.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from urbanframe.functions.geometry import _segments, contains
+from urbanframe.functions.geometry import _segments, holds
 from urbanframe.operators.overlay import with_box
 from urbanframe.operators.spatial import box_join
 from urbanframe.session import shuffled
@@ -56,29 +58,52 @@ def _turn(ax, ay, bx, by, cx, cy) -> Column:
     return F.signum((bx - ax) * (cy - ay) - (by - ay) * (cx - ax))
 
 
-def segments_meet(p: tuple[Column, ...], q: tuple[Column, ...]) -> Column:
-    """Whether two closed segments (``ax, ay, bx, by``) share a point; either may be a point."""
-    (ax, ay, bx, by), (cx, cy, dx, dy) = p, q
-    boxes = (F.greatest(ax, bx) >= F.least(cx, dx)) & (F.greatest(cx, dx) >= F.least(ax, bx)) & (F.greatest(ay, by) >= F.least(cy, dy)) & (F.greatest(cy, dy) >= F.least(ay, by))
-    apart_q = _turn(ax, ay, bx, by, cx, cy) * _turn(ax, ay, bx, by, dx, dy)
-    apart_p = _turn(cx, cy, dx, dy, ax, ay) * _turn(cx, cy, dx, dy, bx, by)
+def _met(ax, ay, bx, by, cx, cy, dx, dy):
+    """Whether segments share a point, as numpy arrays."""
+
+    def turn(ax, ay, bx, by, cx, cy):
+        return np.sign((bx - ax) * (cy - ay) - (by - ay) * (cx - ax))
+
+    boxes = (np.maximum(ax, bx) >= np.minimum(cx, dx)) & (np.maximum(cx, dx) >= np.minimum(ax, bx)) & (np.maximum(ay, by) >= np.minimum(cy, dy)) & (np.maximum(cy, dy) >= np.minimum(ay, by))
+    apart_q = turn(ax, ay, bx, by, cx, cy) * turn(ax, ay, bx, by, dx, dy)
+    apart_p = turn(cx, cy, dx, dy, ax, ay) * turn(cx, cy, dx, dy, bx, by)
     return boxes & (apart_q <= 0) & (apart_p <= 0)
 
 
-def _point_distance(px, py, ax, ay, bx, by) -> Column:
-    """Squared distance of a point and a segment."""
+def _squared(px, py, ax, ay, bx, by):
+    """Squared distance of points and segments."""
     dx, dy = bx - ax, by - ay
-    t = F.coalesce(F.try_divide((px - ax) * dx + (py - ay) * dy, dx * dx + dy * dy), F.lit(0.0))
-    t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), t))
+    square = dx * dx + dy * dy
+    with np.errstate(divide="ignore", invalid="ignore"):
+        t = np.where(square == 0, 0.0, ((px - ax) * dx + (py - ay) * dy) / square)
+    t = np.maximum(0.0, np.minimum(1.0, t))
     ox, oy = px - (ax + t * dx), py - (ay + t * dy)
     return ox * ox + oy * oy
 
 
+def _all_met(*ends: pd.Series) -> pd.Series:
+    return pd.Series(_met(*[e.to_numpy(float) for e in ends]))
+
+
+def _apart(*ends: pd.Series) -> pd.Series:
+    e = [c.to_numpy(float) for c in ends]
+    p, q = e[:4], e[4:]
+    least = np.minimum(np.minimum(_squared(*p[:2], *q), _squared(*p[2:], *q)), np.minimum(_squared(*q[:2], *p), _squared(*q[2:], *p)))
+    return pd.Series(np.where(_met(*e), 0.0, np.sqrt(least)))
+
+
+def segments_meet(p: tuple[Column, ...], q: tuple[Column, ...]) -> Column:
+    """Whether two closed segments (``ax, ay, bx, by``) share a point; either may be a point.
+
+    By batches: as nested columns the test would stand in the join's condition and
+    make its code too large to be compiled. So do the others here.
+    """
+    return F.pandas_udf(_all_met, "boolean").asNondeterministic()(*p, *q)
+
+
 def segment_distance(p: tuple[Column, ...], q: tuple[Column, ...]) -> Column:
     """Distance of two segments; 0 where they meet."""
-    (ax, ay, bx, by), (cx, cy, dx, dy) = p, q
-    ends = [_point_distance(ax, ay, *q), _point_distance(bx, by, *q), _point_distance(cx, cy, *p), _point_distance(dx, dy, *p)]
-    return F.when(segments_meet(p, q), 0.0).otherwise(F.sqrt(F.least(*ends)))
+    return F.pandas_udf(_apart, "double").asNondeterministic()(*p, *q)
 
 
 def _pair_columns() -> tuple[tuple[Column, ...], tuple[Column, ...]]:
@@ -96,8 +121,7 @@ def _holding(points: DataFrame, polygons: DataFrame, a_key: str, b_key: str, sha
     """``a_key, b_key`` of points and the polygons that hold them."""
     boxed = points.withColumns({"xmin": F.col("x"), "ymin": F.col("y"), "xmax": F.col("x"), "ymax": F.col("y")})
     pairs = box_join(boxed, with_box(polygons.select(b_key, shape), shape), cell)
-    point = F.struct(F.col("a_x").alias("x"), F.col("a_y").alias("y"))
-    return pairs.where(contains(F.col(f"b_{shape}"), point)).select(F.col(f"a_{a_key}").alias("a_key"), F.col(f"b_{b_key}").alias("b_key"))
+    return pairs.where(holds(F.col(f"b_{shape}"), F.col("a_x"), F.col("a_y"))).select(F.col(f"a_{a_key}").alias("a_key"), F.col(f"b_{b_key}").alias("b_key"))
 
 
 def _inside(a: DataFrame, b: DataFrame, a_key: str, b_key: str, a_shape: str, b_shape: str, cell: float) -> DataFrame | None:
@@ -172,7 +196,7 @@ def memberships(points: DataFrame, layers: list[DataFrame], point_id: str, cell:
     for df in each[1:]:
         rows = rows.unionByName(df)
     boxed = points.select(point_id, "x", "y").withColumns({"xmin": F.col("x"), "ymin": F.col("y"), "xmax": F.col("x"), "ymax": F.col("y")})
-    inside = contains(F.col(f"b_{polygon}"), F.struct(F.col("a_x").cast("double").alias("x"), F.col("a_y").cast("double").alias("y")))
+    inside = holds(F.col(f"b_{polygon}"), F.col("a_x"), F.col("a_y"))
     bits = box_join(boxed, rows, cell).where(inside).groupBy(F.col(f"a_{point_id}").alias(point_id)).agg(F.bit_or("b__bit").alias("layers"))
     return points.join(shuffled(bits), point_id, "left").withColumn("layers", F.coalesce("layers", F.lit(0)))
 
