@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from urbanframe.functions.geometry import contains, make_point, nearest_on_line
+from urbanframe.functions.geometry import holds, nearest_place
 from urbanframe.session import broadcast_if_small, checkpointed, shuffled
 
 BOX = ("xmin", "ymin", "xmax", "ymax")
@@ -100,7 +100,7 @@ def points_in_areas(points: DataFrame, areas: DataFrame, cell: float, crowded: i
     pairs = box_join(with_point_box(points), areas, cell, crowded=crowded)
     inside = in_box(F.col("a_x"), F.col("a_y"), {c: F.col(f"b_{c}") for c in BOX})
     if "polygon" in areas.columns:
-        inside = contains(F.col("b_polygon"), make_point(F.col("a_x"), F.col("a_y")))
+        inside = holds(F.col("b_polygon"), F.col("a_x"), F.col("a_y"))
     return pairs.where(inside)
 
 
@@ -191,9 +191,9 @@ def nearest_edge(points: DataFrame, edges: DataFrame, point_id: str, edge_id: st
     out = None
     while True:
         pairs = box_join(with_point_box(todo), lines, radius, margin=radius)
-        pairs = pairs.withColumn("_n", nearest_on_line(F.col("b_line"), make_point(F.col("a_x"), F.col("a_y")))).where(F.col("_n.distance") <= radius)
+        pairs = pairs.withColumn("_n", nearest_place(F.col("b_line"), F.col("a_x"), F.col("a_y"))).where(F.col("_n.distance") <= radius)
         rank = F.struct(F.round("_n.distance", 9), F.col(f"b_{edge_id}"))
-        best = F.min_by(F.struct(F.col(f"b_{edge_id}").alias(edge_id), F.col("_n.distance").alias("distance"), F.col("_n.before").alias("before"), F.col("_n.point.x").alias("mx"), F.col("_n.point.y").alias("my")), rank)
+        best = F.min_by(F.struct(F.col(f"b_{edge_id}").alias(edge_id), F.col("_n.distance").alias("distance"), F.col("_n.before").alias("before"), F.col("_n.x").alias("mx"), F.col("_n.y").alias("my")), rank)
         found = checkpointed(pairs.groupBy(F.col(f"a_{point_id}").alias(point_id)).agg(best.alias("b")).select(point_id, "b.*"))
         out = found if out is None else out.unionByName(found)
         radius *= 4
