@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from urbanframe.functions.geometry import _segments, holds
 from urbanframe.operators.overlay import with_box
 from urbanframe.operators.spatial import box_join
-from urbanframe.session import shuffled
+from urbanframe.session import shuffled, tasks_for
 
 ENDS = ("ax", "ay", "bx", "by")
 
@@ -197,7 +197,7 @@ def memberships(points: DataFrame, layers: list[DataFrame], point_id: str, cell:
         rows = rows.unionByName(df)
     boxed = points.select(point_id, "x", "y").withColumns({"xmin": F.col("x"), "ymin": F.col("y"), "xmax": F.col("x"), "ymax": F.col("y")})
     inside = holds(F.col(f"b_{polygon}"), F.col("a_x"), F.col("a_y"))
-    bits = box_join(boxed, rows, cell).where(inside).groupBy(F.col(f"a_{point_id}").alias(point_id)).agg(F.bit_or("b__bit").alias("layers"))
+    bits = box_join(boxed, rows, cell, parts=tasks_for(points, *layers)).where(inside).groupBy(F.col(f"a_{point_id}").alias(point_id)).agg(F.bit_or("b__bit").alias("layers"))
     return points.join(shuffled(bits), point_id, "left").withColumn("layers", F.coalesce("layers", F.lit(0)))
 
 

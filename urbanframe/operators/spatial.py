@@ -43,13 +43,14 @@ def _tiled(df: DataFrame, side: str, cell: float, margin: float) -> DataFrame:
     return df.withColumn("_tx", F.explode(F.sequence(tile("xmin", -margin), tile("xmax", margin)))).withColumn("_ty", F.explode(F.sequence(tile("ymin", -margin), tile("ymax", margin))))
 
 
-def box_join(a: DataFrame, b: DataFrame, cell: float, margin: float = 0.0, crowded: int | None = None) -> DataFrame:
+def box_join(a: DataFrame, b: DataFrame, cell: float, margin: float = 0.0, crowded: int | None = None, parts: int | None = None) -> DataFrame:
     """Pairs whose boxes meet, ``a``'s widened by ``margin``. Columns get the prefixes ``a_`` and ``b_``.
 
     With ``crowded``, tiles that more features of a side fall into are counted
     first and quartered as often as it takes to get about below that number (a
     quadtree of at most ``DEEPEST`` levels): only features on a quarter's border
-    are dealt to several, and a city centre spreads over many tasks.
+    are dealt to several, and a city centre spreads over many tasks. ``parts``
+    is the number of tasks, where that of the session is not to be taken.
     """
     left, right = _tiled(prefixed(a, "a_"), "a_", cell, margin), _tiled(prefixed(b, "b_"), "b_", cell, 0.0)
     by, side = ["_tx", "_ty"], F.lit(float(cell))
@@ -61,6 +62,8 @@ def box_join(a: DataFrame, b: DataFrame, cell: float, margin: float = 0.0, crowd
     low_x, low_y = F.greatest(F.col("a_xmin") - margin, F.col("b_xmin")), F.greatest(F.col("a_ymin") - margin, F.col("b_ymin"))
     meets = (F.col("a_xmin") - margin <= F.col("b_xmax")) & (F.col("b_xmin") <= F.col("a_xmax") + margin) & (F.col("a_ymin") - margin <= F.col("b_ymax")) & (F.col("b_ymin") <= F.col("a_ymax") + margin)
     home = (F.floor(low_x / side) == F.col(by[-2])) & (F.floor(low_y / side) == F.col(by[-1]))
+    if parts is not None:
+        left, right = left.repartition(parts, *by), right.repartition(parts, *by)
     return left.join(shuffled(right), by).where(meets & home).drop(*by, "_depth")
 
 

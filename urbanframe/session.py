@@ -61,3 +61,16 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     anew wherever a step names it.
     """
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
+#: Rows that a task of a sorted join shall hold, where they are counted.
+ROWS = 50_000
+
+
+def tasks_for(*sides: DataFrame) -> int:
+    """As many tasks as shuffles have, or more, so that none has many more than ``ROWS`` rows of all sides.
+
+    The session's number is fixed, so the memory of a task would grow with the tables.
+    """
+    rows = sum(df.count() for df in sides)
+    return max(int(sides[0].sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS))
