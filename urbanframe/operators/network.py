@@ -75,6 +75,43 @@ def reach(edges: DataFrame, sources: DataFrame, limit: float, source: str = "osm
 SOURCES = 128
 
 
+def relaxed(sources: np.ndarray, ends: np.ndarray, length: np.ndarray, limit: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sources, nodes and their distances up to ``limit`` along edges (``ends`` has two columns), all sources of a block at once.
+
+    Nodes of most ways come first, so the k-th ways of all nodes that have as
+    many are one step over whole rows of distances.
+    """
+    node, ends = np.unique(ends, return_inverse=True)
+    ends = ends.reshape(-1, 2)
+    a, b = np.concatenate([ends[:, 0], ends[:, 1]]), np.concatenate([ends[:, 1], ends[:, 0]])
+    degree = np.bincount(b, minlength=len(node))
+    place = np.empty(len(node), np.int64)
+    place[np.argsort(-degree, kind="stable")] = np.arange(len(node))
+    named = np.empty_like(node)
+    named[place] = node
+    order = np.argsort(place[b], kind="stable")
+    a, b, weight = place[a][order], place[b][order], np.tile(length, 2)[order]
+    rank = np.arange(len(b)) - np.searchsorted(b, b)
+    steps = [(a[rank == k], weight[rank == k, None]) for k in range(degree.max())]
+    out = []
+    for i in range(0, len(sources), SOURCES):
+        src = sources[i : i + SOURCES]
+        far = np.full((len(node), len(src)), np.inf)
+        far[place[np.searchsorted(node, src)], np.arange(len(src))] = 0
+        better = True
+        while better:
+            better = False
+            for back, long in steps:
+                way = far[back] + long
+                nearer = (way < far[: len(back)]) & (way <= limit)
+                if nearer.any():
+                    np.copyto(far[: len(back)], way, where=nearer)
+                    better = True
+        column, row = np.nonzero(np.isfinite(far).T)
+        out.append((src[column], named[row], far[row, column]))
+    return tuple(np.concatenate(c) for c in zip(*out))
+
+
 def reach_by_tile(edges: DataFrame, sources: DataFrame, limit: float, source: str = "osmid", cell: float | None = None) -> DataFrame:
     """As ``reach``, from edges with their ends' places (``ux, uy, vx, vy``), in one shuffle.
 
@@ -99,29 +136,12 @@ def reach_by_tile(edges: DataFrame, sources: DataFrame, limit: float, source: st
     served = served.select("u", "v", "length", F.explode("_xs").alias("_tx"), "_ys").select("u", "v", "length", "_tx", F.explode("_ys").alias("_ty"))
 
     def relax(starts: pd.DataFrame, ways: pd.DataFrame) -> pd.DataFrame:
-        out = [np.zeros((0, 3))] if len(ways) else [np.stack([starts["src"], starts["src"], np.zeros(len(starts))], 1)]
-        if len(starts) and len(ways):
-            node, ends = np.unique(ways[["u", "v"]].to_numpy(), return_inverse=True)
-            ends = ends.reshape(-1, 2)
-            a, b = np.concatenate([ends[:, 0], ends[:, 1]]), np.concatenate([ends[:, 1], ends[:, 0]])
-            order = np.argsort(b, kind="stable")
-            a, b, weight = a[order], b[order], np.tile(ways["length"].to_numpy(), 2)[order]
-            first = np.flatnonzero(np.concatenate([[True], b[1:] != b[:-1]]))
-            for i in range(0, len(starts), SOURCES):
-                src = starts["src"].to_numpy()[i : i + SOURCES]
-                far = np.full((len(src), len(node)), np.inf)
-                far[np.arange(len(src)), np.searchsorted(node, src)] = 0
-                while True:
-                    best = np.minimum.reduceat(far[:, a] + weight, first, 1)
-                    best[best > limit] = np.inf
-                    nearer = np.minimum(far[:, b[first]], best)
-                    if (nearer == far[:, b[first]]).all():
-                        break
-                    far[:, b[first]] = nearer
-                row, column = np.nonzero(np.isfinite(far))
-                out.append(np.stack([src[row], node[column], far[row, column]], 1))
-        rows = np.concatenate(out)
-        return pd.DataFrame({"src": rows[:, 0].astype(np.int64), "node": rows[:, 1].astype(np.int64), "dist": rows[:, 2]})
+        src = starts["src"].to_numpy()
+        if len(src) and len(ways):
+            found = relaxed(src, ways[["u", "v"]].to_numpy(), ways["length"].to_numpy(), limit)
+        else:
+            found = (src, src, np.zeros(len(src)))
+        return pd.DataFrame(dict(zip(("src", "node", "dist"), found))).astype({"src": "int64", "node": "int64", "dist": "float64"})
 
     keys = ["_tx", "_ty"]
     found = own.groupBy(*keys).cogroup(served.join(own.select(*keys).distinct(), keys, "left_semi").groupBy(*keys)).applyInPandas(relax, "src long, node long, dist double")
