@@ -85,14 +85,19 @@ def _xy(points: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return _numbers(x), _numbers(y)
 
 
-def _held(polygon: pa.Array, x: pa.Array, y: pa.Array) -> pa.Array:
-    rings = polygon.flatten()
+def closed_edges(rings: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Edges of closed rings (rows ``ax, ay, bx, by``), each edge's ring, and each ring's number of points."""
     size = _sizes(rings)
-    ax, ay = _xy(rings.flatten())
-    row = np.repeat(np.repeat(np.arange(len(polygon)), _sizes(polygon)), size)
-    after, stop = np.arange(len(row)) + 1, np.cumsum(size)
+    x, y = _xy(rings.flatten())
+    after, stop = np.arange(len(x)) + 1, np.cumsum(size)
     after[stop[size > 0] - 1] = (stop - size)[size > 0]
-    bx, by, px, py = ax[after], ay[after], _numbers(x)[row], _numbers(y)[row]
+    return np.stack([x, y, x[after], y[after]], 1), np.repeat(np.arange(len(rings)), size), size
+
+
+def _held(polygon: pa.Array, x: pa.Array, y: pa.Array) -> pa.Array:
+    edges, ring, _ = closed_edges(polygon.flatten())
+    row = np.repeat(np.arange(len(polygon)), _sizes(polygon))[ring]
+    (ax, ay, bx, by), px, py = edges.T, _numbers(x)[row], _numbers(y)[row]
     straddles = (ay > py) != (by > py)
     with np.errstate(divide="ignore", invalid="ignore"):
         crosses = straddles & (px < (bx - ax) * (py - ay) / (by - ay) + ax)

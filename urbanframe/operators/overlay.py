@@ -22,10 +22,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from urbanframe.functions.geometry import _segments, bbox, ring_signed_area
+from urbanframe.functions.geometry import _segments, _sizes, bbox, closed_edges, ring_signed_area
 from urbanframe.operators.graph import components
 from urbanframe.operators.spatial import BOX, box_join
 from urbanframe.session import shuffled, written
@@ -473,43 +475,41 @@ def clip(a: DataFrame, b: DataFrame, key: str, cell: float, polygon: str = "poly
     return against(a, b, key, cell, "intersection", polygon)
 
 
+def turned_edges(polygon: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Edges of all rings of more than two points, the interior on their left, and their polygons' numbers."""
+    count = _sizes(polygon)
+    edges, ring, size = closed_edges(polygon.flatten())
+    x, y, u, v = edges.T
+    shell = np.zeros(len(size), bool)
+    shell[(np.cumsum(count) - count)[count > 0]] = True
+    ahead = (np.bincount(ring, x * v - u * y, len(size)) >= 0) == shell
+    edges = np.where(ahead[ring, None], edges, edges[:, [2, 3, 0, 1]])
+    kept = size[ring] > 2
+    return edges[kept], np.repeat(np.arange(len(polygon)), count)[ring[kept]]
+
+
+def _shared(p: pa.Array, q: pa.Array) -> pa.Array:
+    n = len(p)
+    sides = [turned_edges(polygon) for polygon in (p, q)]
+    box = np.full((2, 4, n), np.inf)
+    for (e, g), (x0, y0, x1, y1) in zip(sides, box):
+        for low, high, c in ((x0, x1, 0), (y0, y1, 1)):
+            np.minimum.at(low, np.tile(g, 2), np.concatenate([e[:, c], e[:, c + 2]]))
+            np.minimum.at(high, np.tile(g, 2), -np.concatenate([e[:, c], e[:, c + 2]]))
+    # A side without edges has a box that begins at infinity, so none is shared.
+    tiles = np.concatenate([box[:, :2].max(0), -box[:, 2:].max(0)]).T
+    both = (tiles[:, 0] < tiles[:, 2]) & (tiles[:, 1] < tiles[:, 3])
+    number = np.cumsum(both) - 1
+    edges, group = (np.concatenate([s[i] for s in sides]) for i in (0, 1))
+    side = np.repeat(np.array([0, 1], np.int8), [len(e) for e, _ in sides])
+    kept = both[group] & (edges[:, 1] != edges[:, 3])
+    edges, side, group = edges[kept], side[kept], number[group[kept]]
+    order = np.argsort(group, kind="stable")
+    area = np.zeros(n)
+    area[both] = overlay_tiles(edges[order], side[order], group[order], tiles[both], "intersection")[0]
+    return pa.array(area, mask=pc.or_(p.is_null(), q.is_null()).to_numpy(zero_copy_only=False))
+
+
 def shared_area(a: Column, b: Column) -> Column:
-    """Area that two polygons share, holes included: pairs share sweeps."""
-
-    def edges_of(rings) -> np.ndarray:
-        rows = []
-        for i, ring in enumerate(rings):
-            p = np.array([(q["x"], q["y"]) for q in ring], float)
-            if len(p) > 2:
-                p = p if (ring_area(p) >= 0) == (i == 0) else p[::-1]
-                rows.append(np.concatenate([p, np.roll(p, -1, 0)], 1))
-        return np.concatenate(rows) if rows else np.zeros((0, 4))
-
-    def stacked(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        return np.concatenate([np.zeros((0, 4)), *rows]), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-
-    def run(p: pd.Series, q: pd.Series) -> pd.Series:
-        known = (p.notna() & q.notna()).to_numpy()
-        sides = [stacked([edges_of(rings) for rings in s[known]]) for s in (p, q)]
-        n = int(known.sum())
-        box = np.full((2, 4, n), np.inf)
-        for (e, g), (x0, y0, x1, y1) in zip(sides, box):
-            for low, high, c in ((x0, x1, 0), (y0, y1, 1)):
-                np.minimum.at(low, np.tile(g, 2), np.concatenate([e[:, c], e[:, c + 2]]))
-                np.minimum.at(high, np.tile(g, 2), -np.concatenate([e[:, c], e[:, c + 2]]))
-        # A side without edges has a box that begins at infinity, so none is shared.
-        tiles = np.concatenate([box[:, :2].max(0), -box[:, 2:].max(0)]).T
-        both = (tiles[:, 0] < tiles[:, 2]) & (tiles[:, 1] < tiles[:, 3])
-        number = np.cumsum(both) - 1
-        edges, group = (np.concatenate([s[i] for s in sides]) for i in (0, 1))
-        side = np.repeat(np.array([0, 1], np.int8), [len(e) for e, _ in sides])
-        kept = both[group] & (edges[:, 1] != edges[:, 3])
-        edges, side, group = edges[kept], side[kept], number[group[kept]]
-        order = np.argsort(group, kind="stable")
-        area = np.zeros(n)
-        area[both] = overlay_tiles(edges[order], side[order], group[order], tiles[both], "intersection")[0]
-        out = np.full(len(p), None, object)
-        out[known] = area
-        return pd.Series(out)
-
-    return F.pandas_udf(run, "double")(a, b)
+    """Area that two polygons share, holes included: pairs share sweeps, and no polygon becomes a Python object."""
+    return F.arrow_udf(_shared, "double").asNondeterministic()(a, b)
