@@ -287,22 +287,24 @@ def stitched(parts: np.ndarray) -> list[list[tuple[float, float]]]:
     upright, level = parts[:, 0] == parts[:, 2], parts[:, 1] == parts[:, 3]
     v, h = _net(parts[upright][:, [0, 1, 3]]), _net(parts[level & ~upright][:, [1, 0, 2]])
     parts = np.concatenate([parts[~upright & ~level], np.stack([v[:, 0], v[:, 1], v[:, 0], v[:, 2]], 1), np.stack([h[:, 1], h[:, 0], h[:, 2], h[:, 0]], 1)])
-    name = lambda x, y: (round(x * 1e5), round(y * 1e5))
+    # Rounded places name the ends; they are made for all at once.
+    named = np.rint(parts * 1e5).astype(np.int64).tolist()
+    starts, stops = [(n[0], n[1]) for n in named], [(n[2], n[3]) for n in named]
     leaving: dict[tuple[int, int], list[int]] = defaultdict(list)
     rows = parts.tolist()
-    for i, (ax, ay, bx, by) in enumerate(rows):
-        if name(ax, ay) != name(bx, by):
-            leaving[name(ax, ay)].append(i)
+    for i, (start, stop) in enumerate(zip(starts, stops)):
+        if start != stop:
+            leaving[start].append(i)
     rings = []
-    for first in range(len(rows)):
-        if first not in leaving.get(name(*rows[first][:2]), ()):
+    for first, begin in enumerate(starts):
+        if first not in leaving.get(begin, ()):
             continue
-        ring, at, begin = [], first, name(*rows[first][:2])
+        ring, at = [], first
         while True:
             ax, ay, bx, by = rows[at]
-            leaving[name(ax, ay)].remove(at)
+            leaving[starts[at]].remove(at)
             ring.append((ax, ay))
-            here = name(bx, by)
+            here = stops[at]
             if here == begin:
                 break
             ways = leaving.get(here) or _beside(leaving, here)
@@ -333,20 +335,21 @@ def _corners(ring: list[tuple[float, float]]) -> list[tuple[float, float]]:
     if len(ring) < 3:
         return []
     p = np.array(ring)
-    before, after = p - np.roll(p, 1, 0), np.roll(p, -1, 0) - p
+    before = p - np.concatenate([p[-1:], p[:-1]])
+    after = np.concatenate([before[1:], before[:1]])
     cross = before[:, 0] * after[:, 1] - before[:, 1] * after[:, 0]
     scale = np.hypot(*before.T) * np.hypot(*after.T)
     return [tuple(q) for q in p[np.abs(cross) > 1e-9 * np.maximum(scale, 1e-9)].tolist()]
 
 
 def ring_area(ring: list[tuple[float, float]]) -> float:
-    x, y = np.array(ring).T
-    return float((x * np.roll(y, -1) - np.roll(x, -1) * y).sum() / 2)
+    x, y = np.array([*ring, ring[0]]).T
+    return float((x[:-1] * y[1:] - x[1:] * y[:-1]).sum() / 2)
 
 
 def _holds(ring: list[tuple[float, float]], point: tuple[float, float]) -> bool:
-    x, y = np.array(ring).T
-    u, v = np.roll(x, -1), np.roll(y, -1)
+    x, y = np.array([*ring, ring[0]]).T
+    x, u, y, v = x[:-1], x[1:], y[:-1], y[1:]
     spans = (y > point[1]) != (v > point[1])
     at = x[spans] + (point[1] - y[spans]) * (u[spans] - x[spans]) / (v[spans] - y[spans])
     return int((at > point[0]).sum()) % 2 == 1
