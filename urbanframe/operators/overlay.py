@@ -347,29 +347,38 @@ def ring_area(ring: list[tuple[float, float]]) -> float:
     return float((x[:-1] * y[1:] - x[1:] * y[:-1]).sum() / 2)
 
 
-def _holds(ring: list[tuple[float, float]], point: tuple[float, float]) -> bool:
-    x, y = np.array([*ring, ring[0]]).T
-    x, u, y, v = x[:-1], x[1:], y[:-1], y[1:]
-    spans = (y > point[1]) != (v > point[1])
-    at = x[spans] + (point[1] - y[spans]) * (u[spans] - x[spans]) / (v[spans] - y[spans])
-    return int((at > point[0]).sum()) % 2 == 1
-
-
 def as_polygons(rings: list[list[tuple[float, float]]]) -> list[list[list[tuple[float, float]]]]:
     """Shells with their holes, in order of their lowest left corner."""
     areas = [ring_area(r) for r in rings]
-    shells = sorted((r for r, a in zip(rings, areas) if a > 0), key=lambda r: min(r))
-    size = {id(r): a for r, a in zip(rings, areas)}
-    out = {id(r): [r] for r in shells}
+    found = sorted(((r, a) for r, a in zip(rings, areas) if a > 0), key=lambda s: min(s[0]))
+    out = [[r] for r, _ in found]
+    size = np.array([a for _, a in found])
+    # Arrays of the shells are made once: a large union has thousands of holes in one of as many corners.
+    closed = [np.array([*r, r[0]]).T for r, _ in found]
+    x0, y0, x1, y1 = np.array([[*c.min(1), *c.max(1)] for c in closed]).reshape(-1, 4).T
     for hole in (r for r, a in zip(rings, areas) if a < 0):
         (ax, ay), (bx, by) = hole[0], hole[1]
         span = max(np.hypot(bx - ax, by - ay), 1e-12)
         # A place just outside the hole, so on the shell's side.
-        inner = ((ax + bx) / 2 - (by - ay) / span * 1e-6, (ay + by) / 2 + (bx - ax) / span * 1e-6)
-        around = [s for s in shells if _holds(s, inner)]
-        if around:
-            out[id(min(around, key=lambda s: size[id(s)]))].append(hole)
-    return [out[id(s)] for s in shells]
+        px, py = (ax + bx) / 2 - (by - ay) / span * 1e-6, (ay + by) / 2 + (bx - ax) / span * 1e-6
+        near = np.flatnonzero((x0 <= px) & (px <= x1) & (y0 <= py) & (py <= y1))
+        for k in near[np.argsort(size[near], kind="stable")]:
+            if _encloses(closed[k], px, py):
+                out[k].append(hole)
+                break
+    return out
+
+
+def _encloses(closed: np.ndarray, px: float, py: float) -> bool:
+    """Whether a closed ring (rows ``x`` and ``y``) holds a place."""
+    y = closed[1] > py
+    i = np.flatnonzero(y[1:] != y[:-1])
+    (x, y), (u, v) = closed[:, i], closed[:, i + 1]
+    return int((x + (py - y) * (u - x) / (v - y) > px).sum()) % 2 == 1
+
+
+def _holds(ring: list[tuple[float, float]], point: tuple[float, float]) -> bool:
+    return _encloses(np.array([*ring, ring[0]]).T, *point)
 
 
 def by_group(df: DataFrame, keys: list[str], of: Callable[[pd.DataFrame, np.ndarray], list[tuple]], schema: str, columns: list[str]) -> DataFrame:
