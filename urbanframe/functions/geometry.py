@@ -113,6 +113,24 @@ def holds(polygon: Column, x: Column, y: Column) -> Column:
     return F.arrow_udf(_held, "boolean").asNondeterministic()(polygon, x, y)
 
 
+def _extent(polygon: pa.Array) -> pa.Array:
+    n = _sizes(polygon)
+    edges, ring, size = closed_edges(polygon.flatten())
+    ax, ay, bx, by = edges.T
+    each = np.abs(np.bincount(ring, ax * by - bx * ay, len(size)) / 2)
+    out = -np.bincount(np.repeat(np.arange(len(polygon)), n), each, len(polygon)).astype(float)
+    out[n > 0] += 2 * each[(np.cumsum(n) - n)[n > 0]]
+    return pa.array(out, mask=(n == 0) | np.isnan(out))
+
+
+def extent(polygon: Column) -> Column:
+    """As ``area``, by batches: for whole tables (see ``holds``; nor does a filter on it go below a shuffle).
+
+    A polygon without rings has none.
+    """
+    return F.arrow_udf(_extent, "double").asNondeterministic()(polygon)
+
+
 def segment_position(a: Column, b: Column, p: Column) -> Column:
     """Fraction of the way from ``a`` to ``b`` that is nearest to ``p``."""
     dx, dy = b["x"] - a["x"], b["y"] - a["y"]

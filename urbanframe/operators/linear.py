@@ -26,20 +26,29 @@ def measured_segments(df: DataFrame, keys: list[str], line: str = "line", closed
     return rows.withColumns({"start": F.coalesce(F.lag("stop").over(along), F.lit(0.0)), "whole": F.max("stop").over(W.partitionBy(*keys))}).drop("_part")
 
 
-def points_along(df: DataFrame, keys: list[str], step: float, line: str = "line", closed: bool = False, last: Column | None = None) -> DataFrame:
-    """``keys, i, metres, x, y, whole``: points every ``step`` from the start (``i`` from 0) up to ``last`` (the whole length).
-
-    Measures beyond the end of the line stand at its end.
-    """
+def measures_along(df: DataFrame, keys: list[str], step: float, line: str = "line", closed: bool = False, last: Column | None = None) -> DataFrame:
+    """``measured_segments`` that hold points every ``step`` from the start, with the first and last number of these: ``_low, _high``."""
     rows = measured_segments(df, keys, line, closed)
     end = F.floor((F.col("whole") if last is None else last) / F.lit(float(step)) + 1e-9)
     final = F.col("stop") >= F.col("whole")
     low = F.ceil(F.col("start") / F.lit(float(step)) - 1e-12)
     high = F.when(final, end).otherwise(F.least(end, F.ceil(F.col("stop") / F.lit(float(step)) - 1e-12) - 1))
-    rows = rows.withColumn("_low", F.when(F.col("pos") == 0, 0).otherwise(low).cast("int")).withColumn("_high", high.cast("int")).where("_low <= _high AND (start < stop OR pos = 0)")
+    return rows.withColumn("_low", F.when(F.col("pos") == 0, 0).otherwise(low).cast("int")).withColumn("_high", high.cast("int")).where("_low <= _high AND (start < stop OR pos = 0)")
+
+
+def points_at(rows: DataFrame, keep: list[str], step: float) -> DataFrame:
+    """``keep, i, metres, x, y, whole``: the points of ``measures_along``."""
     rows = rows.withColumn("i", F.explode(F.sequence("_low", "_high"))).withColumn("metres", F.col("i") * F.lit(float(step)))
     t = F.least(F.lit(1.0), F.coalesce(F.try_divide(F.col("metres") - F.col("start"), F.col("stop") - F.col("start")), F.lit(0.0)))
-    return rows.select(*keys, "i", "metres", (F.col("ax") + (F.col("bx") - F.col("ax")) * t).alias("x"), (F.col("ay") + (F.col("by") - F.col("ay")) * t).alias("y"), "whole")
+    return rows.select(*keep, "i", "metres", (F.col("ax") + (F.col("bx") - F.col("ax")) * t).alias("x"), (F.col("ay") + (F.col("by") - F.col("ay")) * t).alias("y"), "whole")
+
+
+def points_along(df: DataFrame, keys: list[str], step: float, line: str = "line", closed: bool = False, last: Column | None = None) -> DataFrame:
+    """``keys, i, metres, x, y, whole``: points every ``step`` from the start (``i`` from 0) up to ``last`` (the whole length).
+
+    Measures beyond the end of the line stand at its end.
+    """
+    return points_at(measures_along(df, keys, step, line, closed, last), keys, step)
 
 
 def sample_polylines(edges: DataFrame, step: int = 30) -> DataFrame:

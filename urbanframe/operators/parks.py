@@ -11,11 +11,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from urbanframe.functions.geometry import area, exterior, holds, make_point, min_circle
+from urbanframe.functions.geometry import area, exterior, holds, min_circle
 from urbanframe.operators.graph import components
-from urbanframe.operators.linear import points_along
+from urbanframe.operators.linear import measures_along, points_at
 from urbanframe.operators.overlay import difference, dissolve, shared_area, with_box
-from urbanframe.operators.shapes import meeting, near, shared_border
+from urbanframe.operators.shapes import meeting, near, points_near, shared_border
 from urbanframe.operators.spatial import BOX, box_join, with_point_box
 from urbanframe.session import shuffled, written
 
@@ -145,19 +145,19 @@ def aos_public(areas: DataFrame, least_ha: float = 0.001) -> DataFrame:
 
 def outline_nodes(shapes: DataFrame, key: str, step: float = 20.0) -> DataFrame:
     """``key, node, fraction, x, y``: points every ``step`` metres along the outer rings, numbered from 1 through an area's parts."""
-    rings = shapes.select(key, "part", exterior(F.col("polygon")).alias("line"))
-    found = points_along(rings, [key, "part"], step, closed=True).withColumn("fraction", F.try_divide(F.least("metres", "whole"), F.col("whole")))
-    counts = found.groupBy(key, "part").agg(F.count(F.lit(1)).alias("_n"))
-    ahead = counts.withColumn("_ahead", F.sum("_n").over(W.partitionBy(key).orderBy("part")) - F.col("_n")).drop("_n")
-    return found.join(ahead, [key, "part"]).select(key, (F.col("_ahead") + F.col("i") + 1).cast("int").alias("node"), "fraction", "x", "y")
+    rings = shapes.where(F.col(key).isNotNull() & F.col("part").isNotNull()).select(key, "part", exterior(F.col("polygon")).alias("line"))
+    rows = measures_along(rings, [key, "part"], step, closed=True).withColumn("_n", F.col("_high") - F.col("_low") + 1)
+    # Points are counted by segment, before they are made: one pass over the rings.
+    ahead = F.sum("_n").over(W.partitionBy(key).orderBy("part")) - F.sum("_n").over(W.partitionBy(key, "part"))
+    found = points_at(rows.withColumn("_ahead", ahead), [key, "_ahead"], step)
+    fraction = F.try_divide(F.least("metres", "whole"), F.col("whole"))
+    return found.select(key, (F.col("_ahead") + F.col("i") + 1).cast("int").alias("node"), fraction.alias("fraction"), "x", "y")
 
 
-def access_nodes(nodes: DataFrame, areas: DataFrame, edges: DataFrame, key: str, least_ha: float = 0.001, d: float = 30.0) -> DataFrame:
-    """Outline nodes of public areas at most ``d`` from an edge's ``line``."""
-    own = nodes.join(aos_public(areas, least_ha).select(key), key, "left_semi").withColumn("_id", F.struct(key, "node"))
-    point = own.select("_id", make_point(F.col("x"), F.col("y")).alias("shape"))
-    hits = near(point, edges, "_id", "ogc_fid", d, 100.0, "shape", "line").select(F.col("a_key").alias("_id")).distinct()
-    return own.join(hits, "_id", "left_semi").drop("_id")
+def access_nodes(shapes: DataFrame, areas: DataFrame, edges: DataFrame, key: str, least_ha: float = 0.001, d: float = 30.0) -> DataFrame:
+    """``outline_nodes`` of public areas at most ``d`` from an edge's ``line``; ``shapes`` (``key, part, polygon``) are the areas' polygons."""
+    public = shapes.join(shuffled(aos_public(areas, least_ha).select(key)), key, "left_semi")
+    return points_near(outline_nodes(public, key), edges, d, 100.0, "line")
 
 
 def green_areas(areas: DataFrame, shapes: DataFrame, pixels: DataFrame, key: str, least_ha: float = 1.0, least_mean: float = 0.2, valid: tuple[float, float] = (-1.0, 1.0), cell: float = 200.0) -> DataFrame:
@@ -173,9 +173,9 @@ def green_areas(areas: DataFrame, shapes: DataFrame, pixels: DataFrame, key: str
     return large.join(means, key)
 
 
-def green_access(access: DataFrame, green: DataFrame, key: str) -> DataFrame:
-    """Access nodes of green areas, once each."""
-    return access.join(green.select(key).distinct(), key, "left_semi")
+def green_access(shapes: DataFrame, green: DataFrame, edges: DataFrame, key: str, d: float = 30.0) -> DataFrame:
+    """Access nodes of green areas, once each; no other area's outline is made."""
+    return access_nodes(shapes, green, edges, key, d=d)
 
 
 def custom_open_space(layer: DataFrame, boundary: DataFrame, key: str, cell: float) -> DataFrame:

@@ -10,6 +10,8 @@ that hold others without crossing them are found by one point of each.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 
 from urbanframe.functions.geometry import _segments, holds
 from urbanframe.operators.overlay import with_box
-from urbanframe.operators.spatial import box_join
+from urbanframe.operators.spatial import _tiled, box_join
 from urbanframe.session import shuffled, tasks_for
 
 ENDS = ("ax", "ay", "bx", "by")
@@ -157,6 +159,40 @@ def near(a: DataFrame, b: DataFrame, a_key: str, b_key: str, d: float, cell: flo
     return found.groupBy("a_key", "b_key").agg(F.min("distance").alias("distance"))
 
 
+def points_near(points: DataFrame, lines: DataFrame, d: float, cell: float, shape: str = "shape") -> DataFrame:
+    """Rows of ``points`` (``x, y``) at most ``d`` from a line.
+
+    Segments are dealt to all tiles that they may serve, a point to its own one
+    alone, so that one semi join by tile tells each point once, without pairs.
+    """
+    # Slack against rounding: the distance decides.
+    dealt = _tiled(_short_boxes(segments(lines.withColumn("_k", F.lit(1)), "_k", shape), cell), "", cell, d * (1 + 1e-9))
+    dealt = dealt.select(F.col("_tx").alias("_sx"), F.col("_ty").alias("_sy"), *[F.col(c).alias(f"_{c}") for c in ENDS])
+    tile = {f"_t{c}": F.floor(F.col(c) / F.lit(float(cell))).cast("bigint") for c in "xy"}
+    near_by = (F.col("_tx") == F.col("_sx")) & (F.col("_ty") == F.col("_sy")) & (_point_squared() <= _square_up_to(d))
+    return points.withColumns(tile).join(shuffled(dealt), near_by, "left_semi").drop("_tx", "_ty")
+
+
+def _point_squared() -> Column:
+    """As ``_squared`` of ``x, y`` and a segment, a short enough column to be compiled."""
+    x, y, ax, ay, bx, by = (F.col(c) for c in ("x", "y", "_ax", "_ay", "_bx", "_by"))
+    dx, dy = bx - ax, by - ay
+    t = F.coalesce(F.try_divide((x - ax) * dx + (y - ay) * dy, dx * dx + dy * dy), F.lit(0.0))
+    t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), t))
+    square = lambda ox, oy: ox * ox + oy * oy
+    return F.least(square(x - (ax + t * dx), y - (ay + t * dy)), square(x - ax, y - ay), square(x - bx, y - by))
+
+
+def _square_up_to(d: float) -> float:
+    """The largest number whose root is at most ``d``."""
+    square = float(d) * float(d)
+    while math.sqrt(after := math.nextafter(square, math.inf)) <= d:
+        square = after
+    while math.sqrt(square) > d:
+        square = math.nextafter(square, 0.0)
+    return square
+
+
 def shared_border(a: DataFrame, b: DataFrame, a_key: str, b_key: str, cell: float, a_shape: str = "shape", b_shape: str = "shape") -> DataFrame:
     """``a_key, b_key, length``: how much of their borders two shapes have in common (collinear overlap of segments)."""
     pairs = box_join(_whole_boxes(segments(a, a_key, a_shape)), _whole_boxes(segments(b, b_key, b_shape)), cell)

@@ -144,10 +144,14 @@ def pos_shape_outline(s, d):
     return pk.outline_nodes(shapes, "osm_id").select("osm_id", "node", *[F.round(c, 6).alias(c) for c in ("fraction", "x", "y")])
 
 
+def _outlined(s, d):
+    return spread(view(s, d, "f_parks").select("osm_id", F.lit(1).alias("part"), F.array(_points(4)).alias("polygon")), "osm_id")
+
+
 def _access(s, d, least: float):
-    shapes = view(s, d, "f_parks").select("osm_id", F.lit(1).alias("part"), F.array(_points(4)).alias("polygon"))
-    areas = shapes.select("osm_id", (g.area(F.col("polygon")) / 10000.0).alias("aos_ha_public"))
-    return pk.access_nodes(pk.outline_nodes(shapes, "osm_id"), areas, _bends(s, d), "osm_id", least)
+    shapes = _outlined(s, d)
+    areas = shapes.select("osm_id", (g.extent(F.col("polygon")) / 10000.0).alias("aos_ha_public"))
+    return pk.access_nodes(shapes, areas, _bends(s, d), "osm_id", least)
 
 
 def pos_shape_access(s, d):
@@ -164,7 +168,7 @@ def _green(s, d):
     value = F.when(F.col("osmid") % 17 == 0, -9999.0).otherwise((F.col("osmid") * 37 % 200) / 100.0 - 0.6)
     pixels = _nodes(s, d).withColumn("value", value)
     shapes = _parks(s, d).select("osm_id", "polygon")
-    areas = shapes.select("osm_id", (g.area(F.col("polygon")) / 10000.0).alias("aos_ha_public"))
+    areas = shapes.select("osm_id", (g.extent(F.col("polygon")) / 10000.0).alias("aos_ha_public"))
     return pk.green_areas(areas, shapes, pixels, "osm_id")
 
 
@@ -175,7 +179,7 @@ def green_areas(s, d):
 
 def green_access(s, d):
     """Access nodes of green areas."""
-    return pk.green_access(_access(s, d, 0.001), _green(s, d), "osm_id").select("osm_id", "node")
+    return pk.green_access(_outlined(s, d), _green(s, d), _bends(s, d), "osm_id").select("osm_id", "node")
 
 
 def sample_bends(s, d):
