@@ -9,7 +9,10 @@ from urbanframe.operators import network as net
 from urbanframe.operators import places as pl
 from urbanframe.operators import spatial as sp
 from urbanframe.plans.fixtures import union_area_sql, view, with_views
+from urbanframe.session import written
 
+#: Seeds lie thinly, so tiles of three search distances share the cost of a group among more of them.
+SEED_TILE = 1500.0
 RULES = {
     "fresh_food_market": [{"key": "shop", "value": "supermarket", "condition": "OR"}, {"key": "amenity", "value": "marketplace", "condition": "OR"}, {"key": "access", "value": "private", "condition": "NOT"}],
     "convenience": [{"key": "shop", "value": v, "condition": "OR"} for v in ("bakery", "convenience", "kiosk")] + [{"key": "amenity", "value": "fuel", "condition": "OR"}],
@@ -162,8 +165,8 @@ def net_neighbourhood(s, d):
     return net.neighbourhood_mean(reached, cells, view(s, d, "f_grid"), ["pop_est"]).select("src", F.round("pop_est", 6).alias("pop_est"))
 
 
-def _pois(s, d):
-    return view(s, d, "f_destinations").join(net.associate(view(s, d, "f_destinations"), _lines(s, d), "dest_oid"), "dest_oid")
+def _pois(s, d, lines):
+    return view(s, d, "f_destinations").join(net.associate(view(s, d, "f_destinations"), lines, "dest_oid"), "dest_oid")
 
 
 def net_associate(s, d):
@@ -172,13 +175,15 @@ def net_associate(s, d):
 
 
 def net_seed_distance(s, d):
-    return net.reach_by_tile(view(s, d, "f_edges"), net.seed_nodes([_pois(s, d)]), 500)
+    lines = written(_lines(s, d))
+    return net.reach_by_tile(lines, net.seed_nodes([_pois(s, d, lines)]), 500, cell=SEED_TILE)
 
 
 def _nearest(s, d):
-    pois = _pois(s, d)
+    lines = written(_lines(s, d))
+    pois = written(_pois(s, d, lines))
     conditions = {"food": F.col("dest_name") == "fresh_food_market", "convenience": F.col("dest_name") == "convenience", "transit": F.col("dest_name") == "pt_any"}
-    return net.nearest_poi(net.reach_by_tile(view(s, d, "f_edges"), net.seed_nodes([pois]), 500), pois, conditions)
+    return net.nearest_poi(net.reach_by_tile(lines, net.seed_nodes([pois]), 500, cell=SEED_TILE), pois, conditions)
 
 
 def net_nearest_poi(s, d):
