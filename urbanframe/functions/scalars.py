@@ -31,8 +31,9 @@ def hours_of(clock: Column) -> Column:
 def clock_of(seconds: Column) -> Column:
     """``HH:MM:SS`` of seconds, hours beyond 24 kept."""
     s = seconds.cast("bigint")
-    two = lambda x: F.when(x < 10, F.concat(F.lit("0"), x.cast("string"))).otherwise(x.cast("string"))
-    return F.concat(two(F.floor(s / 3600)), F.lit(":"), two(F.floor(s / 60) % 60), F.lit(":"), two(s % 60))
+    # Few mentions of ``s``: where it is a long column itself, each is code of that length.
+    h, two = F.floor(s / 3600), lambda x: F.lpad(x.cast("string"), 2, "0")
+    return F.concat(F.when(h < 10, F.lit("0")).otherwise(F.lit("")), h.cast("string"), F.lit(":"), two(F.floor(s / 60) % 60), F.lit(":"), two(s % 60))
 
 
 def overlap_hours(start: Column, end: Column, window_start: str, window_end: str) -> Column:

@@ -72,11 +72,12 @@ def interpolate_times(stop_times: DataFrame) -> DataFrame:
     trip = W.partitionBy("trip_id").orderBy("stop_sequence")
     back, ahead = trip.rowsBetween(W.unboundedPreceding, 0), trip.rowsBetween(0, W.unboundedFollowing)
     timed = stop_times.withColumn("_s", seconds_of(F.col("departure_time"))).withColumn("_i", F.row_number().over(trip))
-    mark = F.when(F.col("_s").isNotNull(), F.struct(F.col("_s").alias("s"), F.col("_i").alias("i")))
-    timed = timed.withColumn("_a", F.last(mark, True).over(back)).withColumn("_b", F.first(mark, True).over(ahead))
-    a, b = F.col("_a"), F.col("_b")
-    between = a["s"] + F.floor((b["s"] - a["s"]) * (F.col("_i") - a["i"]) / F.greatest(F.lit(1), b["i"] - a["i"]))
-    filled = F.when(F.col("_s").isNotNull(), F.col("_s")).when(a.isNull(), F.lit(None)).when(b.isNull(), a["s"]).otherwise(between)
+    # Plain numbers: places are in order, so the last known one is the largest so far.
+    known = F.when(F.col("_s").isNotNull(), F.col("_i"))
+    timed = timed.withColumns({"_as": F.last("_s", True).over(back), "_ai": F.max(known).over(back), "_bs": F.first("_s", True).over(ahead), "_bi": F.min(known).over(ahead)})
+    steps = F.floor((F.col("_bs") - F.col("_as")) * (F.col("_i") - F.col("_ai")) / F.greatest(F.lit(1), F.col("_bi") - F.col("_ai")))
+    # A known time is its own neighbour; a missing one ahead adds no step, a missing one behind leaves null.
+    filled = F.col("_as") + F.coalesce(steps, F.lit(0))
     return timed.withColumn("departure_time", clock_of(filled)).select(*stop_times.columns)
 
 
