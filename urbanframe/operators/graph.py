@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from urbanframe.session import checkpointed
+from urbanframe.session import checkpointed, spread
 
 #: Links up to which one task joins them all, as their number is checked.
 ONE_TASK = 200_000
@@ -46,6 +46,24 @@ def _forests(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield stars()
 
 
+def components_by_place(edges: DataFrame, place: list[str], a: str = "a", b: str = "b", one_task: int = ONE_TASK) -> DataFrame:
+    """As ``components``, for links between neighbours: the columns ``place`` name the block that a link lies in.
+
+    A block's links are joined by one task, in blocks of any choice. What is left
+    are the blocks' smallest nodes, linked where a node has several of them: few,
+    as only nodes on a border have. Every node then takes over the component of
+    its smallest one. So neither the number of rounds nor their size grows with
+    the links, but with the borders.
+    """
+    ends = (F.col(a).cast("bigint"), F.col(b).cast("bigint"))
+    links = edges.select(F.greatest(*ends).alias("u"), F.least(*ends).alias("v"), *place).where(ends[0].isNotNull() & ends[1].isNotNull() & (ends[0] != ends[1]))
+    local = spread(links, *place).sortWithinPartitions(*place).select("u", "v").mapInPandas(_forests, "u long, v long")
+    known = checkpointed(local.groupBy("u").agg(F.min("v").alias("m"), F.collect_set("v").alias("_all")))
+    border = known.select(F.explode("_all").alias("u"), F.col("m").alias("v")).where("u <> v")
+    label = components(border, "u", "v", one_task).select(F.col("node").alias("m"), "component")
+    return known.join(label, "m", "left").select(F.col("u").alias("node"), F.coalesce("component", "m").alias("component"))
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", one_task: int = ONE_TASK) -> DataFrame:
     """``node, component`` for every node (long) of ``edges``; the component is its smallest node.
 
