@@ -21,6 +21,8 @@ from urbanframe.session import shuffled, written
 
 #: Share of an area from which it counts as covered.
 WHOLE = 1 - 1e-9
+#: Tile of edges that access nodes look at: wide beside the distance, as an edge is dealt to all tiles that it may serve.
+REACH = 200.0
 
 
 def cut_out(spaces: DataFrame, excluded: DataFrame, key: str, cell: float) -> DataFrame:
@@ -157,7 +159,7 @@ def outline_nodes(shapes: DataFrame, key: str, step: float = 20.0) -> DataFrame:
 def access_nodes(shapes: DataFrame, areas: DataFrame, edges: DataFrame, key: str, least_ha: float = 0.001, d: float = 30.0) -> DataFrame:
     """``outline_nodes`` of public areas at most ``d`` from an edge's ``line``; ``shapes`` (``key, part, polygon``) are the areas' polygons."""
     public = shapes.join(shuffled(aos_public(areas, least_ha).select(key)), key, "left_semi")
-    return points_near(outline_nodes(public, key), edges, d, 100.0, "line")
+    return points_near(outline_nodes(public, key), edges, d, REACH, "line")
 
 
 def green_areas(areas: DataFrame, shapes: DataFrame, pixels: DataFrame, key: str, least_ha: float = 1.0, least_mean: float = 0.2, valid: tuple[float, float] = (-1.0, 1.0), cell: float = 200.0) -> DataFrame:
@@ -165,9 +167,11 @@ def green_areas(areas: DataFrame, shapes: DataFrame, pixels: DataFrame, key: str
 
     ``shapes`` are the areas' public polygons; a pixel counts once for an area.
     """
-    large = areas.where(F.col("aos_ha_public") >= least_ha).select(key, "aos_ha_public")
+    large = written(areas.where(F.col("aos_ha_public") >= least_ha).select(key, "aos_ha_public"))
+    # Boxes are written too: the join's filters on their nested expressions would go down to the few tasks that read all shapes.
+    boxed = written(with_box(shapes.join(shuffled(large), key, "left_semi").select(key, "polygon")))
     good = pixels.where(F.col("value").between(*valid))
-    pairs = box_join(with_point_box(good.select("x", "y", "value")), with_box(shapes.join(large, key, "left_semi").select(key, "polygon")), cell)
+    pairs = box_join(with_point_box(good.select("x", "y", "value")), boxed, cell)
     inside = pairs.where(holds(F.col("b_polygon"), F.col("a_x"), F.col("a_y")))
     means = inside.groupBy(F.col(f"b_{key}").alias(key)).agg(F.avg("a_value").alias("ndvi_mean")).where(F.col("ndvi_mean") >= least_mean)
     return large.join(means, key)
