@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from urbanframe.session import checkpointed, spread
+from urbanframe.session import checkpointed
 
 #: Links up to which one task joins them all, as their number is checked.
 ONE_TASK = 200_000
@@ -57,7 +57,7 @@ def components_by_place(edges: DataFrame, place: list[str], a: str = "a", b: str
     """
     ends = (F.col(a).cast("bigint"), F.col(b).cast("bigint"))
     links = edges.select(F.greatest(*ends).alias("u"), F.least(*ends).alias("v"), *place).where(ends[0].isNotNull() & ends[1].isNotNull() & (ends[0] != ends[1]))
-    local = spread(links, *place).sortWithinPartitions(*place).select("u", "v").mapInPandas(_forests, "u long, v long")
+    local = links.repartition(*place).sortWithinPartitions(*place).select("u", "v").mapInPandas(_forests, "u long, v long")
     known = checkpointed(local.groupBy("u").agg(F.min("v").alias("m"), F.collect_set("v").alias("_all")))
     border = known.select(F.explode("_all").alias("u"), F.col("m").alias("v")).where("u <> v")
     label = components(border, "u", "v", one_task).select(F.col("node").alias("m"), "component")

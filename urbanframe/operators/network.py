@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from urbanframe.functions.scalars import half_even
-from urbanframe.operators.graph import components
-from urbanframe.operators.spatial import nearest_edge, with_point_box, within_distance
+from urbanframe.operators.graph import components, components_by_place
+from urbanframe.operators.spatial import block_of, nearest_edge, with_point_box, within_distance
 from urbanframe.session import checkpointed
 
 
@@ -237,7 +237,7 @@ def _labelled(nodes: DataFrame, edges: DataFrame, tolerance: float) -> DataFrame
     kept = checkpointed(nodes.join(degree.where("degree >= 2").select(F.col("node").alias("osmid")), "osmid", "left_semi").select("osmid", "x", "y"))
     boxed = with_point_box(kept)
     near = within_distance(boxed, boxed, 2 * tolerance).where("a_osmid < b_osmid")
-    label = components(near.select(F.col("a_osmid").alias("a"), F.col("b_osmid").alias("b")))
+    label = components_by_place(near.select(F.col("a_osmid").alias("a"), F.col("b_osmid").alias("b"), *block_of(max(5 * tolerance, 1.0))), ["_bx", "_by"])
     return kept.join(label.withColumnRenamed("node", "osmid"), "osmid", "left").withColumn("component", F.coalesce("component", "osmid"))
 
 

@@ -28,8 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from urbanframe.functions.geometry import _segments, _sizes, bbox, closed_edges, ring_signed_area
-from urbanframe.operators.graph import components
-from urbanframe.operators.spatial import BOX, box_join
+from urbanframe.operators.graph import components_by_place
+from urbanframe.operators.spatial import BOX, block_of, box_join
 from urbanframe.session import shuffled, written
 
 #: Edges of a tile above which it is quartered before its sweep.
@@ -464,7 +464,7 @@ def dissolve_clusters(df: DataFrame, key: str, cell: float, polygon: str = "poly
     rows = written(df.where(F.col(polygon).isNotNull()).select(key, polygon).withColumn("_id", F.monotonically_increasing_id()))
     slim = with_box(rows, polygon).select("_id", key, *BOX)
     links = box_join(slim, slim, cell).where(F.col("a__id") < F.col("b__id")).where(F.col(f"a_{key}").eqNullSafe(F.col(f"b_{key}")))
-    label = components(links.select(F.col("a__id").alias("a"), F.col("b__id").alias("b"))).select(F.col("node").alias("_id"), "component")
+    label = components_by_place(links.select(F.col("a__id").alias("a"), F.col("b__id").alias("b"), *block_of(cell)), ["_bx", "_by"]).select(F.col("node").alias("_id"), "component")
     named = written(rows.join(shuffled(label), "_id", "left").select(F.coalesce("component", "_id").alias("cluster"), "_id", key, polygon))
     return dissolve(named, "cluster", cell, polygon), named.where("cluster = _id").select("cluster", key)
 

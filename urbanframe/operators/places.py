@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from urbanframe.functions.geometry import box_overlap_area, box_shared_border, centroid, make_point, nearest_place
 from urbanframe.operators.graph import components_by_place
-from urbanframe.operators.spatial import BOX, box_join, covered_by_other, points_in_areas, with_line_box, with_point_box, within_distance
+from urbanframe.operators.spatial import BOX, block_of, box_join, covered_by_other, points_in_areas, with_line_box, with_point_box, within_distance
 from urbanframe.operators.unions import clipped_boxes, union_areas
 from urbanframe.session import checkpointed
 
@@ -281,10 +281,6 @@ def public_access(df: DataFrame, key: str, cell: float, cover: DataFrame | None
     return demoted(once, once.where("NOT public_access AND NOT within_public"))
 
 
-#: Tiles along a side of the blocks whose links one task joins.
-BLOCK = 20
-
-
 def open_space_clusters(df: DataFrame, key: str, cell: float, gap: float = 0.001) -> DataFrame:
     """Adjacent open spaces as areas: ``aos_id, aos_class, members, aos_ha, aos_ha_public, aos_ha_water, water_percent``.
 
@@ -302,8 +298,7 @@ def open_space_clusters(df: DataFrame, key: str, cell: float, gap: float = 0.001
     classed = checkpointed(df.withColumn("aos_class", kind).where("aos_class IS NOT NULL"))
     slim = classed.where("aos_class <= 2").select(key, *BOX, "aos_class")
     near = within_distance(slim, slim, gap, cell).where((F.col(f"a_{key}") < F.col(f"b_{key}")) & (F.col("a_aos_class") == F.col("b_aos_class")))
-    block = [F.floor(F.col(f"a_{c}min") / F.lit(float(cell * BLOCK))).alias(f"_{c}") for c in "xy"]
-    label = components_by_place(near.select(F.col(f"a_{key}").alias("a"), F.col(f"b_{key}").alias("b"), *block), ["_x", "_y"])
+    label = components_by_place(near.select(F.col(f"a_{key}").alias("a"), F.col(f"b_{key}").alias("b"), *block_of(cell)), ["_bx", "_by"])
     member = checkpointed(classed.join(label.select(F.col("node").alias(key), "component"), key, "left").withColumn("aos_id", F.coalesce("component", key)).drop("component"))
     sums = member.groupBy("aos_id").agg(F.min("aos_class").alias("aos_class"), F.count(F.lit(1)).alias("members"))
     parts = F.array(F.lit("aos_ha"), F.when(F.col("public_access"), "aos_ha_public"), F.when(F.col("water_feature"), "aos_ha_water"))

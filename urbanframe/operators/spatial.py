@@ -18,6 +18,8 @@ from urbanframe.session import broadcast_if_small, checkpointed, shuffled
 BOX = ("xmin", "ymin", "xmax", "ymax")
 #: Levels that a crowded tile is split at most.
 DEEPEST = 10
+#: Tiles along a side of the blocks whose links one task joins.
+BLOCK = 20
 
 
 def box_of(df: DataFrame, prefix: str = "") -> dict[str, Column]:
@@ -67,6 +69,11 @@ def box_join(a: DataFrame, b: DataFrame, cell: float, margin: float = 0.0, crowd
     return left.join(shuffled(right), by).where(meets & home).drop(*by, "_depth")
 
 
+def block_of(cell: float, side: str = "a_") -> list[Column]:
+    """``_bx, _by``: the block of ``BLOCK`` by ``BLOCK`` tiles that a box's corner lies in."""
+    return [F.floor(F.col(f"{side}{c}min") / F.lit(float(cell * BLOCK))).alias(f"_b{c}") for c in "xy"]
+
+
 def _depths(left: DataFrame, right: DataFrame, crowded: int) -> DataFrame:
     """``_tx, _ty, _depth`` of the tiles to be split; a row a crowded tile."""
     both = left.select("_tx", "_ty", F.lit(1).alias("_a"), F.lit(0).alias("_b")).unionByName(right.select("_tx", "_ty", F.lit(0).alias("_a"), F.lit(1).alias("_b")))
