@@ -251,8 +251,13 @@ def test_components_of_neighbours(spark, monkeypatch):
     want = sorted(map(tuple, graph.components(links).collect()))
     sizes, plain = [], graph.components
     monkeypatch.setattr(graph, "components", lambda df, *more: sizes.append(df.count()) or plain(df, *more))
-    for one_task in (3, 200_000):
-        assert sorted(map(tuple, graph.components_by_place(links, ["x", "y"], one_task=one_task).collect())) == want
+    for one_task, joined in ((3, "false"), (200_000, "false"), (3, "true")):
+        # So small a table would have one task for all blocks, and no borders.
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", joined)
+        try:
+            assert sorted(map(tuple, graph.components_by_place(links, ["x", "y"], one_task=one_task).collect())) == want
+        finally:
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert len(want) > 200 and 0 < max(sizes) < len(near) / 3
     assert graph.components_by_place(links.where("FALSE"), ["x", "y"]).count() == 0
 
