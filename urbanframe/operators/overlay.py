@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Callable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -411,29 +412,40 @@ def by_group(df: DataFrame, keys: list[str], of: Callable[[pd.DataFrame, np.ndar
 class Overlay:
     """``op`` of the polygons of each key: of all on side 0, or of side 0 against side 1.
 
-    ``areas()`` and ``shapes()`` read the tiles' results, which are written once.
+    ``shapes()`` reads the tiles' boundaries, which are written once; ``areas()``
+    reads them only where they are there already, else it makes areas alone.
     """
 
     def __init__(self, edges: DataFrame, key: str, cell: float, op: str):
-        self.key, size = key, float(cell)
-        kind = dict(edges.dtypes)[key]
+        self.edges, self.key, self.size, self.op = edges, key, float(cell), op
+
+    def _over_tiles(self, bounds: bool) -> DataFrame:
+        """``key, area`` of each tile with any, and its ``parts`` of the boundary where ``bounds``."""
+        key, size, op = self.key, self.size, self.op
+        kind = dict(self.edges.dtypes)[key]
         low, high = F.least("ay", "by"), F.greatest("ay", "by")
         tile = lambda c: F.floor(c / F.lit(size)).cast("bigint")
-        dealt = edges.withColumn("_tx", F.explode(F.sequence(tile(F.least("ax", "bx")), tile(F.greatest(F.col("right"), F.least("ax", "bx"))))))
+        dealt = self.edges.withColumn("_tx", F.explode(F.sequence(tile(F.least("ax", "bx")), tile(F.greatest(F.col("right"), F.least("ax", "bx"))))))
         dealt = dealt.withColumn("_ty", F.explode(F.sequence(tile(low), tile(high))))
 
         def sweep(frame: pd.DataFrame, begin: np.ndarray) -> list[tuple]:
             corner = frame[["_tx", "_ty"]].to_numpy()[begin] * size
             group = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(frame))))
             areas, parts = overlay_tiles(frame[["ax", "ay", "bx", "by"]].to_numpy(), frame["_side"].to_numpy(), group, np.concatenate([corner, corner + size], 1), op)
-            return [(name, area, p.reshape(-1)) for name, area, p in zip(frame[key].to_numpy()[begin].tolist(), areas.tolist(), parts) if len(p)]
+            found = zip(frame[key].to_numpy()[begin].tolist(), areas.tolist(), parts)
+            return [(name, area, p.reshape(-1)) if bounds else (name, area) for name, area, p in found if len(p)]
+
+        schema = f"`{key}` {kind}, area double" + ", parts array<double>" * bounds
+        return written(by_group(dealt.drop("right"), [key, "_tx", "_ty"], sweep, schema, [key, "area", "parts"][: 2 + bounds]))
 
-        schema = f"`{key}` {kind}, area double, parts array<double>"
-        self.tiles = written(by_group(dealt.drop("right"), [key, "_tx", "_ty"], sweep, schema, [key, "area", "parts"]))
+    @cached_property
+    def tiles(self) -> DataFrame:
+        return self._over_tiles(True)
 
     def areas(self) -> DataFrame:
         """``key, area`` where any is left."""
-        return self.tiles.groupBy(self.key).agg(F.sum("area").alias("area")).where(F.col("area") > EPS)
+        tiles = self.tiles if "tiles" in self.__dict__ else self._over_tiles(False)
+        return tiles.groupBy(self.key).agg(F.sum("area").alias("area")).where(F.col("area") > EPS)
 
     def shapes(self) -> DataFrame:
         """``key, part, polygon``: the disjoint polygons of each key, holes included, numbered from 1."""

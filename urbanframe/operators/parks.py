@@ -133,8 +133,11 @@ class OpenSpaceAreas:
         hectares = found.groupBy("aos_id").agg(*[F.coalesce(F.sum(F.when(F.col("layer") == layer, F.col("area") / 10000.0)), F.lit(0.0)).alias(name) for name, layer in each.items()])
         tags = self.spaces.select(self.key, "tags") if "tags" in self.spaces.columns else self.spaces.select(self.key, F.lit(None).cast("string").alias("tags"))
         sums = self.members.join(tags, self.key).groupBy("aos_id").agg(F.min("aos_class").alias("aos_class"), F.count(F.lit(1)).alias("members"), F.array_sort(F.collect_list("tags")).alias("attributes"))
+        # An area meets what any of its members meets, so no shape of a cluster is stitched here, or dealt to all tiles of its box.
         water = self.parts.join(self.spaces.where("water_feature").select(self.key), self.key, "left_semi")
-        wet = meeting(self.shapes(), water, "aos_id", self.key, self.cell, "polygon", "polygon").select(F.col("a_key").alias("aos_id")).distinct().withColumn("_wet", F.lit(True))
+        own = self.parts.join(self.members.select(self.key), self.key, "left_semi")
+        met = meeting(own, water, self.key, self.key, self.cell, "polygon", "polygon").select(F.col("a_key").alias(self.key))
+        wet = self.members.join(met, self.key, "left_semi").select("aos_id").distinct().withColumn("_wet", F.lit(True))
         out = sums.join(hectares, "aos_id").join(wet, "aos_id", "left")
         percent = F.coalesce(F.try_divide(100 * F.col("aos_ha_water"), F.col("aos_ha")), F.lit(0.0))
         return out.select("aos_id", "aos_class", "members", *each, percent.alias("water_percent"), F.coalesce("_wet", F.lit(False)).alias("has_water_feature"), "attributes")
