@@ -293,4 +293,7 @@ def test_areas_stitch_no_shapes(spark, monkeypatch):
         got = {r.aos_id: (r.members, r.has_water_feature, round(r.aos_ha * 10000, 6)) for r in found.areas().collect()}
         assert got == {1: (2, False, 10900.0), 3: (1, True, 100.0), 4: (2, True, 800.0), 5: (1, True, 400.0)}
     assert {i for i, _ in whole} == got.keys()
+    # Layers of all members are like all: none is swept twice.
+    assert alone.overlay.areas().count() == 4
+    assert {(r.aos_id, round(r.aos_ha_public * 10000, 6), round(r.aos_ha_not_public * 10000, 6), round(r.aos_ha_water * 10000, 6)) for r in alone.areas().collect()} == {(1, 10900, 0, 0), (3, 0, 100, 100), (4, 800, 0, 0), (5, 0, 400, 400)}
     assert "parts" not in alone.overlay._over_tiles(False).columns and "tiles" not in alone.overlay.__dict__

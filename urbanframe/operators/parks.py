@@ -111,12 +111,18 @@ class OpenSpaceAreas:
         self.members = written(named.select(key, F.coalesce("component", key).alias("aos_id"), "aos_class"))
         flags = spaces.select(key, F.array(F.lit("all"), F.when(F.col("public_access"), "public").otherwise("not_public"), F.when(F.col("water_feature"), "water")).alias("_layers"))
         layers = self.members.join(flags, key).select(key, "aos_id", F.explode(F.filter("_layers", lambda c: c.isNotNull())).alias("layer"))
-        keyed = parts.join(layers, key).select(F.concat_ws(":", "aos_id", "layer").alias("_area"), "polygon")
+        # A layer of all members is like ``all``, so it is not dealt and swept again.
+        sizes = written(layers.groupBy("aos_id", "layer").agg(F.count(F.lit(1)).alias("_n")))
+        whole = sizes.where("layer = 'all'").select("aos_id", F.col("_n").alias("_all"))
+        self.like = written(sizes.join(shuffled(whole), "aos_id").select("aos_id", "layer", F.when(F.col("_n") == F.col("_all"), "all").otherwise(F.col("layer")).alias("_like")))
+        own = layers.join(shuffled(self.like.where("layer = _like").select("aos_id", "layer")), ["aos_id", "layer"])
+        keyed = parts.join(shuffled(own), key).select(F.concat_ws(":", "aos_id", "layer").alias("_area"), "polygon")
         self.overlay = dissolve(keyed, "_area", cell)
 
     def _split(self, df: DataFrame) -> DataFrame:
         kind = dict(self.members.dtypes)["aos_id"]
-        return df.withColumns({"aos_id": F.substring_index("_area", ":", 1).cast(kind), "layer": F.substring_index("_area", ":", -1)}).drop("_area")
+        own = df.withColumns({"aos_id": F.substring_index("_area", ":", 1).cast(kind), "_like": F.substring_index("_area", ":", -1)}).drop("_area")
+        return own.join(shuffled(self.like), ["aos_id", "_like"]).drop("_like")
 
     def shapes(self, layer: str = "all") -> DataFrame:
         """``aos_id, part, polygon`` of the dissolved ``all``, ``public``, ``not_public`` or ``water`` spaces."""

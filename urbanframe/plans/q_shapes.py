@@ -112,9 +112,10 @@ def area_clip(s, d):
 
 def _flagged(s, d):
     """Open spaces with all flags, their polygons, and their overlaps."""
-    parks = pl.candidates(_parks(s, d))
+    # Written, as many steps read them: else each would read the tables and find the circles anew.
+    parks = pk.written(pl.candidates(_parks(s, d)))
     parts = parks.select("osm_id", F.lit(1).alias("part"), "polygon")
-    spaces = pl.water_linear(parks.drop("polygon").join(pk.measured(parts, "osm_id"), "osm_id"))
+    spaces = pk.written(pl.water_linear(parks.drop("polygon").join(shuffled(pk.measured(parts, "osm_id")), "osm_id")))
     found = pk.written(pk.overlaps(parts, "osm_id", CELL))
     spaces = pk.written(pk.acceptable_linear(spaces, parts, found, "osm_id", CELL))
     return pk.written(pl.public_access(spaces, "osm_id", CELL, pk.covering(found, spaces, "osm_id"))), parts
