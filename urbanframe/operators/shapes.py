@@ -11,18 +11,21 @@ that hold others without crossing them are found by one point of each.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from urbanframe.functions.geometry import _segments, holds
+from urbanframe.functions.geometry import _held, _numbers, _segments, holds
 from urbanframe.operators.overlay import with_box
 from urbanframe.operators.spatial import _tiled, box_join
 from urbanframe.session import shuffled, tasks_for
 
 ENDS = ("ax", "ay", "bx", "by")
+PAIR = [f"{side}_{c}" for side in "ab" for c in ENDS]
 
 
 def kind_of(df: DataFrame, shape: str) -> str:
@@ -83,15 +86,19 @@ def _squared(px, py, ax, ay, bx, by):
     return ox * ox + oy * oy
 
 
+def _gaps(*e: np.ndarray) -> np.ndarray:
+    """Distances of segments, as numpy arrays."""
+    p, q = e[:4], e[4:]
+    least = np.minimum(np.minimum(_squared(*p[:2], *q), _squared(*p[2:], *q)), np.minimum(_squared(*q[:2], *p), _squared(*q[2:], *p)))
+    return np.where(_met(*e), 0.0, np.sqrt(least))
+
+
 def _all_met(*ends: pd.Series) -> pd.Series:
     return pd.Series(_met(*[e.to_numpy(float) for e in ends]))
 
 
 def _apart(*ends: pd.Series) -> pd.Series:
-    e = [c.to_numpy(float) for c in ends]
-    p, q = e[:4], e[4:]
-    least = np.minimum(np.minimum(_squared(*p[:2], *q), _squared(*p[2:], *q)), np.minimum(_squared(*q[:2], *p), _squared(*q[2:], *p)))
-    return pd.Series(np.where(_met(*e), 0.0, np.sqrt(least)))
+    return pd.Series(_gaps(*[e.to_numpy(float) for e in ends]))
 
 
 def segments_meet(p: tuple[Column, ...], q: tuple[Column, ...]) -> Column:
@@ -112,6 +119,24 @@ def _pair_columns() -> tuple[tuple[Column, ...], tuple[Column, ...]]:
     return tuple(F.col(f"a_{c}") for c in ENDS), tuple(F.col(f"b_{c}") for c in ENDS)
 
 
+def _tested(pairs: DataFrame, a_key: str, b_key: str, columns: list[str], of: Callable[..., tuple], more: str = "") -> DataFrame:
+    """``a_key, b_key`` of the pairs that ``of`` keeps by their ``columns``, as Arrow arrays, and what ``more`` it tells of them.
+
+    A Python column would have the rows of all pairs wait for its results, on the
+    executors' disks where memory is short; here only the results come back.
+    """
+    kinds = dict(pairs.dtypes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept, *told = of(*batch.columns[2:])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *map(pa.array, told)], names).filter(pa.array(kept))
+
+    schema = f"a_key {kinds[f'a_{a_key}']}, b_key {kinds[f'b_{b_key}']}{more}"
+    names = ["a_key", "b_key"] + more.split()[1::2]
+    return pairs.select(F.col(f"a_{a_key}").alias("a_key"), F.col(f"b_{b_key}").alias("b_key"), *columns).mapInArrow(run, schema)
+
+
 def _one_point(df: DataFrame, key: str, shape: str) -> DataFrame:
     """``key, x, y``: a point of every shape."""
     kind = kind_of(df, shape)
@@ -123,7 +148,7 @@ def _holding(points: DataFrame, polygons: DataFrame, a_key: str, b_key: str, sha
     """``a_key, b_key`` of points and the polygons that hold them."""
     boxed = points.withColumns({"xmin": F.col("x"), "ymin": F.col("y"), "xmax": F.col("x"), "ymax": F.col("y")})
     pairs = box_join(boxed, with_box(polygons.select(b_key, shape), shape), cell)
-    return pairs.where(holds(F.col(f"b_{shape}"), F.col("a_x"), F.col("a_y"))).select(F.col(f"a_{a_key}").alias("a_key"), F.col(f"b_{b_key}").alias("b_key"))
+    return _tested(pairs, a_key, b_key, [f"b_{shape}", "a_x", "a_y"], lambda polygon, x, y: (_held(polygon, x, y),))
 
 
 def _inside(a: DataFrame, b: DataFrame, a_key: str, b_key: str, a_shape: str, b_shape: str, cell: float) -> DataFrame | None:
@@ -143,7 +168,7 @@ def meeting(a: DataFrame, b: DataFrame, a_key: str, b_key: str, cell: float, a_s
     ``crowded`` splits tiles of more segments, as in ``box_join``.
     """
     pairs = box_join(_short_boxes(segments(a, a_key, a_shape), cell), _short_boxes(segments(b, b_key, b_shape), cell), cell, crowded=crowded)
-    found = pairs.where(segments_meet(*_pair_columns())).select(F.col(f"a_{a_key}").alias("a_key"), F.col(f"b_{b_key}").alias("b_key"))
+    found = _tested(pairs, a_key, b_key, PAIR, lambda *ends: (_met(*map(_numbers, ends)),))
     if (held := _inside(a, b, a_key, b_key, a_shape, b_shape, cell)) is not None:
         found = found.unionByName(held)
     return found.distinct()
@@ -153,7 +178,12 @@ def near(a: DataFrame, b: DataFrame, a_key: str, b_key: str, d: float, cell: flo
     """``a_key, b_key, distance`` of the shapes at most ``d`` apart; 0 where they meet or one holds the other."""
     cell = cell or max(float(d), 1.0)
     pairs = box_join(_short_boxes(segments(a, a_key, a_shape), cell), _short_boxes(segments(b, b_key, b_shape), cell), cell, margin=d, crowded=crowded)
-    found = pairs.select(F.col(f"a_{a_key}").alias("a_key"), F.col(f"b_{b_key}").alias("b_key"), segment_distance(*_pair_columns()).alias("distance")).where(F.col("distance") <= d)
+
+    def close(*ends: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        gap = _gaps(*map(_numbers, ends))
+        return gap <= d, gap
+
+    found = _tested(pairs, a_key, b_key, PAIR, close, ", distance double")
     if (held := _inside(a, b, a_key, b_key, a_shape, b_shape, cell)) is not None:
         found = found.unionByName(held.withColumn("distance", F.lit(0.0)))
     return found.groupBy("a_key", "b_key").agg(F.min("distance").alias("distance"))
